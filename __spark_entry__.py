@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 
 from postlens import operators as op
 from postlens.functions import split_tokens
-from postlens.plans import run_etl, run_lexicon_report, run_report_suite
+from postlens.plans import (
+    group_rates,
+    post_hits,
+    run_etl,
+    run_lexicon_report,
+    run_report_suite,
+)
 from postlens.presets import POST_SCHEMA, LexiconReport, ReportSuite
 from postlens.sources import (
+    LexiconLimits,
     load_lexicon,
     read_csv,
     read_json,
@@ -29,6 +36,8 @@ CATEGORY_A = ("A", r"(?i)\b(thatin|inoran)\b")
 CATEGORY_B = ("B", r"(?i)\b(ononst|rewh)\b")
 DOCUMENT_SCHEMA = "doc_id bigint, lang string, source string, n_chars bigint, text string"
 
+# No term goes into the plan as a list, so that the queries on a lexicon table join it.
+TABLE_LIMITS = LexiconLimits(plan_terms=0)
 LEXICON_REPORT = LexiconReport(min_rows=20, k=5)
 REPORT_SUITE = ReportSuite(
     deleted_actor="en-src1",
@@ -101,8 +110,8 @@ def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).transform(op.tokenize, "text", out="tokens")
 
 
-def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).transform(op.clean_posts, text="text")
+def cleaned_documents(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    return documents(spark, sf_dir).select(key, "text").transform(op.clean_posts, text="text")
 
 
 def benchmark_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,28 +222,31 @@ def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = op.lexicon_hits(cleaned_documents(spark, sf_dir), LEXICON)
+    hits = op.lexicon_hits(cleaned_documents(spark, sf_dir, "doc_id"), LEXICON)
     return hits.select("doc_id", "hits")
 
 
 def lexicon_hits_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.lexicon_hits_joined(
-        cleaned_documents(spark, sf_dir), benchmark_terms(spark, sf_dir), key="doc_id"
+    return post_hits(
+        cleaned_documents(spark, sf_dir, "doc_id"),
+        benchmark_terms(spark, sf_dir),
+        key="doc_id",
+        limits=TABLE_LIMITS,
     )
 
 
 def lexicon_rate_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.hit_rate_by_group(
-        cleaned_documents(spark, sf_dir), LEXICON, group="source", min_rows=20
+        cleaned_documents(spark, sf_dir, "source"), LEXICON, group="source", min_rows=20
     )
 
 
 def lexicon_rate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.hit_rate_by_group_joined(
-        cleaned_documents(spark, sf_dir),
+    return group_rates(
+        cleaned_documents(spark, sf_dir, "lang"),
         benchmark_terms(spark, sf_dir),
-        group="lang",
-        min_rows=20,
+        LexiconReport(group="lang", min_rows=20, rate_name="avg_hits"),
+        limits=TABLE_LIMITS,
     )
 
 
@@ -330,9 +342,8 @@ def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Sources whose documents use the listed words most."""
-    rates = op.hit_rate_by_group(
-        cleaned_documents(spark, "/root/testdata/sf0.001"), LEXICON, group="source", min_rows=5
-    )
+    cleaned = cleaned_documents(spark, "/root/testdata/sf0.001", "source")
+    rates = op.hit_rate_by_group(cleaned, LEXICON, group="source", min_rows=5)
     return op.rank_by_rate(rates, group="source")
 
 
@@ -427,7 +438,7 @@ def oracle_sql() -> dict[str, str]:
                CASE WHEN lang <> 'fr' THEN lang || '-' || source END AS author,
                lang AS subreddit, source || chr(9) AS subreddit_id,
                cast(n_chars AS integer) AS content_len, md5(text) AS content_md5,
-               len(tokens) AS n_tokens, md5(array_to_string(tokens, ' ')) AS tokens_md5
+               cast(len(tokens) AS integer) AS n_tokens, md5(array_to_string(tokens, ' ')) AS tokens_md5
         FROM (SELECT *, {clean_tokens} AS tokens FROM documents)"""
     hits = f"SELECT *, len(list_intersect({clean_tokens}, {sql_list(LEXICON)})) AS hits"
     rates = f"""
@@ -513,15 +524,15 @@ def oracle_sql() -> dict[str, str]:
                    md5(trim(text, ' ')) AS text_md5
             FROM documents""",
         "tokenize": f"""
-            SELECT doc_id, len(tokens) AS n_tokens,
+            SELECT doc_id, cast(len(tokens) AS integer) AS n_tokens,
                    md5(array_to_string(tokens, ' ')) AS tokens_md5
             FROM (SELECT doc_id, {sql_tokens("text")} AS tokens FROM documents)""",
         "remove_stopwords": f"""
-            SELECT doc_id, len(tokens) AS n_tokens,
+            SELECT doc_id, cast(len(tokens) AS integer) AS n_tokens,
                    md5(array_to_string(tokens, ' ')) AS tokens_md5
             FROM (SELECT doc_id, {sql_kept(sql_tokens("text"))} AS tokens FROM documents)""",
         "normalize_tokens": f"""
-            SELECT doc_id, len(tokens) AS n_tokens,
+            SELECT doc_id, cast(len(tokens) AS integer) AS n_tokens,
                    md5(array_to_string(tokens, ' ')) AS tokens_md5
             FROM (SELECT doc_id, {sql_normalized(sql_tokens("text"))} AS tokens
                   FROM documents)""",

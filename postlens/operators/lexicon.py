@@ -1,15 +1,16 @@
 """Lexicon operators: how many different listed terms a post uses, and group rates.
 
 A lexicon is a list of terms or, when it is too long for the plan, a one-column
-DataFrame. A list is matched inside the scan stage. A DataFrame is joined, and
-Spark broadcasts it only if its size is under the session's threshold.
+DataFrame. A list is matched inside the scan stage. A DataFrame is joined:
+broadcast where the caller has checked its size, else by a merge join, never by
+Spark's own estimate of its size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions import distinct_hits
@@ -23,41 +24,52 @@ def lexicon_hits(
     return df.withColumn(out, distinct_hits(F.col(tokens), terms))
 
 
+def row_and_terms(tokens: str) -> Column:
+    """The different tokens of a row and one NULL, which stands for the row itself."""
+    no_terms = F.array().cast("array<string>")
+    terms = F.array_compact(F.array_distinct(F.coalesce(F.col(tokens), no_terms)))
+    return F.concat(F.array(F.lit(None).cast("string")), terms)
+
+
+def listed_terms(lexicon: DataFrame) -> DataFrame:
+    return lexicon.toDF("_term").distinct().withColumn("_listed", F.lit(True))
+
+
 def lexicon_hits_joined(
     df: DataFrame,
     lexicon: DataFrame,
     *,
     key: str,
+    broadcast: bool = False,
     tokens: str = "content_tokens",
     out: str = "hits",
     salts: int = 32,
 ) -> DataFrame:
-    """Like ``lexicon_hits`` for a lexicon of any size; returns ``key`` and the hits.
+    """Like ``lexicon_hits`` for a longer lexicon; returns ``key`` and the hits.
 
-    ``key`` must be unique and not NULL. A frequent term is spread over ``salts``
-    join keys, for which the lexicon is repeated, so no join task gets all its rows.
+    ``key`` must be unique and not NULL. One scan: every row yields its different
+    tokens and a NULL that keeps rows without hits. Set ``broadcast`` only for a
+    lexicon of checked size. Otherwise a frequent token is spread over ``salts``
+    join keys, for which the lexicon is repeated, and the NULLs over all hash
+    values, so no join task gets all rows of one token.
     """
-    salted_terms = (
-        lexicon.toDF("_term")
-        .distinct()
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    exploded = df.select(
+        key,
+        F.col(tokens).isNotNull().alias("_scored"),
+        F.explode(row_and_terms(tokens)).alias("_term"),
     )
-    found = (
-        df.select(
-            key,
-            F.pmod(F.hash(key), F.lit(salts)).alias("_salt"),
-            F.explode(F.array_distinct(tokens)).alias("_term"),
+    is_row = F.col("_term").isNull()
+    listed = listed_terms(lexicon)
+    if broadcast:
+        joined = exploded.join(F.broadcast(listed), "_term", "left")
+    else:
+        each_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        salt = F.when(is_row, F.hash(key)).otherwise(F.pmod(F.hash(key), F.lit(salts)))
+        joined = exploded.withColumn("_salt", salt).join(
+            listed.withColumn("_salt", each_salt).hint("merge"), ["_term", "_salt"], "left"
         )
-        .join(salted_terms, ["_term", "_salt"], "left_semi")
-        .groupBy(key)
-        .agg(F.count("*").alias("_found"))
-    )
-    hits = F.when(F.col("_scored"), F.coalesce("_found", F.lit(0)).cast("int"))
-    return (
-        df.select(key, F.col(tokens).isNotNull().alias("_scored"))
-        .join(found, key, "left")
-        .select(key, hits.alias(out))
-    )
+    hits = F.when(F.bool_or("_scored"), F.count("_listed").cast("int"))
+    return joined.filter(is_row | F.col("_listed")).groupBy(key).agg(hits.alias(out))
 
 
 def hit_rate_by_group(
@@ -90,38 +102,37 @@ def hit_rate_by_group_joined(
     *,
     group: str,
     min_rows: int,
+    broadcast: bool = False,
     tokens: str = "content_tokens",
     rate: str = "avg_hits",
     count: str = "post_count",
 ) -> DataFrame:
-    """Like ``hit_rate_by_group`` for a lexicon of any size, in one scan.
+    """Like ``hit_rate_by_group`` for a longer lexicon, in one scan.
 
-    Every row yields its different tokens and one NULL token that stands for the
-    row itself. These are counted per group and token before the join, so a
-    frequent token reaches it once per group and not once per row.
+    Every row yields its different tokens and a NULL that stands for the row. They
+    are counted per group and token before the join, so a frequent token reaches
+    it once per group and not once per row. Set ``broadcast`` only for a lexicon
+    of checked size.
     """
-    no_terms = F.array().cast("array<string>")
-    distinct_tokens = F.array_compact(F.array_distinct(F.coalesce(F.col(tokens), no_terms)))
-    row_mark = F.array(F.lit(None).cast("string"))
     counted = (
         df.select(
-            F.col(group),
+            group,
             F.col(tokens).isNotNull().alias("_scored"),
-            F.explode(F.concat(row_mark, distinct_tokens)).alias("_term"),
+            F.explode(row_and_terms(tokens)).alias("_term"),
         )
         .groupBy(group, "_scored", "_term")
         .agg(F.count("*").alias("_n"))
     )
-    listed = lexicon.toDF("_term").distinct().withColumn("_listed", F.lit(True))
+    listed = listed_terms(lexicon)
+    listed = F.broadcast(listed) if broadcast else listed.hint("merge")
     is_row = F.col("_term").isNull()
+    n_hits = F.coalesce(F.sum(F.when(F.col("_listed"), F.col("_n"))), F.lit(0))
+    n_scored = F.sum(F.when(is_row & F.col("_scored"), F.col("_n")))
     return (
         counted.join(listed, "_term", "left")
         .groupBy(group)
         .agg(
-            F.try_divide(
-                F.coalesce(F.sum(F.when(F.col("_listed"), F.col("_n"))), F.lit(0)),
-                F.sum(F.when(is_row & F.col("_scored"), F.col("_n"))),
-            ).alias(rate),
+            F.try_divide(n_hits, n_scored).alias(rate),
             F.sum(F.when(is_row, F.col("_n"))).alias(count),
         )
         .filter(F.col(count) > min_rows)

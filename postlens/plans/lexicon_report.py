@@ -6,26 +6,65 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlens.operators import hit_rate_by_group, hit_rate_by_group_joined, rank_by_rate
+from postlens.operators import (
+    hit_rate_by_group,
+    hit_rate_by_group_joined,
+    lexicon_hits,
+    lexicon_hits_joined,
+    rank_by_rate,
+)
 from postlens.presets import LexiconReport
 from postlens.sources import (
-    MAX_PLAN_TERMS,
+    LexiconLimits,
+    may_broadcast,
     read_parquet,
     scratch_folder,
-    terms_if_bounded,
+    terms_if_few,
     write_report,
     write_table,
 )
 
+Lexicon = DataFrame | Sequence[str]
+
+
+def list_or_table(
+    posts: DataFrame, lexicon: Lexicon, limits: LexiconLimits
+) -> tuple[list[str] | None, DataFrame | None]:
+    """The lexicon as a list if the plan should hold it, else as a DataFrame."""
+    if not isinstance(lexicon, DataFrame):
+        if len(lexicon) <= limits.plan_terms:
+            return list(lexicon), None
+        lexicon = posts.sparkSession.createDataFrame([(term,) for term in lexicon], "term string")
+    terms = terms_if_few(lexicon, limits)
+    return (None, lexicon) if terms is None else (terms, None)
+
+
+def post_hits(
+    posts: DataFrame,
+    lexicon: Lexicon,
+    *,
+    key: str,
+    tokens: str = "content_tokens",
+    out: str = "hits",
+    limits: LexiconLimits = LexiconLimits(),
+) -> DataFrame:
+    """Key and hits of every post, matched as the measured size of the lexicon allows."""
+    terms, table = list_or_table(posts, lexicon, limits)
+    if terms is not None:
+        return lexicon_hits(posts, terms, tokens=tokens, out=out).select(key, out)
+    return lexicon_hits_joined(
+        posts, table, key=key, broadcast=may_broadcast(table, limits), tokens=tokens, out=out
+    )
+
 
 def group_rates(
     posts: DataFrame,
-    lexicon: DataFrame | Sequence[str],
+    lexicon: Lexicon,
     report: LexiconReport = LexiconReport(),
     *,
-    max_plan_terms: int = MAX_PLAN_TERMS,
+    limits: LexiconLimits = LexiconLimits(),
 ) -> DataFrame:
-    """Rates of all large groups: in-scan matching for a short lexicon, a join for a long one."""
+    """Rates of all large groups, matched as the measured size of the lexicon allows."""
     names = {
         "group": report.group,
         "tokens": report.tokens,
@@ -33,19 +72,18 @@ def group_rates(
         "rate": report.rate_name,
         "count": report.count_name,
     }
-    if isinstance(lexicon, DataFrame):
-        terms = terms_if_bounded(lexicon, max_plan_terms)
-        if terms is None:
-            return hit_rate_by_group_joined(posts, lexicon, **names)
-    else:
-        terms = lexicon
-    return hit_rate_by_group(posts, terms, **names)
+    terms, table = list_or_table(posts, lexicon, limits)
+    if terms is not None:
+        return hit_rate_by_group(posts, terms, **names)
+    return hit_rate_by_group_joined(
+        posts, table, broadcast=may_broadcast(table, limits), **names
+    )
 
 
 def run_lexicon_report(
     spark: SparkSession,
     posts: DataFrame,
-    lexicon: DataFrame | Sequence[str],
+    lexicon: Lexicon,
     output: str,
     report: LexiconReport = LexiconReport(),
 ) -> dict[str, str]:

@@ -1,23 +1,18 @@
-from postlens.sources.readers import (
-    MAX_PLAN_TERMS,
-    load_lexicon,
-    read_csv,
-    read_json,
-    read_parquet,
-    terms_if_bounded,
-)
+from postlens.sources.lexicon import LexiconLimits, load_lexicon, may_broadcast, terms_if_few
+from postlens.sources.readers import read_csv, read_json, read_parquet
 from postlens.sources.scratch import scratch_folder
 from postlens.sources.writers import FORMATS, write_report, write_table
 
 __all__ = [
     "FORMATS",
-    "MAX_PLAN_TERMS",
+    "LexiconLimits",
     "load_lexicon",
+    "may_broadcast",
     "read_csv",
     "read_json",
     "read_parquet",
     "scratch_folder",
-    "terms_if_bounded",
+    "terms_if_few",
     "write_report",
     "write_table",
 ]

@@ -1,17 +1,10 @@
-"""Scans of post tables and lexicon files."""
+"""Scans of post tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from postlens.functions import strip_whitespace
-
-# A lexicon of at most this many terms goes into the plan as a literal list.
-MAX_PLAN_TERMS = 10_000
-
-
 def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Line-delimited JSON under a fixed schema; unreadable lines become all-NULL rows."""
     return spark.read.schema(schema).json(path)
@@ -27,35 +20,3 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     if schema is not None:
         return spark.read.csv(path, schema=schema, header=True)
     return spark.read.csv(path, header=True, inferSchema=True)
-
-
-def load_lexicon(
-    spark: SparkSession,
-    path: str,
-    *,
-    comment: str | None = None,
-    distinct: bool = False,
-    normalize: bool = False,
-) -> DataFrame:
-    """One term per line, stripped of outer whitespace, without blank lines.
-
-    ``comment`` drops lines that start with it, ``distinct`` drops repeated terms
-    and ``normalize`` reduces terms to lower-case ASCII letters and digits, as the
-    token clean-up does, so that hyphenated terms can match.
-    """
-    terms = spark.read.text(path).select(strip_whitespace(F.col("value")).alias("term"))
-    if comment is not None:
-        terms = terms.filter(~F.col("term").startswith(comment))
-    if normalize:
-        terms = terms.select(F.lower(F.regexp_replace("term", r"\P{Alnum}+", "")).alias("term"))
-    terms = terms.filter(F.length("term") > 0)
-    return terms.distinct() if distinct else terms
-
-
-def terms_if_bounded(lexicon: DataFrame, max_terms: int = MAX_PLAN_TERMS) -> list[str] | None:
-    """The terms as a list, or None if there are more than ``max_terms``.
-
-    Fetches ``max_terms + 1`` rows at most.
-    """
-    rows = lexicon.limit(max_terms + 1).collect()
-    return None if len(rows) > max_terms else [row[0] for row in rows]
