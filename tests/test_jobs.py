@@ -1,0 +1,198 @@
+"""The three jobs, end to end."""
+
+from __future__ import annotations
+
+import csv
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from postlens import operators as op
+from postlens.cli import main
+from postlens.plans import group_rates, post_hits, run_etl, run_lexicon_report, run_report_suite
+from postlens.presets import LexiconReport, ReportSuite
+from postlens.sources import LexiconLimits
+
+
+def post(i, subreddit, body, author="ann", content=None, length=None):
+    return {
+        "author": author,
+        "body": body,
+        "normalizedBody": body.lower(),
+        "content": body if content is None else content,
+        "content_len": len(body) if length is None else length,
+        "summary": body,
+        "summary_len": len(body),
+        "id": f"t{i}",
+        "subreddit": subreddit,
+        "subreddit_id": f"s_{subreddit}",
+    }
+
+
+LOL = "leagueoflegends"
+POSTS = [
+    post(0, LOL, "Please nerf Faker, worlds was silly", "bob", length=10),
+    post(1, LOL, "buff and nerfs for ranked", "bob", length=21),
+    post(2, LOL, "T1 smurf climbing", "[deleted]", length=30),
+    post(3, LOL, "hello nerfed buffs", "cat", length=41),
+    post(4, "help", "I need help with damn things, damn", None),
+    post(5, "help", "need advice. please help", "ann"),
+    post(6, "pics", "Look at these pictures pictures", "ann"),
+    post(7, "pics", "damn pictures heck", "bob"),
+]
+
+
+@pytest.fixture(scope="module")
+def raw(tmp_path_factory):
+    path = tmp_path_factory.mktemp("raw") / "posts.json"
+    lines = [json.dumps(row) for row in POSTS]
+    path.write_text("\n".join([*lines[:3], "{broken", "", *lines[3:]]) + "\n")
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def cleaned(spark, raw, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("clean") / "posts")
+    run_etl(spark, raw, path)
+    return path
+
+
+def report(path):
+    (file,) = Path(path).glob("part-*.csv")
+    with file.open(newline="") as lines:
+        return list(csv.reader(lines))
+
+
+def test_etl_drops_broken_lines_and_adds_tokens(spark, cleaned):
+    df = spark.read.parquet(cleaned)
+    assert df.count() == len(POSTS)
+    assert df.columns[-1] == "content_tokens"
+    tokens = {row["id"]: row["content_tokens"] for row in df.collect()}
+    assert tokens["t4"] == ["need", "help", "damn", "things", "damn"]
+
+
+def test_etl_writes_json_too(spark, raw, cleaned, tmp_path):
+    path = str(tmp_path / "json")
+    run_etl(spark, raw, path, fmt="json")
+    expected = spark.read.parquet(cleaned)
+    back = spark.read.schema(expected.schema).json(path)
+    assert sorted(back.collect(), key=str) == sorted(expected.collect(), key=str)
+
+
+def test_lexicon_report(spark, cleaned, tmp_path):
+    posts = spark.read.parquet(cleaned)
+    paths = run_lexicon_report(
+        spark, posts, ["damn", "heck"], str(tmp_path), LexiconReport(min_rows=1, k=2)
+    )
+    header = ["subreddit", "avg_swear_words_per_post", "post_count"]
+    assert report(paths["most_swearing"]) == [header, ["pics", "1.0", "2"], ["help", "0.5", "2"]]
+    assert report(paths["least_swearing"]) == [header, [LOL, "0.0", "4"], ["help", "0.5", "2"]]
+
+
+def test_lexicon_report_on_small_groups_is_empty(spark, cleaned, tmp_path):
+    paths = run_lexicon_report(spark, spark.read.parquet(cleaned), ["damn"], str(tmp_path))
+    for path in paths.values():
+        assert report(path)[1:] == []
+
+
+@pytest.mark.parametrize(
+    "limits",
+    [
+        LexiconLimits(),
+        LexiconLimits(plan_terms=1),
+        LexiconLimits(plan_terms=1, broadcast_bytes=1),
+    ],
+)
+@pytest.mark.parametrize("as_table", [True, False])
+def test_lexicon_size_does_not_change_the_result(spark, cleaned, limits, as_table):
+    posts = spark.read.parquet(cleaned)
+    lexicon = ["damn", "heck", "damn"]
+    if as_table:
+        lexicon = spark.createDataFrame([(term,) for term in lexicon], "term string")
+    rates = group_rates(posts, lexicon, LexiconReport(min_rows=0), limits=limits)
+    assert sorted(map(tuple, rates.collect())) == [("help", 0.5, 2), (LOL, 0.0, 4), ("pics", 1.0, 2)]
+    hits = post_hits(posts, lexicon, key="id", limits=limits)
+    assert [row["hits"] for row in hits.orderBy("id").collect()] == [0, 0, 0, 0, 1, 0, 0, 2]
+
+
+def test_report_suite(spark, cleaned, tmp_path):
+    paths = run_report_suite(spark, spark.read.parquet(cleaned), str(tmp_path))
+    assert report(paths["top_subreddits"]) == [
+        ["subreddit", "count"],
+        [LOL, "4"],
+        ["help", "2"],
+        ["pics", "2"],
+    ]
+    assert report(paths["active_authors"]) == [
+        ["author", "count"],
+        ["bob", "3"],
+        ["ann", "2"],
+        ["cat", "1"],
+    ]
+    assert report(paths["help_requests"]) == [["subreddit", "help_post_count"], ["help", "2"]]
+    words = report(paths["top_words"])
+    assert words[:3] == [["word", "count"], ["pictures", "3"], ["please", "2"]]
+    assert len(words) == 16
+    assert report(paths["lol_nerf_vs_buff"]) == [
+        ["mentions_nerf", "mentions_buff", "total_posts", "avg_post_length"],
+        ["false", "false", "1", "30"],
+        ["false", "true", "1", "41"],
+        ["true", "false", "1", "10"],
+        ["true", "true", "1", "21"],
+    ]
+    assert report(paths["lol_esports_vs_casual"]) == [
+        ["discussion_type", "count"],
+        ["Both", "1"],
+        ["Esports / Pro Play", "1"],
+        ["General / Other", "1"],
+        ["Ranked / Casual Play", "1"],
+    ]
+
+
+def test_report_suite_equals_the_single_operators(spark, sf_dir, tmp_path):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    posts = documents.select(
+        F.col("source").alias("subreddit"),
+        F.col("lang").alias("author"),
+        F.col("text").alias("body"),
+        F.col("text").alias("summary"),
+        F.col("n_chars").cast("int").alias("content_len"),
+    )
+    suite = ReportSuite(
+        phrase="(?i)(of the|in the)",
+        topic="src3",
+        flags=(("a", r"(?i)\b(thatin)\b"), ("b", r"(?i)\b(ononst)\b")),
+        categories=(("A", r"(?i)\b(thatin|inoran)\b"), ("B", r"(?i)\b(ononst|rewh)\b")),
+    )
+    paths = run_report_suite(spark, posts, str(tmp_path), suite)
+    topic = op.topic_slice(posts, "subreddit", "src3")
+    labelled = op.categorize(topic, "body", *suite.categories)
+    single = {
+        "top_subreddits": op.top_groups(posts, "subreddit"),
+        "active_authors": op.active_actors(posts, "author"),
+        "help_requests": op.phrase_trend(posts, "body", suite.phrase, "subreddit"),
+        "top_words": op.top_words(posts, "summary"),
+        "lol_nerf_vs_buff": op.mention_crosstab(topic, "body", "content_len", dict(suite.flags)),
+        "lol_esports_vs_casual": op.category_counts(labelled),
+    }
+    assert set(single) == set(paths)
+    for name, df in single.items():
+        rows = [[str(v).lower() if isinstance(v, bool) else str(v) for v in row] for row in df.collect()]
+        assert report(paths[name]) == [df.columns, *rows]
+
+
+def test_command_line(spark, raw, tmp_path):
+    out = tmp_path
+    lexicon = out / "lexicon.txt"
+    lexicon.write_text("# terms\ndamn\nheck\n")
+    main(["etl", "--input", raw, "--output", f"{out}/clean"])
+    main(
+        ["lexicon", "--input", f"{out}/clean", "--lexicon", str(lexicon), "--comment", "#"]
+        + ["--output", f"{out}/reports", "--min-rows", "1"]
+    )
+    main(["reports", "--input", f"{out}/clean", "--output", f"{out}/reports"])
+    names = {path.name for path in (out / "reports").iterdir()}
+    assert len(names) == 8
+    assert report(out / "reports" / "most_swearing")[1] == ["pics", "1.0", "2"]

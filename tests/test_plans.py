@@ -1,0 +1,135 @@
+"""Shape of the physical plans: pushdown, pruning, partial aggregation, no Python."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as registry
+from postlens import operators as op
+
+
+def plan_of(df) -> str:
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        df.explain("formatted")
+    return out.getvalue()
+
+
+def count_nodes(plan: str, node: str) -> int:
+    """Occurrences in the tree part of a formatted plan."""
+    tree = plan.split("\n\n")[0]
+    return sum(line.strip(" :+-*").split("(")[0].strip().startswith(node) for line in tree.splitlines())
+
+
+@pytest.fixture(scope="module")
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+@pytest.mark.parametrize("name", list(registry.queries()))
+def test_no_plan_runs_python_or_a_cross_join(spark, sf_dir, name):
+    plan = plan_of(registry.queries()[name](spark, sf_dir))
+    for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "most_lexicon",
+        "least_lexicon",
+        "top_groups",
+        "active_actors",
+        "phrase_trend",
+        "word_count_topk",
+    ],
+)
+def test_top_k_keeps_a_heap_and_shuffles_partial_counts_once(spark, sf_dir, name):
+    plan = plan_of(registry.queries()[name](spark, sf_dir))
+    assert "TakeOrderedAndProject" in plan
+    assert count_nodes(plan, "Exchange") == 1
+    assert "partial_count" in plan
+    assert count_nodes(plan, "Sort") == 0
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["tokenize", "remove_stopwords", "normalize_tokens", "clean_posts", "lexicon_hits", "categorize"],
+)
+def test_row_operators_do_not_shuffle(spark, sf_dir, name):
+    assert count_nodes(plan_of(registry.queries()[name](spark, sf_dir)), "Exchange") == 0
+
+
+def test_slice_filter_reaches_the_scan(documents):
+    plan = plan_of(op.topic_slice(documents, "lang", "en"))
+    assert "EqualTo(lang,en)" in plan
+
+
+def test_sentinel_filter_reaches_the_scan(spark, sf_dir):
+    plan = plan_of(registry.queries()["active_actors"](spark, sf_dir))
+    assert "Not(EqualTo(user_id,8))" in plan
+
+
+@pytest.mark.parametrize(
+    ("name", "schema"),
+    [
+        ("top_groups", "struct<lang:string,source:string>"),
+        ("active_actors", "struct<user_id:bigint>"),
+        ("phrase_trend", "struct<text:string,source:string>"),
+        ("word_count_topk", "struct<text:string>"),
+        ("lexicon_rate_by_group", "struct<text:string,source:string>"),
+        ("mention_crosstab", "struct<text:string,n_chars:bigint>"),
+        ("row_count", "struct<>"),
+    ],
+)
+def test_scans_read_only_the_columns_in_use(spark, sf_dir, name, schema):
+    assert f"ReadSchema: {schema}\n" in plan_of(registry.queries()[name](spark, sf_dir))
+
+
+def test_each_category_pattern_runs_once_per_row(documents):
+    plan = plan_of(op.categorize(documents, "text", ("A", "pat_a"), ("B", "pat_b")))
+    assert plan.count("pat_a") == plan.count("pat_b") == 1
+
+
+def test_long_term_lists_become_hash_sets(documents):
+    tokens = op.tokenize(documents, "text", out="t")
+    assert "INSET" in plan_of(op.remove_stopwords(tokens, "t"))
+    terms = [f"w{i}" for i in range(20)]
+    assert "INSET" in plan_of(op.lexicon_hits(tokens, terms, tokens="t"))
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_joined_lexicon_scans_posts_once_and_broadcasts_only_if_told(documents, broadcast):
+    tokens = op.tokenize(documents, "text", out="content_tokens")
+    lexicon = documents.sparkSession.range(5).select(F.col("id").cast("string").alias("term"))
+    for df in (
+        op.lexicon_hits_joined(tokens, lexicon, key="doc_id", broadcast=broadcast),
+        op.hit_rate_by_group_joined(
+            tokens, lexicon, group="source", min_rows=1, broadcast=broadcast
+        ),
+    ):
+        plan = plan_of(df)
+        assert count_nodes(plan, "Scan parquet") == 1
+        assert ("BroadcastHashJoin" in plan) is broadcast
+        assert ("SortMergeJoin" in plan) is not broadcast
+
+
+def test_rates_are_counted_before_the_join(documents):
+    tokens = op.tokenize(documents, "text", out="content_tokens")
+    lexicon = documents.sparkSession.range(5).select(F.col("id").cast("string").alias("term"))
+    tree = plan_of(
+        op.hit_rate_by_group_joined(tokens, lexicon, group="source", min_rows=1)
+    ).split("\n\n")[0]
+    assert tree.index("SortMergeJoin") < tree.index("Generate")
+    between = tree[tree.index("SortMergeJoin") : tree.index("Generate")]
+    assert between.count("HashAggregate") == 2
+
+
+def test_profiles_take_one_scan(documents):
+    for df in (op.describe_columns(documents), op.null_counts(documents)):
+        plan = plan_of(df)
+        assert count_nodes(plan, "Scan parquet") == 1
+        assert count_nodes(plan, "Exchange") == 1
