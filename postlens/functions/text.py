@@ -24,19 +24,32 @@ def english_stopwords() -> list[str]:
     return list(StopWordsRemover.loadDefaultStopWords("english"))
 
 
-def without_stopwords(tokens: Column, stopwords: Iterable[str]) -> Column:
-    """Drop tokens found in ``stopwords``, ignoring case.
+def without_stopwords(
+    tokens: Column, stopwords: Iterable[str], *, lowered: bool = False
+) -> Column:
+    """Drop tokens found in ``stopwords``, ignoring case. NULL tokens stay.
 
     ``isin`` over a long literal list becomes a hash set that is built once per
-    task, so the cost per token does not grow with the list. NULL tokens stay.
+    task, so the cost per token does not grow with the list. ``lowered`` says that
+    the tokens are in lower case already.
     """
     listed = sorted({word.lower() for word in stopwords})
-    return F.filter(tokens, lambda token: F.coalesce(~F.lower(token).isin(listed), F.lit(True)))
 
+    def keep(token: Column) -> Column:
+        word = token if lowered else F.lower(token)
+        return token.isNull() | ~word.isin(listed)
 
-def alnum_tokens(tokens: Column) -> Column:
+    return F.filter(tokens, keep)
+
+
+def alnum_tokens(tokens: Column, *, lowered: bool = False) -> Column:
     """Keep only ASCII letters and digits of every token, lower-cased; emptied tokens stay."""
-    return F.transform(tokens, lambda token: F.lower(F.regexp_replace(token, r"\P{Alnum}+", "")))
+
+    def clean(token: Column) -> Column:
+        kept = F.regexp_replace(token, r"\P{Alnum}+", "")
+        return kept if lowered else F.lower(kept)
+
+    return F.transform(tokens, clean)
 
 
 def distinct_hits(tokens: Column, terms: Iterable[str]) -> Column:

@@ -33,21 +33,36 @@ def tokenize(df: DataFrame, text: str, *, out: str = "content_tokens") -> DataFr
 
 
 def remove_stopwords(
-    df: DataFrame, tokens: str, *, out: str | None = None, stopwords: Iterable[str] | None = None
+    df: DataFrame,
+    tokens: str,
+    *,
+    out: str | None = None,
+    stopwords: Iterable[str] | None = None,
+    lowered: bool = False,
 ) -> DataFrame:
-    """Drop stopwords from a token column, ignoring case. Default: Spark's English list."""
+    """Drop stopwords from a token column, ignoring case. Default: Spark's English list.
+
+    ``lowered`` saves the case conversion of tokens that are in lower case already.
+    """
     listed = english_stopwords() if stopwords is None else stopwords
-    return df.withColumn(out or tokens, without_stopwords(F.col(tokens), listed))
+    kept = without_stopwords(F.col(tokens), listed, lowered=lowered)
+    return df.withColumn(out or tokens, kept)
 
 
 def normalize_tokens(
-    df: DataFrame, tokens: str, *, out: str | None = None, drop_empty: bool = False
+    df: DataFrame,
+    tokens: str,
+    *,
+    out: str | None = None,
+    drop_empty: bool = False,
+    lowered: bool = False,
 ) -> DataFrame:
     """Reduce tokens to lower-case ASCII letters and digits.
 
     Tokens without any stay as empty strings unless ``drop_empty`` is set.
+    ``lowered`` saves the case conversion of tokens that are in lower case already.
     """
-    cleaned = alnum_tokens(F.col(tokens))
+    cleaned = alnum_tokens(F.col(tokens), lowered=lowered)
     if drop_empty:
         cleaned = F.filter(cleaned, lambda token: token != "")
     return df.withColumn(out or tokens, cleaned)
@@ -69,6 +84,6 @@ def clean_posts(
         df.transform(drop_all_null)
         .transform(trim_strings)
         .transform(tokenize, text, out=out)
-        .transform(remove_stopwords, out, stopwords=stopwords)
-        .transform(normalize_tokens, out)
+        .transform(remove_stopwords, out, stopwords=stopwords, lowered=True)
+        .transform(normalize_tokens, out, lowered=True)
     )
