@@ -24,11 +24,19 @@ def lexicon_hits(
     return df.withColumn(out, distinct_hits(F.col(tokens), terms))
 
 
-def row_and_terms(tokens: str) -> Column:
-    """The different tokens of a row and one NULL, which stands for the row itself."""
+def explode_terms(df: DataFrame, tokens: str, carry: str) -> DataFrame:
+    """One row per different token, and one with a NULL token that stands for the row.
+
+    ``_scored`` tells whether the tokens are there. It is computed below the
+    explode, so that no exploded row drags the token array along.
+    """
     no_terms = F.array().cast("array<string>")
     terms = F.array_compact(F.array_distinct(F.coalesce(F.col(tokens), no_terms)))
-    return F.concat(F.array(F.lit(None).cast("string")), terms)
+    return df.select(
+        carry,
+        F.col(tokens).isNotNull().alias("_scored"),
+        F.concat(F.array(F.lit(None).cast("string")), terms).alias("_terms"),
+    ).select(carry, "_scored", F.explode("_terms").alias("_term"))
 
 
 def listed_terms(lexicon: DataFrame) -> DataFrame:
@@ -53,11 +61,7 @@ def lexicon_hits_joined(
     join keys, for which the lexicon is repeated, and the NULLs over all hash
     values, so no join task gets all rows of one token.
     """
-    exploded = df.select(
-        key,
-        F.col(tokens).isNotNull().alias("_scored"),
-        F.explode(row_and_terms(tokens)).alias("_term"),
-    )
+    exploded = explode_terms(df, tokens, key)
     is_row = F.col("_term").isNull()
     listed = listed_terms(lexicon)
     if broadcast:
@@ -109,28 +113,23 @@ def hit_rate_by_group_joined(
 ) -> DataFrame:
     """Like ``hit_rate_by_group`` for a longer lexicon, in one scan.
 
-    Every row yields its different tokens and a NULL that stands for the row. They
-    are counted per group and token before the join, so a frequent token reaches
-    it once per group and not once per row. Set ``broadcast`` only for a lexicon
-    of checked size.
+    Every row yields its different tokens and a NULL that stands for the row. Set
+    ``broadcast`` only for a lexicon of checked size; the join then runs inside
+    the scan stage. Otherwise the tokens are counted per group before the join, so
+    a frequent token reaches it once per group and not once per row.
     """
-    counted = (
-        df.select(
-            group,
-            F.col(tokens).isNotNull().alias("_scored"),
-            F.explode(row_and_terms(tokens)).alias("_term"),
-        )
-        .groupBy(group, "_scored", "_term")
-        .agg(F.count("*").alias("_n"))
-    )
+    exploded = explode_terms(df, tokens, group)
     listed = listed_terms(lexicon)
-    listed = F.broadcast(listed) if broadcast else listed.hint("merge")
+    if broadcast:
+        joined = exploded.withColumn("_n", F.lit(1)).join(F.broadcast(listed), "_term", "left")
+    else:
+        counted = exploded.groupBy(group, "_scored", "_term").agg(F.count("*").alias("_n"))
+        joined = counted.join(listed.hint("merge"), "_term", "left")
     is_row = F.col("_term").isNull()
     n_hits = F.coalesce(F.sum(F.when(F.col("_listed"), F.col("_n"))), F.lit(0))
     n_scored = F.sum(F.when(is_row & F.col("_scored"), F.col("_n")))
     return (
-        counted.join(listed, "_term", "left")
-        .groupBy(group)
+        joined.groupBy(group)
         .agg(
             F.try_divide(n_hits, n_scored).alias(rate),
             F.sum(F.when(is_row, F.col("_n"))).alias(count),
