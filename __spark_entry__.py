@@ -173,7 +173,7 @@ def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.preview(documents(spark, sf_dir), 10, order_by="doc_id", truncate=20)
+    return op.preview(documents(spark, sf_dir), 10, order_by="doc_id")
 
 
 def drop_all_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -509,11 +509,8 @@ def oracle_sql() -> dict[str, str]:
         "sink_csv": """
             SELECT source, lang, count(*) AS "count" FROM documents GROUP BY source, lang""",
         "preview": """
-            SELECT doc_id,
-                   CASE WHEN length(text) > 20 THEN substr(text, 1, 17) || '...'
-                        ELSE text END AS text,
-                   lang, source, n_chars
-            FROM documents ORDER BY doc_id LIMIT 10""",
+            SELECT doc_id, text, lang, source, n_chars FROM documents
+            ORDER BY doc_id LIMIT 10""",
         "drop_all_null": """
             SELECT CASE WHEN lang <> 'en' THEN doc_id END AS doc_id,
                    CASE WHEN lang <> 'en' THEN md5(text) END AS text_md5,

@@ -1,15 +1,16 @@
-"""Command line of the three jobs, for spark-submit."""
+"""Command line of the jobs, for spark-submit."""
 
 from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from postlens import operators as op
 from postlens.plans import run_etl, run_lexicon_report, run_report_suite
-from postlens.presets import LexiconReport
-from postlens.sources import FORMATS, load_lexicon, read_parquet
+from postlens.presets import POST_SCHEMA, LexiconReport
+from postlens.sources import FORMATS, load_lexicon, read_csv, read_json, read_parquet
 
 
 def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
@@ -32,9 +33,28 @@ def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
     reports = jobs.add_parser("reports", help="activity, phrase, word and topic reports")
     reports.add_argument("--input", required=True, help="cleaned Parquet table")
     reports.add_argument("--output", required=True)
+
+    profile = jobs.add_parser("profile", help="row count, first rows, statistics, NULL counts")
+    profile.add_argument("--input", required=True)
+    profile.add_argument("--format", choices=FORMATS, default="parquet")
+    profile.add_argument("--rows", type=int, default=10)
     return parser.parse_args(arguments)
 
 
+def read_table(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    if fmt == "json":
+        return read_json(spark, path, POST_SCHEMA)
+    return read_csv(spark, path) if fmt == "csv" else read_parquet(spark, path)
+
+
+def show_profile(df: DataFrame, rows: int) -> None:
+    df.printSchema()
+    op.row_count(df).show()
+    op.preview(df, rows).show(rows, truncate=False)
+    op.describe_columns(df).show(len(df.columns))
+    op.null_counts(df).show()
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     args = parse(arguments)
     spark = SparkSession.builder.appName(f"postlens-{args.job}").getOrCreate()
@@ -44,5 +64,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         terms = load_lexicon(spark, args.lexicon, comment=args.comment)
         report = LexiconReport(min_rows=args.min_rows, k=args.k)
         run_lexicon_report(spark, read_parquet(spark, args.input), terms, args.output, report)
-    else:
+    elif args.job == "reports":
         run_report_suite(spark, read_parquet(spark, args.input), args.output)
+    else:
+        show_profile(read_table(spark, args.input, args.format), args.rows)

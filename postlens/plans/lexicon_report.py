@@ -30,13 +30,21 @@ Lexicon = DataFrame | Sequence[str]
 def list_or_table(
     posts: DataFrame, lexicon: Lexicon, limits: LexiconLimits
 ) -> tuple[list[str] | None, DataFrame | None]:
-    """The lexicon as a list if the plan should hold it, else as a DataFrame."""
+    """The lexicon as a list if the plan should hold it, else as a DataFrame.
+
+    A DataFrame is first written to the scratch folder, so that it is computed
+    once and the terms that are measured are the terms that are joined.
+    """
+    spark = posts.sparkSession
     if not isinstance(lexicon, DataFrame):
         if len(lexicon) <= limits.plan_terms:
             return list(lexicon), None
-        lexicon = posts.sparkSession.createDataFrame([(term,) for term in lexicon], "term string")
-    terms = terms_if_few(lexicon, limits)
-    return (None, lexicon) if terms is None else (terms, None)
+        lexicon = spark.createDataFrame([(term,) for term in lexicon], "term string")
+    folder = scratch_folder(spark)
+    write_table(lexicon.toDF("term").dropna().distinct(), folder)
+    stored = read_parquet(spark, folder)
+    terms = terms_if_few(stored, limits)
+    return (None, stored) if terms is None else (terms, None)
 
 
 def post_hits(

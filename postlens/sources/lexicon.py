@@ -43,17 +43,16 @@ def load_lexicon(
     return terms.distinct() if distinct else terms
 
 
-def terms_if_few(lexicon: DataFrame, limits: LexiconLimits = LexiconLimits()) -> list[str] | None:
-    """The different terms as a list, or None if the plan should not hold them.
+def terms_if_few(terms: DataFrame, limits: LexiconLimits = LexiconLimits()) -> list[str] | None:
+    """The terms as a list, or None if the plan should not hold as many.
 
     Fetches at most one row more than the limit.
     """
-    rows = lexicon.dropna().distinct().limit(limits.plan_terms + 1).collect()
+    rows = terms.limit(limits.plan_terms + 1).collect()
     return None if len(rows) > limits.plan_terms else [row[0] for row in rows]
 
 
-def may_broadcast(lexicon: DataFrame, limits: LexiconLimits = LexiconLimits()) -> bool:
-    """Whether the measured size of the different terms is under the broadcast limit."""
-    terms = lexicon.toDF("term").distinct()
-    size = terms.agg(F.sum(F.octet_length("term") + F.lit(16))).first()[0]
+def may_broadcast(terms: DataFrame, limits: LexiconLimits = LexiconLimits()) -> bool:
+    """Whether the measured size of the terms is under the broadcast limit."""
+    size = terms.agg(F.sum(F.octet_length(terms.columns[0]) + F.lit(16))).first()[0]
     return (size or 0) <= limits.broadcast_bytes

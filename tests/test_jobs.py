@@ -183,6 +183,13 @@ def test_report_suite_equals_the_single_operators(spark, sf_dir, tmp_path):
         assert report(paths[name]) == [df.columns, *rows]
 
 
+def test_command_line_profile(spark, raw, capsys):
+    main(["profile", "--input", raw, "--format", "json", "--rows", "2"])
+    shown = capsys.readouterr().out
+    assert "|    9|" in shown  # eight posts and one unreadable line
+    assert "column_name" in shown
+
+
 def test_command_line(spark, raw, tmp_path):
     out = tmp_path
     lexicon = out / "lexicon.txt"

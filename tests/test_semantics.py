@@ -189,6 +189,21 @@ def test_joined_hits_equal_listed_hits(spark, broadcast):
     assert dict(joined.dtypes)["hits"] == "int"
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.none() | st.lists(st.sampled_from(["a", "b", "c", "", "d"]), max_size=6), max_size=40),
+    st.sets(st.sampled_from(["a", "b", "", "z"])),
+)
+def test_all_lexicon_forms_equal_python_sets(spark, posts, terms):
+    df = token_rows(spark, *[("g", tokens) for tokens in posts])
+    lexicon = spark.createDataFrame([(term,) for term in terms], "term string")
+    expected = [None if tokens is None else len(set(tokens) & terms) for tokens in posts]
+    assert column(op.lexicon_hits(df, terms), "hits") == expected
+    for broadcast in (True, False):
+        joined = op.lexicon_hits_joined(df, lexicon, key="id", broadcast=broadcast, salts=3)
+        assert column(joined, "hits") == expected
+
+
 def as_rates(df):
     return {row["grp"]: (row["avg_hits"], row["post_count"]) for row in df.collect()}
 

@@ -70,7 +70,6 @@ def test_lexicon_lines_are_stripped_and_blank_ones_dropped(spark, tmp_path):
 
 def test_lexicon_size_checks(spark):
     lexicon = spark.range(50).select(F.col("id").cast("string").alias("term"))
-    lexicon = lexicon.union(lexicon)
     assert len(src.terms_if_few(lexicon, src.LexiconLimits(plan_terms=50))) == 50
     assert src.terms_if_few(lexicon, src.LexiconLimits(plan_terms=49)) is None
     # 90 digits and 16 bytes per term
