@@ -30,12 +30,12 @@ def explode_terms(df: DataFrame, tokens: str, carry: str) -> DataFrame:
     ``_scored`` tells whether the tokens are there. It is computed below the
     explode, so that no exploded row drags the token array along.
     """
-    no_terms = F.array().cast("array<string>")
-    terms = F.array_compact(F.array_distinct(F.coalesce(F.col(tokens), no_terms)))
+    no_token = F.array(F.lit(None).cast("string"))
+    no_tokens = F.array().cast("array<string>")
     return df.select(
         carry,
         F.col(tokens).isNotNull().alias("_scored"),
-        F.concat(F.array(F.lit(None).cast("string")), terms).alias("_terms"),
+        F.array_union(no_token, F.coalesce(F.col(tokens), no_tokens)).alias("_terms"),
     ).select(carry, "_scored", F.explode("_terms").alias("_term"))
 
 
