@@ -336,8 +336,14 @@ def describe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    return op.null_counts(labelled)
+    masked = documents(spark, sf_dir).withColumns(
+        {
+            "text": F.when(F.col("lang") != "fr", F.col("text")),
+            "source": F.when(F.col("source") != "src1", F.col("source")),
+            "n_chars": F.when(F.col("n_chars") > 1000, F.col("n_chars")),
+        }
+    )
+    return op.null_counts(masked)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -599,9 +605,10 @@ def oracle_sql() -> dict[str, str]:
             ]
         ),
         "null_counts": """
-            SELECT count(*) - count(doc_id) AS doc_id, count(*) - count(text) AS text,
-                   count(*) - count(lang) AS lang, count(*) - count(source) AS source,
-                   count(*) - count(n_chars) AS n_chars, count(*) - count(quality) AS quality,
-                   count(*) - count(toxic) AS toxic
-            FROM documents LEFT JOIN labels USING (doc_id)""",
+            SELECT count(*) FILTER (doc_id IS NULL) AS doc_id,
+                   count(*) FILTER (lang = 'fr') AS text,
+                   count(*) FILTER (lang IS NULL) AS lang,
+                   count(*) FILTER (source = 'src1') AS source,
+                   count(*) FILTER (n_chars <= 1000) AS n_chars
+            FROM documents""",
     }

@@ -28,21 +28,34 @@ def explode_terms(df: DataFrame, tokens: str, carry: str) -> DataFrame:
     """One row per different token, and one with a NULL token that stands for the row.
 
     ``_scored`` tells whether the tokens are there. It is computed below the
-    explode, so that no exploded row drags the token array along.
+    explode, so that no exploded row drags the token array along. The exploded
+    array has no column of its own: Spark would filter on the column's size below
+    the projection and so build the array twice.
     """
     no_token = F.array(F.lit(None).cast("string"))
     no_tokens = F.array().cast("array<string>")
+    terms = F.array_union(no_token, F.coalesce(F.col("_tokens"), no_tokens))
     return df.select(
-        carry,
-        F.col(tokens).isNotNull().alias("_scored"),
-        F.array_union(no_token, F.coalesce(F.col(tokens), no_tokens)).alias("_terms"),
-    ).select(carry, "_scored", F.explode("_terms").alias("_term"))
+        carry, F.col(tokens).alias("_tokens"), F.col(tokens).isNotNull().alias("_scored")
+    ).select(carry, "_scored", F.explode(terms).alias("_term"))
 
 
 def listed_terms(lexicon: DataFrame) -> DataFrame:
     return lexicon.toDF("_term").distinct().withColumn("_listed", F.lit(True))
 
 
+def with_salt(exploded: DataFrame, key: str, salts: int) -> DataFrame:
+    """Spread the rows of one token over ``salts`` values, and the NULLs over all hashes."""
+    spread = F.pmod(F.hash(key), F.lit(salts))
+    return exploded.withColumn(
+        "_salt", F.when(F.col("_term").isNull(), F.hash(key)).otherwise(spread)
+    )
+
+
+def for_each_salt(listed: DataFrame, salts: int) -> DataFrame:
+    return listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
 def lexicon_hits_joined(
     df: DataFrame,
     lexicon: DataFrame,
@@ -58,22 +71,20 @@ def lexicon_hits_joined(
     ``key`` must be unique and not NULL. One scan: every row yields its different
     tokens and a NULL that keeps rows without hits. Set ``broadcast`` only for a
     lexicon of checked size. Otherwise a frequent token is spread over ``salts``
-    join keys, for which the lexicon is repeated, and the NULLs over all hash
-    values, so no join task gets all rows of one token.
+    join keys, for which the lexicon is repeated, so that no join task gets all
+    rows of one token.
     """
     exploded = explode_terms(df, tokens, key)
-    is_row = F.col("_term").isNull()
     listed = listed_terms(lexicon)
     if broadcast:
         joined = exploded.join(F.broadcast(listed), "_term", "left")
     else:
-        each_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        salt = F.when(is_row, F.hash(key)).otherwise(F.pmod(F.hash(key), F.lit(salts)))
-        joined = exploded.withColumn("_salt", salt).join(
-            listed.withColumn("_salt", each_salt).hint("merge"), ["_term", "_salt"], "left"
+        joined = with_salt(exploded, key, salts).join(
+            for_each_salt(listed, salts).hint("merge"), ["_term", "_salt"], "left"
         )
+    found = joined.filter(F.col("_term").isNull() | F.col("_listed"))
     hits = F.when(F.bool_or("_scored"), F.count("_listed").cast("int"))
-    return joined.filter(is_row | F.col("_listed")).groupBy(key).agg(hits.alias(out))
+    return found.groupBy(key).agg(hits.alias(out))
 
 
 def hit_rate_by_group(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Line-delimited JSON under a fixed schema; unreadable lines become all-NULL rows."""
     return spark.read.schema(schema).json(path)
 
@@ -15,7 +15,9 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> DataFrame:
     """CSV with a header row. Without a schema, types are inferred by one more pass."""
     if schema is not None:
         return spark.read.csv(path, schema=schema, header=True)

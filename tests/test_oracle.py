@@ -32,6 +32,15 @@ def rows_of(names, rows):
     return sorted(plain, key=repr)
 
 
+SPARK_TYPES = {
+    "BIGINT": "bigint",
+    "BOOLEAN": "boolean",
+    "DOUBLE": "double",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+}
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, scale, name):
     folder, connection = scale
@@ -40,7 +49,8 @@ def test_query_equals_oracle(spark, scale, name):
     cursor = connection.execute(ORACLE[name])
     columns = [column[0] for column in cursor.description]
     expected = rows_of(columns, cursor.fetchall())
-    assert sorted(df.columns) == sorted(columns)
+    described = connection.execute(f"DESCRIBE {ORACLE[name]}").fetchall()
+    assert dict(df.dtypes) == {row[0]: SPARK_TYPES[row[1]] for row in described}
     assert len(result) == len(expected)
     assert result == expected
     if "sf0.01" in folder and not folder.endswith("sf0.001"):

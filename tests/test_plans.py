@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from postlens import operators as op
+from postlens.operators.lexicon import explode_terms, with_salt
 
 
 def plan_of(df) -> str:
@@ -117,6 +118,27 @@ def test_joined_lexicon_scans_posts_once_and_broadcasts_only_if_told(documents,
         assert ("SortMergeJoin" in plan) is not broadcast
 
 
+def test_salts_spread_a_hot_token_and_the_row_marks(spark):
+    posts = spark.range(8000).select(
+        F.col("id").alias("key"), F.array(F.lit("hot"), F.col("id").cast("string")).alias("tokens")
+    )
+    salted = with_salt(explode_terms(posts, "tokens", "key"), "key", 32)
+    largest = salted.groupBy("_term", "_salt").count().groupBy("_term").agg(F.max("count"))
+    sizes = dict(map(tuple, largest.filter("_term IS NULL OR _term = 'hot'").collect()))
+    assert sizes["hot"] < 2 * 8000 / 32
+    assert sizes[None] == 1
+
+
+def test_exploded_rows_do_not_carry_or_rebuild_the_token_array(documents):
+    tokens = op.tokenize(documents, "text", out="content_tokens")
+    plan = plan_of(explode_terms(tokens, "content_tokens", "doc_id"))
+    assert "[doc_id" in plan and plan.count("split(") == 1
+    generate = plan.split(") Generate ")[1].split("\n\n")[0]
+    arguments = generate.split("Arguments: ")[1]
+    assert "tokens" not in arguments.split("], [")[-1]
+    assert "Filter" not in plan
+
+
 def test_rates_are_counted_before_the_join(documents):
     tokens = op.tokenize(documents, "text", out="content_tokens")
     lexicon = documents.sparkSession.range(5).select(F.col("id").cast("string").alias("term"))
@@ -128,6 +150,22 @@ def test_rates_are_counted_before_the_join(documents):
     assert between.count("HashAggregate") == 2
 
 
+def test_null_counts_come_from_footers_where_aggregates_are_pushed(spark, sf_dir):
+    settings = {
+        "spark.sql.sources.useV1SourceList": "",
+        "spark.sql.parquet.aggregatePushdown": "true",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        assert "PushedAggregation: [COUNT(*), COUNT(doc_id)" in plan_of(op.null_counts(documents))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_profiles_take_one_scan(documents):
     for df in (op.describe_columns(documents), op.null_counts(documents)):
         plan = plan_of(df)
