@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+
 def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Line-delimited JSON under a fixed schema; unreadable lines become all-NULL rows."""
     return spark.read.schema(schema).json(path)
