@@ -38,7 +38,7 @@ def test_empty_rows_are_dropped_before_trimming(spark):
 
 @pytest.mark.parametrize(
     ("raw", "expected"),
-    [("  a b  ", "a b"), ("\t a \n", "\t a \n"), (" a ", " a"), (None, None)],
+    [("  a b  ", "a b"), ("\t a \n", "\t a \n"), ("\u00a0a ", "\u00a0a"), (None, None)],
 )
 def test_trim_removes_spaces_only(spark, raw, expected):
     assert column(op.trim_strings(texts(spark, raw)), "text") == [expected]
@@ -58,7 +58,7 @@ def test_trim_takes_string_columns_only_and_keeps_their_order(spark):
         ("", [""]),
         (None, None),
         ("one", ["one"]),
-        ("a b", ["a b"]),
+        ("a\u00a0b", ["a\u00a0b"]),
     ],
 )
 def test_tokenize(spark, raw, expected):
@@ -127,7 +127,7 @@ def cleaned_by_hand(text, stopwords):
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
-        st.text(alphabet="aThe it'sX9_-., \t\n\x0b é’", max_size=40),
+        st.text(alphabet="aThe it'sX9_-., \t\n\x0b\u00a0é\u2019", max_size=40),
         min_size=1,
         max_size=60,
     )
@@ -261,7 +261,7 @@ def test_phrases_match_inside_words_and_ignore_null(spark):
 
 
 def test_words_split_on_non_ascii_letters_and_keep_long_ones(spark):
-    df = texts(spark, "Wörlds apple's APPLE apples2apples abcd", None, "", "12345 Kelvin")
+    df = texts(spark, "Wörlds apple's APPLE apples2apples abcd", None, "", "12345 \u212aelvin")
     result = {row["word"]: row["count"] for row in op.top_words(df, "text").collect()}
     assert result == {"apple": 2, "apples": 2, "kelvin": 1}
 
@@ -292,6 +292,23 @@ def topic_rows(spark):
     )
 
 
+def test_mean_outside_the_integer_range_is_an_error(spark):
+    df = spark.createDataFrame([("x", 2**40)], "text string, n bigint")
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        op.mention_crosstab(df, "text", "n", FLAGS).collect()
+
+
+def test_one_row_may_match_both_flags_and_regexes_are_the_callers(spark):
+    df = texts(spark, "nerf and buffs", "NERFS", "unnerfed")
+    flags = {"a": r"(?i)\bnerf\b|\bnerfs\b", "b": r"(?i)\bbuff\b|\bbuffs\b"}
+    rows = op.mention_crosstab(df.withColumn("n", F.lit(1)), "text", "n", flags).collect()
+    assert [tuple(row)[:3] for row in rows] == [
+        (False, False, 1),
+        (True, False, 1),
+        (True, True, 1),
+    ]
+
+
 def test_slice_excludes_null_groups(spark):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "g string")
     assert op.topic_slice(df, "g", "a").collect() == [Row(g="a")]

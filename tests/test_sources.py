@@ -60,7 +60,7 @@ def test_csv_scan_infers_or_takes_a_schema(spark, tmp_path):
 
 def test_lexicon_lines_are_stripped_and_blank_ones_dropped(spark, tmp_path):
     path = write_lines(
-        tmp_path, "# comment", "  word ", "", "\t ", "two words", "Hy-phen", "word", "　x\x1f"
+        tmp_path, "# comment", "  word ", "", "\t\u00a0", "two words", "Hy-phen", "word", "\u3000x\x1f"
     )
     plain = [row[0] for row in src.load_lexicon(spark, path).collect()]
     assert plain == ["# comment", "word", "two words", "Hy-phen", "word", "x"]
