@@ -36,8 +36,9 @@ CATEGORY_A = ("A", r"(?i)\b(thatin|inoran)\b")
 CATEGORY_B = ("B", r"(?i)\b(ononst|rewh)\b")
 DOCUMENT_SCHEMA = "doc_id bigint, lang string, source string, n_chars bigint, text string"
 
-# No term goes into the plan as a list, so that the queries on a lexicon table join it.
-TABLE_LIMITS = LexiconLimits(plan_terms=0)
+# Limits that make the queries on a lexicon table join it, by broadcast or by merge.
+BROADCAST_LIMITS = LexiconLimits(plan_terms=0)
+MERGE_LIMITS = LexiconLimits(plan_terms=0, broadcast_bytes=0, frequent_terms=1000)
 LEXICON_REPORT = LexiconReport(min_rows=20, k=5)
 REPORT_SUITE = ReportSuite(
     deleted_actor="en-src1",
@@ -226,13 +227,17 @@ def lexicon_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "hits")
 
 
+def hits_by_table(spark: SparkSession, sf_dir: str, limits: LexiconLimits) -> DataFrame:
+    cleaned = cleaned_documents(spark, sf_dir, "doc_id")
+    return post_hits(cleaned, benchmark_terms(spark, sf_dir), key="doc_id", limits=limits)
+
+
 def lexicon_hits_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return post_hits(
-        cleaned_documents(spark, sf_dir, "doc_id"),
-        benchmark_terms(spark, sf_dir),
-        key="doc_id",
-        limits=TABLE_LIMITS,
-    )
+    return hits_by_table(spark, sf_dir, BROADCAST_LIMITS)
+
+
+def lexicon_hits_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hits_by_table(spark, sf_dir, MERGE_LIMITS)
 
 
 def lexicon_rate_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,15 +246,23 @@ def lexicon_rate_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lexicon_rate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rate_by_table(spark: SparkSession, sf_dir: str, limits: LexiconLimits) -> DataFrame:
     return group_rates(
         cleaned_documents(spark, sf_dir, "lang"),
         benchmark_terms(spark, sf_dir),
         LexiconReport(group="lang", min_rows=20, rate_name="avg_hits"),
-        limits=TABLE_LIMITS,
+        limits=limits,
     )
 
 
+def lexicon_rate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rate_by_table(spark, sf_dir, BROADCAST_LIMITS)
+
+
+def lexicon_rate_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rate_by_table(spark, sf_dir, MERGE_LIMITS)
+
+
 def most_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.rank_by_rate(lexicon_rate_by_group(spark, sf_dir), group="source")
 
@@ -373,8 +386,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "etl_roundtrip": etl_roundtrip,
         "lexicon_hits": lexicon_hits,
         "lexicon_hits_table": lexicon_hits_table,
+        "lexicon_hits_merge": lexicon_hits_merge,
         "lexicon_rate_by_group": lexicon_rate_by_group,
         "lexicon_rate_table": lexicon_rate_table,
+        "lexicon_rate_merge": lexicon_rate_merge,
         "most_lexicon": most_lexicon,
         "least_lexicon": least_lexicon,
         "lexicon_report": lexicon_report,
@@ -459,6 +474,9 @@ def oracle_sql() -> dict[str, str]:
         FROM documents
         LEFT JOIN (SELECT doc_id, count(*) AS n FROM ({term_pairs}) GROUP BY doc_id)
         USING (doc_id)"""
+    table_rates = f"""
+        SELECT lang, avg(hits) AS avg_hits, count(*) AS post_count
+        FROM ({table_hits}) GROUP BY lang HAVING count(*) > 20"""
     report_rates = f"""
         SELECT lang AS subreddit, avg(hits) AS avg_swear_words_per_post,
                count(*) AS post_count
@@ -544,10 +562,10 @@ def oracle_sql() -> dict[str, str]:
         "lexicon_hits": f"""
             SELECT doc_id, cast(hits AS integer) AS hits FROM ({hits} FROM documents)""",
         "lexicon_hits_table": f"SELECT doc_id, hits FROM ({table_hits})",
+        "lexicon_hits_merge": f"SELECT doc_id, hits FROM ({table_hits})",
         "lexicon_rate_by_group": rates,
-        "lexicon_rate_table": f"""
-            SELECT lang, avg(hits) AS avg_hits, count(*) AS post_count
-            FROM ({table_hits}) GROUP BY lang HAVING count(*) > 20""",
+        "lexicon_rate_table": table_rates,
+        "lexicon_rate_merge": table_rates,
         "most_lexicon": f"{rates} ORDER BY avg_hits DESC, source LIMIT 10",
         "least_lexicon": f"{rates} ORDER BY avg_hits, source LIMIT 10",
         "lexicon_report": f"""

@@ -7,6 +7,7 @@ from postlens.operators.cleaning import (
     trim_strings,
 )
 from postlens.operators.lexicon import (
+    frequent_terms,
     hit_rate_by_group,
     hit_rate_by_group_joined,
     lexicon_hits,
@@ -33,6 +34,7 @@ __all__ = [
     "clean_posts",
     "describe_columns",
     "drop_all_null",
+    "frequent_terms",
     "hit_rate_by_group",
     "hit_rate_by_group_joined",
     "lexicon_hits",

@@ -2,15 +2,15 @@
 
 A lexicon is a list of terms or, when it is too long for the plan, a one-column
 DataFrame. A list is matched inside the scan stage. A DataFrame is joined:
-broadcast where the caller has checked its size, else by a merge join, never by
-Spark's own estimate of its size.
+broadcast where the caller has checked its size, else by a merge join to which
+only the rarer tokens go. Spark's own estimate of its size never decides.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions import distinct_hits
@@ -24,67 +24,81 @@ def lexicon_hits(
     return df.withColumn(out, distinct_hits(F.col(tokens), terms))
 
 
-def explode_terms(df: DataFrame, tokens: str, carry: str) -> DataFrame:
+def explode_terms(
+    df: DataFrame, tokens: str, carry: str, frequent: Mapping[str, bool] | None = None
+) -> DataFrame:
     """One row per different token, and one with a NULL token that stands for the row.
 
-    ``_scored`` tells whether the tokens are there. It is computed below the
-    explode, so that no exploded row drags the token array along. The exploded
-    array has no column of its own: Spark would filter on the column's size below
-    the projection and so build the array twice.
+    ``frequent`` tells for some tokens whether the lexicon lists them. They are not
+    exploded; ``_known`` has the number of listed ones, NULL for NULL tokens. It is
+    computed below the explode, so that no exploded row drags the token array
+    along. The exploded array has no column of its own: Spark would filter on the
+    column's size below the projection and so build the array twice.
     """
-    no_token = F.array(F.lit(None).cast("string"))
-    no_tokens = F.array().cast("array<string>")
-    terms = F.array_union(no_token, F.coalesce(F.col("_tokens"), no_tokens))
-    return df.select(
-        carry, F.col(tokens).alias("_tokens"), F.col(tokens).isNotNull().alias("_scored")
-    ).select(carry, "_scored", F.explode(terms).alias("_term"))
+    column = F.col("_tokens")
+    known = F.when(column.isNotNull(), F.lit(0))
+    terms = F.coalesce(column, F.array().cast("array<string>"))
+    if frequent:
+        known = distinct_hits(column, [term for term, listed in frequent.items() if listed])
+        terms = F.filter(terms, lambda term: ~term.isin(sorted(frequent)))
+    row_and_terms = F.array_union(F.array(F.lit(None).cast("string")), terms)
+    return (
+        df.select(carry, F.col(tokens).alias("_tokens"))
+        .select(carry, "_tokens", known.alias("_known"))
+        .select(carry, "_known", F.explode(row_and_terms).alias("_term"))
+    )
 
 
 def listed_terms(lexicon: DataFrame) -> DataFrame:
     return lexicon.toDF("_term").distinct().withColumn("_listed", F.lit(True))
 
 
-def with_salt(exploded: DataFrame, key: str, salts: int) -> DataFrame:
-    """Spread the rows of one token over ``salts`` values, and the NULLs over all hashes."""
-    spread = F.pmod(F.hash(key), F.lit(salts))
-    return exploded.withColumn(
-        "_salt", F.when(F.col("_term").isNull(), F.hash(key)).otherwise(spread)
+def frequent_terms(
+    df: DataFrame, lexicon: DataFrame, k: int, *, tokens: str = "content_tokens"
+) -> DataFrame:
+    """The k tokens that most rows have, and whether the lexicon lists them."""
+    exploded = df.select(F.explode(F.array_distinct(tokens)).alias("_term"))
+    counted = exploded.groupBy("_term").agg(F.count("*").alias("_n")).dropna()
+    return (
+        top_k(counted, "_n", "_term", k=k)
+        .join(listed_terms(lexicon).hint("merge"), "_term", "left")
+        .select(F.col("_term").alias("term"), F.col("_listed").isNotNull().alias("listed"))
     )
 
 
-def for_each_salt(listed: DataFrame, salts: int) -> DataFrame:
-    return listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-
-
 def lexicon_hits_joined(
     df: DataFrame,
     lexicon: DataFrame,
     *,
     key: str,
     broadcast: bool = False,
+    frequent: Mapping[str, bool] | None = None,
     tokens: str = "content_tokens",
     out: str = "hits",
-    salts: int = 32,
 ) -> DataFrame:
     """Like ``lexicon_hits`` for a longer lexicon; returns ``key`` and the hits.
 
     ``key`` must be unique and not NULL. One scan: every row yields its different
     tokens and a NULL that keeps rows without hits. Set ``broadcast`` only for a
-    lexicon of checked size. Otherwise a frequent token is spread over ``salts``
-    join keys, for which the lexicon is repeated, so that no join task gets all
-    rows of one token.
+    lexicon of checked size. Otherwise pass the most ``frequent`` tokens: they are
+    settled in the scan stage, which leaves no hot join key and a small part of
+    the rows to shuffle. The NULLs match nothing; the second join key, a hash of the
+    row's key, spreads them over all partitions.
     """
-    exploded = explode_terms(df, tokens, key)
+    exploded = explode_terms(df, tokens, key, frequent)
     listed = listed_terms(lexicon)
+    is_row = F.col("_term").isNull()
     if broadcast:
         joined = exploded.join(F.broadcast(listed), "_term", "left")
     else:
-        joined = with_salt(exploded, key, salts).join(
-            for_each_salt(listed, salts).hint("merge"), ["_term", "_salt"], "left"
+        spread = F.when(is_row, F.hash(key)).otherwise(F.hash("_term"))
+        joined = exploded.withColumn("_spread", spread).join(
+            listed.withColumn("_spread", F.hash("_term")).hint("merge"),
+            ["_term", "_spread"],
+            "left",
         )
-    found = joined.filter(F.col("_term").isNull() | F.col("_listed"))
-    hits = F.when(F.bool_or("_scored"), F.count("_listed").cast("int"))
-    return found.groupBy(key).agg(hits.alias(out))
+    hits = (F.max("_known") + F.count("_listed")).cast("int")
+    return joined.filter(is_row | F.col("_listed")).groupBy(key).agg(hits.alias(out))
 
 
 def hit_rate_by_group(
@@ -131,18 +145,21 @@ def hit_rate_by_group_joined(
     """
     exploded = explode_terms(df, tokens, group)
     listed = listed_terms(lexicon)
+    is_row = F.col("_term").isNull()
+    scored_row = is_row & F.col("_known").isNotNull()
     if broadcast:
-        joined = exploded.withColumn("_n", F.lit(1)).join(F.broadcast(listed), "_term", "left")
+        each = exploded.withColumns({"_n": F.lit(1), "_scored": scored_row.cast("int")})
+        joined = each.join(F.broadcast(listed), "_term", "left")
     else:
-        counted = exploded.groupBy(group, "_scored", "_term").agg(F.count("*").alias("_n"))
+        counted = exploded.groupBy(group, "_term").agg(
+            F.count("*").alias("_n"), F.count_if(scored_row).alias("_scored")
+        )
         joined = counted.join(listed.hint("merge"), "_term", "left")
-    is_row = F.col("_term").isNull()
     n_hits = F.coalesce(F.sum(F.when(F.col("_listed"), F.col("_n"))), F.lit(0))
-    n_scored = F.sum(F.when(is_row & F.col("_scored"), F.col("_n")))
     return (
         joined.groupBy(group)
         .agg(
-            F.try_divide(n_hits, n_scored).alias(rate),
+            F.try_divide(n_hits, F.sum("_scored")).alias(rate),
             F.sum(F.when(is_row, F.col("_n"))).alias(count),
         )
         .filter(F.col(count) > min_rows)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from postlens.operators import (
+    frequent_terms,
     hit_rate_by_group,
     hit_rate_by_group_joined,
     lexicon_hits,
@@ -56,13 +57,19 @@ def post_hits(
     out: str = "hits",
     limits: LexiconLimits = LexiconLimits(),
 ) -> DataFrame:
-    """Key and hits of every post, matched as the measured size of the lexicon allows."""
+    """Key and hits of every post, matched as the measured size of the lexicon allows.
+
+    Where the lexicon is merge-joined, one more scan finds the most frequent tokens;
+    the driver gets as many as the limit says.
+    """
     terms, table = list_or_table(posts, lexicon, limits)
     if terms is not None:
         return lexicon_hits(posts, terms, tokens=tokens, out=out).select(key, out)
-    return lexicon_hits_joined(
-        posts, table, key=key, broadcast=may_broadcast(table, limits), tokens=tokens, out=out
-    )
+    if may_broadcast(table, limits):
+        return lexicon_hits_joined(posts, table, key=key, broadcast=True, tokens=tokens, out=out)
+    rows = frequent_terms(posts, table, limits.frequent_terms, tokens=tokens).collect()
+    frequent = {row["term"]: row["listed"] for row in rows}
+    return lexicon_hits_joined(posts, table, key=key, frequent=frequent, tokens=tokens, out=out)
 
 
 def group_rates(

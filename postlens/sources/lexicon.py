@@ -12,12 +12,17 @@ from postlens.functions import strip_whitespace
 
 @dataclass(frozen=True)
 class LexiconLimits:
-    """Up to ``plan_terms`` a lexicon is a list in the plan, up to ``broadcast_bytes`` it
-    is broadcast (text bytes; the hash table takes a few times as much), beyond it is
-    merge-joined."""
+    """Sizes that decide how a lexicon is matched.
+
+    Up to ``plan_terms`` it is a list in the plan. Up to ``broadcast_bytes`` of text
+    it is broadcast; the hash table takes a few times as much. Beyond, it is
+    merge-joined; the per-post form first settles the ``frequent_terms`` most
+    frequent tokens without a join.
+    """
 
     plan_terms: int = 10_000
     broadcast_bytes: int = 32 * 1024 * 1024
+    frequent_terms: int = 10_000
 
 
 def load_lexicon(

@@ -103,6 +103,8 @@ def test_lexicon_report_on_small_groups_is_empty(spark, cleaned, tmp_path):
         LexiconLimits(),
         LexiconLimits(plan_terms=1),
         LexiconLimits(plan_terms=1, broadcast_bytes=1),
+        LexiconLimits(plan_terms=1, broadcast_bytes=1, frequent_terms=2),
+        LexiconLimits(plan_terms=1, broadcast_bytes=1, frequent_terms=0),
     ],
 )
 @pytest.mark.parametrize("as_table", [True, False])

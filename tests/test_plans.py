@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from postlens import operators as op
-from postlens.operators.lexicon import explode_terms, with_salt
+from postlens.operators.lexicon import explode_terms
 
 
 def plan_of(df) -> str:
@@ -118,24 +119,37 @@ def test_joined_lexicon_scans_posts_once_and_broadcasts_only_if_told(documents,
         assert ("SortMergeJoin" in plan) is not broadcast
 
 
-def test_salts_spread_a_hot_token_and_the_row_marks(spark):
-    posts = spark.range(8000).select(
-        F.col("id").alias("key"), F.array(F.lit("hot"), F.col("id").cast("string")).alias("tokens")
+def test_frequent_tokens_do_not_reach_the_join(spark):
+    posts = spark.range(1000).select(
+        F.col("id").alias("key"),
+        F.array(F.lit("hot"), F.lit("cool"), F.col("id").cast("string")).alias("content_tokens"),
     )
-    salted = with_salt(explode_terms(posts, "tokens", "key"), "key", 32)
-    largest = salted.groupBy("_term", "_salt").count().groupBy("_term").agg(F.max("count"))
-    sizes = dict(map(tuple, largest.filter("_term IS NULL OR _term = 'hot'").collect()))
-    assert sizes["hot"] < 2 * 8000 / 32
-    assert sizes[None] == 1
+    lexicon = spark.createDataFrame([("hot",), ("7",), ("x",)], "term string")
+    rows = op.frequent_terms(posts, lexicon, 2).collect()
+    frequent = {row["term"]: row["listed"] for row in rows}
+    assert frequent == {"hot": True, "cool": False}
+    exploded = explode_terms(posts, "content_tokens", "key", frequent)
+    largest = exploded.dropna(subset="_term").groupBy("_term").count().agg(F.max("count"))
+    assert largest.first()[0] == 1
+    hits = op.lexicon_hits_joined(posts, lexicon, key="key", frequent=frequent)
+    assert hits.groupBy("hits").count().orderBy("hits").collect() == [(1, 999), (2, 1)]
+
+
+def test_row_marks_spread_over_the_join_partitions(documents):
+    tokens = op.tokenize(documents, "text", out="content_tokens")
+    lexicon = documents.sparkSession.range(5).select(F.col("id").cast("string").alias("term"))
+    plan = plan_of(op.lexicon_hits_joined(tokens, lexicon, key="doc_id"))
+    assert re.search(r"hashpartitioning\(_term#\d+, _spread#\d+", plan)
+    assert re.search(r"CASE WHEN isnull\(_term#\d+\) THEN hash\(doc_id", plan)
 
 
 def test_exploded_rows_do_not_carry_or_rebuild_the_token_array(documents):
     tokens = op.tokenize(documents, "text", out="content_tokens")
-    plan = plan_of(explode_terms(tokens, "content_tokens", "doc_id"))
+    plan = plan_of(explode_terms(tokens, "content_tokens", "doc_id", {"a": True, "b": False}))
     assert "[doc_id" in plan and plan.count("split(") == 1
-    generate = plan.split(") Generate ")[1].split("\n\n")[0]
+    generate = re.split(r"\n\(\d+\) Generate", plan)[1].split("\n\n")[0]
     carried = generate.split("Arguments: ")[1].split("), [")[1].split("]")[0]
-    assert "_scored" in carried and "tokens" not in carried
+    assert "_known" in carried and "tokens" not in carried
     assert count_nodes(plan, "Filter") == 0
 
 

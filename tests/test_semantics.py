@@ -180,11 +180,22 @@ def test_hits_of_null_tokens_are_null_in_both_ansi_modes(spark, ansi):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_joined_hits_equal_listed_hits(spark, broadcast):
+JOIN_FORMS = {
+    "broadcast": {"broadcast": True},
+    "merge": {},
+    "merge, some frequent": {"frequent": {"a": True, "b": False, "": True}},
+    "merge, all frequent": {
+        "frequent": {"a": True, "b": False, "": True, "c": True, "q": False}
+    },
+    "merge, unlisted frequent": {"frequent": {"q": False}},
+}
+
+
+@pytest.mark.parametrize("form", list(JOIN_FORMS))
+def test_joined_hits_equal_listed_hits(spark, form):
     lexicon = spark.createDataFrame([("a",), ("",), ("c",), ("c",), (None,)], "word string")
     df = token_rows(spark, *TOKEN_ROWS)
-    joined = op.lexicon_hits_joined(df, lexicon, key="id", broadcast=broadcast)
+    joined = op.lexicon_hits_joined(df, lexicon, key="id", **JOIN_FORMS[form])
     assert column(joined, "hits") == HITS
     assert dict(joined.dtypes)["hits"] == "int"
 
@@ -199,8 +210,9 @@ def test_all_lexicon_forms_equal_python_sets(spark, posts, terms):
     lexicon = spark.createDataFrame([(term,) for term in terms], "term string")
     expected = [None if tokens is None else len(set(tokens) & terms) for tokens in posts]
     assert column(op.lexicon_hits(df, terms), "hits") == expected
-    for broadcast in (True, False):
-        joined = op.lexicon_hits_joined(df, lexicon, key="id", broadcast=broadcast, salts=3)
+    frequent = {term: term in terms for term in "ab"}
+    for form in ({"broadcast": True}, {}, {"frequent": frequent}):
+        joined = op.lexicon_hits_joined(df, lexicon, key="id", **form)
         assert column(joined, "hits") == expected
 
 
@@ -217,7 +229,7 @@ def test_rates_count_unscored_rows_but_do_not_average_them(spark, form):
             rates = op.hit_rate_by_group(df, ["a", "", "c"], group="grp", min_rows=min_rows)
         else:
             rates = op.hit_rate_by_group_joined(
-                df, lexicon, group="grp", min_rows=min_rows, broadcast=form == "broadcast"
+                df, lexicon, group="grp", min_rows=min_rows, **JOIN_FORMS[form]
             )
         expected = {g: v for g, v in RATES.items() if v[1] > min_rows}
         assert as_rates(rates) == expected
