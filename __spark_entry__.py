@@ -28,6 +28,15 @@ from postlens.sources import (
     write_table,
 )
 
+try:
+    import corpus_pipeline
+    from postlens.llm import queries as llm
+except ModuleNotFoundError as missing:
+    # The subpackage and its pipeline may be absent; anything else that fails must show.
+    if missing.name not in ("corpus_pipeline", "postlens.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 # The test texts are invented words, so the queries use terms that occur in them.
 LEXICON = ["thatin", "ononst", "inoran", "tion", "rewh", "orre", "dans", "elle"]
 PHRASE = "(?i)(need help|of the|in the)"
@@ -368,6 +377,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every operator; each callable takes (spark, sf_dir)."""
+    more = {} if llm is None else {**llm.queries(), "pipeline": corpus_pipeline.run}
     return {
         "scan_json": scan_json,
         "scan_parquet": scan_parquet,
@@ -405,6 +415,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "row_count": row_count,
         "describe_columns": describe_columns,
         "null_counts": null_counts,
+        **more,
     }
 
 
@@ -509,6 +520,9 @@ def oracle_sql() -> dict[str, str]:
                cast({low} AS double) AS min_number, cast({high} AS double) AS max_number
         FROM events"""
 
+    more = {} if llm is None else llm.oracle_sql()
+    if llm is not None and corpus_pipeline.ORACLE_SQL is not None:
+        more["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {
         "scan_json": """
             SELECT CASE WHEN lang <> 'es' THEN doc_id END AS doc_id,
@@ -629,4 +643,5 @@ def oracle_sql() -> dict[str, str]:
                    count(*) FILTER (source = 'src1') AS source,
                    count(*) FILTER (n_chars <= 1000) AS n_chars
             FROM documents""",
+        **more,
     }
