@@ -4,21 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from postlens.llm.byte_bpe import byte_bpe_round_trip
 from postlens.llm.simhash import simhash_near_duplicates
+from postlens.llm.token_files import token_file_round_trip
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe_round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return token_file_round_trip(documents(spark, sf_dir), tokenizer, end_id=2)
+
+
 def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_duplicates(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_simhash_near_dedup": simhash}
+    return {
+        "op6_byte_bpe": byte_bpe,
+        "op7_simhash_near_dedup": simhash,
+        "op8_token_files": token_files,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
