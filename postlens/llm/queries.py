@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from postlens.llm.byte_bpe import byte_bpe_round_trip
+from postlens.llm.common import shared_folder
+from postlens.llm.sharding import read_shards, shard_digest, write_shards
 from postlens.llm.simhash import simhash_near_duplicates
 from postlens.llm.token_files import token_file_round_trip
 
@@ -16,6 +18,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    path = shared_folder(spark, "shards")
+    write_shards(docs, path, shards=40)
+    return shard_digest(read_shards(spark, path, docs.schema))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe_round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -32,6 +41,7 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_sharding": sharding,
         "op6_byte_bpe": byte_bpe,
         "op7_simhash_near_dedup": simhash,
         "op8_token_files": token_files,

@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import itertools
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from postlens.llm import queries, sharding
+from postlens.llm.common import shared_folder
+from tests.conftest import TESTDATA
+
+SCHEMA = "doc_id bigint, text string, shard string, slot int, record int"
+
+
+def sharded(spark, docs, shards=7, **options):
+    path = shared_folder(spark, "test-shards")
+    sharding.write_shards(docs, path, shards, **options)
+    return sharding.read_shards(spark, path, docs.schema)
+
+
+def check_law(rows, shards):
+    slots = {}
+    for row in rows:
+        slots.setdefault(row["shard"], []).append(row["slot"])
+    counts = [len(slots.get(s, [])) for s in range(shards)]
+    assert sum(counts) == len(rows) and max(counts) - min(counts) <= 1
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_every_order_is_as_likely():
+    rng = np.random.default_rng(3)
+    seen = Counter(tuple(sharding.fisher_yates(4, rng)) for _ in range(24_000))
+    assert set(seen) == set(itertools.permutations(range(4)))
+    assert all(850 < n < 1150 for n in seen.values())
+
+
+def test_query_holds_all_rows_once(spark):
+    folder = str(TESTDATA / "sf0.01")
+    rows = queries.sharding(spark, folder).collect()
+    texts = {r["doc_id"]: r["text"].encode() for r in queries.documents(spark, folder).collect()}
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        body = texts[r["doc_id"]]
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(body) + 16, zlib.crc32(body), "rows", None)
+    check_law(rows, 40)
+    # A shuffled sequence: neither shard nor slot follows the id.
+    ids, places = zip(*((r["doc_id"], r["shard"] * 1e6 + r["slot"]) for r in rows))
+    assert abs(np.corrcoef(ids, places)[0, 1]) < 0.15
+
+
+@pytest.mark.parametrize("bucket_bytes", [300, 5000, 1 << 20])
+def test_odd_rows(spark, bucket_bytes):
+    rows = [(1, None), (None, "x"), (None, None), (2, ""), (3, "é" * 2000)] + [(4, "copy")] * 200
+    rows += [(i, f"text {i}") for i in range(5, 60)]
+    docs = spark.createDataFrame([(*r, "s", 1, 2) for r in rows], SCHEMA).repartition(3)
+    docs = spark.read.parquet(_written(spark, docs))
+    placed = sharded(spark, docs, bucket_bytes=bucket_bytes)
+    got = placed.collect()
+    assert Counter((r["record"]["doc_id"], r["record"]["text"]) for r in got) == Counter(rows)
+    check_law(got, 7)
+    digest = {(r["doc_id"], r["size"], r["text_crc32"]) for r in sharding.shard_digest(placed).collect()}
+    assert {(1, 16, 0), (2, 16, 0), (None, 17, zlib.crc32(b"x"))} <= digest
+
+
+def _written(spark, docs):
+    path = shared_folder(spark, "test-docs")
+    docs.write.parquet(path)
+    return path
+
+
+def test_same_seed_same_shards_whatever_the_partitions(spark):
+    docs = spark.createDataFrame([(i, f"t{i}", "s", 1, 2) for i in range(500)], SCHEMA)
+    runs = [
+        {r["record"]["doc_id"]: (r["shard"], r["slot"]) for r in sharded(spark, d, seed=s, bucket_bytes=2000).collect()}
+        for d, s in ((docs.repartition(5), 1), (docs.coalesce(1), 1), (docs, 2))
+    ]
+    assert runs[0] == runs[1] != runs[2]
+
+
+def test_files_are_in_order_of_slots(spark):
+    docs = spark.createDataFrame([(i, "t", "s", 1, 2) for i in range(300)], SCHEMA)
+    path = shared_folder(spark, "test-shards")
+    sharding.write_shards(docs, path, 3, bucket_bytes=1 << 20)
+    for shard in range(3):
+        slots = [r["slot"] for r in spark.read.parquet(f"{path}/shard={shard}").coalesce(1).collect()]
+        assert slots == list(range(100))
+
+
+def test_fewer_rows_than_shards_and_none(spark):
+    docs = spark.createDataFrame([(i, "t", "s", 1, 2) for i in range(3)], SCHEMA)
+    check_law(sharded(spark, docs, 40).collect(), 40)
+    assert sharding.shard_digest(sharded(spark, docs.limit(0), 40)).collect() == []
