@@ -23,16 +23,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
-from tokenizers import Tokenizer
+from tokenizers import Encoding, Tokenizer
 
 from postlens.llm.common import input_tasks, map_texts, shared_folder, slices
 
-PRECISION = 20  # the frequencies add up to 2 ** PRECISION
 LOW = np.uint64(1 << 31)  # states stay in [LOW, LOW << 32)
-LANES = 1024
+LANES = 2048
 SEGMENT_STEPS = 256
 BLOCK_TOKENS = LANES * SEGMENT_STEPS
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_200_000
+JOINED = 500
 SPACES = re.compile(r"\s\s")
 
 SEGMENT = "struct<states: binary, words: binary, crc32: bigint>"
@@ -40,12 +40,14 @@ _encoders: dict[str, WordEncoder] = {}
 
 
 def scaled_frequencies(counts: np.ndarray) -> np.ndarray:
-    """Counts by symbol scaled to add up to 2 ** PRECISION; what occurs gets 1 at least."""
-    total = 1 << PRECISION
+    """Counts by symbol scaled to add up to a power of two; what occurs gets 1 at least.
+
+    The power leaves 16 to 32 parts for each symbol that occurs, so that small
+    tables, which decode faster, serve small vocabularies.
+    """
     if not counts.sum():
         return counts.astype(np.uint64)
-    if np.count_nonzero(counts) > total:
-        raise ValueError(f"more than {total} different symbols")
+    total = 1 << int(np.count_nonzero(counts)).bit_length() + 4
     scaled = np.floor(counts * (total / counts.sum())).astype(np.int64)
     scaled[(counts > 0) & (scaled == 0)] = 1
     spare = total - scaled.sum()
@@ -63,6 +65,7 @@ class Rans:
 
     def __init__(self, frequencies: np.ndarray):
         self.frequencies = frequencies.astype(np.uint64)
+        self.precision = np.uint64(max(int(frequencies.sum()), 1).bit_length() - 1)
         self.begins = np.cumsum(self.frequencies, dtype=np.uint64) - self.frequencies
         self.symbols = np.repeat(np.arange(len(frequencies), dtype=np.uint32), frequencies.astype(np.int64))
 
@@ -76,11 +79,11 @@ class Rans:
             for step in range(min(first + SEGMENT_STEPS, steps) - 1, first - 1, -1):
                 symbols = ids[step * LANES : (step + 1) * LANES]
                 state, f = x[: len(symbols)], self.frequencies[symbols]
-                full = state >= f << np.uint64(63 - PRECISION)
+                full = state >= f << (np.uint64(63) - self.precision)
                 out.append(state[full].astype("<u4"))
                 state = np.where(full, state >> np.uint64(32), state)
                 quotient, rest = np.divmod(state, f)
-                x[: len(symbols)] = (quotient << np.uint64(PRECISION)) + rest + self.begins[symbols]
+                x[: len(symbols)] = (quotient << self.precision) + rest + self.begins[symbols]
             words = np.concatenate(out[::-1]).tobytes()
             states = x.astype("<u8").tobytes()
             segments.append({"states": states, "words": words, "crc32": zlib.crc32(words, zlib.crc32(states))})
@@ -93,13 +96,13 @@ class Rans:
         x = np.frombuffer(segment["states"], "<u8").astype(np.uint64)
         words = np.frombuffer(segment["words"], "<u4").astype(np.uint64)
         ids, at = np.empty(count, np.uint32), 0
-        mask = np.uint64((1 << PRECISION) - 1)
+        mask = (np.uint64(1) << self.precision) - np.uint64(1)
         for first in range(0, count, LANES):
             state = x[: min(LANES, count - first)]
             slot = state & mask
             symbols = self.symbols[slot]
             ids[first : first + len(state)] = symbols
-            state = self.frequencies[symbols] * (state >> np.uint64(PRECISION)) + slot - self.begins[symbols]
+            state = self.frequencies[symbols] * (state >> self.precision) + slot - self.begins[symbols]
             low = np.flatnonzero(state < LOW)
             state[low] = state[low] << np.uint64(32) | words[at : at + len(low)]
             at += len(low)
@@ -119,20 +122,37 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.dtype = dtype
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.words: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def batch(self, texts: list[str]) -> list[Encoding]:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def add_plain(self, words: list[str]) -> None:
+        """Words without white space, joined by line breaks, which are tokens of their own."""
+        joined = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        for part, encoding in zip(joined, self.batch([" " + "\n ".join(part) for part in joined])):
+            ids = np.array(encoding.ids, self.dtype)
+            breaks = np.flatnonzero(ids == self.line_break) * ids.itemsize
+            if len(breaks) != len(part) - 1:
+                raise RuntimeError("the tokenizer does not keep line breaks apart")
+            blob, begins = ids.tobytes(), [0, *(breaks + ids.itemsize).tolist()]
+            for word, begin, end in zip(part, begins, [*breaks.tolist(), None]):
+                self.words[word] = blob[begin:end]
+
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         split = [None if not t or SPACES.search(t) else t.split(" ") for t in texts]
         new = set().union(*(words[1:] for words in split if words)).difference(self.words)
         if len(self.words) + len(new) > CACHED_WORDS:
             self.words.clear()
             new = set().union(*(words[1:] for words in split if words))
-        new = list(new)
-        found = self.tokenizer.encode_batch_fast([" " + w for w in new], add_special_tokens=False)
-        for word, encoding in zip(new, found):
+        plain = [w for w in new if w and "\n" not in w and not w[0].isspace() and not w[-1].isspace()]
+        self.add_plain(plain)
+        odd = list(new.difference(plain))
+        for word, encoding in zip(odd, self.batch([" " + w for w in odd])):
             self.words[word] = np.array(encoding.ids, self.dtype).tobytes()
         get = self.words.__getitem__
         return [
@@ -154,8 +174,8 @@ def _counted(ids: DataFrame, dtype: str, size: int) -> DataFrame:
     def count(batches):
         counts = np.zeros(size, np.int64)
         for batch in batches:
-            for blob in batch.column(0):
-                counts += np.bincount(np.frombuffer(blob.as_buffer(), dtype), minlength=size)
+            blob = b"".join(batch.column(0).to_pylist())
+            counts += np.bincount(np.frombuffer(blob, dtype), minlength=size)
         symbols = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(symbols), pa.array(counts[symbols])], ["symbol", "n"])
 
