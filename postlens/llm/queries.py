@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from postlens.llm.byte_bpe import byte_bpe_round_trip
+from postlens.llm import line_quality as lines
 from postlens.llm.common import shared_folder
 from postlens.llm.sharding import read_shards, shard_digest, write_shards
 from postlens.llm.simhash import simhash_near_duplicates
@@ -18,6 +19,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_quality(documents(spark, sf_dir))
+
+
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     path = shared_folder(spark, "shards")
@@ -41,6 +46,7 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_line_quality": line_quality,
         "op4_sharding": sharding,
         "op6_byte_bpe": byte_bpe,
         "op7_simhash_near_dedup": simhash,
@@ -49,4 +55,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_quality": lines.oracle_sql()}
