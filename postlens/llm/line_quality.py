@@ -54,11 +54,16 @@ def _count(text: Column, characters: str) -> Column:
 def line_passes(line: Column, rules: LineRules = RULES) -> Column:
     chars = F.length(line)
     separators = _count(line, rules.separators_of)
+    plain = ~F.rlike(line, F.lit(f"[!{SYMBOLS}{rules.separators_of}]"))  # most lines: no need to count
     return (
         F.rlike(line, F.lit(rf"{rules.ending}{SPACE}*\z"))
-        & (100 * _count(line, SYMBOLS) <= rules.max_symbols * chars)
-        & (100 * _count(line, "!") <= rules.max_exclamation * chars)
-        & ((separators < rules.min_separators) | (100 * separators < rules.separators * chars))
+        & (plain | (100 * _count(line, SYMBOLS) <= rules.max_symbols * chars))
+        & (plain | (100 * _count(line, "!") <= rules.max_exclamation * chars))
+        & (
+            plain
+            | (separators < rules.min_separators)
+            | (100 * separators < rules.separators * chars)
+        )
         & ((chars > rules.boilerplate_chars) | ~F.rlike(line, F.lit(rules.boilerplate)))
     )
 
@@ -73,9 +78,11 @@ def _measured(rows: DataFrame, rules: LineRules) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda line: F.rlike(line, F.lit(NOT_SPACE)))
     rows = rows.select("row", "text", words.alias("words"), lines.alias("lines"))
 
+    rows = rows.select("*", F.transform("words", lambda word: F.xxhash64(word)).alias("hashes"))
+
     # Windows are compared by 64-bit hashes, and only within their own text.
     def window(i: Column) -> Column:
-        return F.xxhash64(*(F.get("words", i + k) for k in range(WINDOW)))
+        return F.xxhash64(*(F.get("hashes", i + k) for k in range(WINDOW)))
 
     n = F.size("words")
     windows = F.when(
