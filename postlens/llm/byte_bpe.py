@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from postlens.llm.common import map_texts
 
-CACHED_WORDS, CACHED_PIECES = 600_000, 300_000
+CACHED_WORDS, CACHED_PIECES = 1_200_000, 800_000
 SPACES = re.compile(r"\s\s")
 _encoders: dict[str, ByteBpe] = {}
 
