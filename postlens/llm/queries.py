@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from postlens.llm.byte_bpe import byte_bpe_round_trip
+from postlens.llm import decontamination as tests
 from postlens.llm import line_quality as lines
 from postlens.llm.common import shared_folder
 from postlens.llm.sharding import read_shards, shard_digest, write_shards
@@ -44,6 +45,11 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_duplicates(documents(spark, sf_dir))
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return tests.decontamination_digest(tests.decontaminate(documents(spark, sf_dir), benchmark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_line_quality": line_quality,
@@ -51,8 +57,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_byte_bpe": byte_bpe,
         "op7_simhash_near_dedup": simhash,
         "op8_token_files": token_files,
+        "op9_decontamination": decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_quality": lines.oracle_sql()}
+    return {"op3_line_quality": lines.oracle_sql(), "op9_decontamination": tests.oracle_sql()}

@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from postlens.llm import decontamination
+
+DOCS = "doc_id bigint, text string, words string, k1 int, row int"
+ITEMS = "item_id bigint, text string, item string, size int"
+
+
+def naive_words(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def naive(text, items):
+    words, hit, found = naive_words(text), set(), set()
+    for item_id, item_text in items:
+        item = naive_words(item_text)
+        n = min(13, len(item))
+        grams = {tuple(item[i : i + n]) for i in range(len(item) - n + 1)} if item else set()
+        for i in range(len(words) - n + 1):
+            if tuple(words[i : i + n]) in grams:
+                hit |= set(range(i, i + n))
+                found.add("" if item_id is None else str(item_id))
+    digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+    return len(words), len(hit), len(found), digest, len(hit) > 0 and 20 * len(hit) >= len(words)
+
+
+def fixture():
+    rng = random.Random(9)
+    common = ["the", "of", "and"]
+    words = common * 6 + [f"w{i}" for i in range(60)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, text(rng.choice([1, 2, 5, 12, 13, 14, 40]))) for i in range(40)]
+    items += [(50, "the"), (51, "the of and the of and the of and the of and the of and"), (52, None), (53, " .,")]
+    items += [(None, "null id item of words"), (10, items[11][1]), (11, items[11][1]), (54, "Ünï çode"), (2, text(20))]
+    docs = [(0, None), (1, ""), (2, "-- !"), (3, "THE"), (None, "null id, item OF words!"), (4, "ünï çode Ünï çode")]
+    docs += [(5, "the of and " * 200)]
+    for i in range(6, 60):
+        parts = [text(rng.randint(0, 80))]
+        for _ in range(rng.randint(0, 3)):
+            item = (rng.choice(items)[1] or "").split()
+            cut = rng.randint(0, 4)
+            parts += [" ".join(item[cut:]), text(rng.randint(0, 30))]
+        docs.append((i, rng.choice([" ", ", ", "\n"]).join(parts)))
+    return docs + [docs[20], docs[20], (99, docs[20][1])], items
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 100_000])
+def test_hits_equal_a_plain_search(spark, broadcast_rows):
+    rows, items = fixture()
+    docs = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], DOCS).repartition(3)
+    bench = spark.createDataFrame([(*r, "x", 1) for r in items], ITEMS)
+    found = decontamination.decontaminate(docs, bench, broadcast_rows=broadcast_rows)
+    assert found.select("row.*").columns == docs.columns
+    got = sorted(map(repr, map(tuple, decontamination.decontamination_digest(found).collect())))
+    assert got == sorted(repr((doc_id, *naive(text, items))) for doc_id, text in rows)
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b c", "x", 1, 2)], DOCS)
+    bench = spark.createDataFrame([(1, "a b", "x", 1)], ITEMS)
+    digest = decontamination.decontamination_digest
+    (row,) = digest(decontamination.decontaminate(docs, bench.limit(0))).collect()
+    assert tuple(row) == (1, *naive("a b c", []))
+    assert digest(decontamination.decontaminate(docs.limit(0), bench)).collect() == []
+    (row,) = digest(decontamination.decontaminate(docs, bench)).collect()
+    assert row["n_hit"] == 2 and row["contaminated"]
+
+
+def test_proximity(spark):
+    rows = [(1, "alpha x x beta"), (2, "beta alpha"), (3, "alpha x x x x beta"), (4, "alpha alpha"), (5, None)]
+    docs = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], DOCS)
+    phrases = spark.createDataFrame([(7, "Alpha beta", "x", 1)], ITEMS)
+    found = decontamination.proximity_matches(docs, phrases, width=4)
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("h"))
+    got = keyed.join(found, F.col("h") == F.col("k1")).select("doc_id", "item", "start")
+    assert sorted(map(tuple, got.collect())) == [(1, "7", 0), (2, "7", 0)]
+
+
+def test_plan_runs_no_python_and_no_cross_join(spark):
+    rows, items = fixture()
+    docs = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], DOCS)
+    bench = spark.createDataFrame([(*r, "x", 1) for r in items], ITEMS)
+    plan = decontamination.decontaminate(docs, bench)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Cartesian", "NestedLoop", "Arrow"))
