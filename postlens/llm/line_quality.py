@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlens.llm.common import filter_computed
+
 SPACE = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -147,7 +149,7 @@ def clean_documents(
     A length column named ``n_chars`` follows the text.
     """
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kept = _measured(rows, rules).filter("kept")
+    kept = filter_computed(_measured(rows, rules), F.col("kept"))
     cleaned = F.array_join("kept_lines", "\n")
     values = {text: cleaned, n_chars: F.length(cleaned).cast(dict(docs.dtypes).get(n_chars, "bigint"))}
     return kept.select(*(values.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
