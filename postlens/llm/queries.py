@@ -11,6 +11,8 @@ from postlens.llm.byte_bpe import byte_bpe_round_trip
 from postlens.llm import decontamination as tests
 from postlens.llm import line_quality as lines
 from postlens.llm.common import shared_folder
+from postlens.llm.html_text import page_texts
+from postlens.llm.language_id import language_id
 from postlens.llm.sharding import read_shards, shard_digest, write_shards
 from postlens.llm.simhash import simhash_near_duplicates
 from postlens.llm.token_files import token_file_round_trip
@@ -20,6 +22,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(documents(spark, sf_dir))
+
+
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_quality(documents(spark, sf_dir))
 
@@ -52,6 +62,8 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": languages,
+        "op2_html_text": html_text,
         "op3_line_quality": line_quality,
         "op4_sharding": sharding,
         "op6_byte_bpe": byte_bpe,

@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+
+from postlens.llm import language_id, queries
+from tests.conftest import TESTDATA
+
+SCHEMA = "doc_id bigint, text string, lang string, score string, language int"
+WORDS = {"aa": "bako deru timo sela vupa".split(), "bb": "grint stolf kwarp blend crast".split(), "cc": "дом лес река поле".split()}
+
+
+def corpus(n=120):
+    rng = random.Random(4)
+    for i in range(n):
+        name = rng.choice(list(WORDS))
+        text = " ".join(rng.choice(WORDS[name]) + rng.choice(WORDS[name]) for _ in range(30))
+        yield i, text, name
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+
+
+def naive_grams(text):
+    line = " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
+    line = f" {line} "
+    line += " " * (language_id.GRAM - len(line))
+    return [line[i : i + language_id.GRAM] for i in range(len(line) - language_id.GRAM + 1)]
+
+
+def test_grams_are_those_of_the_words():
+    for text in ["Hello, World!", "a", "ß 1 é", "--x--", "tab\tnew\nline  two", "İstanbul 🙂 x", "Ünï-code"]:
+        seen = {}
+        for gram, value in zip(naive_grams(text), language_id.grams(text).tolist(), strict=True):
+            assert seen.setdefault(gram, value) == value
+        assert len(set(seen.values())) == len(seen)
+    assert all(not len(language_id.grams(t)) for t in (None, "", "1 2 3", "🙂"))
+
+
+def test_filter_holds_every_gram_and_few_others():
+    rng = np.random.default_rng(1)
+    masks = np.zeros((1 << 12, 2), np.uint64)
+    known = rng.integers(0, 2**63, 500).astype(np.uint64)
+    for slot in language_id.slots_of(known, len(masks)):
+        masks[slot, 1] |= np.uint64(1 << 6)  # language 70
+    model = language_id.LanguageFilter([f"l{i}" for i in range(80)], masks)
+
+    def share(hashes):
+        first, *others = language_id.slots_of(hashes, len(masks))
+        found = masks[first]
+        for slot in others:
+            found &= masks[slot]
+        return model._bits(found, 70).mean()
+
+    assert share(known) == 1
+    assert abs(share(rng.integers(0, 2**63, 20_000).astype(np.uint64)) - model.false_rate[70]) < 0.01
+
+
+def test_held_out_texts_are_told_apart(spark):
+    rows = list(corpus())
+    got = {r["doc_id"]: r for r in language_id.language_id(table(spark, rows)).collect()}
+    for doc_id, _, name in rows:
+        assert got[doc_id]["held_out"] is (zlib.crc32(str(doc_id).encode()) % 4 == 2)
+        assert got[doc_id]["lang_pred"] == name
+        assert 0.5 < got[doc_id]["score"] <= 1
+
+
+def test_held_out_labels_and_other_columns_change_nothing(spark):
+    rows = list(corpus())
+    wrong = [(i, t, "cc" if zlib.crc32(str(i).encode()) % 4 == 2 else n) for i, t, n in rows]
+    a, b = (sorted(map(tuple, language_id.language_id(table(spark, r)).collect())) for r in (rows, wrong))
+    assert a == b
+
+
+def test_odd_rows(spark):
+    odd = [(500, None, "aa"), (501, "", None), (502, "12 34 !", "bb"), (None, "bako deru", "aa"), (503, "qqqqq", None)]
+    odd += [(504, "bako " * 50_000, None), (505, "bako", None), (505, "bako", None)]
+    got = language_id.language_id(table(spark, [*corpus(), *odd])).filter("doc_id >= 500 OR doc_id IS NULL")
+    found = sorted((str(r["doc_id"]), r["lang_pred"], r["score"] > 0) for r in got.collect())
+    assert found == sorted([
+        ("500", "und", False), ("501", "und", False), ("502", "und", False), ("None", "aa", True),
+        ("503", "aa", False), ("504", "aa", True), ("505", "aa", True), ("505", "aa", True),
+    ])
+
+
+def test_empty_tables_and_no_labels(spark):
+    docs = table(spark, corpus(8))
+    assert language_id.language_id(docs.limit(0)).collect() == []
+    blank = table(spark, [(i, t, None) for i, t, _ in corpus(8)])
+    assert {(r["lang_pred"], r["score"]) for r in language_id.language_id(blank).collect()} == {("und", 0.0)}
+
+
+def test_accuracy_on_the_documents(spark):
+    folder = str(TESTDATA / "sf0.01")
+    docs = {r["doc_id"]: r["lang"] for r in queries.documents(spark, folder).select("doc_id", "lang").collect()}
+    held = queries.languages(spark, folder).filter("held_out").collect()
+    assert len(held) > 200
+    assert sum(r["lang_pred"] == docs[r["doc_id"]] for r in held) > 0.98 * len(held)
