@@ -13,6 +13,7 @@ from postlens.llm import line_quality as lines
 from postlens.llm.common import shared_folder
 from postlens.llm.html_text import page_texts
 from postlens.llm.language_id import language_id
+from postlens.llm.secret_scan import secret_scan
 from postlens.llm.sharding import read_shards, shard_digest, write_shards
 from postlens.llm.simhash import simhash_near_duplicates
 from postlens.llm.token_files import token_file_round_trip
@@ -41,6 +42,10 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(read_shards(spark, path, docs.schema))
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(documents(spark, sf_dir))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe_round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -66,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_html_text": html_text,
         "op3_line_quality": line_quality,
         "op4_sharding": sharding,
+        "op5_secret_scan": secrets,
         "op6_byte_bpe": byte_bpe,
         "op7_simhash_near_dedup": simhash,
         "op8_token_files": token_files,
