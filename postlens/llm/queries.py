@@ -12,6 +12,7 @@ from postlens.llm import decontamination as tests
 from postlens.llm import line_quality as lines
 from postlens.llm.common import shared_folder
 from postlens.llm.html_text import page_texts
+from postlens.llm.kneser_ney import language_model_scores
 from postlens.llm.language_id import language_id
 from postlens.llm.secret_scan import secret_scan
 from postlens.llm.sharding import read_shards, shard_digest, write_shards
@@ -65,6 +66,10 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tests.decontamination_digest(tests.decontaminate(documents(spark, sf_dir), benchmark))
 
 
+def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": languages,
@@ -76,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_simhash_near_dedup": simhash,
         "op8_token_files": token_files,
         "op9_decontamination": decontamination,
+        "op10_kneser_ney": kneser_ney,
     }
 
 
