@@ -1,25 +1,59 @@
-"""The corpus pipeline: stages from raw documents to token ids."""
+"""The corpus pipeline: stages from raw documents to token ids.
+
+Each stage takes all documents that the one before kept and returns their columns; the
+last returns the token ids.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from postlens.llm.byte_bpe import byte_bpe_round_trip
 from postlens.llm.common import stored
+from postlens.llm.decontamination import drop_contaminated
+from postlens.llm.line_quality import clean_documents
+from postlens.llm.secret_scan import redact_secrets
 from postlens.llm.simhash import keep_one_per_group
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that fail go, and documents that fail or lose too much."""
+    return clean_documents(docs)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates stays, the one with the smallest id."""
     return keep_one_per_group(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents contaminated by the table ``benchmark`` go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; all documents stay."""
+    return redact_secrets(docs)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, with digests of the ids and of what they decode to."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe_round_trip(docs, ranks, public_tokenizers.PATTERN, with_ids=True)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
+    ("byte_bpe", byte_bpe),
 ]
 
-# Hashes, learned models and merges are beyond SQL; tests compare with plain Python.
+# Fingerprints, a trained network and merges are beyond SQL; tests compare with plain Python.
 ORACLE_SQL: str | None = None
 
 

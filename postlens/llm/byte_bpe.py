@@ -15,6 +15,7 @@ import re
 from heapq import heappop, heappush
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -157,9 +158,10 @@ def encode_texts(
 
 
 def byte_bpe_round_trip(
-    docs: DataFrame, ranks_path: str, pattern: str, id: str = "doc_id", text: str = "text"
+    docs: DataFrame, ranks_path: str, pattern: str, id: str = "doc_id", text: str = "text", with_ids: bool = False
 ) -> DataFrame:
-    """Per row: id, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``.
+    """Per row: id, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``, and with ``with_ids``
+    the ``ids``.
 
     The digests are of the decimal ids joined by spaces and of the bytes that the
     ids decode to. NULL and empty texts have no token. Repeated rows come back as
@@ -173,18 +175,21 @@ def byte_bpe_round_trip(
         decimal = {i: str(i) for i in bpe.tokens}
 
         def digests(texts):
-            counts, written, decoded = [], [], []
+            counts, written, decoded, kept = [], [], [], []
             for t in texts:
                 ids = bpe.encode(t or "")
+                if with_ids:
+                    kept.append(np.array(ids, np.int32))
                 counts.append(len(ids))
                 line = " ".join(map(decimal.__getitem__, ids))
                 written.append(hashlib.sha256(line.encode()).hexdigest())
                 decoded.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-            return [pa.array(counts, pa.int64()), pa.array(written), pa.array(decoded)]
+            columns = [pa.array(counts, pa.int64()), pa.array(written), pa.array(decoded)]
+            return [*columns, pa.array(kept, pa.list_(pa.int32()))] if with_ids else columns
 
         return digests
 
-    added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return map_texts(docs.select(F.col(id), F.col(text)), text, make, added)
 
 

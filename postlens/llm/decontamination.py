@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import ascii_lower, stored
+from postlens.llm.common import ascii_lower, filter_computed, stored
 
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -176,6 +176,12 @@ def decontaminate(
     return rows.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows that are not contaminated, with the columns of ``docs``."""
+    found = decontaminate(docs, benchmark, **options)
+    return filter_computed(found, ~F.col("contaminated")).select("row.*")
+
+
 def decontamination_digest(found: DataFrame, id: str = "doc_id") -> DataFrame:
     return found.select(
         F.col("row")[id].alias(id),
