@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,11 +49,16 @@ DOCUMENT_SCHEMA = "doc_id bigint, lang string, source string, n_chars bigint, te
 # Limits that make the queries on a lexicon table join it, by broadcast or by merge.
 BROADCAST_LIMITS = LexiconLimits(plan_terms=0)
 MERGE_LIMITS = LexiconLimits(plan_terms=0, broadcast_bytes=0, frequent_terms=1000)
-LEXICON_REPORT = LexiconReport(min_rows=20, k=5)
+LIST_LIMITS = LexiconLimits(plan_terms=1_000_000)
+# Groups by language and length have sizes of all kinds at any scale: the minimum drops
+# some and keeps some, and there are more of them than a ranking shows.
+SIZE_GROUP = ("lang", "size_class")
+MIN_ROWS = 5
+LEXICON_REPORT = LexiconReport(min_rows=MIN_ROWS, k=2)
 REPORT_SUITE = ReportSuite(
     deleted_actor="en-src1",
     phrase=PHRASE,
-    topic="en",
+    topic="en-1",
     flags=tuple(FLAGS.items()),
     categories=(CATEGORY_A, CATEGORY_B),
 )
@@ -66,6 +72,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+_local_folders: list[tempfile.TemporaryDirectory] = []
+
+
+def scratch_parent(spark: SparkSession) -> str:
+    """The shared folder; a local session without one gets a temporary folder of this process."""
+    parent = spark.conf.get("spark.checkpoint.dir", None)
+    if parent or not spark.conf.get("spark.master", "").startswith("local"):
+        return parent or ""
+    _local_folders.append(tempfile.TemporaryDirectory(prefix="postlens-"))
+    return _local_folders[-1].name
+
+
+def new_folder(spark: SparkSession) -> str:
+    return scratch_folder(spark, scratch_parent(spark))
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents in the raw post schema, with padded content and some NULL authors."""
     return documents(spark, sf_dir).select(
@@ -84,7 +106,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_json_lines(df: DataFrame, broken: Column) -> str:
     """Write rows as JSON lines, those flagged as broken being unreadable; returns the path."""
-    path = scratch_folder(df.sparkSession)
+    path = new_folder(df.sparkSession)
     line = F.to_json(F.struct(*df.columns))
     df.select(F.when(broken, F.concat(F.lit("{bad "), line)).otherwise(line)).write.text(path)
     return path
@@ -120,8 +142,16 @@ def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).transform(op.tokenize, "text", out="tokens")
 
 
-def cleaned_documents(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    return documents(spark, sf_dir).select(key, "text").transform(op.clean_posts, text="text")
+def cleaned_documents(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
+    """Cleaned texts with some columns; ``size_class`` counts the length in steps of 500."""
+    sized = documents(spark, sf_dir).withColumn("size_class", F.expr("n_chars div 500"))
+    return sized.select(*keys, "text").transform(op.clean_posts, text="text")
+
+
+def sized_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts, grouped by language and length in place of the language."""
+    size_class = F.expr("content_len div 500").cast("string")
+    return posts(spark, sf_dir).withColumn("subreddit", F.concat_ws("-", "subreddit", size_class))
 
 
 def benchmark_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +172,7 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark)
+    path = new_folder(spark)
     events = table(spark, sf_dir, "events").withColumn(
         "ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     )
@@ -157,31 +187,44 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark)
+    path = new_folder(spark)
     documents(spark, sf_dir).select("text").write.text(path)
     return load_lexicon(spark, path)
 
 
 def sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark)
+    path = new_folder(spark)
     write_table(op.clean_posts(posts(spark, sf_dir)), path, "parquet")
     return cleaned_digest(read_parquet(spark, path))
 
 
 def sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark)
+    path = new_folder(spark)
     cleaned = op.clean_posts(posts(spark, sf_dir))
     write_table(cleaned, path, "json")
     return cleaned_digest(read_json(spark, path, cleaned.schema))
 
 
 def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark)
-    report = op.top_groups(documents(spark, sf_dir), ["source", "lang"], k=None)
-    write_report(report, path)
+    path = new_folder(spark)
+    write_report(op.top_groups(documents(spark, sf_dir), ["source", "lang"], k=20), path)
     return read_csv(spark, path).withColumn("count", F.col("count").cast("bigint"))
 
 
+def csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks, outer blanks, empty strings and NULLs through CSV files."""
+    path = new_folder(spark)
+    padded = documents(spark, sf_dir).withColumns(
+        {
+            "text": F.concat(F.lit(" \t"), "text", F.lit('\n"quoted", \\ ')),
+            "lang": F.when(F.col("lang") != "fr", F.col("lang")),
+            "source": F.when(F.col("source") == "src1", F.lit("")).otherwise(F.col("source")),
+        }
+    )
+    write_table(padded, path, "csv")
+    return document_digest(read_csv(spark, path, padded.schema, multi_line=True))
+
+
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.preview(documents(spark, sf_dir), 10, order_by="doc_id")
 
@@ -226,7 +269,7 @@ def clean_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = write_json_lines(posts(spark, sf_dir), F.col("subreddit") == "es")
-    cleaned = scratch_folder(spark)
+    cleaned = new_folder(spark)
     run_etl(spark, raw, cleaned, schema=POST_SCHEMA)
     return cleaned_digest(read_parquet(spark, cleaned))
 
@@ -238,7 +281,8 @@ def lexicon_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hits_by_table(spark: SparkSession, sf_dir: str, limits: LexiconLimits) -> DataFrame:
     cleaned = cleaned_documents(spark, sf_dir, "doc_id")
-    return post_hits(cleaned, benchmark_terms(spark, sf_dir), key="doc_id", limits=limits)
+    terms, scratch = benchmark_terms(spark, sf_dir), scratch_parent(spark)
+    return post_hits(cleaned, terms, key="doc_id", limits=limits, scratch=scratch)
 
 
 def lexicon_hits_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,18 +293,32 @@ def lexicon_hits_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits_by_table(spark, sf_dir, MERGE_LIMITS)
 
 
+def lexicon_hits_any_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits by a key that repeats and is NULL for some rows, in all three forms."""
+    masked = F.when(F.col("lang") != "fr", F.col("lang")).alias("lang")
+    cleaned = cleaned_documents(spark, sf_dir, "lang").select(masked, "content_tokens")
+    terms, scratch = benchmark_terms(spark, sf_dir), scratch_parent(spark)
+    united = None
+    for form, limits in (("list", LIST_LIMITS), ("broadcast", BROADCAST_LIMITS), ("merge", MERGE_LIMITS)):
+        hits = post_hits(cleaned, terms, key="lang", limits=limits, scratch=scratch)
+        hits = hits.select(F.lit(form).alias("form"), "lang", "hits")
+        united = hits if united is None else united.unionByName(hits)
+    return united
+
+
 def lexicon_rate_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.hit_rate_by_group(
-        cleaned_documents(spark, sf_dir, "source"), LEXICON, group="source", min_rows=20
+        cleaned_documents(spark, sf_dir, *SIZE_GROUP), LEXICON, group=SIZE_GROUP, min_rows=MIN_ROWS
     )
 
 
 def rate_by_table(spark: SparkSession, sf_dir: str, limits: LexiconLimits) -> DataFrame:
     return group_rates(
-        cleaned_documents(spark, sf_dir, "lang"),
+        cleaned_documents(spark, sf_dir, *SIZE_GROUP),
         benchmark_terms(spark, sf_dir),
-        LexiconReport(group="lang", min_rows=20, rate_name="avg_hits"),
+        LexiconReport(group=SIZE_GROUP, min_rows=MIN_ROWS, rate_name="avg_hits"),
         limits=limits,
+        scratch=scratch_parent(spark),
     )
 
 
@@ -273,17 +331,18 @@ def lexicon_rate_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def most_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.rank_by_rate(lexicon_rate_by_group(spark, sf_dir), group="source")
+    return op.rank_by_rate(lexicon_rate_by_group(spark, sf_dir), group=SIZE_GROUP)
 
 
 def least_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.rank_by_rate(lexicon_rate_by_group(spark, sf_dir), group="source", least=True)
+    return op.rank_by_rate(lexicon_rate_by_group(spark, sf_dir), group=SIZE_GROUP, least=True)
 
 
 def lexicon_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    output = scratch_folder(spark)
-    cleaned = op.clean_posts(posts(spark, sf_dir))
-    paths = run_lexicon_report(spark, cleaned, LEXICON, output, LEXICON_REPORT)
+    output = new_folder(spark)
+    cleaned = op.clean_posts(sized_posts(spark, sf_dir))
+    scratch = scratch_parent(spark)
+    paths = run_lexicon_report(spark, cleaned, LEXICON, output, LEXICON_REPORT, scratch=scratch)
     schema = "subreddit string, avg_swear_words_per_post double, post_count bigint"
     most, least = (
         read_csv(spark, path, schema).withColumn("report", F.lit(name))
@@ -326,8 +385,9 @@ def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    output = scratch_folder(spark)
-    paths = run_report_suite(spark, posts(spark, sf_dir), output, REPORT_SUITE)
+    output = new_folder(spark)
+    sized, scratch = sized_posts(spark, sf_dir), scratch_parent(spark)
+    paths = run_report_suite(spark, sized, output, REPORT_SUITE, scratch=scratch)
     rows = []
     for name, path in paths.items():
         report = spark.read.csv(path, header=True)
@@ -354,7 +414,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def describe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = op.describe_columns(table(spark, sf_dir, "events"))
-    return described.withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})
+    return described.withColumns({"mean": F.round("mean", 6), "stddev": F.round("stddev", 6)})
 
 
 def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,6 +446,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_parquet": sink_parquet,
         "sink_json": sink_json,
         "sink_csv": sink_csv,
+        "csv_text": csv_text,
         "preview": preview,
         "drop_all_null": drop_all_null,
         "trim_strings": trim_strings,
@@ -397,6 +458,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lexicon_hits": lexicon_hits,
         "lexicon_hits_table": lexicon_hits_table,
         "lexicon_hits_merge": lexicon_hits_merge,
+        "lexicon_hits_any_key": lexicon_hits_any_key,
         "lexicon_rate_by_group": lexicon_rate_by_group,
         "lexicon_rate_table": lexicon_rate_table,
         "lexicon_rate_merge": lexicon_rate_merge,
@@ -473,25 +535,27 @@ def oracle_sql() -> dict[str, str]:
                cast(len(tokens) AS integer) AS n_tokens, md5(array_to_string(tokens, ' ')) AS tokens_md5
         FROM (SELECT *, {clean_tokens} AS tokens FROM documents)"""
     hits = f"SELECT *, len(list_intersect({clean_tokens}, {sql_list(LEXICON)})) AS hits"
+    size_class = "n_chars // 500"
     rates = f"""
-        SELECT source, avg(hits) AS avg_hits, count(*) AS post_count
-        FROM ({hits} FROM documents) GROUP BY source HAVING count(*) > 20"""
+        SELECT lang, {size_class} AS size_class, avg(hits) AS avg_hits, count(*) AS post_count
+        FROM ({hits} FROM documents) GROUP BY 1, 2 HAVING count(*) > {MIN_ROWS}"""
     term_pairs = f"""
         SELECT DISTINCT d.doc_id, d.term
         FROM (SELECT doc_id, unnest({clean_tokens}) AS term FROM documents) d
         WHERE d.term IN (SELECT unnest({sql_tokens("text")}) FROM benchmark)"""
     table_hits = f"""
-        SELECT doc_id, lang, cast(coalesce(n, 0) AS integer) AS hits
+        SELECT doc_id, lang, n_chars, cast(coalesce(n, 0) AS integer) AS hits
         FROM documents
         LEFT JOIN (SELECT doc_id, count(*) AS n FROM ({term_pairs}) GROUP BY doc_id)
         USING (doc_id)"""
     table_rates = f"""
-        SELECT lang, avg(hits) AS avg_hits, count(*) AS post_count
-        FROM ({table_hits}) GROUP BY lang HAVING count(*) > 20"""
+        SELECT lang, {size_class} AS size_class, avg(hits) AS avg_hits, count(*) AS post_count
+        FROM ({table_hits}) GROUP BY 1, 2 HAVING count(*) > {MIN_ROWS}"""
+    sized = f"lang || '-' || cast({size_class} AS varchar)"
     report_rates = f"""
-        SELECT lang AS subreddit, avg(hits) AS avg_swear_words_per_post,
+        SELECT {sized} AS subreddit, avg(hits) AS avg_swear_words_per_post,
                count(*) AS post_count
-        FROM ({hits} FROM documents) GROUP BY lang HAVING count(*) > 20"""
+        FROM ({hits} FROM documents) GROUP BY 1 HAVING count(*) > {MIN_ROWS}"""
     in_a = sql_mentions("text", "thatin")
     in_b = sql_mentions("text", "ononst")
     category = f"""
@@ -515,7 +579,7 @@ def oracle_sql() -> dict[str, str]:
         low, high = (f"min({number})", f"max({number})") if numeric else ("NULL", "NULL")
         return f"""
         SELECT '{column}' AS column_name, count({column}) AS "count",
-               round(avg({number}), 4) AS mean, round(stddev_samp({number}), 4) AS stddev,
+               round(avg({number}), 6) AS mean, round(stddev_samp({number}), 6) AS stddev,
                cast(min({column}) AS varchar) AS "min", cast(max({column}) AS varchar) AS "max",
                cast({low} AS double) AS min_number, cast({high} AS double) AS max_number
         FROM events"""
@@ -545,7 +609,13 @@ def oracle_sql() -> dict[str, str]:
         "sink_parquet": cleaned_select,
         "sink_json": cleaned_select,
         "sink_csv": """
-            SELECT source, lang, count(*) AS "count" FROM documents GROUP BY source, lang""",
+            SELECT source, lang, count(*) AS "count" FROM documents GROUP BY source, lang
+            ORDER BY 3 DESC, 1, 2 LIMIT 20""",
+        "csv_text": """
+            SELECT doc_id, CASE WHEN lang <> 'fr' THEN lang END AS lang,
+                   CASE WHEN source = 'src1' THEN '' ELSE source END AS source, n_chars,
+                   md5(' ' || chr(9) || text || chr(10) || '"quoted", \\ ') AS text_md5
+            FROM documents""",
         "preview": """
             SELECT doc_id, text, lang, source, n_chars FROM documents
             ORDER BY doc_id LIMIT 10""",
@@ -577,17 +647,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, cast(hits AS integer) AS hits FROM ({hits} FROM documents)""",
         "lexicon_hits_table": f"SELECT doc_id, hits FROM ({table_hits})",
         "lexicon_hits_merge": f"SELECT doc_id, hits FROM ({table_hits})",
+        "lexicon_hits_any_key": f"""
+            SELECT form, CASE WHEN lang <> 'fr' THEN lang END AS lang, hits
+            FROM ({table_hits}), (VALUES ('list'), ('broadcast'), ('merge')) forms(form)""",
         "lexicon_rate_by_group": rates,
         "lexicon_rate_table": table_rates,
         "lexicon_rate_merge": table_rates,
-        "most_lexicon": f"{rates} ORDER BY avg_hits DESC, source LIMIT 10",
-        "least_lexicon": f"{rates} ORDER BY avg_hits, source LIMIT 10",
+        "most_lexicon": f"{rates} ORDER BY avg_hits DESC, lang, size_class LIMIT 10",
+        "least_lexicon": f"{rates} ORDER BY avg_hits, lang, size_class LIMIT 10",
         "lexicon_report": f"""
             SELECT * FROM (SELECT *, 'most_swearing' AS report FROM ({report_rates})
-                           ORDER BY avg_swear_words_per_post DESC, subreddit LIMIT 5)
+                           ORDER BY avg_swear_words_per_post DESC, subreddit LIMIT 2)
             UNION ALL
             SELECT * FROM (SELECT *, 'least_swearing' AS report FROM ({report_rates})
-                           ORDER BY avg_swear_words_per_post, subreddit LIMIT 5)""",
+                           ORDER BY avg_swear_words_per_post, subreddit LIMIT 2)""",
         "top_groups": """
             SELECT source, lang, count(*) AS "count" FROM documents GROUP BY source, lang
             ORDER BY 3 DESC, 1, 2 LIMIT 10""",
@@ -606,25 +679,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT {category} AS discussion_type, count(*) AS "count"
             FROM documents GROUP BY 1""",
         "report_suite": f"""
-            SELECT 'top_subreddits' AS report, lang AS label, count(*) AS n,
-                   cast(NULL AS integer) AS mean_length
-            FROM documents GROUP BY lang
+            SELECT * FROM (SELECT 'top_subreddits' AS report, {sized} AS label, count(*) AS n,
+                                  cast(NULL AS integer) AS mean_length
+                           FROM documents GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
             UNION ALL
             SELECT * FROM (SELECT 'active_authors', lang || '-' || source, count(*), NULL
                            FROM documents WHERE lang <> 'fr' AND lang || '-' || source <> 'en-src1'
                            GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
             UNION ALL
-            SELECT 'help_requests', lang, count(*), NULL FROM documents
-            WHERE regexp_matches(text, '{PHRASE}') GROUP BY lang
+            SELECT * FROM (SELECT 'help_requests', {sized}, count(*), NULL FROM documents
+                           WHERE regexp_matches(text, '{PHRASE}')
+                           GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
             UNION ALL
             SELECT 'top_words', word, "count", NULL FROM ({words})
             UNION ALL
             SELECT 'lol_nerf_vs_buff', mentions_a || '/' || mentions_b, total_posts,
                    avg_post_length
-            FROM ({crosstab} FROM documents WHERE lang = 'en' GROUP BY 1, 2)
+            FROM ({crosstab} FROM documents WHERE {sized} = 'en-1' GROUP BY 1, 2)
             UNION ALL
             SELECT 'lol_esports_vs_casual', {category}, count(*), NULL
-            FROM documents WHERE lang = 'en' GROUP BY 2""",
+            FROM documents WHERE {sized} = 'en-1' GROUP BY 2""",
         "row_count": 'SELECT count(*) AS "count" FROM lineitem',
         "describe_columns": " UNION ALL ".join(
             described(column, numeric)

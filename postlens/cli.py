@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from postlens import operators as op
 from postlens.plans import run_etl, run_lexicon_report, run_report_suite
-from postlens.presets import POST_SCHEMA, LexiconReport
-from postlens.sources import FORMATS, load_lexicon, read_csv, read_json, read_parquet
+from postlens.presets import POST_SCHEMA, LexiconReport, ReportSuite
+from postlens.sources import FORMATS, TABLE_FORMATS, load_lexicon, read_csv, read_json, read_parquet
 
 
 def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
@@ -20,19 +21,26 @@ def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
     etl = jobs.add_parser("etl", help="clean raw JSON lines into a post table")
     etl.add_argument("--input", required=True)
     etl.add_argument("--output", required=True)
-    etl.add_argument("--format", choices=FORMATS, default="parquet")
+    etl.add_argument("--format", choices=TABLE_FORMATS, default="parquet")
 
     lexicon = jobs.add_parser("lexicon", help="groups that use a lexicon most and least")
     lexicon.add_argument("--input", required=True, help="cleaned Parquet table")
     lexicon.add_argument("--lexicon", required=True, help="text file, one term per line")
     lexicon.add_argument("--comment", help="prefix of lexicon lines to skip")
     lexicon.add_argument("--output", required=True)
+    lexicon.add_argument("--group", nargs="+", default=[LexiconReport.group], help="grouping columns")
     lexicon.add_argument("--min-rows", type=int, default=LexiconReport.min_rows)
     lexicon.add_argument("--k", type=int, default=LexiconReport.k)
+    lexicon.add_argument("--scratch", help="shared folder for intermediate tables")
 
     reports = jobs.add_parser("reports", help="activity, phrase, word and topic reports")
     reports.add_argument("--input", required=True, help="cleaned Parquet table")
     reports.add_argument("--output", required=True)
+    reports.add_argument("--parameters", help="JSON file with any of the suite's parameters")
+    reports.add_argument("--topic", help="group of the topic reports")
+    reports.add_argument("--phrase", help="pattern of the phrase report")
+    reports.add_argument("--k", type=int, help="length of the rankings")
+    reports.add_argument("--scratch", help="shared folder for intermediate tables")
 
     profile = jobs.add_parser("profile", help="row count, first rows, statistics, NULL counts")
     profile.add_argument("--input", required=True)
@@ -47,6 +55,16 @@ def read_table(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     return read_csv(spark, path) if fmt == "csv" else read_parquet(spark, path)
 
 
+def suite_of(spark: SparkSession, args: argparse.Namespace) -> ReportSuite:
+    """The standard suite, changed by the JSON file and then by the single options."""
+    suite = ReportSuite()
+    if args.parameters:
+        lines = spark.read.text(args.parameters, wholetext=True).first()
+        suite = ReportSuite.from_json(lines["value"])
+    given = {name: getattr(args, name) for name in ("topic", "phrase", "k")}
+    return replace(suite, **{name: value for name, value in given.items() if value is not None})
+
+
 def show_profile(df: DataFrame, rows: int) -> None:
     df.printSchema()
     op.row_count(df).show()
@@ -62,9 +80,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
         run_etl(spark, args.input, args.output, fmt=args.format)
     elif args.job == "lexicon":
         terms = load_lexicon(spark, args.lexicon, comment=args.comment)
-        report = LexiconReport(min_rows=args.min_rows, k=args.k)
-        run_lexicon_report(spark, read_parquet(spark, args.input), terms, args.output, report)
+        group = args.group[0] if len(args.group) == 1 else tuple(args.group)
+        report = LexiconReport(group=group, min_rows=args.min_rows, k=args.k)
+        posts = read_parquet(spark, args.input)
+        run_lexicon_report(spark, posts, terms, args.output, report, scratch=args.scratch)
     elif args.job == "reports":
-        run_report_suite(spark, read_parquet(spark, args.input), args.output)
+        posts = read_parquet(spark, args.input)
+        run_report_suite(spark, posts, args.output, suite_of(spark, args), scratch=args.scratch)
     else:
         show_profile(read_table(spark, args.input, args.format), args.rows)

@@ -1,4 +1,5 @@
 from postlens.functions.flags import first_label, mentions
+from postlens.functions.names import as_list, column_of, columns_of
 from postlens.functions.text import (
     alnum_tokens,
     distinct_hits,
@@ -11,6 +12,9 @@ from postlens.functions.text import (
 
 __all__ = [
     "alnum_tokens",
+    "as_list",
+    "column_of",
+    "columns_of",
     "distinct_hits",
     "english_stopwords",
     "first_label",

@@ -13,6 +13,7 @@ from postlens.operators.lexicon import (
     lexicon_hits,
     lexicon_hits_joined,
     rank_by_rate,
+    vocabulary,
 )
 from postlens.operators.profiling import describe_columns, null_counts, preview, row_count
 from postlens.operators.ranking import active_actors, phrase_trend, top_groups, top_k, top_words
@@ -55,4 +56,5 @@ __all__ = [
     "topic_slice",
     "topic_summary",
     "trim_strings",
+    "vocabulary",
 ]

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType
 
 from postlens.functions import (
     alnum_tokens,
+    column_of,
     english_stopwords,
     split_tokens,
     without_stopwords,
@@ -18,7 +19,8 @@ from postlens.functions import (
 
 def drop_all_null(df: DataFrame) -> DataFrame:
     """Drop rows in which every column is NULL, such as unreadable JSON lines."""
-    return df.dropna(how="all")
+    plain = [f"c{i}" for i in range(len(df.columns))]  # dropna takes no names with dots
+    return df.toDF(*plain).dropna(how="all").toDF(*df.columns)
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
@@ -29,7 +31,7 @@ def trim_strings(df: DataFrame) -> DataFrame:
 
 def tokenize(df: DataFrame, text: str, *, out: str = "content_tokens") -> DataFrame:
     """Add the whitespace tokens of the lower-cased text."""
-    return df.withColumn(out, split_tokens(F.col(text)))
+    return df.withColumn(out, split_tokens(column_of(df, text)))
 
 
 def remove_stopwords(
@@ -45,7 +47,7 @@ def remove_stopwords(
     ``lowered`` saves the case conversion of tokens that are in lower case already.
     """
     listed = english_stopwords() if stopwords is None else stopwords
-    kept = without_stopwords(F.col(tokens), listed, lowered=lowered)
+    kept = without_stopwords(column_of(df, tokens), listed, lowered=lowered)
     return df.withColumn(out or tokens, kept)
 
 
@@ -62,7 +64,7 @@ def normalize_tokens(
     Tokens without any stay as empty strings unless ``drop_empty`` is set.
     ``lowered`` saves the case conversion of tokens that are in lower case already.
     """
-    cleaned = alnum_tokens(F.col(tokens), lowered=lowered)
+    cleaned = alnum_tokens(column_of(df, tokens), lowered=lowered)
     if drop_empty:
         cleaned = F.filter(cleaned, lambda token: token != "")
     return df.withColumn(out or tokens, cleaned)

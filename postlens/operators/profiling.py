@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from postlens.functions import columns_of
+
+DESCRIBED = (
+    "column_name string, count bigint, mean double, stddev double, min string, max string, "
+    "min_number double, max_number double"
+)
+
 
 def preview(
     df: DataFrame,
@@ -19,17 +26,20 @@ def preview(
     """The first n rows: in key order if one is given, else whichever come first.
 
     Without a key only as many partitions as needed are read. ``truncate`` cuts
-    longer strings to that length, the last three characters being dots.
+    longer strings to that length, the last three characters being dots; a length
+    below four leaves no room for them.
     """
     keys = [order_by] if isinstance(order_by, str) else list(order_by or [])
-    rows = (df.orderBy(*keys) if keys else df).limit(n)
+    rows = (df.orderBy(*columns_of(df, keys)) if keys else df).limit(n)
     if truncate is None:
         return rows
     cut = {}
     for field in rows.schema.fields:
         if isinstance(field.dataType, StringType):
             column = rows[f"`{field.name}`"]
-            short = F.concat(F.substring(column, 1, truncate - 3), F.lit("..."))
+            short = F.substring(column, 1, truncate)
+            if truncate > 3:
+                short = F.concat(F.substring(column, 1, truncate - 3), F.lit("..."))
             cut[field.name] = F.when(F.length(column) > truncate, short).otherwise(column)
     return rows.withColumns(cut)
 
@@ -56,7 +66,8 @@ def describe_columns(df: DataFrame) -> DataFrame:
     One row per column. ``min`` and ``max`` are text, exact for every type;
     numeric columns also have them as ``min_number`` and ``max_number``. Mean and
     deviation of a string column cover the values that read as numbers. All
-    columns share one aggregate, and only its single row is unfolded.
+    columns share one aggregate, and only its single row is unfolded. A table without
+    such columns gives no row.
     """
     rows = []
     for field in df.schema.fields:
@@ -81,4 +92,6 @@ def describe_columns(df: DataFrame) -> DataFrame:
                 numeric_bounds[1].alias("max_number"),
             )
         )
+    if not rows:
+        return df.sparkSession.createDataFrame([], DESCRIBED)
     return df.agg(F.array(*rows).alias("columns")).select(F.inline("columns"))

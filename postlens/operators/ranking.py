@@ -12,11 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.functions import mentions, words
-
-
-def as_list(names: str | Sequence[str]) -> list[str]:
-    return [names] if isinstance(names, str) else list(names)
+from postlens.functions import as_list, column_of, columns_of, mentions, words
 
 
 def top_k(
@@ -28,8 +24,8 @@ def top_k(
     ascending: bool = False,
 ) -> DataFrame:
     """Order by a measure and keep k rows (all if ``k`` is None); ties go to the lower key."""
-    lead = F.asc(measure) if ascending else F.desc(measure)
-    ordered = df.orderBy(lead, *[F.asc(key) for key in as_list(keys)])
+    by = column_of(df, measure)
+    ordered = df.orderBy(by.asc() if ascending else by.desc(), *[key.asc() for key in columns_of(df, keys)])
     return ordered if k is None else ordered.limit(k)
 
 
@@ -38,7 +34,7 @@ def top_groups(
 ) -> DataFrame:
     """The k groups with most rows."""
     keys = as_list(group)
-    counted = df.groupBy(*keys).agg(F.count("*").alias(out))
+    counted = df.groupBy(*columns_of(df, keys)).agg(F.count("*").alias(out))
     return top_k(counted, out, keys, k=k)
 
 
@@ -51,7 +47,7 @@ def active_actors(
     out: str = "count",
 ) -> DataFrame:
     """The k actors with most rows, without the sentinel actor and NULL actors."""
-    return top_groups(df.filter(F.col(actor) != F.lit(sentinel)), actor, k=k, out=out)
+    return top_groups(df.filter(column_of(df, actor) != F.lit(sentinel)), actor, k=k, out=out)
 
 
 def phrase_trend(
@@ -64,7 +60,7 @@ def phrase_trend(
     out: str = "help_post_count",
 ) -> DataFrame:
     """The k groups with most rows whose text matches a pattern."""
-    return top_groups(df.filter(mentions(F.col(text), pattern)), group, k=k, out=out)
+    return top_groups(df.filter(mentions(column_of(df, text), pattern)), group, k=k, out=out)
 
 
 def top_words(
@@ -76,5 +72,5 @@ def top_words(
     out: str = "count",
 ) -> DataFrame:
     """The k most frequent words with at least ``min_length`` letters."""
-    exploded = df.select(F.explode(words(F.col(text), min_length)).alias("word"))
+    exploded = df.select(F.explode(words(column_of(df, text), min_length)).alias("word"))
     return top_groups(exploded, "word", k=k, out=out)

@@ -7,13 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.functions import first_label, mentions
+from postlens.functions import column_of, first_label, mentions
 from postlens.operators.ranking import top_groups, top_k
 
 
 def topic_slice(df: DataFrame, group: str, value: object) -> DataFrame:
     """Rows of one group; the filter reaches the Parquet scan."""
-    return df.filter(F.col(group) == F.lit(value))
+    return df.filter(column_of(df, group) == F.lit(value))
 
 
 def mention_crosstab(
@@ -31,8 +31,8 @@ def mention_crosstab(
     """
     names = list(flags)
     return top_k(
-        df.groupBy(*[mentions(F.col(text), flags[name]).alias(name) for name in names]).agg(
-            F.count("*").alias(count), F.avg(length).cast("int").alias(mean)
+        df.groupBy(*[mentions(column_of(df, text), flags[name]).alias(name) for name in names]).agg(
+            F.count("*").alias(count), F.avg(column_of(df, length)).cast("int").alias(mean)
         ),
         count,
         names,
@@ -55,16 +55,17 @@ def categorize(
     Each pattern runs once per row: the flags are columns of their own below the label.
     """
     (label_a, pattern_a), (label_b, pattern_b) = first, second
-    flagged = df.withColumns(
-        {
-            "_first": mentions(F.col(text), pattern_a),
-            "_second": mentions(F.col(text), pattern_b),
-        }
+    flags = "_flags"
+    while flags in df.columns:
+        flags += "_"
+    column = column_of(df, text)
+    flagged = df.withColumn(
+        flags,
+        F.struct(mentions(column, pattern_a).alias("a"), mentions(column, pattern_b).alias("b")),
     )
-    label = first_label(
-        (F.col("_first"), label_a), (F.col("_second"), label_b), both=both, other=other
-    )
-    return flagged.withColumn(out, label).drop("_first", "_second")
+    pair = F.col(flags)
+    label = first_label((pair["a"], label_a), (pair["b"], label_b), both=both, other=other)
+    return flagged.withColumn(out, label).drop(flags)
 
 
 def category_counts(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,10 +14,12 @@ from postlens.operators import (
     lexicon_hits,
     lexicon_hits_joined,
     rank_by_rate,
+    vocabulary,
 )
 from postlens.presets import LexiconReport
 from postlens.sources import (
     LexiconLimits,
+    delete_folder,
     may_broadcast,
     read_parquet,
     scratch_folder,
@@ -28,24 +31,48 @@ from postlens.sources import (
 Lexicon = DataFrame | Sequence[str]
 
 
-def list_or_table(
-    posts: DataFrame, lexicon: Lexicon, limits: LexiconLimits
-) -> tuple[list[str] | None, DataFrame | None]:
-    """The lexicon as a list if the plan should hold it, else as a DataFrame.
+@dataclass(frozen=True)
+class Matching:
+    """How a lexicon is matched: as a list, or as a table with the tokens to settle first."""
 
-    A DataFrame is first written to the scratch folder, so that it is computed
-    once and the terms that are measured are the terms that are joined.
+    terms: list[str] | None = None
+    table: DataFrame | None = None
+    broadcast: bool = False
+    frequent: dict[str, bool] | None = None
+
+
+def choose_matching(
+    posts: DataFrame, lexicon: Lexicon, tokens: str, limits: LexiconLimits, scratch: str
+) -> Matching:
+    """The way to match a lexicon, by measured sizes; the result is the same in any case.
+
+    A table is first written to the scratch folder, so that it is computed once and the
+    terms that are measured are those that are matched. One that is too long for a list
+    is reduced to the terms that occur: one pass counts the vocabulary of the posts,
+    and the size of what is listed in it decides again. The most frequent tokens for
+    the merge join come from the same vocabulary.
     """
     spark = posts.sparkSession
     if not isinstance(lexicon, DataFrame):
         if len(lexicon) <= limits.plan_terms:
-            return list(lexicon), None
+            return Matching(list(lexicon))
         lexicon = spark.createDataFrame([(term,) for term in lexicon], "term string")
-    folder = scratch_folder(spark)
-    write_table(lexicon.toDF("term").dropna().distinct(), folder)
-    stored = read_parquet(spark, folder)
-    terms = terms_if_few(stored, limits)
-    return (None, stored) if terms is None else (terms, None)
+    write_table(lexicon.toDF("term").dropna().distinct(), f"{scratch}/lexicon")
+    table = read_parquet(spark, f"{scratch}/lexicon")
+    terms = terms_if_few(table, limits)
+    if terms is not None:
+        return Matching(terms)
+    write_table(vocabulary(posts, table, tokens=tokens), f"{scratch}/vocabulary")
+    counted = read_parquet(spark, f"{scratch}/vocabulary")
+    write_table(counted.filter("listed").select("term"), f"{scratch}/occurring")
+    occurring = read_parquet(spark, f"{scratch}/occurring")
+    terms = terms_if_few(occurring, limits)
+    if terms is not None:
+        return Matching(terms)
+    if may_broadcast(occurring, limits):
+        return Matching(table=occurring, broadcast=True)
+    rows = frequent_terms(counted, limits.frequent_terms).collect()
+    return Matching(table=occurring, frequent={row["term"]: row["listed"] for row in rows})
 
 
 def post_hits(
@@ -56,20 +83,32 @@ def post_hits(
     tokens: str = "content_tokens",
     out: str = "hits",
     limits: LexiconLimits = LexiconLimits(),
+    scratch: str | None = None,
 ) -> DataFrame:
-    """Key and hits of every post, matched as the measured size of the lexicon allows.
+    """Key and hits of every post, one row for each, matched as the measured sizes allow.
 
-    Where the lexicon is merge-joined, one more scan finds the most frequent tokens;
-    the driver gets as many as the limit says.
+    Keys may repeat or be NULL. A lexicon table starts jobs while the plan is built: they
+    write its terms, and for a long one the vocabulary of the posts, to a folder under
+    ``scratch`` (default: ``spark.checkpoint.dir``), which the result reads. A Python
+    list goes through the driver; pass a long lexicon as a table.
     """
-    terms, table = list_or_table(posts, lexicon, limits)
-    if terms is not None:
-        return lexicon_hits(posts, terms, tokens=tokens, out=out).select(key, out)
-    if may_broadcast(table, limits):
-        return lexicon_hits_joined(posts, table, key=key, broadcast=True, tokens=tokens, out=out)
-    rows = frequent_terms(posts, table, limits.frequent_terms, tokens=tokens).collect()
-    frequent = {row["term"]: row["listed"] for row in rows}
-    return lexicon_hits_joined(posts, table, key=key, frequent=frequent, tokens=tokens, out=out)
+    folder = scratch_folder(posts.sparkSession, scratch) if _needs_scratch(lexicon, limits) else ""
+    how = choose_matching(posts, lexicon, tokens, limits, folder)
+    if how.table is None:
+        return lexicon_hits(posts, how.terms, tokens=tokens, out=out).select(key, out)
+    return lexicon_hits_joined(
+        posts,
+        how.table,
+        key=key,
+        broadcast=how.broadcast,
+        frequent=how.frequent,
+        tokens=tokens,
+        out=out,
+    )
+
+
+def _needs_scratch(lexicon: Lexicon, limits: LexiconLimits) -> bool:
+    return isinstance(lexicon, DataFrame) or len(lexicon) > limits.plan_terms
 
 
 def group_rates(
@@ -78,8 +117,12 @@ def group_rates(
     report: LexiconReport = LexiconReport(),
     *,
     limits: LexiconLimits = LexiconLimits(),
+    scratch: str | None = None,
 ) -> DataFrame:
-    """Rates of all large groups, matched as the measured size of the lexicon allows."""
+    """Rates of all large groups, matched as the measured sizes allow.
+
+    Starts jobs and writes to ``scratch`` as ``post_hits`` does.
+    """
     names = {
         "group": report.group,
         "tokens": report.tokens,
@@ -87,12 +130,11 @@ def group_rates(
         "rate": report.rate_name,
         "count": report.count_name,
     }
-    terms, table = list_or_table(posts, lexicon, limits)
-    if terms is not None:
-        return hit_rate_by_group(posts, terms, **names)
-    return hit_rate_by_group_joined(
-        posts, table, broadcast=may_broadcast(table, limits), **names
-    )
+    folder = scratch_folder(posts.sparkSession, scratch) if _needs_scratch(lexicon, limits) else ""
+    how = choose_matching(posts, lexicon, report.tokens, limits, folder)
+    if how.table is None:
+        return hit_rate_by_group(posts, how.terms, **names)
+    return hit_rate_by_group_joined(posts, how.table, broadcast=how.broadcast, **names)
 
 
 def run_lexicon_report(
@@ -101,20 +143,26 @@ def run_lexicon_report(
     lexicon: Lexicon,
     output: str,
     report: LexiconReport = LexiconReport(),
+    *,
+    scratch: str | None = None,
 ) -> dict[str, str]:
     """Write both rankings under ``output``; returns their paths by report name.
 
     The posts are scanned once: the rates, one row per large group, are written
-    to the scratch folder and both rankings read them from there.
+    to a folder under ``scratch`` (default: ``spark.checkpoint.dir``) and both rankings
+    read them from there. The folder is deleted at the end.
     """
-    folder = scratch_folder(spark)
-    write_table(group_rates(posts, lexicon, report), folder)
-    rates = read_parquet(spark, folder)
+    folder = scratch_folder(spark, scratch)
     paths = {}
-    for name, least in ((report.most_name, False), (report.least_name, True)):
-        ranked = rank_by_rate(
-            rates, group=report.group, rate=report.rate_name, k=report.k, least=least
-        )
-        paths[name] = f"{output.rstrip('/')}/{name}"
-        write_report(ranked, paths[name])
+    try:
+        write_table(group_rates(posts, lexicon, report, scratch=folder), f"{folder}/rates")
+        rates = read_parquet(spark, f"{folder}/rates")
+        for name, least in ((report.most_name, False), (report.least_name, True)):
+            ranked = rank_by_rate(
+                rates, group=report.group, rate=report.rate_name, k=report.k, least=least
+            )
+            paths[name] = f"{output.rstrip('/')}/{name}"
+            write_report(ranked, paths[name])
+    finally:
+        delete_folder(spark, folder)
     return paths

@@ -6,7 +6,8 @@ defaults that the jobs use for a corpus of forum posts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, fields
 
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -32,7 +33,7 @@ class LexiconReport:
     """Parameters of the most / least lexicon use report."""
 
     # Column names, the group size threshold and the report length.
-    group: str = "subreddit"
+    group: str | tuple[str, ...] = "subreddit"
     tokens: str = "content_tokens"
     rate_name: str = "avg_swear_words_per_post"
     count_name: str = "post_count"
@@ -78,3 +79,18 @@ class ReportSuite:
     words_name: str = "top_words"
     crosstab_name: str = "lol_nerf_vs_buff"
     categories_name: str = "lol_esports_vs_casual"
+
+    @classmethod
+    def from_json(cls, text: str) -> ReportSuite:
+        """A suite with some parameters replaced, from a JSON object by their names.
+
+        ``flags`` and ``categories`` are lists of pairs, a name and a pattern.
+        """
+        values = json.loads(text)
+        unknown = set(values) - {field.name for field in fields(cls)}
+        if unknown:
+            raise ValueError(f"unknown report parameters: {', '.join(sorted(unknown))}")
+        for name in ("flags", "categories"):
+            if name in values:
+                values[name] = tuple((str(label), str(pattern)) for label, pattern in values[name])
+        return cls(**values)

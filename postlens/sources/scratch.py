@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_folders: list[tempfile.TemporaryDirectory] = []
 
+def scratch_folder(spark: SparkSession, parent: str | None = None) -> str:
+    """A new, unused path under ``parent``, else under the folder of ``spark.checkpoint.dir``.
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new, unused path in the shared folder that ``spark.checkpoint.dir`` names.
-
-    Tables written there survive the loss of executors. Where the setting is
-    missing, a local session gets a temporary folder that goes with the process;
-    a cluster session gets an error, as its executors share no local disk.
+    Either must be a folder that all executors can reach; tables written there
+    survive the loss of executors.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/postlens-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    parent = parent or spark.conf.get("spark.checkpoint.dir", None)
+    if not parent:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.TemporaryDirectory(prefix="postlens-")
-    _local_folders.append(folder)
-    return f"{folder.name}/table"
+    return f"{parent.rstrip('/')}/postlens-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the store that its path names; nothing happens if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from postlens.sources.readers import CSV_OPTIONS
+
 FORMATS = ("parquet", "json", "csv")
+TABLE_FORMATS = ("parquet", "json")  # those that hold arrays, as cleaned posts have
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write a table with one file per task, as Parquet, JSON lines or CSV with a header."""
+    r"""Write a table with one file per task, as Parquet, JSON lines or CSV with a header.
+
+    In CSV a NULL is ``\N``, so a text of just these two characters comes back as NULL.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}, expected one of {', '.join(FORMATS)}")
     writer = df.write.mode("overwrite")
@@ -21,7 +27,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         ]
         if nested:
             raise ValueError(f"CSV cannot hold nested columns: {', '.join(nested)}")
-        writer.csv(path, header=True)
+        writer.options(**CSV_OPTIONS).csv(path, header=True)
     elif fmt == "json":
         writer.json(path)
     else:

@@ -119,6 +119,75 @@ def test_lexicon_size_does_not_change_the_result(spark, cleaned, limits, as_tabl
     assert [row["hits"] for row in hits.orderBy("id").collect()] == [0, 0, 0, 0, 1, 0, 0, 2]
 
 
+ROWS = [("a", ["x", "y"]), ("a", ["x", "y"]), (None, ["x"]), (None, ["x", "y"]), ("b", None), ("b", ["x"]), ("b", [])]
+
+
+@pytest.mark.parametrize(
+    "limits",
+    [
+        LexiconLimits(),
+        LexiconLimits(plan_terms=2),  # four listed terms, two of which occur
+        LexiconLimits(plan_terms=0),
+        LexiconLimits(plan_terms=0, broadcast_bytes=0),
+        LexiconLimits(plan_terms=0, broadcast_bytes=0, frequent_terms=1),
+        LexiconLimits(plan_terms=0, broadcast_bytes=0, frequent_terms=0),
+    ],
+)
+def test_repeated_and_null_keys_give_one_row_for_each_post(spark, limits):
+    posts = spark.createDataFrame(ROWS * 3, "key string, content_tokens array<string>")
+    lexicon = spark.createDataFrame([(t,) for t in ("x", "y", "z", "w", None)], "term string")
+    expected = sorted(
+        ((key, None if tokens is None else len(tokens)) for key, tokens in ROWS * 3), key=repr
+    )
+    hits = post_hits(posts, lexicon, key="key", limits=limits)
+    assert sorted(map(tuple, hits.collect()), key=repr) == expected
+    rates = group_rates(posts, lexicon, LexiconReport(group="key", min_rows=0), limits=limits)
+    got = {row["key"]: (row["avg_swear_words_per_post"], row["post_count"]) for row in rates.collect()}
+    assert got == {"a": (2.0, 6), None: (1.5, 6), "b": (0.5, 9)}
+
+
+def test_null_terms_of_a_list_match_nothing(spark):
+    posts = spark.createDataFrame(ROWS, "key string, content_tokens array<string>")
+    hits = post_hits(posts, ["x", None], key="key").collect()
+    assert [row["hits"] for row in hits] == [1, 1, 1, 1, None, 1, 0]
+
+
+def test_a_long_lexicon_is_reduced_to_the_terms_that_occur(spark, tmp_path):
+    posts = spark.createDataFrame(ROWS, "key string, content_tokens array<string>")
+    lexicon = spark.createDataFrame([(f"t{i}",) for i in range(50)] + [("x",)], "term string")
+    hits = post_hits(posts, lexicon, key="key", limits=LexiconLimits(plan_terms=5), scratch=str(tmp_path))
+    (folder,) = tmp_path.iterdir()
+    occurring = spark.read.parquet(str(folder / "occurring")).collect()
+    assert [row["term"] for row in occurring] == ["x"]
+    assert "Join" not in hits._jdf.queryExecution().executedPlan().toString()
+
+
+def test_jobs_leave_nothing_in_the_scratch_folder(spark, cleaned, tmp_path):
+    posts = spark.read.parquet(cleaned)
+    scratch = tmp_path / "scratch"
+    lexicon = spark.createDataFrame([("damn",)], "term string")
+    report_options = LexiconReport(min_rows=0)
+    run_lexicon_report(spark, posts, lexicon, f"{tmp_path}/a", report_options, scratch=str(scratch))
+    run_report_suite(spark, posts, f"{tmp_path}/b", scratch=str(scratch))
+    assert list(scratch.iterdir()) == []
+
+
+def test_several_group_columns(spark, cleaned, tmp_path):
+    posts = spark.read.parquet(cleaned)
+    lexicon = ["damn", "heck"]
+    report_options = LexiconReport(group=("subreddit", "author"), min_rows=0, k=1)
+    paths = run_lexicon_report(spark, posts, lexicon, str(tmp_path), report_options)
+    header = ["subreddit", "author", "avg_swear_words_per_post", "post_count"]
+    assert report(paths["most_swearing"]) == [header, ["pics", "bob", "2.0", "1"]]
+    rates = [
+        group_rates(posts, lexicon, report_options, limits=limits)
+        for limits in (LexiconLimits(), LexiconLimits(plan_terms=0), LexiconLimits(plan_terms=0, broadcast_bytes=0))
+    ]
+    assert all(df.columns == header for df in rates)
+    first, *others = (sorted(map(tuple, df.collect()), key=repr) for df in rates)
+    assert all(rows == first for rows in others)
+
+
 def test_report_suite(spark, cleaned, tmp_path):
     paths = run_report_suite(spark, spark.read.parquet(cleaned), str(tmp_path))
     assert report(paths["top_subreddits"]) == [
@@ -205,3 +274,34 @@ def test_command_line(spark, raw, tmp_path):
     names = {path.name for path in (out / "reports").iterdir()}
     assert len(names) == 8
     assert report(out / "reports" / "most_swearing")[1] == ["pics", "1.0", "2"]
+
+
+def test_command_line_parameters(spark, raw, tmp_path):
+    out = tmp_path
+    (out / "lexicon.txt").write_text("damn\nheck\n")
+    parameters = out / "suite.json"
+    parameters.write_text(json.dumps({"k": 2, "flags": [["mentions_help", "(?i)help"]], "phrase": "nothing"}))
+    main(["etl", "--input", raw, "--output", f"{out}/clean", "--format", "parquet"])
+    main(
+        ["lexicon", "--input", f"{out}/clean", "--lexicon", f"{out}/lexicon.txt", "--output", f"{out}/reports"]
+        + ["--min-rows", "0", "--group", "subreddit", "author", "--scratch", f"{out}/scratch"]
+    )
+    main(
+        ["reports", "--input", f"{out}/clean", "--output", f"{out}/reports", "--parameters", str(parameters)]
+        + ["--topic", "help", "--phrase", "(?i)pictures", "--k", "1"]
+    )
+    reports = out / "reports"
+    assert report(reports / "most_swearing")[1][:2] == ["pics", "bob"]
+    assert report(reports / "top_subreddits") == [["subreddit", "count"], [LOL, "4"]]
+    assert report(reports / "help_requests")[1:] == [["pics", "2"]]
+    assert report(reports / "lol_nerf_vs_buff") == [
+        ["mentions_help", "total_posts", "avg_post_length"],
+        ["true", "2", "29"],
+    ]
+
+
+def test_wrong_parameters_are_refused(raw):
+    with pytest.raises(SystemExit):
+        main(["etl", "--input", raw, "--output", "x", "--format", "csv"])
+    with pytest.raises(ValueError, match="unknown report parameters: topics"):
+        ReportSuite.from_json('{"topics": "x"}')

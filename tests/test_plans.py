@@ -31,7 +31,10 @@ def documents(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+LLM = set() if registry.llm is None else {*registry.llm.queries(), "pipeline"}
+
+
+@pytest.mark.parametrize("name", [name for name in registry.queries() if name not in LLM])
 def test_no_plan_runs_python_or_a_cross_join(spark, sf_dir, name):
     plan = plan_of(registry.queries()[name](spark, sf_dir))
     for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -82,7 +85,7 @@ def test_sentinel_filter_reaches_the_scan(spark, sf_dir):
         ("active_actors", "struct<user_id:bigint>"),
         ("phrase_trend", "struct<text:string,source:string>"),
         ("word_count_topk", "struct<text:string>"),
-        ("lexicon_rate_by_group", "struct<text:string,source:string>"),
+        ("lexicon_rate_by_group", "struct<text:string,lang:string,n_chars:bigint>"),
         ("mention_crosstab", "struct<text:string,n_chars:bigint>"),
         ("row_count", "struct<>"),
     ],
@@ -125,10 +128,12 @@ def test_frequent_tokens_do_not_reach_the_join(spark):
         F.array(F.lit("hot"), F.lit("cool"), F.col("id").cast("string")).alias("content_tokens"),
     )
     lexicon = spark.createDataFrame([("hot",), ("7",), ("x",)], "term string")
-    rows = op.frequent_terms(posts, lexicon, 2).collect()
+    counted = op.vocabulary(posts, lexicon)
+    assert counted.filter("listed").count() == 2
+    rows = op.frequent_terms(counted, 2).collect()
     frequent = {row["term"]: row["listed"] for row in rows}
     assert frequent == {"hot": True, "cool": False}
-    exploded = explode_terms(posts, "content_tokens", "key", frequent)
+    exploded = explode_terms(posts, "content_tokens", {"key": F.col("key")}, frequent)
     largest = exploded.dropna(subset="_term").groupBy("_term").count().agg(F.max("count"))
     assert largest.first()[0] == 1
     hits = op.lexicon_hits_joined(posts, lexicon, key="key", frequent=frequent)
@@ -140,12 +145,32 @@ def test_row_marks_spread_over_the_join_partitions(documents):
     lexicon = documents.sparkSession.range(5).select(F.col("id").cast("string").alias("term"))
     plan = plan_of(op.lexicon_hits_joined(tokens, lexicon, key="doc_id"))
     assert re.search(r"hashpartitioning\(_term#\d+, _spread#\d+", plan)
-    assert re.search(r"CASE WHEN isnull\(_term#\d+\) THEN hash\(doc_id", plan)
+    assert re.search(r"CASE WHEN isnull\(_term#\d+\) THEN hash\(_key#\d+L?, _cell", plan)
+
+
+def test_no_partition_of_the_group_join_holds_all_row_marks_or_a_hot_token(spark):
+    posts = spark.range(4000).select(
+        F.col("id").cast("string").alias("grp"),
+        F.array(F.lit("hot"), F.col("id").cast("string")).alias("content_tokens"),
+    )
+    lexicon = spark.createDataFrame([("hot",), ("7",)], "term string")
+    rates = op.hit_rate_by_group_joined(posts, lexicon, group="grp", min_rows=0)
+    plan = plan_of(rates)
+    assert re.search(r"hashpartitioning\(_term#\d+, _spread#\d+", plan)
+    assert rates.groupBy("avg_hits").count().orderBy("avg_hits").collect() == [(1.0, 3999), (2.0, 1)]
+    # The same join keys as the plan's: 4000 row marks, 4000 of the hot token, 4000 others.
+    marks = posts.select(F.hash("grp").alias("place"))
+    keys = marks.select(F.lit(None).cast("string").alias("t"), "place").union(
+        marks.select(F.lit("hot"), F.pmod("place", F.lit(16)))
+    )
+    sizes = keys.repartition(8, "t", "place").groupBy(F.spark_partition_id()).count()
+    assert sizes.agg(F.max("count")).first()[0] < 8000 / 8 * 2.5
 
 
 def test_exploded_rows_do_not_carry_or_rebuild_the_token_array(documents):
     tokens = op.tokenize(documents, "text", out="content_tokens")
-    plan = plan_of(explode_terms(tokens, "content_tokens", "doc_id", {"a": True, "b": False}))
+    carry = {"doc_id": F.col("doc_id")}
+    plan = plan_of(explode_terms(tokens, "content_tokens", carry, {"a": True, "b": False}))
     assert "[doc_id" in plan and plan.count("split(") == 1
     generate = re.split(r"\n\(\d+\) Generate", plan)[1].split("\n\n")[0]
     carried = generate.split("Arguments: ")[1].split("), [")[1].split("]")[0]

@@ -402,3 +402,56 @@ def test_preview_orders_and_truncates(spark):
     rows = op.preview(df, 3, order_by="id", truncate=20).collect()
     assert [tuple(row) for row in rows] == [(1, "y" * 17 + "..."), (2, None), (3, "x" * 20)]
     assert op.preview(df, 2).count() == 2
+
+
+def test_preview_cuts_without_dots_below_four(spark):
+    df = spark.createDataFrame([("abcdef",)], "text string")
+    cut = {n: op.preview(df, 1, truncate=n).first()["text"] for n in (1, 3, 4, 6)}
+    assert cut == {1: "a", 3: "abc", 4: "a...", 6: "abcdef"}
+
+
+def test_describe_without_such_columns_has_no_rows(spark):
+    described = op.describe_columns(spark.sql("SELECT true AS b, current_date() AS d"))
+    assert described.collect() == []
+    assert described.dtypes == op.describe_columns(spark.range(1)).dtypes
+
+
+def test_categorize_keeps_the_callers_columns(spark):
+    df = spark.createDataFrame([("x y", 1, 2, 3)], "t string, _first int, _second int, _flags int")
+    labelled = op.categorize(df, "t", ("A", "x"), ("B", "y"))
+    assert labelled.columns == ["t", "_first", "_second", "_flags", "discussion_type"]
+    assert tuple(labelled.first()) == ("x y", 1, 2, 3, "Both")
+
+
+def test_names_may_hold_dots(spark):
+    df = spark.createDataFrame([("The cat need help", "g", 5)], "`a.b` string, `g.h` string, `n.m` int")
+    tokens = df.transform(op.tokenize, "a.b", out="t.u")
+    assert tokens.first()["t.u"] == ["the", "cat", "need", "help"]
+    assert tokens.transform(op.remove_stopwords, "t.u").first()["t.u"] == ["cat", "need", "help"]
+    assert tokens.transform(op.normalize_tokens, "t.u").first()["t.u"][0] == "the"
+    assert op.clean_posts(df, text="a.b").first()["content_tokens"] == ["cat", "need", "help"]
+    assert op.lexicon_hits(tokens, ["cat"], tokens="t.u").first()["hits"] == 1
+    lexicon = spark.createDataFrame([("cat",)], "term string")
+    rates = [op.hit_rate_by_group(tokens, ["cat"], group="g.h", min_rows=0, tokens="t.u")]
+    rates += [
+        op.hit_rate_by_group_joined(tokens, lexicon, group="g.h", min_rows=0, tokens="t.u", broadcast=b)
+        for b in (True, False)
+    ]
+    for df_rates in rates:
+        assert df_rates.columns == ["g.h", "avg_hits", "post_count"]
+        assert tuple(op.rank_by_rate(df_rates, group="g.h").first()) == ("g", 1.0, 1)
+    hits = op.lexicon_hits_joined(tokens, lexicon, key="g.h", tokens="t.u")
+    assert hits.columns == ["g.h", "hits"] and tuple(hits.first()) == ("g", 1)
+    assert tuple(op.top_groups(df, "g.h").first()) == ("g", 1)
+    assert tuple(op.active_actors(df, "g.h").first()) == ("g", 1)
+    assert tuple(op.phrase_trend(df, "a.b", "help", "g.h").first()) == ("g", 1)
+    assert op.top_words(df, "a.b", min_length=4, k=1).first()["word"] == "help"
+    assert op.topic_slice(df, "g.h", "g").count() == 1
+    assert op.mention_crosstab(df, "a.b", "n.m", {"f.x": "cat"}).first()["avg_post_length"] == 5
+    assert op.categorize(df, "a.b", ("A", "cat"), ("B", "dog")).first()["discussion_type"] == "A"
+    assert op.preview(df, 1, order_by="n.m", truncate=3).first()["a.b"] == "The"
+
+
+def test_struct_fields_still_serve_as_names(spark):
+    df = spark.sql("SELECT named_struct('t', 'a b') AS s")
+    assert op.tokenize(df, "s.t").first()["content_tokens"] == ["a", "b"]

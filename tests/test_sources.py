@@ -128,7 +128,38 @@ def test_scratch_uses_the_checkpoint_folder():
     assert first != second
 
 
-def test_scratch_is_local_only_for_local_sessions():
-    assert src.scratch_folder(FakeSession(spark_master="local[2]"))
+def test_scratch_takes_a_folder_and_needs_one():
+    assert src.scratch_folder(FakeSession(), "s3://b/x/").startswith("s3://b/x/postlens-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        src.scratch_folder(FakeSession(spark_master="yarn"))
+        src.scratch_folder(FakeSession(spark_master="local[2]"))
+
+
+def test_delete_folder(spark, tmp_path):
+    path = f"file://{tmp_path}/table"
+    spark.range(3).write.parquet(path)
+    src.delete_folder(spark, path)
+    src.delete_folder(spark, path)
+    assert list(tmp_path.iterdir()) == []
+
+
+TEXTS = [
+    None, "", " lead", "tail\t ", "a\nb", "a\r\nb\rc", 'quo"te', '"', "back\\slash\\", "\\", ",", " ", "#x", "é🙂\u2028", "\n",
+]
+
+
+def test_csv_keeps_every_text(spark, tmp_path):
+    rows = [(i, text, "x") for i, text in enumerate(TEXTS)]
+    df = spark.createDataFrame(rows, "id int, text string, last string").coalesce(1)
+    src.write_table(df, f"{tmp_path}/t", "csv")
+    back = src.read_csv(spark, f"{tmp_path}/t", df.schema, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == rows
+    src.write_report(df.orderBy("id"), f"{tmp_path}/r")
+    back = src.read_csv(spark, f"{tmp_path}/r", df.schema, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == rows
+
+
+def test_csv_without_line_breaks_needs_no_multi_line(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(TEXTS) if t is None or not set(t) & {"\n", "\r"}]
+    df = spark.createDataFrame(rows, "id int, text string")
+    src.write_table(df, f"{tmp_path}/t", "csv")
+    assert sorted(map(tuple, src.read_csv(spark, f"{tmp_path}/t", df.schema).collect())) == rows
