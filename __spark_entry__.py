@@ -356,7 +356,7 @@ def top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def active_actors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.active_actors(table(spark, sf_dir, "events"), "user_id", sentinel=8)
+    return op.active_actors(table(spark, sf_dir, "events"), "user_id", sentinel=149)
 
 
 def phrase_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -665,7 +665,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT source, lang, count(*) AS "count" FROM documents GROUP BY source, lang
             ORDER BY 3 DESC, 1, 2 LIMIT 10""",
         "active_actors": """
-            SELECT user_id, count(*) AS "count" FROM events WHERE user_id <> 8
+            SELECT user_id, count(*) AS "count" FROM events WHERE user_id <> 149
             GROUP BY user_id ORDER BY 2 DESC, 1 LIMIT 10""",
         "phrase_trend": f"""
             SELECT source, count(*) AS help_post_count FROM documents

@@ -75,7 +75,7 @@ def test_slice_filter_reaches_the_scan(documents):
 
 def test_sentinel_filter_reaches_the_scan(spark, sf_dir):
     plan = plan_of(registry.queries()["active_actors"](spark, sf_dir))
-    assert "Not(EqualTo(user_id,8))" in plan
+    assert "Not(EqualTo(user_id,149))" in plan
 
 
 @pytest.mark.parametrize(
