@@ -22,6 +22,7 @@ def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
     etl.add_argument("--input", required=True)
     etl.add_argument("--output", required=True)
     etl.add_argument("--format", choices=TABLE_FORMATS, default="parquet")
+    etl.add_argument("--cluster-by", help="column to sort the table by, at the cost of a shuffle")
 
     lexicon = jobs.add_parser("lexicon", help="groups that use a lexicon most and least")
     lexicon.add_argument("--input", required=True, help="cleaned Parquet table")
@@ -77,7 +78,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     args = parse(arguments)
     spark = SparkSession.builder.appName(f"postlens-{args.job}").getOrCreate()
     if args.job == "etl":
-        run_etl(spark, args.input, args.output, fmt=args.format)
+        run_etl(spark, args.input, args.output, fmt=args.format, cluster_by=args.cluster_by)
     elif args.job == "lexicon":
         terms = load_lexicon(spark, args.lexicon, comment=args.comment)
         group = args.group[0] if len(args.group) == 1 else tuple(args.group)

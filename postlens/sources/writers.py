@@ -11,14 +11,18 @@ FORMATS = ("parquet", "json", "csv")
 TABLE_FORMATS = ("parquet", "json")  # those that hold arrays, as cleaned posts have
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", *, rows_per_file: int | None = None
+) -> None:
     r"""Write a table with one file per task, as Parquet, JSON lines or CSV with a header.
 
-    In CSV a NULL is ``\N``, so a text of just these two characters comes back as NULL.
+    ``rows_per_file`` splits the files of a task further. In CSV a NULL is ``\N``, so a text of just these two characters comes back as NULL.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}, expected one of {', '.join(FORMATS)}")
     writer = df.write.mode("overwrite")
+    if rows_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     if fmt == "csv":
         nested = [
             field.name

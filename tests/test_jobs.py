@@ -81,6 +81,17 @@ def test_etl_writes_json_too(spark, raw, cleaned, tmp_path):
     assert sorted(back.collect(), key=str) == sorted(expected.collect(), key=str)
 
 
+def test_etl_clusters_by_a_column_in_bounded_files(spark, raw, cleaned, tmp_path):
+    path = str(tmp_path / "clustered")
+    run_etl(spark, raw, path, cluster_by="subreddit", rows_per_file=2)
+    expected = spark.read.parquet(cleaned)
+    assert sorted(spark.read.parquet(path).collect(), key=str) == sorted(expected.collect(), key=str)
+    files = [spark.read.parquet(str(f)).select("subreddit").collect() for f in sorted(Path(path).glob("part-*"))]
+    assert all(len(rows) <= 2 for rows in files)
+    groups = [row["subreddit"] for rows in files for row in rows]
+    assert groups == sorted(groups)
+
+
 def test_lexicon_report(spark, cleaned, tmp_path):
     posts = spark.read.parquet(cleaned)
     paths = run_lexicon_report(
