@@ -55,11 +55,17 @@ def input_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches, so that Python objects of few texts live at once."""
+def slices(batches: Iterator[pa.RecordBatch], size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that Python objects of few texts live at once.
+
+    ``ROWS_AT_ONCE`` rows, or as many as have about ``size`` bytes on average.
+    """
     for batch in batches:
-        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(start, ROWS_AT_ONCE)
+        rows = ROWS_AT_ONCE
+        if size is not None:
+            rows = max(1, batch.num_rows * size // max(batch.nbytes, 1))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def map_texts(

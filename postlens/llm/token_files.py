@@ -14,26 +14,30 @@ can write and are committed by task: ``frequencies`` and ``blocks``.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from tokenizers import Encoding, Tokenizer
 
-from postlens.llm.common import input_tasks, map_texts, shared_folder, slices
+from postlens.llm.common import input_tasks, shared_folder, slices
 
 LOW = np.uint64(1 << 31)  # states stay in [LOW, LOW << 32)
 LANES = 2048
 SEGMENT_STEPS = 256
 BLOCK_TOKENS = LANES * SEGMENT_STEPS
-CACHED_WORDS = 1_200_000
+SLICE_BYTES = 8 << 20
+CACHED_WORDS, CACHED_BARES = 1_600_000, 50_000
 JOINED = 500
-SPACES = re.compile(r"\s\s")
+SPACES = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}"  # adjacent white space of any kind, for Arrow
+STEM = re.compile(r"(\n?[^\W\d_]+)[!-/:-@\[-`{-~]+")
 
 SEGMENT = "struct<states: binary, words: binary, crc32: bigint>"
 _encoders: dict[str, WordEncoder] = {}
@@ -113,17 +117,18 @@ class Rans:
 class WordEncoder:
     """The tokenizer over whole texts, through a bounded cache of their words.
 
-    Byte-level BPE never joins what a lone space between other characters
+    Byte-level BPE never joins what a lone space or line break between other characters
     separates, so the ids of a text without adjacent white space are those of its
-    words, each with the space before it. Any other text is encoded in one call.
+    words, each with the space or line break before it. Any other text is encoded in one call.
     """
 
     def __init__(self, definition: str, dtype: str):
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.dtype = dtype
-        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_break = self.encode("\n")
         self.words: dict[str, bytes] = {}
+        self.bares: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -131,57 +136,89 @@ class WordEncoder:
     def batch(self, texts: list[str]) -> list[Encoding]:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
-    def add_plain(self, words: list[str]) -> None:
-        """Words without white space, joined by line breaks, which are tokens of their own."""
+    def add_joined(self, words: list[str], prefix: str) -> None:
+        """Words that neither begin nor end with white space, joined by line breaks, which are
+        tokens of their own; as they follow a space or a line break."""
+        between, before = ("\n", self.line_break) if prefix else ("\n ", b"")
         joined = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
-        for part, encoding in zip(joined, self.batch([" " + "\n ".join(part) for part in joined])):
+        texts = [between[1:] + between.join(part) for part in joined]
+        for part, encoding in zip(joined, self.batch(texts)):
             ids = np.array(encoding.ids, self.dtype)
-            breaks = np.flatnonzero(ids == self.line_break) * ids.itemsize
+            breaks = np.flatnonzero(ids == np.frombuffer(self.line_break, self.dtype)) * ids.itemsize
             if len(breaks) != len(part) - 1:
                 raise RuntimeError("the tokenizer does not keep line breaks apart")
             blob, begins = ids.tobytes(), [0, *(breaks + ids.itemsize).tolist()]
             for word, begin, end in zip(part, begins, [*breaks.tolist(), None]):
-                self.words[word] = blob[begin:end]
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        split = [None if not t or SPACES.search(t) else t.split(" ") for t in texts]
-        new = set().union(*(words[1:] for words in split if words)).difference(self.words)
-        if len(self.words) + len(new) > CACHED_WORDS:
+                self.words[prefix + word] = before + blob[begin:end]
+
+    def add(self, words: set[str]) -> None:
+        """Words that follow a space, or a line break if they begin with it.
+
+        Letters before punctuation are a word of their own.
+        """
+        stems = {w: m[1] for w in words if not w[-1:].isalnum() and (m := STEM.fullmatch(w)) and m[1][-1:].isalpha()}
+        stems = {w: stem for w, stem in stems.items() if stem.lstrip("\n").isalpha()}
+        new = {stems.get(w, w) for w in words}.difference(self.words)
+        odd = [w for w in new if not w or w[-1].isspace()]
+        new.difference_update(odd)
+        self.add_joined([w for w in new if w[0] != "\n"], "")
+        self.add_joined([w[1:] for w in new if w[0] == "\n"], "\n")
+        for word in odd:
+            self.words[word] = self.encode(word if word[:1] == "\n" else " " + word)
+        for word, stem in stems.items():
+            self.words[word] = self.words[stem] + self.bare(word[len(stem) :])
+
+    def bare(self, text: str) -> bytes:
+        """A short text by itself: punctuation after a word, or the first word of a text."""
+        found = self.bares.get(text)
+        if found is None:
+            if len(self.bares) >= CACHED_BARES:
+                self.bares.clear()
+            found = self.bares[text] = self.encode(text)
+        return found
+
+    def spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of words with what is before them."""
+        if len(self.words) > CACHED_WORDS:
             self.words.clear()
-            new = set().union(*(words[1:] for words in split if words))
-        plain = [w for w in new if w and "\n" not in w and not w[0].isspace() and not w[-1].isspace()]
-        self.add_plain(plain)
-        odd = list(new.difference(plain))
-        for word, encoding in zip(odd, self.batch([" " + w for w in odd])):
-            self.words[word] = np.array(encoding.ids, self.dtype).tobytes()
-        get = self.words.__getitem__
+        found = list(map(self.words.get, words))
+        if None in found:
+            self.add({word for word, ids in zip(words, found) if ids is None})
+            found = [ids or self.words[word] for word, ids in zip(words, found)]
+        return found
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text. Arrow splits them and finds their different words."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.or_(pc.equal(pc.binary_length(texts), 0), pc.match_substring_regex(texts, SPACES))
+        lines = pc.replace_substring(texts.filter(pc.invert(whole)), "\n", " \n")
+        plain = pc.split_pattern(lines, " ")
+        coded = plain.flatten().dictionary_encode()
+        begins = plain.offsets.to_numpy()
+        places = coded.indices.to_numpy().astype(np.int64)
+        different = coded.dictionary.to_pylist()
+        first = [different[i] for i in places[begins[:-1]]]  # these follow no space
+        values = pa.array([*self.spaced(different), *map(self.bare, first)], pa.binary())
+        places[begins[:-1]] = len(different) + np.arange(len(first))
+        ids = values.take(pa.array(places))
+        cuts = np.frombuffer(ids.buffers()[1], np.int32)[begins].tolist() if len(ids) else []
+        blob = ids.buffers()[2].to_pybytes() if len(ids) else b""
+        plain_ids = iter([blob[i:j] for i, j in zip(cuts, cuts[1:])])
         return [
-            self.encode(text or "") if words is None
-            else self.encode(words[0]) + b"".join(map(get, words[1:]))
-            for text, words in zip(texts, split)
-        ]
+            self.encode(text.as_py()) if alone else next(plain_ids)
+            for text, alone in zip(texts, whole.to_pylist())
+        ]
 
 
 def _encoder(definition: str, dtype: str) -> WordEncoder:
     name = hashlib.sha256(definition.encode()).hexdigest()
     if name not in _encoders:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to other tasks
         _encoders.clear()
         _encoders[name] = WordEncoder(definition, dtype)
     return _encoders[name]
 
 
-def _counted(ids: DataFrame, dtype: str, size: int) -> DataFrame:
-    def count(batches):
-        counts = np.zeros(size, np.int64)
-        for batch in batches:
-            blob = b"".join(batch.column(0).to_pylist())
-            counts += np.bincount(np.frombuffer(blob, dtype), minlength=size)
-        symbols = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(symbols), pa.array(counts[symbols])], ["symbol", "n"])
-
-    return ids.mapInArrow(count, "symbol bigint, n bigint").groupBy("symbol").agg(F.sum("n").alias("n"))
-
-
 def write_token_files(
     docs: DataFrame,
     path: str,
@@ -205,20 +242,43 @@ def write_token_files(
     dtype = "<u2" if size <= 1 << 16 else "<u4"
     shared = spark.sparkContext.broadcast(definition)
 
-    def make():
-        encoder = _encoder(shared.value, dtype)
-        end = np.array([end_id], dtype).tobytes()
-        return lambda texts: [pa.array([ids + end for ids in encoder.encode_all(texts)], pa.binary())]
-
     rows = docs.select(
         F.col(id).alias("id"), F.monotonically_increasing_id().alias("tie"), F.col(text).alias("text")
     )
+    schema = StructType([rows.schema["id"], rows.schema["tie"], *StructType.fromDDL("ids binary, counts binary")])
+
+    def encode(batches):
+        """The documents, and at the end of a task one row with its counts of ids."""
+        encoder = _encoder(shared.value, dtype)
+        end = np.array([end_id], dtype).tobytes()
+        counts, id_type = np.zeros(size, np.int64), None
+        for batch in slices(batches, SLICE_BYTES):
+            id_type = batch.schema.field("id").type
+            ids = [ids + end for ids in encoder.encode_all(batch.column(2))]
+            counts += np.bincount(np.frombuffer(b"".join(ids), dtype), minlength=size)
+            columns = [batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        if id_type is not None:
+            blob = pa.array([counts.astype("<i8").tobytes()], pa.binary())
+            columns = [pa.nulls(1, id_type), pa.array([-1]), pa.nulls(1, pa.binary()), blob]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
     folder = shared_folder(spark, "tokens")
-    map_texts(rows, "text", make, "ids binary").write.option("compression", "zstd").parquet(folder)
-    encoded = spark.read.parquet(folder)
+    rows.mapInArrow(encode, schema).write.option("compression", "zstd").parquet(folder)
+    stored_rows = spark.read.schema(schema).parquet(folder)
+    encoded = stored_rows.filter("ids IS NOT NULL").select("id", "tie", "ids")
+
+    def sum_up(batches):
+        counts = np.zeros(size, np.int64)
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                counts += np.frombuffer(blob, "<i8")
+        symbols = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(symbols), pa.array(counts[symbols])], ["symbol", "n"])
 
+    counted = stored_rows.filter("counts IS NOT NULL").select("counts").mapInArrow(sum_up, "symbol bigint, n bigint")
     counts = np.zeros(size, np.int64)
-    for symbol, n in _counted(encoded.select("ids"), dtype, size).collect():
+    for symbol, n in counted.groupBy("symbol").agg(F.sum("n")).collect():
         counts[symbol] = n
     scaled = scaled_frequencies(counts)
     table = [(int(s), int(scaled[s])) for s in np.flatnonzero(scaled)]
@@ -226,7 +286,7 @@ def write_token_files(
 
     coder = spark.sparkContext.broadcast(scaled)
     id_type = encoded.schema["id"].dataType
-    schema = StructType([
+    block_schema = StructType([
         StructField("part", LongType()), StructField("start", LongType()),
         StructField("doc_ids", ArrayType(id_type)), StructField("doc_tokens", ArrayType(LongType())),
         *StructType.fromDDL(f"segments array<{SEGMENT}>"),
@@ -262,7 +322,7 @@ def write_token_files(
 
     order = [F.col("id").asc_nulls_first(), F.col("tie").asc()]
     placed = encoded.repartitionByRange(input_tasks(spark), *order).sortWithinPartitions(*order)
-    placed.select("id", "ids").mapInArrow(blocks, schema).write.parquet(f"{path}/blocks")
+    placed.select("id", "ids").mapInArrow(blocks, block_schema).write.parquet(f"{path}/blocks")
 
 
 def _arrow_schema(id_type: pa.DataType) -> pa.Schema:

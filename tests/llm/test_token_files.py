@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -81,6 +82,19 @@ def test_query_equals_the_library(spark):
     assert got == list(expected_rows(docs))
 
 
+WORDS = ["a", "don't", "it's!", "x_y", "x_", "²,", "a²,", "Ⅷ.", "é...", "'", "'s", "''", "n't.", "A1,", "日本、", "ok\u2028", "@@", "🙂!", "<|endoftext|>.", "nb\u00a0sp", "\x1c", "\x85x"]
+
+
+def test_words_in_any_company_encode_as_the_library_does(monkeypatch):
+    encoder = token_files.WordEncoder(PLAIN.to_str(), "<u2")
+    texts = [f"{a} {b} {c}" for a in WORDS for b in WORDS for c in ("", "end.", "a\nb", *WORDS[:4])] + [None, "", " ", "a  b"]
+    for _ in range(2):  # through the library, then from the cache
+        got = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode_all(pa.array(texts))]
+        assert got == [PLAIN.encode(t or "", add_special_tokens=False).ids for t in texts]
+        monkeypatch.setattr(token_files, "CACHED_WORDS", 3)
+        monkeypatch.setattr(token_files, "CACHED_BARES", 1)
+
+
 def test_odd_rows_in_many_blocks(spark, monkeypatch):
     texts = [None, "", " ", "a  b", "don't stop", "é\n x", "<|endoftext|>", "long " * 3000, "tab\t end\t", " a b ", "same", "same"]
     rows = [(i // 2 if i % 2 else 50 - i, t) for i, t in enumerate(texts * 3)] + [(9, "copy")] * 5
