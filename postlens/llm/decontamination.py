@@ -64,26 +64,28 @@ def term_counts(
 
 
 def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    """Distinct items that have words: ``item`` (string), ``words``, ``size`` (of a window)."""
+    """Distinct items that have words, stored: ``ref`` (their number), ``item`` (string),
+    ``words``, ``size`` (of a window)."""
     rows = benchmark.select(
         F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), words_of(text).alias("words")
     )
     rows = rows.filter(F.size("words") > 0).distinct()
-    return rows.withColumn("size", F.least(F.size("words"), F.lit(WINDOW)))
+    size = F.least(F.size("words"), F.lit(WINDOW)).alias("size")
+    return stored(rows.select(F.monotonically_increasing_id().alias("ref"), "item", "words", size), "items")
 
 
 def _with_probes(items: DataFrame, counts: DataFrame) -> DataFrame:
     """Add ``probes``: for each window the offsets of its rarest words, rarest first."""
-    places = items.select("item", "words", F.posexplode("words").alias("at", "term"))
+    places = items.select("ref", F.posexplode("words").alias("at", "term"))
     rarity = F.sort_array(F.collect_list(F.struct("at", "n"))).alias("rarity")
-    ranked = places.join(counts, "term").groupBy("item", "words").agg(rarity)
+    ranked = places.join(counts, "term").groupBy("ref").agg(rarity)
 
     def rarest(begin: Column) -> Column:
         window = F.transform(F.slice("rarity", begin + 1, F.col("size")), lambda p: F.struct(p["n"], p["at"]))
         return F.transform(F.slice(F.sort_array(window), 1, PROBES), lambda p: p["at"])
 
     begins = F.sequence(F.lit(0), F.size("words") - F.col("size"))
-    return items.join(ranked, ["item", "words"]).withColumn("probes", F.transform(begins, rarest))
+    return items.join(ranked, "ref").withColumn("probes", F.transform(begins, rarest))
 
 
 def candidate_windows(postings: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -93,16 +95,16 @@ def candidate_windows(postings: DataFrame, items: DataFrame, broadcast_rows: int
     ``shift`` (position of the item's first word) and ``windows`` (their offsets in the
     item). ``items`` is a stored table with probes.
     """
-    asked = items.select("item", "words", F.explode(F.array_distinct(F.flatten("probes"))).alias("at"))
-    asked = asked.withColumn("term", F.get("words", F.col("at")))
+    asked = items.select("ref", "words", F.explode(F.array_distinct(F.flatten("probes"))).alias("at"))
+    asked = asked.select("ref", "at", F.get("words", F.col("at")).alias("term"))
     matches = postings.join(_sized(asked, broadcast_rows), "term")
-    aligned = matches.groupBy(*KEY, "item", "words", (F.col("pos") - F.col("at")).alias("shift")).agg(
+    aligned = matches.groupBy(*KEY, "ref", (F.col("pos") - F.col("at")).alias("shift")).agg(
         F.collect_set("at").alias("found")
     )
     whole = lambda probes: F.forall(probes, lambda at: F.array_contains("found", at))
     begins = F.sequence(F.lit(0), F.size("probes") - 1)
     windows = F.filter(begins, lambda begin: whole(F.get("probes", begin)))
-    joined = aligned.join(_sized(items, broadcast_rows), ["item", "words"])
+    joined = aligned.join(_sized(items, broadcast_rows), "ref")
     joined = joined.select(*KEY, "item", "words", "size", "shift", windows.alias("windows"))
     return joined.filter(F.size("windows") > 0)
 
@@ -124,7 +126,7 @@ def decontaminate(
     and items have no words and no hits; a NULL item id counts as the empty string,
     and items of equal id as one. Repeated rows come back as often as they occur.
     """
-    tests = stored(_items(benchmark, item, item_text), "items")
+    tests = _items(benchmark, item, item_text)
     terms = stored(tests.select(F.explode("words").alias("term")).distinct(), "terms")
     counts = term_counts(docs, terms, text, broadcast_rows)
     tests = stored(_with_probes(tests, counts), "probes")
@@ -135,8 +137,10 @@ def decontaminate(
     # A candidate holds an item's words, so fewer of them make up the same bytes.
     by_text = _sized(stored(windows.groupBy(*KEY).agg(found), "candidates"), broadcast_rows // 20)
 
-    rows = docs.select(F.struct(*docs.columns).alias("row"), *_keys(text), words_of(text).alias("words"))
-    rows = rows.join(by_text, KEY, "left").select("row", "words", "found")
+    # Words are split after the join: an array of them takes several times the text's bytes.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *_keys(text))
+    rows = rows.join(by_text, KEY, "left").select("row", F.col("row")[text].alias("text"), "found")
+    rows = rows.select("row", words_of("text").alias("words"), "found")
 
     def occurrences(c: Column) -> Column:
         def same(begin: Column) -> Column:

@@ -209,7 +209,7 @@ def keep_one_per_group(
     text: str = "text",
     width: int = 3,
     max_distance: int = 2,
-    broadcast_rows: int = 1_000_000,
+    broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """Drop near-duplicates: of each component the row with its smallest id stays.
 
