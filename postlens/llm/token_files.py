@@ -30,11 +30,11 @@ from tokenizers import Encoding, Tokenizer
 from postlens.llm.common import input_tasks, shared_folder, slices
 
 LOW = np.uint64(1 << 31)  # states stay in [LOW, LOW << 32)
-LANES = 2048
+LANES = 4096
 SEGMENT_STEPS = 256
 BLOCK_TOKENS = LANES * SEGMENT_STEPS
-SLICE_BYTES = 8 << 20
-CACHED_WORDS, CACHED_BARES = 1_600_000, 50_000
+SLICE_BYTES = 12 << 20
+CACHED_WORDS, CACHED_BARES = 1_400_000, 50_000
 JOINED = 500
 SPACES = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}"  # adjacent white space of any kind, for Arrow
 STEM = re.compile(r"(\n?[^\W\d_]+)[!-/:-@\[-`{-~]+")
@@ -72,6 +72,9 @@ class Rans:
         self.precision = np.uint64(max(int(frequencies.sum()), 1).bit_length() - 1)
         self.begins = np.cumsum(self.frequencies, dtype=np.uint64) - self.frequencies
         self.symbols = np.repeat(np.arange(len(frequencies), dtype=np.uint32), frequencies.astype(np.int64))
+        # For each slot its symbol's frequency and its place within the symbol's slots.
+        place = np.arange(len(self.symbols), dtype=np.uint64) - self.begins[self.symbols]
+        self.slots = self.frequencies[self.symbols] << np.uint64(32) | place
 
     def encode(self, ids: np.ndarray) -> list[dict]:
         """Segments of the ids in order; id i is in lane i % LANES."""
@@ -81,13 +84,15 @@ class Rans:
         for first in range((steps - 1) // SEGMENT_STEPS * SEGMENT_STEPS, -1, -SEGMENT_STEPS):
             out = []
             for step in range(min(first + SEGMENT_STEPS, steps) - 1, first - 1, -1):
-                symbols = ids[step * LANES : (step + 1) * LANES]
+                symbols = ids[step * LANES : (step + 1) * LANES].astype(np.int64)
                 state, f = x[: len(symbols)], self.frequencies[symbols]
-                full = state >= f << (np.uint64(63) - self.precision)
-                out.append(state[full].astype("<u4"))
-                state = np.where(full, state >> np.uint64(32), state)
-                quotient, rest = np.divmod(state, f)
-                x[: len(symbols)] = (quotient << self.precision) + rest + self.begins[symbols]
+                full = np.flatnonzero(state >= f << (np.uint64(63) - self.precision))
+                emitted = state[full]
+                out.append(emitted.astype("<u4"))
+                state[full] = emitted >> np.uint64(32)
+                quotient = state // f
+                # state - quotient * f is the remainder
+                state += (quotient << self.precision) - quotient * f + self.begins[symbols]
             words = np.concatenate(out[::-1]).tobytes()
             states = x.astype("<u8").tobytes()
             segments.append({"states": states, "words": words, "crc32": zlib.crc32(words, zlib.crc32(states))})
@@ -101,12 +106,13 @@ class Rans:
         words = np.frombuffer(segment["words"], "<u4").astype(np.uint64)
         ids, at = np.empty(count, np.uint32), 0
         mask = (np.uint64(1) << self.precision) - np.uint64(1)
+        half, rest = np.uint64(32), np.uint64(0xFFFFFFFF)
         for first in range(0, count, LANES):
             state = x[: min(LANES, count - first)]
-            slot = state & mask
-            symbols = self.symbols[slot]
-            ids[first : first + len(state)] = symbols
-            state = self.frequencies[symbols] * (state >> self.precision) + slot - self.begins[symbols]
+            slot = (state & mask).view(np.int64)
+            ids[first : first + len(state)] = self.symbols[slot]
+            found = self.slots[slot]
+            state = (found >> half) * (state >> self.precision) + (found & rest)
             low = np.flatnonzero(state < LOW)
             state[low] = state[low] << np.uint64(32) | words[at : at + len(low)]
             at += len(low)
@@ -152,13 +158,14 @@ class WordEncoder:
                 self.words[prefix + word] = before + blob[begin:end]
 
     def add(self, words: set[str]) -> None:
-        """Words that follow a space, or a line break if they begin with it.
+        """New words that follow a space, or a line break if they begin with it.
 
         Letters before punctuation are a word of their own.
         """
-        stems = {w: m[1] for w in words if not w[-1:].isalnum() and (m := STEM.fullmatch(w)) and m[1][-1:].isalpha()}
+        stems = {w: m[1] for w in words if not w[-1:].isalnum() and (m := STEM.fullmatch(w))}
         stems = {w: stem for w, stem in stems.items() if stem.lstrip("\n").isalpha()}
-        new = {stems.get(w, w) for w in words}.difference(self.words)
+        new = words.difference(stems)
+        new.update(stem for stem in set(stems.values()) if stem not in self.words)
         odd = [w for w in new if not w or w[-1].isspace()]
         new.difference_update(odd)
         self.add_joined([w for w in new if w[0] != "\n"], "")
@@ -264,7 +271,9 @@ def write_token_files(
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     folder = shared_folder(spark, "tokens")
-    rows.mapInArrow(encode, schema).write.option("compression", "zstd").parquet(folder)
+    # Ids of whole texts do not repeat, so a dictionary of them would be work for nothing.
+    options = {"compression": "zstd", "parquet.enable.dictionary": "false"}
+    rows.mapInArrow(encode, schema).write.options(**options).parquet(folder)
     stored_rows = spark.read.schema(schema).parquet(folder)
     encoded = stored_rows.filter("ids IS NOT NULL").select("id", "tie", "ids")
 
