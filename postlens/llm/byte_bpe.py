@@ -21,11 +21,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.common import map_texts
+from postlens.llm.common import caches, map_texts
 
 CACHED_WORDS, CACHED_PIECES = 1_200_000, 800_000
 SPACES = re.compile(r"\s\s")
 _encoders: dict[str, ByteBpe] = {}
+caches[__name__] = _encoders
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

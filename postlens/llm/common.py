@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 ROWS_AT_ONCE = 512
+# By module, what its tasks leave in a worker for the next task. Workers outlive stages, so
+# tasks of other operators empty it.
+caches: dict[str, dict] = {}
 _local_folders: list[tempfile.TemporaryDirectory] = []
 
 
@@ -68,6 +71,13 @@ def slices(batches: Iterator[pa.RecordBatch], size: int | None = None) -> Iterat
             yield batch.slice(start, rows)
 
 
+def release_caches(owner: str) -> None:
+    """Empty the caches of all other modules, at the start of a task."""
+    for name, cache in caches.items():
+        if name != owner:
+            cache.clear()
+
+
 def map_texts(
     rows: DataFrame,
     text: str,
@@ -83,6 +93,7 @@ def map_texts(
     schema = StructType([rows.schema[c] for c in keep] + list(StructType.fromDDL(added)))
 
     def run(batches):
+        release_caches(make.__module__)
         work = make()
         for batch in slices(batches):
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep]

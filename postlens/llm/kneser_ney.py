@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 
 from postlens.llm import arrays
 from postlens.llm.arrays import pack, unpack
-from postlens.llm.common import input_tasks, shared_folder, slices, stored
+from postlens.llm.common import input_tasks, release_caches, shared_folder, slices, stored
 from postlens.llm.language_id import held_out
 
 END = b" "  # stands for the end of a text; no word holds a blank
@@ -63,6 +63,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
         training = np.repeat(np.array([not held for _, held in rows]), lengths)
         return Block(rows, lengths, tokens, hashes, training)
 
+    release_caches(__name__)
     rows, parts, numbers, size = [], [], _Numbers(), 0
     for batch in slices(batches):
         for name, held, text in zip(*(batch.column(i).to_pylist() for i in range(3))):

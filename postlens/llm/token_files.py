@@ -27,20 +27,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from tokenizers import Encoding, Tokenizer
 
-from postlens.llm.common import input_tasks, shared_folder, slices
+from postlens.llm.common import caches, input_tasks, release_caches, shared_folder, slices
 
 LOW = np.uint64(1 << 31)  # states stay in [LOW, LOW << 32)
 LANES = 4096
 SEGMENT_STEPS = 256
 BLOCK_TOKENS = LANES * SEGMENT_STEPS
-SLICE_BYTES = 12 << 20
-CACHED_WORDS, CACHED_BARES = 1_400_000, 50_000
+SLICE_BYTES = 16 << 20
+CACHED_WORDS, CACHED_BARES = 1_600_000, 50_000
 JOINED = 500
 SPACES = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}"  # adjacent white space of any kind, for Arrow
 STEM = re.compile(r"(\n?[^\W\d_]+)[!-/:-@\[-`{-~]+")
 
 SEGMENT = "struct<states: binary, words: binary, crc32: bigint>"
 _encoders: dict[str, WordEncoder] = {}
+caches[__name__] = _encoders
 
 
 def scaled_frequencies(counts: np.ndarray) -> np.ndarray:
@@ -256,6 +257,7 @@ def write_token_files(
 
     def encode(batches):
         """The documents, and at the end of a task one row with its counts of ids."""
+        release_caches(__name__)
         encoder = _encoder(shared.value, dtype)
         end = np.array([end_id], dtype).tobytes()
         counts, id_type = np.zeros(size, np.int64), None

@@ -9,7 +9,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from postlens.llm import byte_bpe, queries
+from postlens.llm import byte_bpe, common, queries
 from tests.conftest import TESTDATA
 
 RANKS = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -97,3 +97,12 @@ def test_odd_rows(spark):
         repr(PLAIN.encode_ordinary(t or "")) for _, t in rows
     )
     assert byte_bpe.byte_bpe_round_trip(docs.limit(0), path, pattern).collect() == []
+
+
+def test_tasks_of_other_operators_empty_the_cache():
+    name = byte_bpe.__name__
+    byte_bpe._encoder(RANKS, public_tokenizers.PATTERN, "test")
+    common.release_caches(name)
+    assert "test" in byte_bpe._encoders
+    common.release_caches("another")
+    assert not byte_bpe._encoders
