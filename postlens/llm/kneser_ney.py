@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model of words, counted and applied in Spark.
+"""Interpolated modified Kneser-Ney model of words of any order, counted and applied in Spark.
 
 Words are known by 64-bit hashes. The vocabulary is a sorted array of hashes in parts
 of equal hash ranges; a word's place in it is its number. A bigram is the number
@@ -9,6 +9,12 @@ folder that tasks map into memory.
 Texts are handled in blocks. For counting and for scoring, a block sends each of its
 different bigrams once to the part that holds it, so that a frequent one costs each
 block one entry, and a part is mapped by one task, whatever the size of the corpus.
+
+From order 3 on, n-grams are columns of word numbers, dealt by a hash of their context, or of the
+whole n-gram where all words of the context are hot. Each order is one pass: its tasks sum
+the n-grams of their part, answer the blocks, and send to the order below how many different words
+stand before each shorter n-gram and what follows each context. A text begins
+with as many begin marks as the context is long.
 """
 
 from __future__ import annotations
@@ -53,8 +59,8 @@ class Block:
     training: np.ndarray  # for each token
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
-    """Blocks of about ``BLOCK_BYTES`` of text, from columns id, held_out, text."""
+def blocks(batches: Iterator[pa.RecordBatch], limit: int | None = None) -> Iterator[Block]:
+    """Blocks of about ``limit`` (``BLOCK_BYTES``) bytes of text, from columns id, held_out, text."""
 
     def made():
         tokens = np.concatenate(parts)
@@ -64,6 +70,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
         return Block(rows, lengths, tokens, hashes, training)
 
     release_caches(__name__)
+    limit = limit or BLOCK_BYTES
     rows, parts, numbers, size = [], [], _Numbers(), 0
     for batch in slices(batches):
         for name, held, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -73,7 +80,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
             rows.append((name, held))
             parts.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
             size += len(body) + 64
-            if size >= BLOCK_BYTES:
+            if size >= limit:
                 yield made()
                 rows, parts, numbers, size = [], [], _Numbers(), 0
     if rows:
@@ -222,6 +229,24 @@ BLOCK_FIELDS = "part int, block bigint, bigrams binary, counts binary, words bin
 BASE_FIELDS = "n_known array<bigint>, base_score array<double>, held_out array<boolean>"
 
 
+def _block_row(block: Block, vocabulary: Vocabulary) -> tuple[np.ndarray, dict]:
+    """The numbers of a block's words; its tokens, words, and what needs the vocabulary only."""
+    total = vocabulary.tokens + vocabulary.size + 1
+    numbers, counts = vocabulary.look_up(block.hashes)
+    begins = np.cumsum(block.lengths) - block.lengths
+    known = (counts > 0).astype(np.int64)[block.tokens]
+    base = np.log10((counts + 1) / total)[block.tokens]
+    rank = np.empty(len(numbers), np.int64)  # frequent words get small numbers, which pack well
+    order = np.argsort(-np.bincount(block.tokens, minlength=len(numbers)), kind="stable")
+    rank[order] = np.arange(len(order))
+    return numbers, {
+        "words": pack(numbers[order]), "tokens": pack(rank[block.tokens]),
+        "lengths": block.lengths.tolist(), "n_known": np.add.reduceat(known, begins).tolist(),
+        "base_score": np.add.reduceat(base, begins).tolist(),
+        "held_out": [held for _, held in block.rows], "ids": [name for name, _ in block.rows],
+    }
+
+
 def encode_blocks(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """The texts as blocks in the shared folder.
 
@@ -248,23 +273,10 @@ def encode_blocks(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 ])
                 yield batch
 
-        total = vocabulary.tokens + vocabulary.size + 1
         for k, block in enumerate(blocks(typed(batches))):
             name = (TaskContext.get().partitionId() << 32) + k
-            numbers, counts = vocabulary.look_up(block.hashes)
-            begins = np.cumsum(block.lengths) - block.lengths
-            known = (counts > 0).astype(np.int64)[block.tokens]
-            base = np.log10((counts + 1) / total)[block.tokens]
-            rank = np.empty(len(numbers), np.int64)  # frequent words get small numbers, which pack well
-            order = np.argsort(-np.bincount(block.tokens, minlength=len(numbers)), kind="stable")
-            rank[order] = np.arange(len(order))
-            row = {
-                "part": -1, "block": name, "words": pack(numbers[order]), "tokens": pack(rank[block.tokens]),
-                "lengths": block.lengths.tolist(), "n_known": np.add.reduceat(known, begins).tolist(),
-                "base_score": np.add.reduceat(base, begins).tolist(),
-                "held_out": [held for _, held in block.rows], "ids": [name for name, _ in block.rows],
-            }
-            yield pa.RecordBatch.from_pylist([row], schema=arrow)
+            numbers, row = _block_row(block, vocabulary)
+            yield pa.RecordBatch.from_pylist([row | {"part": -1, "block": name}], schema=arrow)
             pairs = _bigrams(block.tokens, block.lengths, numbers, vocabulary)
             keys, sums = _summed([pairs], [block.training.astype(np.uint64)])
             ends = np.searchsorted(keys, cuts[1:]).tolist() + [len(keys)]
@@ -331,9 +343,8 @@ def fit_blocks(encoded: DataFrame, vocabulary: Vocabulary) -> Model:
 
     The driver gets one row of sums for each part.
     """
-    spark = encoded.sparkSession
-    cuts, size, parts = bigram_cuts(vocabulary), vocabulary.size + 2, len(vocabulary.sums)
-    word_cuts, folder = _word_cuts(size, parts), vocabulary.folder
+    cuts, size, folder = bigram_cuts(vocabulary), vocabulary.size + 2, vocabulary.folder
+    word_cuts = _word_cuts(size, len(vocabulary.sums))
 
     def count(batches):
         keys, counts = [], []
@@ -345,25 +356,42 @@ def fit_blocks(encoded: DataFrame, vocabulary: Vocabulary) -> Model:
         bigrams, sums = _summed(keys, counts)
         _save_bigrams(folder, TaskContext.get().partitionId(), bigrams, sums)
         contexts, words = np.divmod(bigrams, np.uint64(size))
-        one = np.ones(len(bigrams), np.uint64)
-        after = _summed([contexts], [sums], [(sums == 1).astype(np.uint64)], [(sums == 2).astype(np.uint64)], [(sums > 2).astype(np.uint64)])
-        before = _summed([words], [one])
-        numbers_of = [int((sums == k).sum()) for k in range(1, 5)]
-        for part in range(parts):
-            low, high = word_cuts[part], word_cuts[part + 1]
-            a, b = np.searchsorted(after[0], [low, high])
-            c, d = np.searchsorted(before[0], [low, high])
-            if a < b or c < d or (part == 0 and len(bigrams)):
-                yield pa.RecordBatch.from_pylist([{
-                    "part": part, "contexts": pack(after[0][a:b], True), "after": [pack(x[a:b]) for x in after[1:]],
-                    "words": pack(before[0][c:d], True), "before": pack(before[1][c:d]),
-                    "numbers_of": numbers_of if part == 0 else [0] * 4,
-                }], schema=sent_schema)
-
-    sent_schema = pa.schema([
-        ("part", pa.int32()), ("contexts", pa.binary()), ("after", pa.list_(pa.binary())), ("words", pa.binary()),
-        ("before", pa.binary()), ("numbers_of", pa.list_(pa.int64())),
-    ])
+        yield from _margin_rows(contexts, words, sums, word_cuts)
+
+    asked = encoded.filter("part >= 0").select("part", "bigrams", "counts")
+    dealt = asked.repartitionById(len(cuts), F.col("part")).select("bigrams", "counts")
+    return _merge_margins(dealt.mapInArrow(count, MARGIN_FIELDS), vocabulary)
+
+
+MARGIN_FIELDS = "part int, contexts binary, after array<binary>, words binary, before binary, numbers_of array<bigint>"
+MARGIN_SCHEMA = pa.schema([
+    ("part", pa.int32()), ("contexts", pa.binary()), ("after", pa.list_(pa.binary())), ("words", pa.binary()),
+    ("before", pa.binary()), ("numbers_of", pa.list_(pa.int64())),
+])
+
+
+def _margin_rows(contexts: np.ndarray, words: np.ndarray, sums: np.ndarray, word_cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """From different bigrams and their counts, what each part of the words gets."""
+    one = np.ones(len(sums), np.uint64)
+    after = _summed([contexts], [sums], [(sums == 1).astype(np.uint64)], [(sums == 2).astype(np.uint64)], [(sums > 2).astype(np.uint64)])
+    before = _summed([words], [one])
+    numbers_of = [int((sums == k).sum()) for k in range(1, 5)]
+    for part in range(len(word_cuts) - 1):
+        low, high = word_cuts[part], word_cuts[part + 1]
+        a, b = np.searchsorted(after[0], [low, high])
+        c, d = np.searchsorted(before[0], [low, high])
+        if a < b or c < d or (part == 0 and len(sums)):
+            yield pa.RecordBatch.from_pylist([{
+                "part": part, "contexts": pack(after[0][a:b], True), "after": [pack(x[a:b]) for x in after[1:]],
+                "words": pack(before[0][c:d], True), "before": pack(before[1][c:d]),
+                "numbers_of": numbers_of if part == 0 else [0] * 4,
+            }], schema=MARGIN_SCHEMA)
+
+
+def _merge_margins(sent: DataFrame, vocabulary: Vocabulary) -> Model:
+    """Save the margins of the words, and sum up what holds for all of them."""
+    parts, folder = len(vocabulary.sums), vocabulary.folder
+    word_cuts = _word_cuts(vocabulary.size + 2, parts)
 
     def merge(batches):
         part = TaskContext.get().partitionId()
@@ -384,9 +412,6 @@ def fit_blocks(encoded: DataFrame, vocabulary: Vocabulary) -> Model:
             "bigrams_with": numbers_of.tolist(), "words_with": words_with, "bigrams": int(contexts.sum(dtype=np.int64)),
         }])
 
-    asked = encoded.filter("part >= 0").select("part", "bigrams", "counts")
-    dealt = asked.repartitionById(len(cuts), F.col("part")).select("bigrams", "counts")
-    sent = dealt.mapInArrow(count, "part int, contexts binary, after array<binary>, words binary, before binary, numbers_of array<bigint>")
     merged = sent.repartitionById(parts, F.col("part")).mapInArrow(merge, "bigrams_with array<bigint>, words_with array<bigint>, bigrams bigint")
     found = stored(merged, "margins").collect()
     bigrams_with = np.sum([r["bigrams_with"] for r in found], axis=0).tolist()
@@ -490,10 +515,291 @@ def score_blocks(encoded: DataFrame, model: Model) -> DataFrame:
     return joined.mapInArrow(score, schema)
 
 
-def language_model_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2) -> DataFrame:
+ASK, BEFORE, AFTER, ANSWER, NUMBERS = range(5)  # kinds of rows; a block's own row has kind -1
+GRAM_FIELDS = "level int, kind int, part int, block bigint, grams array<binary>, values array<binary>"
+GRAM_SCHEMA = [
+    ("level", pa.int32()), ("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int64()),
+    ("grams", pa.list_(pa.binary())), ("values", pa.list_(pa.binary())),
+]
+
+
+def _gram_row(level: int, kind: int, part: int, block: int, grams: np.ndarray, values: list[np.ndarray]) -> pa.RecordBatch:
+    row = {
+        "level": level, "kind": kind, "part": part, "block": block,
+        "grams": [pack(column, k == 0) for k, column in enumerate(grams)], "values": [pack(v) for v in values],
+    }
+    return pa.RecordBatch.from_pylist([row], schema=pa.schema(GRAM_SCHEMA))
+
+
+def _hot_words(vocabulary: Vocabulary) -> np.ndarray:
+    """Numbers of words, and of the begin, with more tokens than an even part. No n-gram has more than its words."""
+    hot = [number for number, _ in vocabulary.hot]
+    if vocabulary.texts * len(vocabulary.sums) > vocabulary.tokens:
+        hot.append(vocabulary.begin)
+    return np.array(sorted(hot), np.uint64)
+
+
+def _gram_parts(grams: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
+    """By the context, or by the whole n-gram if its context may be hot."""
+
+    def mixed(state, column):
+        state = (state ^ column) * np.uint64(0xBF58476D1CE4E5B9)
+        state = (state ^ state >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
+        return state ^ state >> np.uint64(29)
+
+    state, split = np.full(grams.shape[1], 7, np.uint64), np.full(grams.shape[1], len(hot) > 0)
+    for column in grams[:-1]:
+        state = mixed(state, column)
+        if len(hot):
+            split &= hot[np.minimum(np.searchsorted(hot, column), len(hot) - 1)] == column
+    return _part_of(np.where(split, mixed(state, grams[-1]), state), parts).astype(np.int64)
+
+
+def _by_part(grams: np.ndarray, hot: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of the n-grams of each part that has any, in their order."""
+    part = _gram_parts(grams, hot, parts)
+    order = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[order], np.arange(parts), side="right").tolist()
+    for k, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
+        if begin < end:
+            yield k, order[begin:end]
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of the keys, where in it each different key begins, and for each key its place among those."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    del ordered
+    place = np.empty(len(keys), np.uint32)
+    place[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
+    return order, np.flatnonzero(new), place
+
+
+def _grams_of(words: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary, order: int):
+    """For each token, and last for a context of begins: the place of what stands before, and for
+    each order the different n-grams, sorted, and the number of the token's own among them."""
+    base, n = np.uint64(vocabulary.size + 2), len(words)
+    before = np.arange(-1, n)
+    before[np.cumsum(lengths) - lengths] = n
+    before[n] = n
+    words = np.append(words, vocabulary.begin).astype(np.uint64)
+    by_word, first, ids = _distinct(words)
+    levels = [(words[by_word[first]][None], ids)]
+    for _ in range(order - 1):
+        grams, ids = levels[-1]
+        by_gram, first, own = _distinct(ids[before].astype(np.uint64) * base + words)
+        one = by_gram[first]  # a token of each n-gram
+        levels.append((np.concatenate([grams[:, ids[before[one]]], words[one][None]]), own))
+    return before, levels
+
+
+def _known(grams: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """Places of the n-grams without an unknown word; no other is in training."""
+    return np.flatnonzero((grams != np.uint64(vocabulary.unknown)).all(axis=0))
+
+
+def encode_gram_blocks(rows: DataFrame, vocabulary: Vocabulary, order: int) -> DataFrame:
+    """The texts as blocks in the shared folder: a row for each, and one for each part of its n-grams
+    of each order from 2, those of the highest with their training counts."""
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    fields = f"{GRAM_FIELDS}, words binary, tokens binary, lengths array<bigint>, {BASE_FIELDS}"
+    schema = StructType([*StructType.fromDDL(fields), StructField("ids", ArrayType(rows.schema["id"].dataType))])
+
+    def encode(batches):
+        vocabulary = shared.value
+        hot, parts, arrow = _hot_words(vocabulary), len(vocabulary.sums), None
+
+        def typed(batches):
+            nonlocal arrow
+            for batch in batches:
+                arrow = arrow or pa.schema([
+                    *GRAM_SCHEMA, ("words", pa.binary()), ("tokens", pa.binary()), ("lengths", pa.list_(pa.int64())),
+                    ("n_known", pa.list_(pa.int64())), ("base_score", pa.list_(pa.float64())),
+                    ("held_out", pa.list_(pa.bool_())), ("ids", pa.list_(batch.schema.field("id").type)),
+                ])
+                yield batch
+
+        for k, block in enumerate(blocks(typed(batches), max(1, BLOCK_BYTES // 2))):
+            name = (TaskContext.get().partitionId() << 32) + k
+            numbers, row = _block_row(block, vocabulary)
+            row |= {"level": 0, "kind": -1, "part": -1, "block": name}
+            yield pa.RecordBatch.from_pylist([row], schema=arrow)
+            del row
+            _, levels = _grams_of(numbers[block.tokens], block.lengths, vocabulary, order)
+            for level in range(2, order + 1):
+                grams, ids = levels[level - 1]
+                known, values = _known(grams, vocabulary), []
+                if level == order:
+                    training = np.append(block.training, False)
+                    values = [np.bincount(ids, weights=training, minlength=grams.shape[1]).astype(np.uint64)[known]]
+                for part, places in _by_part(grams[:, known], hot, parts):
+                    asked = known[places]
+                    row = _gram_row(level, ASK, part, name, grams[:, asked], [v[places] for v in values]).to_pylist()
+                    yield pa.RecordBatch.from_pylist(row, schema=arrow)
+
+    return stored(rows.mapInArrow(encode, schema), "blocks")
+
+
+def _gram_keys(grams: np.ndarray, base: np.uint64) -> np.ndarray:
+    """One number for each n-gram, equal for equal ones, ascending as they are."""
+    keys = grams[0]
+    for k, column in enumerate(grams[1:]):
+        if k:  # two words fit a number, more do not
+            keys = _distinct(keys)[2].astype(np.uint64)
+        keys = keys * base + column
+    return keys
+
+
+def _summed_grams(grams: np.ndarray, values: np.ndarray, base: np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different n-grams in order, the sums of their values, and for each given one its place among them."""
+    order, first, place = _distinct(_gram_keys(grams, base))
+    sums = np.stack([np.add.reduceat(value[order], first) for value in values])
+    return grams[:, order[first]], sums, place
+
+
+def count_grams(asked: DataFrame, vocabulary: Vocabulary, level: int, order: int) -> DataFrame:
+    """Sum the n-grams of one order: answers to the blocks, and what the order below gets.
+
+    The values of an n-gram are its count (in a lower order, of the different words before it), and as a
+    context the sum of the counts of what follows, and how many of them are 1, 2 or more.
+    """
+    shared, parts = asked.sparkSession.sparkContext.broadcast(vocabulary), len(vocabulary.sums)
+    rows_of_values = 1 if level == order else 5
+
+    def count(batches):
+        vocabulary = shared.value
+        base, hot = np.uint64(vocabulary.size + 2), _hot_words(vocabulary)
+        part, columns, values, asks, at = TaskContext.get().partitionId(), [], [], [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                grams = np.stack([unpack(x) for x in row["grams"]])
+                given, n = [unpack(x) for x in row["values"]], grams.shape[1]
+                value = np.zeros((rows_of_values, n), np.uint64)
+                first = 1 if row["kind"] == AFTER else 0
+                value[first : first + len(given)] = np.stack(given) if given else 0
+                if row["kind"] == ASK:
+                    asks.append((row["block"], at, at + n))
+                columns.append(grams)
+                values.append(value)
+                at += n
+        if not at:
+            return
+        grams, values = np.concatenate(columns, axis=1), np.concatenate(values, axis=1)
+        columns.clear()
+        grams, sums, place = _summed_grams(grams, values, base)
+        del values
+        for block, begin, end in asks:
+            yield _gram_row(level, ANSWER, part, block, grams[:0], list(sums[:, place[begin:end]]))
+        del place
+        seen = np.flatnonzero(sums[0])
+        if not len(seen):
+            return
+        grams, counts = grams[:, seen], sums[0, seen]
+        numbers = np.array([(counts == k).sum() for k in range(1, 5)])
+        yield _gram_row(level, NUMBERS, part, 0, grams[:0], [numbers])
+        if level == 2:  # each word is one number: the margins take it from here
+            yield _gram_row(1, BEFORE, part, 0, grams, [counts])
+            return
+        following = np.stack([counts, counts == 1, counts == 2, counts > 2]).astype(np.uint64)
+        one = np.ones((1, len(counts)), np.uint64)
+        for kind, shorter, given in ((AFTER, grams[:-1], following), (BEFORE, grams[1:], one)):
+            shorter, given, _ = _summed_grams(shorter, given, base)
+            for target, places in _by_part(shorter, hot, parts):
+                yield _gram_row(level - 1, kind, target, 0, shorter[:, places], list(given[:, places]))
+
+    dealt = asked.repartitionById(parts, F.col("part")).select("kind", "block", "grams", "values")
+    return stored(dealt.mapInArrow(count, GRAM_FIELDS), f"order-{level}")
+
+
+def score_gram_blocks(encoded: DataFrame, vocabulary: Vocabulary, order: int) -> DataFrame:
+    """As ``score_blocks``, for any order."""
+    spark, parts = encoded.sparkSession, len(vocabulary.sums)
+    word_cuts = _word_cuts(vocabulary.size + 2, parts)
+    counted, discounts = {}, {}
+    for level in range(order, 1, -1):
+        columns = ["level", "kind", "part", "block", "grams", "values"]
+        asked = encoded.filter((F.col("level") == level) & (F.col("kind") == ASK)).select(columns)
+        if level < order:
+            sent = counted[level + 1].filter((F.col("level") == level) & F.col("kind").isin(BEFORE, AFTER))
+            asked = asked.unionByName(sent)
+        counted[level] = count_grams(asked, vocabulary, level, order)
+        numbers = [unpack(r["values"][0]) for r in counted[level].filter(F.col("kind") == NUMBERS).select("values").collect()]
+        discounts[level] = _discounts(np.sum(numbers, axis=0, dtype=np.int64).tolist() if numbers else [0] * 4)
+
+    def margins(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                contexts, words = (unpack(x) for x in row["grams"])
+                yield from _margin_rows(contexts, words, unpack(row["values"][0]), word_cuts)
+
+    bigrams = counted[2].filter("level = 1").select("grams", "values")
+    model = _merge_margins(bigrams.mapInArrow(margins, MARGIN_FIELDS), vocabulary)
+    shared = spark.sparkContext.broadcast(model)
+    joined = encoded.filter("kind < 0")
+    for table in counted.values():
+        joined = joined.unionByName(table.filter(F.col("kind") == ANSWER), allowMissingColumns=True)
+    joined = joined.drop("grams").repartition(input_tasks(spark), "block").sortWithinPartitions("block", "level", "part")
+    schema = StructType([
+        StructField("id", encoded.schema["ids"].dataType.elementType),
+        *StructType.fromDDL("held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"),
+    ])
+
+    def scored(row, answers):
+        model = shared.value
+        vocabulary = model.vocabulary
+        hot, lengths = _hot_words(vocabulary), np.array(row["lengths"])
+        words = unpack(row["words"]).astype(np.int64)[unpack(row["tokens"]).astype(np.int64)]
+        before, levels = _grams_of(words, lengths, vocabulary, order)
+        (different,), ids = levels[0]
+        probability, after, left = model.words(different.astype(np.int64))
+        likely = probability[ids]
+        for level in range(2, order + 1):
+            grams, own = levels[level - 1]
+            values = np.zeros((1 if level == order else 5, grams.shape[1]))
+            known = _known(grams, vocabulary)
+            places = [places for _, places in _by_part(grams[:, known], hot, parts)]
+            if len(places) != len(answers.get(level, [])):
+                raise RuntimeError("a block lacks the answer of a part")
+            for at, answer in zip(places, answers.get(level, [])):
+                values[:, known[at]] = [unpack(x) for x in answer]
+            context = levels[level - 2][1][before]
+            likely = (_discounted(values[0], discounts[level])[own] / np.maximum(after[context], 1)) + left[context] * likely
+            if level < order:
+                _, after, ones, twos, more = values
+                d = discounts[level + 1]
+                left = np.where(after > 0, (d[0] * ones + d[1] * twos + d[2] * more) / np.maximum(after, 1), 1.0)
+        sums = np.add.reduceat(np.log10(likely[:-1]), np.cumsum(lengths) - lengths)
+        return [row["ids"], row["held_out"], row["lengths"], row["n_known"], row["base_score"], sums]
+
+    def score(batches):
+        row, answers, kinds = None, {}, None
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(scored(row, answers), kinds)], names=schema.names)
+
+        for batch in batches:
+            kinds = [batch.schema.field("ids").type.value_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            for i in range(batch.num_rows):
+                new = batch.slice(i, 1).to_pylist()[0]
+                if new["kind"] < 0:
+                    if row is not None:
+                        yield done()
+                    row, answers = new, {}
+                else:
+                    answers.setdefault(new["level"], []).append(new["values"])
+        if row is not None:
+            yield done()
+
+    return joined.mapInArrow(score, schema)
+
+
+def language_model_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2, order: int = 2) -> DataFrame:
     """Learn from the texts that are not held out and score all: id, ``held_out``,
     ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one unigrams) and
-    ``score``, the model's log10 probability of the text with its end.
+    ``score``, the log10 probability of the text with its end by a model of words with ``order - 1``
+    words of context.
 
     A NULL or blank text has the end as its only token. Words that are not in training
     share the probability of one more word. Without training texts every
@@ -502,8 +808,13 @@ def language_model_scores(docs: DataFrame, id: str = "doc_id", text: str = "text
     """
     rows = docs.select(F.col(id).alias("id"), held_out(id, folds, fold).alias("held_out"), F.col(text).alias("text"))
     vocabulary = count_words(rows, shared_folder(docs.sparkSession, "kneser-ney"))
-    encoded = encode_blocks(rows, vocabulary)
-    scores = score_blocks(encoded, fit_blocks(encoded, vocabulary))
+    if order < 2:
+        raise ValueError("order must be 2 or more")
+    if order == 2:
+        encoded = encode_blocks(rows, vocabulary)
+        scores = score_blocks(encoded, fit_blocks(encoded, vocabulary))
+    else:
+        scores = score_gram_blocks(encode_gram_blocks(rows, vocabulary, order), vocabulary, order)
     return scores.select(
         F.col("id").alias(id), "held_out", "n_tokens", "n_known",
         F.lit(vocabulary.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",

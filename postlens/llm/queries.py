@@ -67,7 +67,7 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_model_scores(documents(spark, sf_dir))
+    return language_model_scores(documents(spark, sf_dir), order=3)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
