@@ -20,6 +20,7 @@ SLOTS = 1 << 20
 HASHES = 3
 SAMPLE_DOCS = 5000
 MIN_COUNT = 2
+FEW_TEXTS = 100
 MIN_SHARE = 0.1
 UNKNOWN = "und"
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -97,23 +98,28 @@ class LanguageFilter:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS, slots: int = SLOTS) -> LanguageFilter:
     """Learn a filter from labelled texts; rows with NULL language are left out.
 
-    Fitted on a sample of about ``sample_docs`` texts of each language, chosen by text
-    hash. A language contains an n-gram that it has ``MIN_COUNT`` times or more, at a rate of at
-    least ``MIN_SHARE`` of the highest rate of any language. The driver gets the filled
+    Fitted on a sample of about ``sample_docs`` different texts of each language, chosen by text
+    hash; copies count once, and a language with fewer different texts is taken whole. A language
+    contains an n-gram that it has ``MIN_COUNT`` times or more (with under ``FEW_TEXTS``
+    different texts, once), at a rate of at least ``MIN_SHARE`` of the highest rate of any language. The driver gets the filled
     slots, so ``slots`` bounds what it holds.
     """
     spark = labelled.sparkSession
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.withColumn("hash", F.xxhash64(F.lit(7), "text"))
+    different = rows.select("lang", "hash").distinct()
+    sizes = {r["lang"]: r["count"] for r in different.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     words = max(1, -(-len(languages) // 64))
     masks = np.zeros((slots, words), np.uint64)
     if not languages:
         return LanguageFilter(languages, masks)
-    rates = [(k, min(1.0, sample_docs / sizes[name]), name) for k, name in enumerate(languages)]
-    chosen = spark.createDataFrame(rates, "language bigint, part double, lang string")
-    draw = F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(1_000_000)) / 1_000_000
-    sample = rows.join(F.broadcast(chosen), "lang").filter(draw < F.col("part")).select("language", "text")
+    few = [MIN_COUNT if sizes[name] >= FEW_TEXTS else 1 for name in languages]
+    rates = [(k, min(1.0, sample_docs / sizes[name]), few[k], name) for k, name in enumerate(languages)]
+    chosen = spark.createDataFrame(rates, "language bigint, part double, least int, lang string")
+    draw = F.pmod("hash", F.lit(1_000_000)) / 1_000_000
+    drawn = rows.join(F.broadcast(chosen), "lang").filter(draw < F.col("part"))
+    sample = drawn.groupBy("language", "hash").agg(F.first("text").alias("text")).select("language", "text")
 
     def count(batches):
         held: dict[int, list[np.ndarray]] = {}
@@ -136,7 +142,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
     totals = counts.groupBy("language").agg(F.sum("n").alias("total"))
     rated = counts.join(F.broadcast(totals), "language").withColumn("rate", F.col("n") / F.col("total"))
     top = F.max("rate").over(Window.partitionBy("gram"))
-    members = rated.withColumn("top", top).filter((F.col("n") >= MIN_COUNT) & (F.col("rate") >= MIN_SHARE * F.col("top")))
+    rated = rated.join(F.broadcast(chosen.select("language", "least")), "language")
+    members = rated.withColumn("top", top).filter((F.col("n") >= F.col("least")) & (F.col("rate") >= MIN_SHARE * F.col("top")))
 
     def place(batches):
         for batch in batches:
