@@ -20,6 +20,20 @@ BOILERPLATE = (
     "terms of (use|service)|cookie|javascript|sign (in|up)|log ?in|subscribe|"
     "click here|read more|share this|powered by)"
 )
+# Word boundaries as classes, which are the same in all engines.
+WHOLE_PHRASES = (
+    "(?i)(^|[^a-z0-9_])(licensed under|released under|all rights reserved|copyright|privacy policy|"
+    "terms of (use|service)|cookies?|javascript|sign (in|up)|log ?in|subscribe|"
+    "click here|read more|share this|powered by)([^a-z0-9_]|$)"
+)
+# Sentence ends of other scripts: CJK, Indic, Arabic, Urdu, Armenian, Ethiopic, Burmese, Khmer, Tibetan.
+STOPS = ".!?…。！？．｡।॥؟۔։።፧፨။៕།"
+CLOSERS = r"\"”»)\]’\x27」』】）"
+# A line without an end passes if it has a sentence end inside, with 60 characters before or after it.
+ENDING = (
+    rf"(?:[{STOPS}:;：；{CLOSERS}]|^[^\n]{{60,}}(?:[.!?…][{CLOSERS}]*\x20|[。！？．｡।॥؟۔։።፧፨။៕།])[^\n]*|"
+    rf"(?:[.!?…][{CLOSERS}]*\x20|[。！？．｡।॥؟۔։።፧፨။៕།])[^\n]{{60,}})"
+)
 WINDOW = 5
 
 
@@ -46,7 +60,10 @@ class LineRules:
     max_lost: int = 50
 
 
-RULES = LineRules()
+RULES = LineRules()  # those of the query and its SQL
+# Those of the pipeline: sentence ends of all scripts, lines of sentences whose last one has no end,
+# and boilerplate only as whole phrases.
+CLEANING_RULES = LineRules(ending=ENDING, boilerplate=WHOLE_PHRASES)
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -142,7 +159,7 @@ def line_quality(
 
 
 def clean_documents(
-    docs: DataFrame, text: str = "text", n_chars: str = "n_chars", rules: LineRules = RULES
+    docs: DataFrame, text: str = "text", n_chars: str = "n_chars", rules: LineRules = CLEANING_RULES
 ) -> DataFrame:
     """Documents that pass, without the lines that fail; columns as in ``docs``.
 

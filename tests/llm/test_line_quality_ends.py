@@ -1,0 +1,27 @@
+from __future__ import annotations
+
+import pytest
+
+from postlens.llm import line_quality
+from tests.llm.test_line_quality import table
+
+SENTENCES = "The harbour lay quiet under a grey sky. Two boats came in before noon, and nobody went out to meet them"
+
+
+@pytest.mark.parametrize(
+    ("line", "passes"),
+    [
+        (SENTENCES, True), (SENTENCES + " " + SENTENCES, True), ("港は静かだった。", True), ("यह एक वाक्य है।", True), ("هل هذا صحيح؟", True),
+        ("words without any end " * 40, False), ("Home. About us", False), ("The blogins were cancelled.", True),
+        ("He was resigned in full.", True), ("Please log in.", False), ("Login.", False), ("We use cookies.", False),
+        ("Copyright 2020 by us.", False),
+    ],
+)
+def test_line_ends_and_whole_phrases(spark, line, passes):
+    df = spark.createDataFrame([(line,)], "x string")
+    assert df.select(line_quality.line_passes(df["x"], line_quality.CLEANING_RULES)).first()[0] is passes
+
+
+def test_one_line_of_sentences_without_a_last_stop_stays(spark):
+    (row,) = line_quality.clean_documents(table(spark, [SENTENCES])).collect()
+    assert row["text"] == SENTENCES
