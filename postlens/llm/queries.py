@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from postlens.llm import chat_format as chat
 from postlens.llm.byte_bpe import byte_bpe_round_trip
 from postlens.llm import decontamination as tests
 from postlens.llm import line_quality as lines
@@ -70,6 +71,11 @@ def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model_scores(documents(spark, sf_dir), order=3)
 
 
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_probe(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return chat.chat_digest(chat.format_conversations(turns))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": languages,
@@ -82,8 +88,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": token_files,
         "op9_decontamination": decontamination,
         "op10_kneser_ney": kneser_ney,
+        "op12_chat_format": chat_format,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_quality": lines.oracle_sql(), "op9_decontamination": tests.oracle_sql()}
+    return {
+        "op3_line_quality": lines.oracle_sql(),
+        "op9_decontamination": tests.oracle_sql(),
+        "op12_chat_format": chat.oracle_sql(),
+    }
