@@ -19,6 +19,7 @@ from postlens.llm.secret_scan import secret_scan
 from postlens.llm.sharding import read_shards, shard_digest, write_shards
 from postlens.llm.simhash import simhash_near_duplicates
 from postlens.llm.token_files import token_file_round_trip
+from postlens.llm.whitening import whiten
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,10 @@ def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model_scores(documents(spark, sf_dir), order=3)
 
 
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_probe(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return chat.chat_digest(chat.format_conversations(turns))
@@ -88,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": token_files,
         "op9_decontamination": decontamination,
         "op10_kneser_ney": kneser_ney,
+        "op11_whitening": whitening,
         "op12_chat_format": chat_format,
     }
 
