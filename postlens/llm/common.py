@@ -89,18 +89,19 @@ def map_texts(
     ``make`` runs once per task and returns a function from a list of texts to one
     array for each column of the ``added`` schema.
     """
-    keep = [c for c in rows.columns if c != text]
-    schema = StructType([rows.schema[c] for c in keep] + list(StructType.fromDDL(added)))
+    at = rows.columns.index(text)
+    kept = [i for i in range(len(rows.columns)) if i != at]
+    schema = StructType([rows.schema[i] for i in kept] + list(StructType.fromDDL(added)))
 
     def run(batches):
         release_caches(make.__module__)
         work = make()
         for batch in slices(batches):
-            arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-            arrays += work(batch.column(batch.schema.get_field_index(text)).to_pylist())
+            arrays = [batch.column(i) for i in kept] + work(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    # Columns go by place, as names may hold dots.
+    return rows.toDF(*(f"_{i}" for i in range(len(rows.columns)))).mapInArrow(run, schema)
 
 
 def ascii_lower(column: Column) -> Column:

@@ -11,6 +11,7 @@ from postlens.llm import chat_format as chat
 from postlens.llm.byte_bpe import byte_bpe_round_trip
 from postlens.llm import decontamination as tests
 from postlens.llm import line_quality as lines
+from postlens.llm import periodic_runs as periodic
 from postlens.llm.common import shared_folder
 from postlens.llm.html_text import page_texts
 from postlens.llm.kneser_ney import language_model_scores
@@ -81,6 +82,11 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_conversations(turns))
 
 
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periodic.with_planted_periods(documents(spark, sf_dir))
+    return periodic.runs_digest(periodic.periodic_runs(planted))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": languages,
@@ -95,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_kneser_ney": kneser_ney,
         "op11_whitening": whitening,
         "op12_chat_format": chat_format,
+        "op13_periodic_runs": periodic_runs,
     }
 
 

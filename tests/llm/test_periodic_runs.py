@@ -1,0 +1,152 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from postlens.llm import periodic_runs as periodic
+from postlens.llm import queries
+
+SCHEMA = "doc_id bigint, text string, runs string, start int, `a.b` int"
+
+
+def naive_runs(words, min_length=12):
+    """All periods, all stretches in which words one period apart are equal."""
+    smallest = {}
+    for period in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + period < len(words):
+            begin = i
+            while i + period < len(words) and words[i] == words[i + period]:
+                i += 1
+            length = i - begin + period
+            if length >= max(min_length, 2 * period):
+                smallest.setdefault((begin, length), period)
+            i += 1
+    return sorted((s, n, p) for (s, n), p in smallest.items())
+
+
+def split(text):
+    for space in "\t\n\v\f\r":
+        text = (text or "").replace(space, " ")
+    return [w for w in text.split(" ") if w]
+
+
+def planted(doc_id, words):
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def naive(doc_id, text):
+    words = planted(doc_id, split(text or ""))
+    runs = naive_runs(words)
+    dropped = {i for s, n, p in runs for i in range(s + p, s + n)}
+    longest = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+    exponent = None if longest[0] is None else 1000 * longest[1] // longest[2]
+    digest = [
+        hashlib.sha256(x.encode()).hexdigest()
+        for x in ("".join(f"{s},{n},{p}\n" for s, n, p in runs), " ".join(w for i, w in enumerate(words) if i not in dropped))
+    ]
+    return (doc_id, len(runs), *longest, exponent, *digest)
+
+
+def sequences():
+    rng = random.Random(6)
+    for letters in (1, 2, 3, 30):
+        for size in (0, 1, 2, 11, 12, 13, 40, 200):
+            yield [rng.randrange(letters) for _ in range(size)]
+    for _ in range(60):
+        words = [rng.randrange(50) for _ in range(rng.randint(0, 40))]
+        for _ in range(rng.randint(1, 4)):
+            part = [rng.randrange(rng.choice([2, 9])) for _ in range(rng.randint(1, 12))]
+            words += (part * rng.randint(1, 9))[: rng.randint(1, 60)] + [rng.randrange(50) for _ in range(rng.randint(0, 3))]
+        yield words
+    one, two = [0], [0, 1]
+    while len(two) < 700:
+        one, two = two, two + one
+    yield two  # Fibonacci words have runs in runs
+    yield [0, 1] * 300 + [2] + [0, 1] * 300
+    yield ([0] * 20 + [1]) * 15
+    yield [7] * 5000
+
+
+@pytest.mark.parametrize("min_length", [12, 2, 5])
+def test_runs_equal_all_stretches(min_length):
+    texts = list(sequences())
+    arrays = [np.array(t, np.int64) for t in texts]
+    found = periodic.runs_of(arrays, min_length)
+    for text, runs, array in zip(texts, found, arrays):
+        assert runs == naive_runs(text, min_length)
+        assert periodic.runs_of([array], min_length) == [runs]
+
+
+def test_small_chunks_change_nothing(monkeypatch):
+    arrays = [np.array(t, np.int64) for t in sequences()]
+    expected = periodic.runs_of(arrays)
+    monkeypatch.setattr(periodic, "PAIRS_AT_ONCE", 50)
+    assert periodic.runs_of(arrays) == expected
+    texts = [" ".join(f"w{x}" for x in a) for a in arrays]
+    monkeypatch.setattr(periodic, "WORDS_AT_ONCE", 300)
+    assert [runs for runs, _ in periodic.text_runs(texts)] == expected
+
+
+def test_grammar_extensions_equal_comparison():
+    rng = np.random.default_rng(3)
+    for letters in (1, 2, 5):
+        body = rng.integers(0, letters, 300)
+        body[150:290] = body[10:150]
+        sequence = np.concatenate([[100], body, [101]])
+        grammar = periodic.Grammar(sequence)
+        assert len(grammar.symbols[-1]) == 1 and all(len(s) == len(b) + 1 for s, b in zip(grammar.starts[1:], grammar.symbols[1:]))
+        a, b = rng.integers(0, 302, (2, 3000))
+        a, b = a[a != b], b[a != b]
+        for side, line in ((grammar, sequence), (grammar.mirrored(), sequence[::-1])):
+            found = side.common_extension(a, b)
+            for x, y, n in zip(a, b, found):
+                assert (line[x : x + n] == line[y : y + n]).all() and line[x + n] != line[y + n]
+
+
+def rows():
+    rng = random.Random(9)
+    made = [(None, "a b " * 20), (1, None), (2, ""), (3, " \t\n"), (4, "x"), (5, "é " * 30), (5, "é " * 30), (6, "a b c " * 15)]
+    for doc_id in range(10, 150):
+        words = [f"w{rng.randrange(rng.choice([3, 80]))}" for _ in range(rng.randint(0, 90))]
+        made.append((doc_id, rng.choice([" ", "\n", " \t "]).join(words)))
+    made.append((200, " ".join(f"w{rng.randrange(3000)}" for _ in range(3000)) + " end" * 4000))
+    return made
+
+
+def test_query_equals_brute_force(spark, tmp_path):
+    data = rows()
+    docs = spark.createDataFrame([(*r, "no", 1, 2) for r in data], SCHEMA).repartition(3)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.queries()["op13_periodic_runs"](spark, str(tmp_path))
+    assert found.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    got = [tuple(r) for r in found.collect()]
+    assert sorted(got, key=repr) == sorted((naive(*r) for r in data), key=repr)
+
+
+def test_operator_returns_runs_and_text(spark):
+    docs = spark.createDataFrame([(1, "a b c " * 5 + "z", "no", 1, 2), (2, None, "no", 1, 2)], SCHEMA).drop("runs")
+    one, two = periodic.periodic_runs(docs).orderBy("doc_id").collect()
+    assert [tuple(r) for r in one["runs"]] == [(0, 15, 3)] and one["collapsed"] == "a b c z"
+    assert two["runs"] == [] and two["collapsed"] == "" and two["a.b"] == 2
+    assert periodic.periodic_runs(docs.limit(0)).count() == 0
+
+
+def test_given_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    short = {r["doc_id"]: r["text"] for r in docs.collect() if len(r["text"] or "") < 4000}
+    found = {r["doc_id"]: tuple(r) for r in queries.queries()["op13_periodic_runs"](spark, sf_dir).collect()}
+    assert len(found) == docs.count()
+    assert all(found[k] == naive(k, text) for k, text in short.items())
