@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import pytest
+
+from postlens.llm import html_text
+from tests.llm.test_html_text import LONG, text_of
+
+L = LONG.strip()
+REST = "The rest of the article goes on for quite some while, as articles of this kind often do."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # Names that remark on something else, and marks around an article.
+        (f'<article class="post comments-open"><p>{LONG}</p></article>', L),
+        (f'<div class="layout has-sidebar"><article><p>{LONG}</p></article></div>', L),
+        (f'<div class="no-header"><p>{LONG}</p></div>', L),
+        (f"<div class=sidebar><article><p>{LONG}</p></article></div>", L),
+        (f'<form id="aspnetForm"><article><p>{LONG}</p></article><input></form>', L),
+        # End tags that are left out.
+        (f"<article><p class='notice'>x<p>{REST}<p>{LONG}</article>", f"{REST} {L}"),
+        (f"<article><p>{LONG}<p class=ad>Buy<p>{REST}</article>", f"{L} {REST}"),
+        (f"<article><ul><li>{LONG}<li class='advert'>Buy<li>{REST}</ul></article>", f"{L} {REST}"),
+        (f"<article><ul><li>a<ul><li class=ad>b</ul><li>{REST}</ul></article>", f"a {REST}"),
+        (f"<article><dl><dt class=promo>x<dd>{LONG}<dt>{REST}</dl></article>", f"{L} {REST}"),
+        (f"<table><tr><td class=menu>x<td>{LONG}<tr><td>{REST}</table>", f"{L} {REST}"),
+        (f"<article><p>{LONG}<div class=share>x</div>{REST}</article>", f"{L} {REST}"),
+        # Marks by whole names and by their parts.
+        (f"<article><p>{LONG}</p></article><div id=comments>" + f"<p>{LONG}</p>" * 9 + "</div>", L),
+        (f"<article><p>{LONG}</p></article><section class=comments-area><article class=comment><p>{REST}</p></article></section>", L),
+        (f"<article><p>{LONG}</p><div class='post-comments'><p>{REST}</p></div></article>", L),
+        (f"<div><p>{LONG}</p></div><div class='cookie-bar'>{REST}</div><div class='siteFooter'>{REST}</div>", L),
+        (f"<div class='page_header'>{REST}</div><div><p>{LONG}</p></div>", L),
+        (f"<div class='ad3'>{REST}</div><div id='top_nav'>{REST}</div><div><p>{LONG}</p></div>", L),
+        (f"<article><p>{LONG} <span class=ad>Buy <span>now</span> or never</span> and on.</p></article>", f"{L} and on."),
+        (f"<main><div class='platform download'><p>{LONG}</p></div></main>", L),
+        (f"<div role=main><p>{LONG}</p></div><div role=complementary><p>{LONG}</p></div>", L),
+        # Marks by a part of a name around most of the page.
+        ("<div class='search-page-results-form'>" + f"<p>{LONG}</p>" * 4 + "</div><ul>" + "<li><a href=/>x</a>" * 9, " ".join([L] * 4)),
+        ("<div class='comment-list'>" + f"<p>{LONG}</p>" * 4 + f"</div><article><p>{REST}</p></article>", REST),
+        # Never an empty text where there are core lines; menus and forms alone are none.
+        (f"<div class=comments><p>{LONG}</p></div>", L),
+        (f"<div class=sidebar><div class=ad>Buy</div><p>{LONG}</p></div>", L),
+        ("<div class=menu><a href=/>Home</a></div><form>Name <input></form>", "Name"),
+        ("<nav><a href='/'>Home</a> or stay</nav>", ""),
+        # An article is all of the text, also beside unmarked lines.
+        (f"<body><p>By use of this site you accept all terms of it.</p><article><p>{LONG}</p><p>Ah.</p></article>", f"{L} Ah."),
+    ],
+)
+def test_marks(page, text):
+    assert text_of(page) == text
+
+
+@pytest.mark.parametrize(
+    ("value", "strength"),
+    [
+        ("post", (0, 0)), ("comments", (2, 0)), ("post-comments", (1, 0)), ("comments-open", (0, 0)), ("has-sidebar", (0, 0)),
+        ("post comments", (2, 0)), ("site-header", (0, 1)), ("HEADER", (0, 2)), ("siteFooter", (1, 0)), ("ad_12", (1, 0)),
+        ("ads7", (1, 0)), ("platform", (0, 0)), ("reform", (0, 0)), ("", (0, 0)),
+    ],
+)
+def test_strength_of_names(value, strength):
+    assert html_text.mark_strength(value) == strength
+
+
+def test_deep_and_unclosed_elements_end():
+    page = "<div>" * 3000 + f"<p>{LONG}" + "<b>" * 3000 + "x</i></b>" + "</div>" * 4000
+    assert text_of(page).startswith(L)
