@@ -126,12 +126,13 @@ class WordEncoder:
 
     Byte-level BPE never joins what a lone space or line break between other characters
     separates, so the ids of a text without adjacent white space are those of its
-    words, each with the space or line break before it. Any other text is encoded in one call.
+    words, each with the space or line break before it. Any other text, and one that holds a special
+    token of the tokenizer, is encoded in one call.
     """
 
     def __init__(self, definition: str, dtype: str):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = dtype
         self.line_break = self.encode("\n")
         self.words: dict[str, bytes] = {}
@@ -199,6 +200,8 @@ class WordEncoder:
         """Ids of each text. Arrow splits them and finds their different words."""
         texts = pc.fill_null(texts, "")
         whole = pc.or_(pc.equal(pc.binary_length(texts), 0), pc.match_substring_regex(texts, SPACES))
+        for content in self.special:
+            whole = pc.or_(whole, pc.match_substring(texts, content))
         lines = pc.replace_substring(texts.filter(pc.invert(whole)), "\n", " \n")
         plain = pc.split_pattern(lines, " ")
         coded = plain.flatten().dictionary_encode()

@@ -16,7 +16,6 @@ from tests.conftest import TESTDATA
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PLAIN = Tokenizer.from_file(PATH)
-PLAIN.encode_special_tokens = True
 COLUMNS = "doc_id bigint, text string, start string, id int"
 
 
@@ -95,6 +94,14 @@ def test_words_in_any_company_encode_as_the_library_does(monkeypatch):
         monkeypatch.setattr(token_files, "CACHED_BARES", 1)
 
 
+def test_special_tokens_are_ids_of_their_own():
+    encoder = token_files.WordEncoder(PLAIN.to_str(), "<u2")
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext |>", "hello"]
+    got = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode_all(pa.array(texts))]
+    assert got == [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [50256 in ids for ids in got] == [True, True, True, False, False]
+
+
 def test_odd_rows_in_many_blocks(spark, monkeypatch):
     texts = [None, "", " ", "a  b", "don't stop", "é\n x", "<|endoftext|>", "long " * 3000, "tab\t end\t", " a b ", "same", "same"]
     rows = [(i // 2 if i % 2 else 50 - i, t) for i, t in enumerate(texts * 3)] + [(9, "copy")] * 5
