@@ -14,6 +14,7 @@ from postlens.llm.common import filter_computed
 
 SPACE = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
+SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 BOILERPLATE = (
     "(?i)(licensed under|released under|all rights reserved|copyright|privacy policy|"
@@ -74,15 +75,14 @@ def line_passes(line: Column, rules: LineRules = RULES) -> Column:
     chars = F.length(line)
     separators = _count(line, rules.separators_of)
     plain = ~F.rlike(line, F.lit(f"[!{SYMBOLS}{rules.separators_of}]"))  # most lines: no need to count
+    counted = (
+        (100 * _count(line, SYMBOLS) <= rules.max_symbols * chars)
+        & (100 * _count(line, "!") <= rules.max_exclamation * chars)
+        & ((separators < rules.min_separators) | (100 * separators < rules.separators * chars))
+    )
     return (
         F.rlike(line, F.lit(rf"{rules.ending}{SPACE}*\z"))
-        & (plain | (100 * _count(line, SYMBOLS) <= rules.max_symbols * chars))
-        & (plain | (100 * _count(line, "!") <= rules.max_exclamation * chars))
-        & (
-            plain
-            | (separators < rules.min_separators)
-            | (100 * separators < rules.separators * chars)
-        )
+        & (plain | counted)
         & ((chars > rules.boilerplate_chars) | ~F.rlike(line, F.lit(rules.boilerplate)))
     )
 
@@ -91,46 +91,57 @@ def _total_length(lines: str) -> Column:
     return F.aggregate(lines, F.lit(0).cast("bigint"), lambda n, line: n + F.length(line))
 
 
-def _measured(rows: DataFrame, rules: LineRules) -> DataFrame:
-    """Add all measures of column ``text`` to rows whose other columns are under ``row``."""
-    words = F.filter(F.split("text", f"{SPACE}+"), lambda word: word != "")
-    lines = F.filter(F.split("text", "\n"), lambda line: F.rlike(line, F.lit(NOT_SPACE)))
-    rows = rows.select("row", "text", words.alias("words"), lines.alias("lines"))
-
-    rows = rows.select("*", F.transform("words", lambda word: F.xxhash64(word)).alias("hashes"))
+def _hashed_with(left: Column, right: Column, distance: int) -> Column:
+    """A hash for each element of ``left`` and the element of ``right`` that far behind its place; at the
+    end, where there is none, of the first alone."""
+    return F.zip_with(left, F.slice(right, distance + 1, F.size(right)), lambda a, b: F.xxhash64(a, b))
 
-    # Windows are compared by 64-bit hashes, and only within their own text.
-    def window(i: Column) -> Column:
-        return F.xxhash64(*(F.get("hashes", i + k) for k in range(WINDOW)))
 
+def _measured(rows: DataFrame, rules: LineRules) -> DataFrame:
+    """Add all measures of column ``text`` to rows whose other columns are under ``row``."""
+    rows = rows.select("row", "text", F.split("text", f"{SPACE}+").alias("split"))
+    # White space at the beginning and at the end of a text leaves an empty string there.
+    first, last = F.get("split", F.lit(0)) == "", F.element_at("split", -1) == ""
+    n = F.greatest(F.size("split") - first.cast("int") - last.cast("int"), F.lit(0))
+    lines = F.filter(F.split("text", "\n"), lambda line: F.ltrim(line, F.lit(SPACES)) != "")
+    rows = rows.select("row", "text", F.slice("split", first.cast("int") + 1, n).alias("words"), lines.alias("lines"))
     n = F.size("words")
-    windows = F.when(
-        n >= WINDOW, F.transform(F.sequence(F.lit(0), n - WINDOW), window)
-    ).otherwise(F.array().cast("array<bigint>"))
-    rows = rows.select("*", windows.alias("windows"), F.array_distinct("lines").alias("different"))
-    repeats = F.size(F.array_distinct("windows")) < F.size("windows")
-    by_hash = F.when(
-        repeats, F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    rows = rows.select(
+        "row",
+        "lines",
+        n.cast("bigint").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
+        F.regexp_count("text", F.lit(f"[{SYMBOLS}]")).cast("bigint").alias("n_symbols"),
+        F.transform("words", lambda word: F.xxhash64(word)).alias("hashes"),
+    )
+    # Windows are compared by 64-bit hashes, and only within their own text: of two words, of four, of five.
+    n, hashes = F.col("n_words").cast("int"), F.col("hashes")
+    rows = rows.withColumn("two", F.when(n >= WINDOW, _hashed_with(hashes, hashes, 1)))
+    rows = rows.withColumn("four", F.when(n >= WINDOW, _hashed_with(F.col("two"), F.col("two"), 2)))
+    five = _hashed_with(F.col("four"), hashes, 4)
+    windows = F.when(n >= WINDOW, F.slice(five, 1, n - WINDOW + 1))
+    rows = rows.select(
+        *("row", "lines", "n_words", "word_chars", "n_symbols"),
+        F.coalesce(windows, F.array().cast("array<bigint>")).alias("windows"),
+        F.array_distinct("lines").alias("different"),
     )
+    repeats = F.size(F.array_distinct("windows")) < F.size("windows")
+    by_hash = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     kept = F.filter("different", lambda line: line_passes(line, rules))
-    rows = rows.select("*", by_hash.alias("by_hash"), kept.alias("kept_lines"))
+    rows = rows.select("*", F.when(repeats, by_hash).alias("by_hash"), kept.alias("kept_lines")).drop("windows")
 
     def repeated(at: Column, j: Column) -> Column:
         return (F.get("by_hash", j - 1)["h"] == at["h"]) | (F.get("by_hash", j + 1)["h"] == at["h"])
 
     begins = F.sort_array(F.transform(F.filter("by_hash", lambda at, j: F.coalesce(repeated(at, j), F.lit(False))), lambda at: at["i"]))
-    rows = rows.select("*", begins.alias("begins"))
+    rows = rows.select("*", begins.alias("begins")).drop("by_hash")
     covered = F.aggregate(
         F.transform("begins", lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get("begins", k + 1) - p, F.lit(WINDOW)))),
         F.lit(0).cast("bigint"),
         lambda total, length: total + length,
     )
     rows = rows.select(
-        "row",
-        "kept_lines",
-        n.cast("bigint").alias("n_words"),
-        F.length(F.translate("text", " \t\n\x0b\f\r", "")).cast("bigint").alias("word_chars"),
-        _count(F.col("text"), SYMBOLS).cast("bigint").alias("n_symbols"),
+        *("row", "kept_lines", "n_words", "word_chars", "n_symbols"),
         (F.size("lines") - F.size("different")).cast("bigint").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0).cast("bigint")).alias("n_repeat_words"),
         _total_length("lines").alias("line_chars"),
