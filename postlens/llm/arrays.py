@@ -30,6 +30,11 @@ def save(folder: str, name: str, array: np.ndarray) -> None:
     files.move(draft, f"{path}/{name}.npy")
 
 
+def exists(folder: str, name: str) -> bool:
+    files, path = _located(folder)
+    return files.get_file_info(f"{path}/{name}.npy").type == fs.FileType.File
+
+
 def load(folder: str, name: str) -> np.ndarray:
     """The array, mapped from the file; from a store that has no local path, a mapped copy."""
     files, path = _located(folder)

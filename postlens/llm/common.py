@@ -5,12 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from postlens.sources.scratch import delete_folder
+
 ROWS_AT_ONCE = 512
 # By module, what its tasks leave in a worker for the next task. Workers outlive stages, so
 # tasks of other operators empty it.
@@ -35,11 +38,40 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{folder.name}/{name}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The table written to the shared folder and read again, which cuts its lineage."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str = "", path: str | None = None) -> DataFrame:
+    """The table written to the shared folder and read again, which cuts its lineage.
+
+    Its shuffles are of no more use then, and Spark deletes their files.
+    """
+    spark = df.sparkSession
+    path = path or shared_folder(spark, name)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def finished(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A form of ``stored`` whose tables are deleted at the end of the block. What is read from them
+    later has to be stored, or be on the driver, by then."""
+    paths = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        paths.append(shared_folder(spark, name))
+        return stored(df, path=paths[-1])
+
+    try:
+        yield keep
+    finally:
+        for path in paths:
+            delete_folder(spark, path)
 
 
 def filter_computed(df: DataFrame, condition: Column) -> DataFrame:

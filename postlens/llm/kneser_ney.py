@@ -1,26 +1,24 @@
-"""Interpolated modified Kneser-Ney model of words of any order, counted and applied in Spark.
-
-Words are known by 64-bit hashes. The vocabulary is a sorted array of hashes in parts
-of equal hash ranges; a word's place in it is its number. A bigram is the number
-``context * size + word``, and the bigrams are sorted arrays of these numbers in parts of their own ranges,
-which split the contexts that many words follow. All arrays are files in the shared
-folder that tasks map into memory.
-
-Texts are handled in blocks. For counting and for scoring, a block sends each of its
-different bigrams once to the part that holds it, so that a frequent one costs each
-block one entry, and a part is mapped by one task, whatever the size of the corpus.
-
-From order 3 on, n-grams are columns of word numbers, dealt by a hash of their context, or of the
-whole n-gram where all words of the context are hot. Each order is one pass: its tasks sum
-the n-grams of their part, answer the blocks, and send to the order below how many different words
-stand before each shorter n-gram and what follows each context. A text begins
-with as many begin marks as the context is long.
+"""Interpolated modified Kneser-Ney model of words of any order, counted, stored and applied in Spark.
+
+The model is a folder of sorted arrays that tasks map into memory. Words are known by 64-bit hashes;
+the place of a word among all of them, in order of their hashes, is its number. N-grams of each order from 2 are
+a sorted array of 64-bit hashes of their numbers with an array of their values. All are in parts of even
+ranges of hashes, as many as the measured size of the training texts asks for, so that a part fits
+a task whatever the size of the corpus, and no frequent word makes one part larger.
+
+Counting sends the different n-grams of highest order of each block of texts to their parts. A part sums and saves
+them, and sends to the order below what precedes each shorter n-gram and what follows each context, and so on down
+to words. A text begins with as many begin marks as the context is long.
+
+Scoring takes any texts. Their blocks send the hashes of their different n-grams to the parts, where one task maps
+the part's arrays and answers all blocks, so a frequent n-gram costs each block one entry and no
+part is mapped more than once for each order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +28,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
+from postlens.functions.names import quoted
 from postlens.llm import arrays
 from postlens.llm.arrays import pack, unpack
-from postlens.llm.common import input_tasks, release_caches, shared_folder, slices, stored
+from postlens.llm.common import finished, input_tasks, release_caches, shared_folder, slices, stored
 from postlens.llm.language_id import held_out
+from postlens.sources.scratch import delete_folder
 
 END = b" "  # stands for the end of a text; no word holds a blank
-BLOCK_BYTES = 16 << 20
-FULL = 255  # a count of one byte that stands in the list of large counts
+BLOCK_BYTES = 8 << 20
+PART_BYTES = 16 << 20  # of training text for each part
+FULL = 255  # marks an n-gram whose values stand in the list of large ones
 
 
 class _Numbers(dict):
@@ -104,23 +105,29 @@ def _summed(keys: list[np.ndarray], *values: list[np.ndarray]) -> tuple[np.ndarr
     return key[first], *sums
 
 
+def _in_parts(hashes: np.ndarray, parts: int) -> Iterator[tuple[int, slice]]:
+    """The slice of the sorted hashes that each part gets, for parts that get any."""
+    ends = np.searchsorted(_part_of(hashes, parts), np.arange(parts), side="right").tolist()
+    for part, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
+        if begin < end:
+            yield part, slice(begin, end)
+
+
 @dataclass
 class Vocabulary:
     """Sorted hashes and counts of all training words, in parts; numbers count through them."""
 
     folder: str
     offsets: np.ndarray  # of the parts, and the size
-    sums: np.ndarray  # tokens of the parts
-    hot: list[tuple[int, int]]  # words with more tokens than an even part: number, count
-    texts: int  # training texts
+    tokens: int
 
     @property
-    def size(self) -> int:
-        return int(self.offsets[-1])
+    def parts(self) -> int:
+        return len(self.offsets) - 1
 
     @property
-    def tokens(self) -> int:
-        return int(self.sums.sum())
+    def size(self) -> int:
+        return int(self.offsets[-1])
 
     @property
     def unknown(self) -> int:
@@ -134,12 +141,11 @@ class Vocabulary:
         """Numbers (``unknown`` if not in training) and training counts."""
         numbers, counts = np.full(len(hashes), self.unknown, np.int64), np.zeros(len(hashes), np.int64)
         order = np.argsort(hashes)
-        ends = np.searchsorted(_part_of(hashes[order], len(self.sums)), np.arange(len(self.sums)), side="right")
-        for part, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
-            if begin == end or self.offsets[part] == self.offsets[part + 1]:
+        for part, places in _in_parts(hashes[order], self.parts):
+            if self.offsets[part] == self.offsets[part + 1]:
                 continue
             known = arrays.load(self.folder, f"words-{part}")
-            asked = order[begin:end]
+            asked = order[places]
             at = np.minimum(np.searchsorted(known, hashes[asked]), len(known) - 1)
             found = known[at] == hashes[asked]
             numbers[asked[found]] = at[found] + self.offsets[part]
@@ -147,9 +153,15 @@ class Vocabulary:
         return numbers, counts
 
 
-def count_words(rows: DataFrame, folder: str) -> Vocabulary:
+def part_number(rows: DataFrame, part_bytes: int | None = None) -> int:
+    """Parts for the training texts among rows (id, held_out, text), by their measured size."""
+    size = F.sum(F.octet_length("text").cast("bigint") + 1)
+    size = rows.filter("NOT held_out").agg(size.alias("size")).first()["size"] or 0
+    return max(1, -(-size // (part_bytes or PART_BYTES)))
+
+
+def count_words(rows: DataFrame, folder: str, parts: int) -> Vocabulary:
     """Count the training words of rows (id, held_out, text) into files of ``folder``."""
-    parts = input_tasks(rows.sparkSession)
 
     def count(batches):
         for block in blocks(batches):
@@ -157,75 +169,33 @@ def count_words(rows: DataFrame, folder: str) -> Vocabulary:
             seen = np.flatnonzero(counts)
             seen = seen[np.argsort(block.hashes[seen])]
             hashes, counts = block.hashes[seen], counts[seen]
-            texts = sum(not held for _, held in block.rows)
-            ends = np.searchsorted(_part_of(hashes, parts), np.arange(parts), side="right")
-            for part, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
-                row = {
-                    "part": part, "words": pack(hashes[begin:end], True), "counts": pack(counts[begin:end]),
-                    "texts": texts if part == 0 else 0,
-                }
-                yield pa.RecordBatch.from_pylist([row], schema=sent_schema)
-
-    sent_schema = pa.schema([("part", pa.int32()), ("words", pa.binary()), ("counts", pa.binary()), ("texts", pa.int64())])
+            for part, places in _in_parts(hashes, parts):
+                row = [[part], [pack(hashes[places], True)], [pack(counts[places])]]
+                yield pa.RecordBatch.from_arrays([pa.array(row[0], pa.int32()), *map(pa.array, row[1:])], ["part", "words", "counts"])
 
     def merge(batches):
-        words, counts, texts = [], [], 0
+        part, words, counts = None, [], []
         for batch in batches:
-            words += [unpack(x) for x in batch.column(0).to_pylist()]
-            counts += [unpack(x) for x in batch.column(1).to_pylist()]
-            texts += sum(batch.column(2).to_pylist())
-        part = TaskContext.get().partitionId()
+            part = batch.column(0)[0].as_py()
+            words += [unpack(x) for x in batch.column(1).to_pylist()]
+            counts += [unpack(x) for x in batch.column(2).to_pylist()]
+        if part is None:
+            return
         known, sums = _summed(words, counts)
         arrays.save(folder, f"words-{part}", known)
         arrays.save(folder, f"counts-{part}", sums)
-        top = np.argsort(-sums.astype(np.int64), kind="stable")[:parts]
-        row = {
-            "part": part, "size": len(known), "tokens": int(sums.sum()), "texts": texts,
-            "top": top.tolist(), "top_counts": sums[top].tolist(),
-        }
-        yield pa.RecordBatch.from_pylist([row], schema=pa.schema([
-            ("part", pa.int64()), ("size", pa.int64()), ("tokens", pa.int64()), ("texts", pa.int64()),
-            ("top", pa.list_(pa.int64())), ("top_counts", pa.list_(pa.int64())),
-        ]))
-
-    sent = rows.mapInArrow(count, "part int, words binary, counts binary, texts bigint")
-    dealt = sent.repartitionById(parts, F.col("part")).select("words", "counts", "texts")
-    schema = "part bigint, size bigint, tokens bigint, texts bigint, top array<bigint>, top_counts array<bigint>"
-    merged = dealt.mapInArrow(merge, schema)
-    found = stored(merged, "words")
-    even = (found.agg(F.sum("tokens")).first()[0] or 0) / parts
-    top = F.filter(F.arrays_zip("top", "top_counts"), lambda x: x["top_counts"] > even)
-    found = {r["part"]: r for r in found.select("part", "size", "tokens", "texts", top.alias("hot")).collect()}
-    sizes, tokens = ([found[p][c] if p in found else 0 for p in range(parts)] for c in ("size", "tokens"))
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    hot = sorted((int(offsets[p]) + x["top"], x["top_counts"]) for p, r in found.items() for x in r["hot"])
-    return Vocabulary(folder, offsets, np.array(tokens), hot, sum(r["texts"] for r in found.values()))
-
-
-def bigram_cuts(vocabulary: Vocabulary) -> np.ndarray:
-    """Least bigram number of each part.
-
-    One part for the contexts of each part of the vocabulary; a context with more
-    tokens than an even part gets parts of its own, split by the following word.
-    """
-    base = vocabulary.size + 2
-    even = max(1.0, vocabulary.tokens / len(vocabulary.sums))
-    cuts = {0, vocabulary.unknown * base, *(int(v) * base for v in vocabulary.offsets[:-1])}
-    for context, tokens in [*vocabulary.hot, (vocabulary.begin, vocabulary.texts)]:
-        pieces = max(1, int(np.ceil(tokens / even)))
-        cuts |= {context * base + base * k // pieces for k in range(pieces)} | {(context + 1) * base}
-    return np.array(sorted(cuts), np.uint64)
-
+        row = [[part], [len(known)], [int(sums.sum())]]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in row], ["part", "size", "tokens"])
 
-def _bigrams(tokens: np.ndarray, lengths: np.ndarray, numbers: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    words = numbers[tokens].astype(np.uint64)
-    contexts = np.empty_like(words)
-    contexts[1:] = words[:-1]
-    contexts[np.cumsum(lengths) - lengths] = vocabulary.begin
-    return contexts * np.uint64(vocabulary.size + 2) + words
+    sent = rows.filter("NOT held_out").mapInArrow(count, "part int, words binary, counts binary")
+    with finished(rows.sparkSession) as keep:
+        found = keep(sent.repartitionById(parts, F.col("part")).mapInArrow(merge, "part bigint, size bigint, tokens bigint"), "words")
+        found = found.toArrow()
+    sizes = np.zeros(parts, np.int64)
+    sizes[found["part"].to_numpy()] = found["size"].to_numpy()
+    return Vocabulary(folder, np.concatenate([[0], np.cumsum(sizes)]), int(found["tokens"].to_numpy().sum()))
 
 
-BLOCK_FIELDS = "part int, block bigint, bigrams binary, counts binary, words binary, tokens binary, lengths array<bigint>"
 BASE_FIELDS = "n_known array<bigint>, base_score array<double>, held_out array<boolean>"
 
 
@@ -247,84 +217,34 @@ def _block_row(block: Block, vocabulary: Vocabulary) -> tuple[np.ndarray, dict]:
     }
 
 
-def encode_blocks(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """The texts as blocks in the shared folder.
-
-    A block is one row with part -1 (tokens, words, and what needs the vocabulary only)
-    and one row for each part of its bigrams, with their training counts in the block.
-    """
-    cuts = bigram_cuts(vocabulary)
-    shared = rows.sparkSession.sparkContext.broadcast((vocabulary, cuts))
-    id_type = rows.schema["id"].dataType
-    schema = StructType([*StructType.fromDDL(f"{BLOCK_FIELDS}, {BASE_FIELDS}"), StructField("ids", ArrayType(id_type))])
-
-    def encode(batches):
-        vocabulary, cuts = shared.value
-        arrow = None
-
-        def typed(batches):
-            nonlocal arrow
-            for batch in batches:
-                arrow = arrow or pa.schema([
-                    ("part", pa.int32()), ("block", pa.int64()), ("bigrams", pa.binary()), ("counts", pa.binary()),
-                    ("words", pa.binary()), ("tokens", pa.binary()), ("lengths", pa.list_(pa.int64())),
-                    ("n_known", pa.list_(pa.int64())), ("base_score", pa.list_(pa.float64())),
-                    ("held_out", pa.list_(pa.bool_())), ("ids", pa.list_(batch.schema.field("id").type)),
-                ])
-                yield batch
-
-        for k, block in enumerate(blocks(typed(batches))):
-            name = (TaskContext.get().partitionId() << 32) + k
-            numbers, row = _block_row(block, vocabulary)
-            yield pa.RecordBatch.from_pylist([row | {"part": -1, "block": name}], schema=arrow)
-            pairs = _bigrams(block.tokens, block.lengths, numbers, vocabulary)
-            keys, sums = _summed([pairs], [block.training.astype(np.uint64)])
-            ends = np.searchsorted(keys, cuts[1:]).tolist() + [len(keys)]
-            for part, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
-                if begin < end:
-                    row = {"part": part, "block": name, "bigrams": pack(keys[begin:end], True), "counts": pack(sums[begin:end])}
-                    yield pa.RecordBatch.from_pylist([row], schema=arrow)
-
-    return stored(rows.mapInArrow(encode, schema), "blocks")
-
-
-def _discounts(n: list[int]) -> list[float]:
-    """For counts 1, 2 and 3 or more, from the numbers of keys with count 1 to 4."""
-    n1, n2, n3, n4 = n
-    y = n1 / (n1 + 2 * n2) if n1 else 0.0
-    found = [1 - 2 * y * n2 / n1 if n1 else 0.0, 2 - 3 * y * n3 / n2 if n2 else 0.0, 3 - 4 * y * n4 / n3 if n3 else 0.0]
-    # Tiny corpora can give estimates out of range; the plain discount then serves.
-    return [d if 0 < d < k + 1 else 0.5 for k, d in enumerate(found)]
-
-
 @dataclass
 class Model:
-    """The folder of arrays, and the few numbers that hold for all words."""
+    """The folder of arrays, and the few numbers that hold for all n-grams."""
 
     vocabulary: Vocabulary
-    bigram_discounts: list[float]
-    word_discounts: list[float]
-    bigrams: int  # different ones in training
-    word_mass: float  # of the uniform distribution, within the words'
+    order: int
+    discounts: dict[int, list[float]] = field(default_factory=dict)  # by order, from 2
+    word_discounts: list[float] = field(default_factory=list)
+    bigrams: int = 0  # different ones in training
+    word_mass: float = 1.0  # of the uniform distribution, within the words'
 
     def words(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For words: their probability, their count as a context, and the mass that the
         context leaves to the words' distribution (1 if it is new)."""
         vocabulary = self.vocabulary
-        base, size = vocabulary.size + 2, vocabulary.size + 2
         values = np.zeros((5, len(numbers)))  # contexts of the word; words after it: in all, with count 1, 2, more
         order = np.argsort(numbers)
-        cuts = _word_cuts(base, len(vocabulary.sums))
+        cuts = _word_cuts(vocabulary.size + 2, vocabulary.parts)
         ends = np.searchsorted(numbers[order], cuts[1:].astype(np.int64))
         for part, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
-            if begin < end and self.bigrams:
+            if begin < end and self.bigrams and arrays.exists(vocabulary.folder, f"margins-{part}"):
                 stored_values = arrays.load(vocabulary.folder, f"margins-{part}")
                 values[:, order[begin:end]] = stored_values[:, numbers[order[begin:end]] - int(cuts[part])]
         contexts, after, ones, twos, more = values
         probability = self.word_mass / (vocabulary.size + 1) + np.zeros(len(numbers))
         if self.bigrams:
             probability += _discounted(contexts, self.word_discounts) / self.bigrams
-        d = self.bigram_discounts
+        d = self.discounts[2]
         left = (d[0] * ones + d[1] * twos + d[2] * more) / np.maximum(after, 1)
         return probability, after, np.where(after > 0, left, 1.0)
 
@@ -338,29 +258,239 @@ def _word_cuts(size: int, parts: int) -> np.ndarray:
     return np.arange(parts + 1, dtype=np.int64) * size // parts
 
 
-def fit_blocks(encoded: DataFrame, vocabulary: Vocabulary) -> Model:
-    """Count the training bigrams of the blocks, and from them what holds for each word.
+def _discounts(n: list[int]) -> list[float]:
+    """For counts 1, 2 and 3 or more, from the numbers of keys with count 1 to 4."""
+    n1, n2, n3, n4 = n
+    y = n1 / (n1 + 2 * n2) if n1 else 0.0
+    found = [1 - 2 * y * n2 / n1 if n1 else 0.0, 2 - 3 * y * n3 / n2 if n2 else 0.0, 3 - 4 * y * n4 / n3 if n3 else 0.0]
+    # Tiny corpora can give estimates out of range; the plain discount then serves.
+    return [d if 0 < d < k + 1 else 0.5 for k, d in enumerate(found)]
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of the keys, where in it each different key begins, and for each key its place among those."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    del ordered
+    place = np.empty(len(keys), np.uint32)
+    place[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
+    return order, np.flatnonzero(new), place
+
+
+def _grams_of(words: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary, order: int):
+    """For each token, and last for a context of begins: the place of what stands before, and for
+    each order the different n-grams, sorted, and the number of the token's own among them."""
+    base, n = np.uint64(vocabulary.size + 2), len(words)
+    before = np.arange(-1, n)
+    before[np.cumsum(lengths) - lengths] = n
+    before[n] = n
+    words = np.append(words, vocabulary.begin).astype(np.uint64)
+    by_word, first, ids = _distinct(words)
+    levels = [(words[by_word[first]][None], ids)]
+    for _ in range(order - 1):
+        grams, ids = levels[-1]
+        by_gram, first, own = _distinct(ids[before].astype(np.uint64) * base + words)
+        one = by_gram[first]  # a token of each n-gram
+        levels.append((np.concatenate([grams[:, ids[before[one]]], words[one][None]]), own))
+    return before, levels
+
+
+def _known(grams: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """Places of the n-grams without an unknown word; no other is in training."""
+    return np.flatnonzero((grams != np.uint64(vocabulary.unknown)).all(axis=0))
+
+
+def gram_hashes(grams: np.ndarray) -> np.ndarray:
+    """One 64-bit hash for each column of word numbers."""
+    state = np.full(grams.shape[1], len(grams), np.uint64)
+    for column in grams:
+        state = (state ^ column) * np.uint64(0xBF58476D1CE4E5B9)
+        state = (state ^ state >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
+        state ^= state >> np.uint64(29)
+    return state
+
+
+def save_grams(folder: str, level: int, part: int, hashes: np.ndarray, values: np.ndarray) -> None:
+    """The sorted hashes and the values of a part's n-grams.
+
+    Values are one row (counts) or five: counts, and as a context what follows: in all, once, twice, more
+    often. They take a byte each, the last three together one; those that do not fit are listed apart.
+    """
+    small = values[:2]
+    fit = (small < FULL).all(axis=0)
+    if len(values) > 1:
+        _, _, ones, twos, more = values
+        shape = ones + (twos << np.uint64(4)) + (more << np.uint64(6))
+        fit &= (ones < 16) & (twos < 4) & (more < 4)
+        small = np.stack([*small, shape])
+    small = np.where(fit, small, FULL).astype(np.uint8)
+    large = np.flatnonzero(~fit)
+    arrays.save(folder, f"grams-{level}-{part}", hashes)
+    arrays.save(folder, f"small-{level}-{part}", small)
+    arrays.save(folder, f"large-{level}-{part}", np.stack([large.astype(np.uint64), *values[:, large]]))
+
+
+def load_values(folder: str, level: int, part: int, asked: np.ndarray, rows: int) -> np.ndarray:
+    """The values of sorted hashes, from the mapped arrays of their part; zero for those it does not have."""
+    result = np.zeros((rows, len(asked)), np.uint64)
+    if not arrays.exists(folder, f"grams-{level}-{part}"):
+        return result
+    known, small, large = (arrays.load(folder, f"{name}-{level}-{part}") for name in ("grams", "small", "large"))
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    found = np.flatnonzero(known[at] == asked)
+    at = at[found]
+    values = small[:, at].astype(np.uint64)
+    full = np.flatnonzero(values[0] == FULL)
+    if rows > 1:
+        shape = values[2]
+        values = np.stack([*values[:2], shape & np.uint64(15), shape >> np.uint64(4) & np.uint64(3), shape >> np.uint64(6)])
+    if len(full):
+        values[:, full] = large[1:, np.searchsorted(large[0], at[full].astype(np.uint64))]
+    result[:, found] = values
+    return result
+
+
+COUNT, BEFORE, AFTER, NUMBERS = range(4)  # kinds of rows
+GRAM_FIELDS = "kind int, part int, grams array<binary>, values array<binary>, numbers array<bigint>"
+GRAM_SCHEMA = pa.schema([
+    ("kind", pa.int32()), ("part", pa.int32()), ("grams", pa.list_(pa.binary())), ("values", pa.list_(pa.binary())),
+    ("numbers", pa.list_(pa.int64())),
+])
+
+
+def _gram_rows(kind: int, grams: np.ndarray, values: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """A row for each part that gets any of the n-grams, which stay in their order."""
+    part = _part_of(gram_hashes(grams), parts).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[order], np.arange(parts), side="right").tolist()
+    for k, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
+        if begin < end:
+            places = order[begin:end]
+            row = {
+                "kind": kind, "part": k, "grams": [pack(column[places], not i) for i, column in enumerate(grams)],
+                "values": [pack(v[places]) for v in values],
+            }
+            yield pa.RecordBatch.from_pylist([row], schema=GRAM_SCHEMA)
+
+
+def _different(grams: np.ndarray, values: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different n-grams in order, and the sums of their values. Words are less than ``base``."""
+    keys, room = grams[0], base
+    for column in grams[1:]:
+        if room * base >= 1 << 64:
+            keys = _distinct(keys)[2].astype(np.uint64)
+            room = 1 << 32
+        keys, room = keys * np.uint64(base) + column, room * base
+    order, first, _ = _distinct(keys)
+    return grams[:, order[first]], np.stack([np.add.reduceat(v[order], first) for v in values])
+
 
-    The driver gets one row of sums for each part.
+def block_grams(rows: DataFrame, vocabulary: Vocabulary, order: int) -> DataFrame:
+    """The different training n-grams of highest order of each block, with their counts, dealt to parts."""
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def send(batches):
+        vocabulary = shared.value
+        for block in blocks(batches):
+            numbers, _ = vocabulary.look_up(block.hashes)
+            by_number = np.argsort(numbers)
+            rank = np.empty(len(numbers) + 1, np.uint64)  # within the block, and last the begin
+            rank[by_number] = np.arange(len(numbers))
+            rank[-1] = len(numbers)
+            numbers = np.append(numbers[by_number], vocabulary.begin).astype(np.uint64)
+            begins = np.repeat(np.cumsum(block.lengths) - block.lengths, block.lengths)
+            place = np.arange(len(block.tokens))
+            columns = []
+            for k in range(order - 1, -1, -1):
+                at = place - k
+                columns.append(rank[np.where(at >= begins, block.tokens[np.maximum(at, 0)], -1)])
+            one = np.ones((1, len(place)), np.uint64)
+            grams, counts = _different(np.stack(columns), one, len(numbers))
+            yield from _gram_rows(COUNT, numbers[grams.astype(np.int64)], counts, vocabulary.parts)
+
+    return rows.filter("NOT held_out").mapInArrow(send, GRAM_FIELDS)
+
+
+def count_grams(sent: DataFrame, vocabulary: Vocabulary, level: int, order: int) -> DataFrame:
+    """Sum and save the n-grams of one order; the result is what the order below gets.
+
+    The count of an n-gram is, in a lower order, the number of different words before it.
     """
-    cuts, size, folder = bigram_cuts(vocabulary), vocabulary.size + 2, vocabulary.folder
-    word_cuts = _word_cuts(size, len(vocabulary.sums))
+    shared, rows_of_values = sent.sparkSession.sparkContext.broadcast(vocabulary), 1 if level == order else 5
 
     def count(batches):
-        keys, counts = [], []
+        vocabulary = shared.value
+        part, columns, values = None, [], []
         for batch in batches:
-            for key, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                key, n = unpack(key), unpack(n)
-                keys.append(key[n > 0])
-                counts.append(n[n > 0])
-        bigrams, sums = _summed(keys, counts)
-        _save_bigrams(folder, TaskContext.get().partitionId(), bigrams, sums)
-        contexts, words = np.divmod(bigrams, np.uint64(size))
-        yield from _margin_rows(contexts, words, sums, word_cuts)
+            for row in batch.to_pylist():
+                part = row["part"]
+                grams, given = (np.stack([unpack(x) for x in row[c]]) for c in ("grams", "values"))
+                value = np.zeros((rows_of_values, grams.shape[1]), np.uint64)
+                first = 1 if row["kind"] == AFTER else 0
+                value[first : first + len(given)] = given
+                columns.append(grams)
+                values.append(value)
+        if part is None:
+            return
+        grams, values = np.concatenate(columns, axis=1), np.concatenate(values, axis=1)
+        columns.clear()
+        hashes = gram_hashes(grams)
+        by_hash, first, _ = _distinct(hashes)
+        values = np.stack([np.add.reduceat(v[by_hash], first) for v in values])
+        one = by_hash[first]  # one of each
+        hashes, grams = hashes[one], grams[:, one]
+        del by_hash, one
+        save_grams(vocabulary.folder, level, part, hashes, values)
+        del hashes
+        counts = values[0]
+        del values
+        seen = np.flatnonzero(counts)
+        if not len(seen):
+            return
+        grams, counts = grams[:, seen], counts[seen]
+        if level == 2:  # each word is one number: the margins take it from here
+            yield from _margin_rows(grams[0], grams[1], counts, _word_cuts(vocabulary.size + 2, vocabulary.parts))
+            return
+        numbers = [[int((counts == k).sum()) for k in range(1, 5)]]
+        row = [pa.array([NUMBERS], pa.int32()), pa.array([part], pa.int32()), *([pa.array([None], pa.list_(pa.binary()))] * 2)]
+        yield pa.RecordBatch.from_arrays([*row, pa.array(numbers, pa.list_(pa.int64()))], schema=GRAM_SCHEMA)
+        following = np.stack([counts, counts == 1, counts == 2, counts > 2]).astype(np.uint64)
+        one = np.ones((1, len(counts)), np.uint64)
+        for kind, shorter, given in ((AFTER, grams[:-1], following), (BEFORE, grams[1:], one)):
+            yield from _gram_rows(kind, *_different(shorter, given, vocabulary.size + 2), vocabulary.parts)
+
+    dealt = sent.filter(F.col("kind") != NUMBERS).repartitionById(vocabulary.parts, F.col("part"))
+    return dealt.select("kind", "part", "grams", "values").mapInArrow(count, GRAM_FIELDS if level > 2 else MARGIN_FIELDS)
 
-    asked = encoded.filter("part >= 0").select("part", "bigrams", "counts")
-    dealt = asked.repartitionById(len(cuts), F.col("part")).select("bigrams", "counts")
-    return _merge_margins(dealt.mapInArrow(count, MARGIN_FIELDS), vocabulary)
+
+def _sums(rows: DataFrame, array: str, n: int) -> list[int]:
+    found = rows.agg(*(F.sum(F.get(array, F.lit(i))) for i in range(n))).first()
+    return [int(x or 0) for x in found]
+
+
+def fit(rows: DataFrame, order: int, folder: str, part_bytes: int | None = None) -> Model:
+    """Learn from the rows (id, held_out, text) that are not held out. The model's arrays go to ``folder``."""
+    if order < 2:
+        raise ValueError("order must be 2 or more")
+    vocabulary = count_words(rows, folder, part_number(rows, part_bytes))
+    model = Model(vocabulary, order)
+    sent, used = block_grams(rows, vocabulary, order), None
+    for level in range(order, 2, -1):
+        counted = count_grams(sent, vocabulary, level, order)
+        path = shared_folder(rows.sparkSession, f"order-{level}")
+        sent = stored(counted, path=path)
+        if used:
+            delete_folder(rows.sparkSession, used)
+        used = path
+        model.discounts[level] = _discounts(_sums(sent, "numbers", 4))
+    with finished(rows.sparkSession) as keep:
+        margins = keep(count_grams(sent, vocabulary, 2, order), "margins")
+        if used:
+            delete_folder(rows.sparkSession, used)
+        _merge_margins(margins, model)
+    return model
 
 
 MARGIN_FIELDS = "part int, contexts binary, after array<binary>, words binary, before binary, numbers_of array<bigint>"
@@ -388,402 +518,176 @@ def _margin_rows(contexts: np.ndarray, words: np.ndarray, sums: np.ndarray, word
             }], schema=MARGIN_SCHEMA)
 
 
-def _merge_margins(sent: DataFrame, vocabulary: Vocabulary) -> Model:
+def _merge_margins(sent: DataFrame, model: Model) -> None:
     """Save the margins of the words, and sum up what holds for all of them."""
-    parts, folder = len(vocabulary.sums), vocabulary.folder
+    vocabulary = model.vocabulary
+    parts, folder = vocabulary.parts, vocabulary.folder
     word_cuts = _word_cuts(vocabulary.size + 2, parts)
 
     def merge(batches):
-        part = TaskContext.get().partitionId()
-        low, high = int(word_cuts[part]), int(word_cuts[part + 1])
-        margins, numbers_of = np.zeros((5, high - low), np.uint64), np.zeros(4, np.int64)
+        part, numbers_of, margins = None, np.zeros(4, np.int64), None
         for batch in batches:
             for row in batch.to_pylist():
+                if part is None:
+                    part = row["part"]
+                    low, high = int(word_cuts[part]), int(word_cuts[part + 1])
+                    margins = np.zeros((5, high - low), np.uint64)
                 np.add.at(margins[0], (unpack(row["words"]).astype(np.int64) - low), unpack(row["before"]))
                 contexts = unpack(row["contexts"]).astype(np.int64) - low
                 for k, values in enumerate(row["after"]):
                     np.add.at(margins[k + 1], contexts, unpack(values))
                 numbers_of += row["numbers_of"]
+        if part is None:
+            return
         small = margins.max(initial=0) < 1 << 32
         arrays.save(folder, f"margins-{part}", margins.astype(np.uint32) if small else margins)
         contexts = margins[0]
         words_with = [int((contexts == k).sum()) for k in range(1, 5)] + [int((contexts > 2).sum())]
         yield pa.RecordBatch.from_pylist([{
-            "bigrams_with": numbers_of.tolist(), "words_with": words_with, "bigrams": int(contexts.sum(dtype=np.int64)),
+            "bigrams_with": numbers_of.tolist(), "words_with": [*words_with, int(contexts.sum(dtype=np.int64))],
         }])
 
-    merged = sent.repartitionById(parts, F.col("part")).mapInArrow(merge, "bigrams_with array<bigint>, words_with array<bigint>, bigrams bigint")
-    found = stored(merged, "margins").collect()
-    bigrams_with = np.sum([r["bigrams_with"] for r in found], axis=0).tolist()
-    words_with = np.sum([r["words_with"] for r in found], axis=0).tolist()
-    bigrams = sum(r["bigrams"] for r in found)
-    word_discounts = _discounts(words_with[:4])
+    merged = sent.repartitionById(parts, F.col("part")).mapInArrow(merge, "bigrams_with array<bigint>, words_with array<bigint>")
+    with finished(sent.sparkSession) as keep:
+        found = keep(merged, "sums")
+        model.discounts[2] = _discounts(_sums(found, "bigrams_with", 4))
+        words_with = _sums(found, "words_with", 6)
+    model.bigrams = words_with[5]
+    model.word_discounts = _discounts(words_with[:4])
     numbers = [words_with[0], words_with[1], words_with[4]]
-    mass = sum(d * n for d, n in zip(word_discounts, numbers)) / bigrams if bigrams else 1.0
-    return Model(vocabulary, _discounts(bigrams_with), word_discounts, bigrams, mass)
-
-
-def _save_bigrams(folder: str, part: int, bigrams: np.ndarray, counts: np.ndarray) -> None:
-    """Numbers less the part's first in the fewest bytes, counts in one byte, and the large counts."""
-    low = bigrams[0] if len(bigrams) else np.uint64(0)
-    span = int(bigrams[-1] - low) if len(bigrams) else 0
-    arrays.save(folder, f"bigrams-{part}", (bigrams - low).astype(np.uint32 if span < 1 << 32 else np.uint64))
-    arrays.save(folder, f"small-{part}", np.minimum(counts, FULL).astype(np.uint8))
-    large = np.flatnonzero(counts >= FULL)
-    arrays.save(folder, f"large-{part}", np.concatenate([[low], large.astype(np.uint64), counts[large]]).astype(np.uint64))
-
-
-def _bigram_counts(folder: str, part: int, asked: np.ndarray) -> np.ndarray:
-    """Training counts of sorted bigrams, from the mapped arrays of their part."""
-    known, small, large = (arrays.load(folder, f"{name}-{part}") for name in ("bigrams", "small", "large"))
-    counts = np.zeros(len(asked), np.uint64)
-    if len(known):
-        low, places, values = large[0], *np.split(large[1:], 2)
-        own = (asked >= low) & (asked - low <= known[-1])
-        wanted = (asked[own] - low).astype(known.dtype)
-        at = np.searchsorted(known, wanted)
-        found = np.where(known[at] == wanted, small[at], 0).astype(np.uint64)
-        full = found == FULL
-        found[full] = values[np.searchsorted(places, at[full].astype(np.uint64))]
-        counts[own] = found
-    return counts
-
-
-def score_blocks(encoded: DataFrame, model: Model) -> DataFrame:
-    """Per text: ``id``, ``held_out``, ``n_tokens``, ``n_known``, ``base_score`` and ``score``."""
-    spark = encoded.sparkSession
-    cuts = bigram_cuts(model.vocabulary)
-    shared = spark.sparkContext.broadcast(model)
-
-    def answer(batches):
-        folder = shared.value.vocabulary.folder
-        for batch in batches:
-            asked = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
-            counts = [pack(_bigram_counts(folder, part, unpack(x))) for part, x in asked]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts)], ["part", "block", "counts"])
-
-    asked = encoded.filter("part >= 0").select("part", "block", "bigrams")
-    answers = asked.repartitionById(len(cuts), F.col("part")).mapInArrow(answer, "part int, block bigint, counts binary")
-    texts = encoded.filter("part < 0").drop("bigrams", "counts")
-    joined = texts.unionByName(answers, allowMissingColumns=True)
-    joined = joined.repartition(input_tasks(spark), "block").sortWithinPartitions("block", "part")
-    id_type = encoded.schema["ids"].dataType.elementType
-    schema = StructType([
-        StructField("id", id_type),
-        *StructType.fromDDL("held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"),
-    ])
-
-    def scored(row, counts):
-        model = shared.value
-        tokens, numbers = unpack(row["tokens"]).astype(np.int64), unpack(row["words"]).astype(np.int64)
-        lengths = np.array(row["lengths"])
-        begins = np.cumsum(lengths) - lengths
-        probability, after, left = model.words(np.append(numbers, model.vocabulary.begin))
-        contexts = np.empty_like(tokens)
-        contexts[1:] = tokens[:-1]
-        contexts[begins] = len(numbers)
-        pairs = _bigrams(tokens, lengths, numbers, model.vocabulary)
-        keys, place = np.unique(pairs, return_inverse=True)
-        counts = np.concatenate(counts)
-        if len(counts) != len(keys):
-            raise RuntimeError("a block lacks the answer of a part")
-        own = _discounted(counts, model.bigram_discounts)[place] / np.maximum(after[contexts], 1)
-        logs = np.log10(own + left[contexts] * probability[tokens])
-        columns = [row["ids"], row["held_out"], row["lengths"], row["n_known"], row["base_score"], np.add.reduceat(logs, begins)]
-        return columns
-
-    def score(batches):
-        row, counts, kinds = None, [], None
-
-        def done():
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(scored(row, counts), kinds)], names=schema.names)
-
-        for batch in batches:
-            ids = batch.schema.field("ids").type.value_type
-            kinds = [ids, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            for i in range(batch.num_rows):
-                new = batch.slice(i, 1).to_pylist()[0]
-                if new["part"] < 0:
-                    if row is not None:
-                        yield done()
-                    row, counts = new, []
-                else:
-                    counts.append(unpack(new["counts"]))
-        if row is not None:
-            yield done()
-
-    return joined.mapInArrow(score, schema)
-
-
-ASK, BEFORE, AFTER, ANSWER, NUMBERS = range(5)  # kinds of rows; a block's own row has kind -1
-GRAM_FIELDS = "level int, kind int, part int, block bigint, grams array<binary>, values array<binary>"
-GRAM_SCHEMA = [
-    ("level", pa.int32()), ("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int64()),
-    ("grams", pa.list_(pa.binary())), ("values", pa.list_(pa.binary())),
-]
+    if model.bigrams:
+        model.word_mass = sum(d * n for d, n in zip(model.word_discounts, numbers)) / model.bigrams
 
 
-def _gram_row(level: int, kind: int, part: int, block: int, grams: np.ndarray, values: list[np.ndarray]) -> pa.RecordBatch:
-    row = {
-        "level": level, "kind": kind, "part": part, "block": block,
-        "grams": [pack(column, k == 0) for k, column in enumerate(grams)], "values": [pack(v) for v in values],
-    }
-    return pa.RecordBatch.from_pylist([row], schema=pa.schema(GRAM_SCHEMA))
-
-
-def _hot_words(vocabulary: Vocabulary) -> np.ndarray:
-    """Numbers of words, and of the begin, with more tokens than an even part. No n-gram has more than its words."""
-    hot = [number for number, _ in vocabulary.hot]
-    if vocabulary.texts * len(vocabulary.sums) > vocabulary.tokens:
-        hot.append(vocabulary.begin)
-    return np.array(sorted(hot), np.uint64)
-
-
-def _gram_parts(grams: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
-    """By the context, or by the whole n-gram if its context may be hot."""
-
-    def mixed(state, column):
-        state = (state ^ column) * np.uint64(0xBF58476D1CE4E5B9)
-        state = (state ^ state >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
-        return state ^ state >> np.uint64(29)
-
-    state, split = np.full(grams.shape[1], 7, np.uint64), np.full(grams.shape[1], len(hot) > 0)
-    for column in grams[:-1]:
-        state = mixed(state, column)
-        if len(hot):
-            split &= hot[np.minimum(np.searchsorted(hot, column), len(hot) - 1)] == column
-    return _part_of(np.where(split, mixed(state, grams[-1]), state), parts).astype(np.int64)
-
-
-def _by_part(grams: np.ndarray, hot: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of the n-grams of each part that has any, in their order."""
-    part = _gram_parts(grams, hot, parts)
-    order = np.argsort(part, kind="stable")
-    ends = np.searchsorted(part[order], np.arange(parts), side="right").tolist()
-    for k, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
-        if begin < end:
-            yield k, order[begin:end]
-
-
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order of the keys, where in it each different key begins, and for each key its place among those."""
-    order = np.argsort(keys)
-    ordered = keys[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = ordered[1:] != ordered[:-1]
-    del ordered
-    place = np.empty(len(keys), np.uint32)
-    place[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
-    return order, np.flatnonzero(new), place
-
-
-def _grams_of(words: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary, order: int):
-    """For each token, and last for a context of begins: the place of what stands before, and for
-    each order the different n-grams, sorted, and the number of the token's own among them."""
-    base, n = np.uint64(vocabulary.size + 2), len(words)
-    before = np.arange(-1, n)
-    before[np.cumsum(lengths) - lengths] = n
-    before[n] = n
-    words = np.append(words, vocabulary.begin).astype(np.uint64)
-    by_word, first, ids = _distinct(words)
-    levels = [(words[by_word[first]][None], ids)]
-    for _ in range(order - 1):
-        grams, ids = levels[-1]
-        by_gram, first, own = _distinct(ids[before].astype(np.uint64) * base + words)
-        one = by_gram[first]  # a token of each n-gram
-        levels.append((np.concatenate([grams[:, ids[before[one]]], words[one][None]]), own))
-    return before, levels
-
-
-def _known(grams: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """Places of the n-grams without an unknown word; no other is in training."""
-    return np.flatnonzero((grams != np.uint64(vocabulary.unknown)).all(axis=0))
-
-
-def encode_gram_blocks(rows: DataFrame, vocabulary: Vocabulary, order: int) -> DataFrame:
-    """The texts as blocks in the shared folder: a row for each, and one for each part of its n-grams
-    of each order from 2, those of the highest with their training counts."""
+def encode_blocks(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The texts as blocks: tokens, words, and what needs the vocabulary only."""
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
-    fields = f"{GRAM_FIELDS}, words binary, tokens binary, lengths array<bigint>, {BASE_FIELDS}"
+    fields = f"block bigint, words binary, tokens binary, lengths array<bigint>, {BASE_FIELDS}"
     schema = StructType([*StructType.fromDDL(fields), StructField("ids", ArrayType(rows.schema["id"].dataType))])
 
     def encode(batches):
-        vocabulary = shared.value
-        hot, parts, arrow = _hot_words(vocabulary), len(vocabulary.sums), None
+        arrow = None
 
         def typed(batches):
             nonlocal arrow
             for batch in batches:
                 arrow = arrow or pa.schema([
-                    *GRAM_SCHEMA, ("words", pa.binary()), ("tokens", pa.binary()), ("lengths", pa.list_(pa.int64())),
+                    ("block", pa.int64()), ("words", pa.binary()), ("tokens", pa.binary()), ("lengths", pa.list_(pa.int64())),
                     ("n_known", pa.list_(pa.int64())), ("base_score", pa.list_(pa.float64())),
                     ("held_out", pa.list_(pa.bool_())), ("ids", pa.list_(batch.schema.field("id").type)),
                 ])
                 yield batch
 
-        for k, block in enumerate(blocks(typed(batches), max(1, BLOCK_BYTES // 2))):
-            name = (TaskContext.get().partitionId() << 32) + k
-            numbers, row = _block_row(block, vocabulary)
-            row |= {"level": 0, "kind": -1, "part": -1, "block": name}
+        for k, block in enumerate(blocks(typed(batches))):
+            _, row = _block_row(block, shared.value)
+            row["block"] = (TaskContext.get().partitionId() << 32) + k
             yield pa.RecordBatch.from_pylist([row], schema=arrow)
-            del row
-            _, levels = _grams_of(numbers[block.tokens], block.lengths, vocabulary, order)
-            for level in range(2, order + 1):
-                grams, ids = levels[level - 1]
-                known, values = _known(grams, vocabulary), []
-                if level == order:
-                    training = np.append(block.training, False)
-                    values = [np.bincount(ids, weights=training, minlength=grams.shape[1]).astype(np.uint64)[known]]
-                for part, places in _by_part(grams[:, known], hot, parts):
-                    asked = known[places]
-                    row = _gram_row(level, ASK, part, name, grams[:, asked], [v[places] for v in values]).to_pylist()
-                    yield pa.RecordBatch.from_pylist(row, schema=arrow)
-
-    return stored(rows.mapInArrow(encode, schema), "blocks")
-
-
-def _gram_keys(grams: np.ndarray, base: np.uint64) -> np.ndarray:
-    """One number for each n-gram, equal for equal ones, ascending as they are."""
-    keys = grams[0]
-    for k, column in enumerate(grams[1:]):
-        if k:  # two words fit a number, more do not
-            keys = _distinct(keys)[2].astype(np.uint64)
-        keys = keys * base + column
-    return keys
 
+    return rows.mapInArrow(encode, schema)
 
-def _summed_grams(grams: np.ndarray, values: np.ndarray, base: np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different n-grams in order, the sums of their values, and for each given one its place among them."""
-    order, first, place = _distinct(_gram_keys(grams, base))
-    sums = np.stack([np.add.reduceat(value[order], first) for value in values])
-    return grams[:, order[first]], sums, place
 
+def _asked(row: dict, vocabulary: Vocabulary, order: int):
+    """Of a block: text lengths, what stands before each token, the n-grams by order, and for each order from 2 the
+    sorted hashes of those without an unknown word and their places."""
+    lengths = np.array(row["lengths"])
+    words = unpack(row["words"]).astype(np.int64)[unpack(row["tokens"]).astype(np.int64)]
+    before, levels = _grams_of(words, lengths, vocabulary, order)
+    asked = {}
+    for level in range(2, order + 1):
+        grams = levels[level - 1][0]
+        known = _known(grams, vocabulary)
+        hashes = gram_hashes(grams[:, known])
+        by_hash = np.argsort(hashes)
+        asked[level] = hashes[by_hash], known[by_hash]
+    return lengths, before, levels, asked
 
-def count_grams(asked: DataFrame, vocabulary: Vocabulary, level: int, order: int) -> DataFrame:
-    """Sum the n-grams of one order: answers to the blocks, and what the order below gets.
 
-    The values of an n-gram are its count (in a lower order, of the different words before it), and as a
-    context the sum of the counts of what follows, and how many of them are 1, 2 or more.
-    """
-    shared, parts = asked.sparkSession.sparkContext.broadcast(vocabulary), len(vocabulary.sums)
-    rows_of_values = 1 if level == order else 5
+def answers(encoded: DataFrame, model: Model, level: int) -> DataFrame:
+    """The values of the n-grams of one order of all blocks, from the stored arrays: a row for each block and part."""
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    rows_of_values = 1 if level == model.order else 5
 
-    def count(batches):
-        vocabulary = shared.value
-        base, hot = np.uint64(vocabulary.size + 2), _hot_words(vocabulary)
-        part, columns, values, asks, at = TaskContext.get().partitionId(), [], [], [], 0
+    def ask(batches):
+        vocabulary = shared.value.vocabulary
         for batch in batches:
-            for row in batch.to_pylist():
-                grams = np.stack([unpack(x) for x in row["grams"]])
-                given, n = [unpack(x) for x in row["values"]], grams.shape[1]
-                value = np.zeros((rows_of_values, n), np.uint64)
-                first = 1 if row["kind"] == AFTER else 0
-                value[first : first + len(given)] = np.stack(given) if given else 0
-                if row["kind"] == ASK:
-                    asks.append((row["block"], at, at + n))
-                columns.append(grams)
-                values.append(value)
-                at += n
-        if not at:
-            return
-        grams, values = np.concatenate(columns, axis=1), np.concatenate(values, axis=1)
-        columns.clear()
-        grams, sums, place = _summed_grams(grams, values, base)
-        del values
-        for block, begin, end in asks:
-            yield _gram_row(level, ANSWER, part, block, grams[:0], list(sums[:, place[begin:end]]))
-        del place
-        seen = np.flatnonzero(sums[0])
-        if not len(seen):
-            return
-        grams, counts = grams[:, seen], sums[0, seen]
-        numbers = np.array([(counts == k).sum() for k in range(1, 5)])
-        yield _gram_row(level, NUMBERS, part, 0, grams[:0], [numbers])
-        if level == 2:  # each word is one number: the margins take it from here
-            yield _gram_row(1, BEFORE, part, 0, grams, [counts])
-            return
-        following = np.stack([counts, counts == 1, counts == 2, counts > 2]).astype(np.uint64)
-        one = np.ones((1, len(counts)), np.uint64)
-        for kind, shorter, given in ((AFTER, grams[:-1], following), (BEFORE, grams[1:], one)):
-            shorter, given, _ = _summed_grams(shorter, given, base)
-            for target, places in _by_part(shorter, hot, parts):
-                yield _gram_row(level - 1, kind, target, 0, shorter[:, places], list(given[:, places]))
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                hashes, _ = _asked(row, vocabulary, level)[3][level]
+                for part, places in _in_parts(hashes, vocabulary.parts):
+                    columns = [pa.array([part], pa.int32()), pa.array([row["block"]]), pa.array([pack(hashes[places], True)])]
+                    yield pa.RecordBatch.from_arrays(columns, ["part", "block", "hashes"])
 
-    dealt = asked.repartitionById(parts, F.col("part")).select("kind", "block", "grams", "values")
-    return stored(dealt.mapInArrow(count, GRAM_FIELDS), f"order-{level}")
+    def answer(batches):
+        folder = shared.value.vocabulary.folder
+        for batch in batches:
+            for part, block, hashes in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                values = load_values(folder, level, part, unpack(hashes), rows_of_values)
+                row = [[level], [part], [block], [[pack(v) for v in values]]]
+                kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], ["level", "part", "block", "values"])
 
+    asked = encoded.select("block", "words", "tokens", "lengths").mapInArrow(ask, "part int, block bigint, hashes binary")
+    dealt = asked.repartitionById(model.vocabulary.parts, F.col("part"))
+    return dealt.mapInArrow(answer, "level int, part int, block bigint, values array<binary>")
 
-def score_gram_blocks(encoded: DataFrame, vocabulary: Vocabulary, order: int) -> DataFrame:
-    """As ``score_blocks``, for any order."""
-    spark, parts = encoded.sparkSession, len(vocabulary.sums)
-    word_cuts = _word_cuts(vocabulary.size + 2, parts)
-    counted, discounts = {}, {}
-    for level in range(order, 1, -1):
-        columns = ["level", "kind", "part", "block", "grams", "values"]
-        asked = encoded.filter((F.col("level") == level) & (F.col("kind") == ASK)).select(columns)
-        if level < order:
-            sent = counted[level + 1].filter((F.col("level") == level) & F.col("kind").isin(BEFORE, AFTER))
-            asked = asked.unionByName(sent)
-        counted[level] = count_grams(asked, vocabulary, level, order)
-        numbers = [unpack(r["values"][0]) for r in counted[level].filter(F.col("kind") == NUMBERS).select("values").collect()]
-        discounts[level] = _discounts(np.sum(numbers, axis=0, dtype=np.int64).tolist() if numbers else [0] * 4)
-
-    def margins(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                contexts, words = (unpack(x) for x in row["grams"])
-                yield from _margin_rows(contexts, words, unpack(row["values"][0]), word_cuts)
-
-    bigrams = counted[2].filter("level = 1").select("grams", "values")
-    model = _merge_margins(bigrams.mapInArrow(margins, MARGIN_FIELDS), vocabulary)
-    shared = spark.sparkContext.broadcast(model)
-    joined = encoded.filter("kind < 0")
-    for table in counted.values():
-        joined = joined.unionByName(table.filter(F.col("kind") == ANSWER), allowMissingColumns=True)
-    joined = joined.drop("grams").repartition(input_tasks(spark), "block").sortWithinPartitions("block", "level", "part")
-    schema = StructType([
-        StructField("id", encoded.schema["ids"].dataType.elementType),
-        *StructType.fromDDL("held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"),
-    ])
+
+def score(rows: DataFrame, model: Model) -> DataFrame:
+    """Per row of (id, held_out, text): ``id``, ``held_out``, ``n_tokens``, ``n_known``, ``base_score`` and ``score``.
+
+    The texts need not be those that the model was learned from. The result is stored in the shared folder.
+    """
+    spark, order = rows.sparkSession, model.order
+    with finished(spark) as keep:
+        encoded = keep(encode_blocks(rows, model.vocabulary), "blocks")
+        joined = encoded
+        for level in range(order, 1, -1):
+            joined = joined.unionByName(keep(answers(encoded, model, level), f"answers-{level}"), allowMissingColumns=True)
+        tasks = max(input_tasks(spark), -(-encoded.count() // 4))
+        joined = joined.repartition(tasks, "block").sortWithinPartitions("block", F.col("level").asc_nulls_first(), "part")
+        schema = StructType([
+            StructField("id", encoded.schema["ids"].dataType.elementType),
+            *StructType.fromDDL("held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"),
+        ])
+        return stored(joined.mapInArrow(_block_scorer(model, schema.names), schema), "scores")
+
+
+def _block_scorer(model: Model, names: list[str]):
+    order = model.order
 
     def scored(row, answers):
-        model = shared.value
-        vocabulary = model.vocabulary
-        hot, lengths = _hot_words(vocabulary), np.array(row["lengths"])
-        words = unpack(row["words"]).astype(np.int64)[unpack(row["tokens"]).astype(np.int64)]
-        before, levels = _grams_of(words, lengths, vocabulary, order)
+        lengths, before, levels, asked = _asked(row, model.vocabulary, order)
         (different,), ids = levels[0]
         probability, after, left = model.words(different.astype(np.int64))
         likely = probability[ids]
         for level in range(2, order + 1):
             grams, own = levels[level - 1]
             values = np.zeros((1 if level == order else 5, grams.shape[1]))
-            known = _known(grams, vocabulary)
-            places = [places for _, places in _by_part(grams[:, known], hot, parts)]
-            if len(places) != len(answers.get(level, [])):
+            hashes, places = asked[level]
+            parts = list(_in_parts(hashes, model.vocabulary.parts))
+            if len(parts) != len(answers.get(level, [])):
                 raise RuntimeError("a block lacks the answer of a part")
-            for at, answer in zip(places, answers.get(level, [])):
-                values[:, known[at]] = [unpack(x) for x in answer]
+            for (_, at), answer in zip(parts, answers.get(level, [])):
+                values[:, places[at]] = [unpack(x) for x in answer]
             context = levels[level - 2][1][before]
-            likely = (_discounted(values[0], discounts[level])[own] / np.maximum(after[context], 1)) + left[context] * likely
+            likely = (_discounted(values[0], model.discounts[level])[own] / np.maximum(after[context], 1)) + left[context] * likely
             if level < order:
                 _, after, ones, twos, more = values
-                d = discounts[level + 1]
+                d = model.discounts[level + 1]
                 left = np.where(after > 0, (d[0] * ones + d[1] * twos + d[2] * more) / np.maximum(after, 1), 1.0)
         sums = np.add.reduceat(np.log10(likely[:-1]), np.cumsum(lengths) - lengths)
         return [row["ids"], row["held_out"], row["lengths"], row["n_known"], row["base_score"], sums]
 
-    def score(batches):
+    def run(batches):
         row, answers, kinds = None, {}, None
 
         def done():
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(scored(row, answers), kinds)], names=schema.names)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(scored(row, answers), kinds)], names=names)
 
         for batch in batches:
             kinds = [batch.schema.field("ids").type.value_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             for i in range(batch.num_rows):
                 new = batch.slice(i, 1).to_pylist()[0]
-                if new["kind"] < 0:
+                if new["level"] is None:
                     if row is not None:
                         yield done()
                     row, answers = new, {}
@@ -792,10 +696,17 @@ def score_gram_blocks(encoded: DataFrame, vocabulary: Vocabulary, order: int) ->
         if row is not None:
             yield done()
 
-    return joined.mapInArrow(score, schema)
+    return run
+
 
+def training_rows(docs: DataFrame, id: str, text: str, folds: int, fold: int) -> DataFrame:
+    columns = F.col(quoted(id)).alias("id"), held_out(quoted(id), folds, fold).alias("held_out"), F.col(quoted(text)).alias("text")
+    return docs.select(*columns)
 
-def language_model_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2, order: int = 2) -> DataFrame:
+
+def language_model_scores(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2, order: int = 2, part_bytes: int | None = None
+) -> DataFrame:
     """Learn from the texts that are not held out and score all: id, ``held_out``,
     ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one unigrams) and
     ``score``, the log10 probability of the text with its end by a model of words with ``order - 1``
@@ -804,18 +715,14 @@ def language_model_scores(docs: DataFrame, id: str = "doc_id", text: str = "text
     A NULL or blank text has the end as its only token. Words that are not in training
     share the probability of one more word. Without training texts every
     probability is 1. Repeated rows come back as often as they occur, an empty table
-    gives an empty result, and other columns are ignored.
+    gives an empty result, and other columns are ignored. The model is deleted when all are scored; ``fit`` keeps it.
     """
-    rows = docs.select(F.col(id).alias("id"), held_out(id, folds, fold).alias("held_out"), F.col(text).alias("text"))
-    vocabulary = count_words(rows, shared_folder(docs.sparkSession, "kneser-ney"))
-    if order < 2:
-        raise ValueError("order must be 2 or more")
-    if order == 2:
-        encoded = encode_blocks(rows, vocabulary)
-        scores = score_blocks(encoded, fit_blocks(encoded, vocabulary))
-    else:
-        scores = score_gram_blocks(encode_gram_blocks(rows, vocabulary, order), vocabulary, order)
+    rows = training_rows(docs, id, text, folds, fold)
+    folder = shared_folder(docs.sparkSession, "kneser-ney")
+    model = fit(rows, order, folder, part_bytes)
+    scores = score(rows, model)
+    delete_folder(docs.sparkSession, folder)
     return scores.select(
         F.col("id").alias(id), "held_out", "n_tokens", "n_known",
-        F.lit(vocabulary.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
+        F.lit(model.vocabulary.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
     )

@@ -1,19 +1,20 @@
 from __future__ import annotations
 
 import math
+import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
 from postlens.llm import kneser_ney, queries
 from postlens.llm.common import shared_folder
-from postlens.llm.language_id import held_out
 from tests.conftest import TESTDATA
 from tests.llm.test_kneser_ney import fixture, naive_discounts, naive_words, rounded, table
 
 
-def naive_scores(rows, order):
+def naive_scores(rows, order, asked=None):
     """The recursive formulas, with as many begin marks before each text as the context is long."""
     is_held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
     words, counts = Counter(), {k: Counter() for k in range(1, order + 1)}
@@ -46,7 +47,7 @@ def naive_scores(rows, order):
     for context in list(counts[order])[:3]:
         assert abs(sum(probability((*context[:-1], w)) for w in [*words, "never seen"]) - 1) < 1e-9
     n, size = sum(words.values()), len(words)
-    for i, text in rows:
+    for i, text in rows if asked is None else asked:
         tokens = naive_words(text)
         base = sum(math.log10((words[t] + 1) / (n + size + 1)) for t in tokens)
         score = sum(math.log10(probability(g)) for g in grams(tokens))
@@ -61,14 +62,49 @@ def test_scores_of_higher_orders_equal_the_formulas(spark, order, block_bytes, m
     assert rounded(map(tuple, got)) == rounded(naive_scores(rows, order))
 
 
-def test_the_general_form_gives_the_bigram_model(spark):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_a_stored_model_scores_texts_that_were_not_counted(spark, order):
+    rows = fixture()
+    model = kneser_ney.fit(kneser_ney.training_rows(table(spark, rows), "doc_id", "text", 7, 2), order, shared_folder(spark, "model"), 400)
+    assert model.vocabulary.parts > 5
+    rng = random.Random(order)
+    words = ["the", "of", "é", "new", "w1", "w2", "w3", "w7", "newer"]
+    asked = [(1000 + i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 40)))) for i in range(60)] + [(2000, None), (2001, rows[5][1])]
+    for _ in range(2):  # the model stays
+        others = kneser_ney.training_rows(table(spark, asked).repartition(3), "doc_id", "text", 7, 2)
+        got = [(*r[:4], model.vocabulary.tokens, *r[4:]) for r in kneser_ney.score(others, model).collect()]
+        assert rounded(got) == rounded(naive_scores(rows, order, asked))
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_small_parts_change_no_score(spark, order, monkeypatch):
     rows = fixture()
-    docs = table(spark, rows)
-    docs_in = docs.select(docs["doc_id"].alias("id"), held_out("doc_id", 7, 2).alias("held_out"), "text")
-    vocabulary = kneser_ney.count_words(docs_in, shared_folder(spark, "test-order"))
-    general = kneser_ney.score_gram_blocks(kneser_ney.encode_gram_blocks(docs_in, vocabulary, 2), vocabulary, 2)
-    general = [(*r[:4], vocabulary.tokens, *r[4:]) for r in general.collect()]
-    assert rounded(general) == rounded(map(tuple, kneser_ney.language_model_scores(docs).collect()))
+    monkeypatch.setattr(kneser_ney, "BLOCK_BYTES", 3000)
+    whole = kneser_ney.language_model_scores(table(spark, rows), order=order)
+    parts = kneser_ney.language_model_scores(table(spark, rows).repartition(4), order=order, part_bytes=300)
+    assert rounded(map(tuple, whole.collect())) == rounded(map(tuple, parts.collect()))
+
+
+def test_parts_follow_the_size_of_the_training_texts(spark):
+    rows = kneser_ney.training_rows(table(spark, [(i, "x" * 999) for i in range(50)] + [(None, None)]), "doc_id", "text", 7, 2)
+    trained = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(50))
+    assert kneser_ney.part_number(rows, 1000) == trained
+    assert kneser_ney.part_number(rows) == 1 and kneser_ney.part_number(rows.limit(0)) == 1
+
+
+def test_intermediate_tables_and_the_model_are_deleted(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    scores = kneser_ney.language_model_scores(table(spark, fixture()), order=3)
+    assert [p.name.split("-")[1] for p in set(folder.iterdir()) - before] == ["scores"]
+    assert scores.count() == len(fixture())
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(1)
+    rows = [(0, " ".join(f"w{rng.randrange(500)}" for _ in range(200_000))), (1, "w1 w2 w3")]
+    got = kneser_ney.language_model_scores(table(spark, rows), order=3).collect()
+    assert rounded(map(tuple, got)) == rounded(naive_scores(rows, 3))
 
 
 def test_no_rows_and_no_training_at_order_3(spark):
