@@ -21,9 +21,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postlens.functions.names import quoted
 from postlens.llm.common import caches, map_texts
 
-CACHED_WORDS, CACHED_PIECES = 1_200_000, 800_000
+CACHE_BYTES = 256 << 20  # of a worker: nearly all for words, an eighth for other pieces
+ENTRY_BYTES = 220  # of a cached word or piece, beside its characters and ids
 SPACES = re.compile(r"\s\s")
 _encoders: dict[str, ByteBpe] = {}
 caches[__name__] = _encoders
@@ -36,27 +38,35 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Cache(dict):
-    """Ids by key, made when first asked for; emptied when full, so memory is bounded."""
+    """Ids by key, made when first asked for.
+
+    When half of its bytes are in use they become the old half, and the former old half goes; a key that
+    is found there moves over. So what is asked for often stays, and memory is bounded.
+    """
 
     def __init__(self, make, limit: int):
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.used, self.old = make, limit // 2, 0, {}
 
     def __missing__(self, key):
-        ids = self.make(key)
-        if len(self) >= self.limit:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.make(key)
+        self.used += ENTRY_BYTES + len(key) + 8 * len(ids)
+        if self.used >= self.limit:
+            self.old, self.used = dict(self), 0
             self.clear()
         self[key] = ids
         return ids
 
 
 class ByteBpe:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_bytes: int = CACHE_BYTES):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.bitmap = [0] * ((max(ranks.values()) >> 8) + 1)  # empty between merges
-        self.pieces = _Cache(lambda piece: self.merge(piece.encode()), CACHED_PIECES)
-        self.words = _Cache(lambda word: tuple(self.encode_any(" " + word)), CACHED_WORDS)
+        self.pieces = _Cache(lambda piece: self.merge(piece.encode()), cache_bytes // 8)
+        self.words = _Cache(self._spaced, cache_bytes - cache_bytes // 8)
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """The ids of one piece, by merges in order of rank."""
@@ -113,6 +123,15 @@ class ByteBpe:
             i = end[i]
         return tuple(ids)
 
+    def _spaced(self, word: str) -> tuple[int, ...]:
+        """The ids of a word after a space. A word that it begins with is found, or kept, as a word of its own."""
+        found = self.pattern.findall(" " + word)
+        if len(found) == 1:
+            return self.merge(found[0].encode())
+        stem = found[0][1:]
+        first = self.words[stem] if stem else self.pieces[found[0]]
+        return first + tuple(chain.from_iterable(map(self.pieces.__getitem__, found[1:])))
+
     def encode_any(self, text: str) -> list[int]:
         return list(chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(text))))
 
@@ -133,23 +152,23 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-def _encoder(ranks: dict[bytes, int], pattern: str, name: str) -> ByteBpe:
+def _encoder(ranks: dict[bytes, int], pattern: str, name: str, cache_bytes: int = CACHE_BYTES) -> ByteBpe:
     """One encoder, with its cache, for all tasks of a worker."""
     if name not in _encoders:
         _encoders.clear()
-        _encoders[name] = ByteBpe(ranks, pattern)
+        _encoders[name] = ByteBpe(ranks, pattern, cache_bytes)
     return _encoders[name]
 
 
 def encode_texts(
-    rows: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids"
+    rows: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", cache_bytes: int = CACHE_BYTES
 ) -> DataFrame:
     """Replace the text by its token ids (array of int); a NULL text has none.
 
     The rank file is read on the driver and broadcast; it has the size of a
     vocabulary, whatever the size of the data.
     """
-    work = _over_texts(rows, ranks_path, pattern)
+    work = _over_texts(rows, ranks_path, pattern, cache_bytes)
 
     def make():
         bpe = work()
@@ -159,17 +178,24 @@ def encode_texts(
 
 
 def byte_bpe_round_trip(
-    docs: DataFrame, ranks_path: str, pattern: str, id: str = "doc_id", text: str = "text", with_ids: bool = False
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id: str = "doc_id",
+    text: str = "text",
+    with_ids: bool = False,
+    cache_bytes: int = CACHE_BYTES,
 ) -> DataFrame:
     """Per row: id, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``, and with ``with_ids``
     the ``ids``.
 
     The digests are of the decimal ids joined by spaces and of the bytes that the
-    ids decode to. NULL and empty texts have no token. Repeated rows come back as
+    ids decode to. ``cache_bytes`` bounds what each worker keeps of words it has encoded; less of it takes
+    more time. NULL and empty texts have no token. Repeated rows come back as
     often as they occur; an empty table gives an empty result; other columns are
     ignored.
     """
-    work = _over_texts(docs, ranks_path, pattern)
+    work = _over_texts(docs, ranks_path, pattern, cache_bytes)
 
     def make():
         bpe = work()
@@ -191,11 +217,11 @@ def byte_bpe_round_trip(
         return digests
 
     added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return map_texts(docs.select(F.col(id), F.col(text)), text, make, added)
+    return map_texts(docs.select(F.col(quoted(id)), F.col(quoted(text))), text, make, added)
 
 
-def _over_texts(rows: DataFrame, ranks_path: str, pattern: str):
+def _over_texts(rows: DataFrame, ranks_path: str, pattern: str, cache_bytes: int):
     ranks = read_ranks(ranks_path)
-    name = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
+    name = hashlib.sha256(repr((sorted(ranks.items()), pattern, cache_bytes)).encode()).hexdigest()
     shared = rows.sparkSession.sparkContext.broadcast(ranks)
-    return lambda: _encoder(shared.value, pattern, name)
+    return lambda: _encoder(shared.value, pattern, name, cache_bytes)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from postlens.functions.names import quoted
 from postlens.sources.scratch import delete_folder
 
 ROWS_AT_ONCE = 512
@@ -74,6 +75,11 @@ def finished(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFra
             delete_folder(spark, path)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of the table as one struct; names may hold dots."""
+    return F.struct(*(F.col(quoted(c)) for c in df.columns)).alias("row")
+
+
 def filter_computed(df: DataFrame, condition: Column) -> DataFrame:
     """Filter on computed columns where they stand.
 

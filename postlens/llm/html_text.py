@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postlens.functions.names import quoted
 from postlens.llm.common import map_texts
 
 BLOCKS = frozenset(
@@ -303,5 +304,5 @@ def extract_text(pages: DataFrame, html: str = "html", out: str = "text") -> Dat
 def page_texts(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per row: id, url, ``text`` and ``n_chars``. Repeated rows come back as often as they
     occur, an empty table gives an empty result, and other columns are ignored."""
-    found = extract_text(pages.select(F.col(id), F.col(url), F.col(html)), html, "text")
+    found = extract_text(pages.select(*(F.col(quoted(c)) for c in (id, url, html))), html, "text")
     return found.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -700,7 +700,7 @@ def _block_scorer(model: Model, names: list[str]):
 
 
 def training_rows(docs: DataFrame, id: str, text: str, folds: int, fold: int) -> DataFrame:
-    columns = F.col(quoted(id)).alias("id"), held_out(quoted(id), folds, fold).alias("held_out"), F.col(quoted(text)).alias("text")
+    columns = F.col(quoted(id)).alias("id"), held_out(id, folds, fold).alias("held_out"), F.col(quoted(text)).alias("text")
     return docs.select(*columns)
 
 

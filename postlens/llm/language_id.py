@@ -13,14 +13,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlens.functions.names import quoted
 from postlens.llm.common import map_texts, slices, stored
 
 GRAM = 4
 SLOTS = 1 << 20
 HASHES = 3
 SAMPLE_DOCS = 5000
-MIN_COUNT = 2
-FEW_TEXTS = 100
+LEAST_RATE = 2e-7
 MIN_SHARE = 0.1
 UNKNOWN = "und"
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -100,12 +100,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
 
     Fitted on a sample of about ``sample_docs`` different texts of each language, chosen by text
     hash; copies count once, and a language with fewer different texts is taken whole. A language
-    contains an n-gram that it has ``MIN_COUNT`` times or more (with under ``FEW_TEXTS``
-    different texts, once), at a rate of at least ``MIN_SHARE`` of the highest rate of any language. The driver gets the filled
-    slots, so ``slots`` bounds what it holds.
+    contains an n-gram whose rate among all of its sample's is at least ``LEAST_RATE``, and at least ``MIN_SHARE`` of
+    the highest rate of any language; so the more was sampled, the more often an n-gram has to occur,
+    without a step at any size. The driver gets the filled slots, so ``slots`` bounds what it holds.
     """
     spark = labelled.sparkSession
-    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang IS NOT NULL")
+    rows = labelled.select(F.col(quoted(lang)).alias("lang"), F.col(quoted(text)).alias("text")).filter("lang IS NOT NULL")
     rows = rows.withColumn("hash", F.xxhash64(F.lit(7), "text"))
     different = rows.select("lang", "hash").distinct()
     sizes = {r["lang"]: r["count"] for r in different.groupBy("lang").count().collect()}
@@ -114,9 +114,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
     masks = np.zeros((slots, words), np.uint64)
     if not languages:
         return LanguageFilter(languages, masks)
-    few = [MIN_COUNT if sizes[name] >= FEW_TEXTS else 1 for name in languages]
-    rates = [(k, min(1.0, sample_docs / sizes[name]), few[k], name) for k, name in enumerate(languages)]
-    chosen = spark.createDataFrame(rates, "language bigint, part double, least int, lang string")
+    rates = [(k, min(1.0, sample_docs / sizes[name]), name) for k, name in enumerate(languages)]
+    chosen = spark.createDataFrame(rates, "language bigint, part double, lang string")
     draw = F.pmod("hash", F.lit(1_000_000)) / 1_000_000
     drawn = rows.join(F.broadcast(chosen), "lang").filter(draw < F.col("part"))
     sample = drawn.groupBy("language", "hash").agg(F.first("text").alias("text")).select("language", "text")
@@ -142,8 +141,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
     totals = counts.groupBy("language").agg(F.sum("n").alias("total"))
     rated = counts.join(F.broadcast(totals), "language").withColumn("rate", F.col("n") / F.col("total"))
     top = F.max("rate").over(Window.partitionBy("gram"))
-    rated = rated.join(F.broadcast(chosen.select("language", "least")), "language")
-    members = rated.withColumn("top", top).filter((F.col("n") >= F.col("least")) & (F.col("rate") >= MIN_SHARE * F.col("top")))
+    members = rated.withColumn("top", top).filter(F.col("rate") >= F.greatest(F.lit(LEAST_RATE), MIN_SHARE * F.col("top")))
 
     def place(batches):
         for batch in batches:
@@ -161,15 +159,15 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
 
 def held_out(id: str, folds: int = 4, fold: int = 2) -> Column:
     """Whether crc32 of the id as text, by ``folds``, leaves ``fold``; a NULL id counts as ''."""
-    return F.crc32(F.coalesce(F.col(id).cast("string"), F.lit(""))) % folds == fold
+    return F.crc32(F.coalesce(F.col(quoted(id)).cast("string"), F.lit(""))) % folds == fold
 
 
 def identify_languages(docs: DataFrame, model: LanguageFilter, text: str = "text") -> DataFrame:
     """Replace the text by ``lang_pred`` and ``score``, the winner's part of all shares.
 
     ``und`` and 0 for a NULL text or one without letters, and for all texts if no
-    language was learned. A text with none of the known n-grams gets the first
-    language by name and 0.
+    language was learned. Of languages with equal shares the first by name counts, so a text with none of
+    the known n-grams gets the first of all, and 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.masks))
 
@@ -190,4 +188,4 @@ def language_id(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: s
     ``lang_pred``, ``score``. Repeated rows come back as often as they occur, an empty
     table gives an empty result, and other columns are ignored."""
     model = fit(docs.filter(~held_out(id)), text, lang, **options)
-    return identify_languages(docs.select(F.col(id), held_out(id).alias("held_out"), F.col(text)), model, text)
+    return identify_languages(docs.select(F.col(quoted(id)), held_out(id).alias("held_out"), F.col(quoted(text))), model, text)

@@ -10,7 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.common import filter_computed
+from postlens.functions.names import quoted
+from postlens.llm.common import filter_computed, whole_row
 
 SPACE = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -161,7 +162,7 @@ def line_quality(
     A NULL or blank text has no words and fails. Repeated rows come back as often as
     they occur; an empty table gives an empty result; other columns are ignored.
     """
-    rows = docs.select(F.col(id).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(F.col(quoted(id)).alias("row"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"))
     return _measured(rows, rules).select(
         F.col("row").alias(id),
         *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
@@ -176,7 +177,7 @@ def clean_documents(
 
     A length column named ``n_chars`` follows the text.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(whole_row(docs), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"))
     kept = filter_computed(_measured(rows, rules), F.col("kept"))
     cleaned = F.array_join("kept_lines", "\n")
     values = {text: cleaned, n_chars: F.length(cleaned).cast(dict(docs.dtypes).get(n_chars, "bigint"))}

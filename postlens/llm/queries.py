@@ -66,7 +66,7 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return tests.decontamination_digest(tests.decontaminate(documents(spark, sf_dir), benchmark))
+    return tests.decontamination_digest(tests.decontaminate(documents(spark, sf_dir), benchmark, near=tests.NEAR))
 
 
 def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:

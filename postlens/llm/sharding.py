@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from postlens.functions.names import quoted
+from postlens.llm.common import whole_row
+
 SEED = 20240917
 BUCKET_BYTES = 32 << 20
 ROW_BYTES = 16  # what a record takes beside its text
@@ -49,13 +52,13 @@ def write_shards(
     8 bytes for every ``bucket_bytes`` of text.
     """
     spark = docs.sparkSession
-    size = F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES
+    size = F.coalesce(F.octet_length(F.col(quoted(text))), F.lit(0)) + ROW_BYTES
     rows = docs.select(
-        F.xxhash64(F.lit(seed), F.col(id), F.col(text)).alias("place"),
-        F.hash(F.col(text)).alias("tie"),
+        F.xxhash64(F.lit(seed), F.col(quoted(id)), F.col(quoted(text))).alias("place"),
+        F.hash(F.col(quoted(text))).alias("tie"),
         F.xxhash64(F.lit(seed), F.monotonically_increasing_id()).alias("row_place"),
         size.cast("bigint").alias("size"),
-        F.struct(*docs.columns).alias("record"),
+        whole_row(docs).alias("record"),
     )
     total = rows.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))

@@ -17,12 +17,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.common import map_texts, shared_folder, stored
+from postlens.functions.names import quoted
+from postlens.llm.common import map_texts, stored, whole_row
 
 SEED = 42
 SEGMENT = 4
 SEGMENTS = 64 // SEGMENT
 DENSE_CELL = 32
+HOT_ROWS = 1000
+SALTS = 64
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -112,7 +115,6 @@ def near_links(
         near = F.explode(_cell_neighbours(F.col("cell"))).alias("cell")
         cells = cells.select("fingerprint", near)
         cells = cells.distinct() if step else cells
-    cells = cells.repartition("cell")
     sizes = cells.groupBy("cell").agg(F.count("*").alias("size")).filter("size > 1")
     shared = stored(cells.join(sizes, "cell"), "cells")
     sparse = shared.filter(F.col("size") <= dense_cell)
@@ -172,7 +174,7 @@ def near_duplicates(
     smallest id, NULL only if all its ids are NULL. Rows with equal fingerprints,
     repeated rows among them, are one node.
     """
-    reps = stored(keys.groupBy("fingerprint").agg(F.min(id).alias("rep")), "prints")
+    reps = stored(keys.groupBy("fingerprint").agg(F.min(quoted(id)).alias("rep")), "prints")
     links = near_links(reps.select("fingerprint"), max_distance, dense_cell)
     roots = connected_components(links)
     linked = roots.join(reps, roots["node"] == reps["fingerprint"])
@@ -187,6 +189,30 @@ def near_duplicates(
     )
 
 
+def hot_fingerprints(keys: DataFrame, hot_rows: int = HOT_ROWS) -> list[int]:
+    """Fingerprints of more than ``hot_rows`` rows and a ten-thousandth of all, so at most 10,000."""
+    sizes = keys.groupBy("fingerprint").agg(F.count("*").alias("size"))
+    least = max(hot_rows, keys.count() // 10_000)
+    return sorted(r["fingerprint"] for r in sizes.filter(F.col("size") > least).select("fingerprint").collect())
+
+
+def join_by_fingerprint(keys: DataFrame, found: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows of ``keys`` (a stored table) with the columns of ``found``, which has one row for each fingerprint.
+
+    The rows of a hot fingerprint, such as that of blank texts, are dealt to ``SALTS`` places, and its row of
+    ``found`` to all of them.
+    """
+    hot = hot_fingerprints(keys, hot_rows)
+    if not hot:
+        return keys.join(found, "fingerprint")
+    table = keys.sparkSession.createDataFrame([(h,) for h in hot], "fingerprint bigint").withColumn("hot", F.lit(True))
+    place = F.when(F.col("hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    left = keys.join(F.broadcast(table), "fingerprint", "left").withColumn("salt", place).drop("hot")
+    places = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = found.join(F.broadcast(table), "fingerprint", "left").withColumn("salt", F.explode(places)).drop("hot")
+    return left.join(right, ["fingerprint", "salt"]).drop("salt")
+
+
 def simhash_near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, max_distance: int = 2
 ) -> DataFrame:
@@ -196,10 +222,11 @@ def simhash_near_duplicates(
     rows come back as often as they occur. An empty table gives an empty result;
     other columns are ignored.
     """
-    keys = stored(fingerprints(docs.select(id, text), text, width), "fingerprints")
+    rows = docs.select(F.col(quoted(id)), F.col(quoted(text)))
+    keys = stored(fingerprints(rows, text, width), "fingerprints")
     found = near_duplicates(keys, id, max_distance)
-    return keys.join(found, "fingerprint").select(
-        id, F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    return join_by_fingerprint(keys, found).select(
+        F.col(quoted(id)), F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
@@ -218,19 +245,19 @@ def keep_one_per_group(
     even where ids repeat or are NULL. The list of rows to keep is broadcast up to
     ``broadcast_rows`` rows of 32 bytes, and joined by a shuffle beyond.
     """
-    hashes = [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), *hashes)
+    body = F.col(quoted(text))
+    hashes = [F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(1), body).alias("h2")]
+    rows = docs.select(F.col(quoted(id)).alias("id"), body.alias("text"), *hashes)
     keys = stored(fingerprints(rows, "text", width), "fingerprints")
     found = near_duplicates(keys, "id", max_distance)
-    named = keys.join(found, "fingerprint")
+    named = join_by_fingerprint(keys, found)
     first = F.struct(F.col("id").isNull(), "id", "h1", "h2")
     keep = named.groupBy("root").agg(F.min(first).alias("first"))
     keep = keep.select(F.col("first.id").alias("id"), "first.h1", "first.h2")
     copies = keys.groupBy("id", "h1", "h2").agg(F.count("*").alias("copies"))
     keep = stored(keep.alias("k").join(copies.alias("c"), _same("k", "c")).select("k.*", "copies"), "kept")
     small = keep.count() <= broadcast_rows
-    row = F.struct(*docs.columns).alias("row")
-    tagged = docs.select(row, F.col(id).alias("id"), *hashes).alias("t")
+    tagged = docs.select(whole_row(docs), F.col(quoted(id)).alias("id"), *hashes).alias("t")
     side = (F.broadcast(keep) if small else keep).alias("k")
     kept = tagged.join(side, _same("t", "k")).select("t.*", "copies")
     doubled = kept.filter("copies > 1").groupBy("id", "h1", "h2").agg(F.first("row").alias("row"))

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from tokenizers import Encoding, Tokenizer
 
+from postlens.functions.names import quoted
 from postlens.llm.common import caches, input_tasks, release_caches, shared_folder, slices
 
 LOW = np.uint64(1 << 31)  # states stay in [LOW, LOW << 32)
@@ -254,7 +255,7 @@ def write_token_files(
     shared = spark.sparkContext.broadcast(definition)
 
     rows = docs.select(
-        F.col(id).alias("id"), F.monotonically_increasing_id().alias("tie"), F.col(text).alias("text")
+        F.col(quoted(id)).alias("id"), F.monotonically_increasing_id().alias("tie"), F.col(quoted(text)).alias("text")
     )
     schema = StructType([rows.schema["id"], rows.schema["tie"], *StructType.fromDDL("ids binary, counts binary")])
 

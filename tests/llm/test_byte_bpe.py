@@ -62,13 +62,21 @@ def test_any_rank_table_merges_in_order_of_rank():
             assert bpe.merge(piece) == expected
 
 
-def test_full_caches_start_again(monkeypatch):
-    monkeypatch.setattr(byte_bpe, "CACHED_WORDS", 3)
-    monkeypatch.setattr(byte_bpe, "CACHED_PIECES", 2)
-    bpe = byte_bpe.ByteBpe(RANKS, public_tokenizers.PATTERN)
-    text = " ".join(f"word{i % 7}" for i in range(100))
+def test_full_caches_keep_their_younger_half():
+    bpe = byte_bpe.ByteBpe(RANKS, public_tokenizers.PATTERN, cache_bytes=6000)
+    text = " ".join(f"word{i % 70} it's{i % 9}, ({i % 5})" for i in range(3000))
     assert bpe.encode(text) == PLAIN.encode_ordinary(text)
-    assert len(bpe.words) <= 3 and len(bpe.pieces) <= 2
+    for cache, share in ((bpe.words, 5250), (bpe.pieces, 750)):
+        assert cache.used <= share // 2 and len(cache) + len(cache.old) <= share // byte_bpe.ENTRY_BYTES
+
+
+@pytest.mark.parametrize("cache_bytes", [1, 2000, 1 << 20])
+def test_cached_words_in_any_company(cache_bytes):
+    words = ["a", "don't", "it's!", "x_y", "x_", "²,", "a²,", "é...", "'", "'s", "n't.", "A1,", "日本、", "12345", "@@", "🙂!", "\x1c", "a\tb", "a\nb", "\n"]
+    bpe = byte_bpe.ByteBpe(RANKS, public_tokenizers.PATTERN, cache_bytes)
+    texts = [f"{a} {b} {c}" for a in words for b in words for c in ("", "end.", *words[:4])]
+    for _ in range(2):
+        assert [bpe.encode(t) for t in texts] == [PLAIN.encode_ordinary(t) for t in texts]
 
 
 def expected_rows(rows):

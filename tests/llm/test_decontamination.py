@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +64,46 @@ def test_hits_equal_a_plain_search(spark, broadcast_rows):
     assert got == sorted(repr((doc_id, *naive(text, items))) for doc_id, text in rows)
 
 
+def naive_near(rows, items, width):
+    """By doc: items of which some window's three rarest words, the first of equally rare ones, stand within ``width`` words."""
+    texts = [naive_words(t) for _, t in rows]
+    counts = Counter(w for words in texts for w in words)
+    groups = set()
+    for item_id, text in items:
+        words = naive_words(text)
+        n = min(13, len(words))
+        for b in range(len(words) - n + 1 if words else 0):
+            rare = sorted((counts[words[at]], at) for at in range(b, b + n))[:3]
+            groups.add(("" if item_id is None else str(item_id), frozenset(words[at] for _, at in rare)))
+    for words in texts:
+        spans = [frozenset(words[i : i + width]) for i in range(len(words))]
+        yield sorted({item for item, group in groups if any(group <= span for span in spans)})
+
+
+@pytest.mark.parametrize(("broadcast_rows", "width"), [(0, 6), (100_000, 6), (100_000, 26)])
+def test_near_items_equal_a_plain_scan(spark, broadcast_rows, width):
+    rows, items = fixture()
+    docs = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], DOCS).repartition(3)
+    bench = spark.createDataFrame([(*r, "x", 1) for r in items], ITEMS)
+    found = decontamination.decontaminate(docs, bench, broadcast_rows=broadcast_rows, near=width)
+    got = sorted(repr((r["row"]["doc_id"], r["near_items"], r["n_hit"])) for r in found.collect())
+    expected = [(i, near, naive(t, items)[1]) for (i, t), near in zip(rows, naive_near(rows, items, width))]
+    assert got == sorted(map(repr, expected))
+    assert any(set(near) - set(naive_found(t, items)) for (_, t), near in zip(rows, naive_near(rows, items, width)))
+
+
+def naive_found(text, items):
+    return [str(i) for i, t in items if naive(text, [(i, t)])[2]]
+
+
+def test_a_long_text_of_a_one_word_item(spark):
+    rows = [(1, "the " * 100_000), (2, "the end")]
+    docs = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], DOCS)
+    bench = spark.createDataFrame([(1, "the", "x", 1), (2, "a much longer item than the other one, of more than thirteen words in all", "x", 1)], ITEMS)
+    found = decontamination.decontamination_digest(decontamination.decontaminate(docs, bench, near=5))
+    assert sorted((r["n_words"], r["n_hit"], r["n_near"]) for r in found.collect()) == [(2, 1, 1), (100_000, 100_000, 1)]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c", "x", 1, 2)], DOCS)
     bench = spark.createDataFrame([(1, "a b", "x", 1)], ITEMS)
