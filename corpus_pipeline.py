@@ -19,6 +19,10 @@ from postlens.llm.secret_scan import redact_secrets
 from postlens.llm.simhash import keep_one_per_group
 
 
+# Executors have grown in the stages before, so their workers get less than for an encoding alone.
+WORKER_CACHE_BYTES = 96 << 20
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that fail go, and documents that fail or lose too much."""
     return clean_documents(docs)
@@ -42,7 +46,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of what they decode to."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return byte_bpe_round_trip(docs, ranks, public_tokenizers.PATTERN, with_ids=True)
+    return byte_bpe_round_trip(docs, ranks, public_tokenizers.PATTERN, with_ids=True, cache_bytes=WORKER_CACHE_BYTES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
