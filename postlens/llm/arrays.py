@@ -15,7 +15,9 @@ CODEC = pa.Codec("zstd", 1)
 
 
 def _located(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+    if "://" not in folder:  # Spark writes a local path also as file:/path
+        folder = f"file://{folder.removeprefix('file:')}"
+    return fs.FileSystem.from_uri(folder)
 
 
 def save(folder: str, name: str, array: np.ndarray) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -19,24 +18,14 @@ ROWS_AT_ONCE = 512
 # By module, what its tasks leave in a worker for the next task. Workers outlive stages, so
 # tasks of other operators empty it.
 caches: dict[str, dict] = {}
-_local_folders: list[tempfile.TemporaryDirectory] = []
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """An unused path in the folder of ``spark.checkpoint.dir``.
-
-    A local session without that setting, as in tests, gets a temporary folder;
-    a cluster session gets an error, as its executors share no local disk.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    master = spark.conf.get("spark.master", "")
-    if master != "local" and not master.startswith("local["):
+    """An unused path in the session's checkpoint folder, which all executors can reach."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.TemporaryDirectory(prefix="postlens-llm-")
-    _local_folders.append(folder)
-    return f"{folder.name}/{name}"
+    return f"{shared.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

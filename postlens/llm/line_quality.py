@@ -62,10 +62,10 @@ class LineRules:
     max_lost: int = 50
 
 
-RULES = LineRules()  # those of the query and its SQL
-# Those of the pipeline: sentence ends of all scripts, lines of sentences whose last one has no end,
-# and boilerplate only as whole phrases.
+# Those of the query, its SQL and the pipeline: sentence ends of all scripts, lines of sentences whose last one has
+# no end, and boilerplate only as whole phrases.
 CLEANING_RULES = LineRules(ending=ENDING, boilerplate=WHOLE_PHRASES)
+RULES = LineRules()  # narrower: a sentence end at the end of a line, boilerplate also within words
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -154,7 +154,7 @@ def _measured(rows: DataFrame, rules: LineRules) -> DataFrame:
 
 
 def line_quality(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", rules: LineRules = RULES
+    docs: DataFrame, id: str = "doc_id", text: str = "text", rules: LineRules = CLEANING_RULES
 ) -> DataFrame:
     """Per row: id, the base measures, ``base_failed``, ``kept``, and the characters of lines
     before and after cleaning.
@@ -184,7 +184,7 @@ def clean_documents(
     return kept.select(*(values.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
 
 
-def oracle_sql(rules: LineRules = RULES) -> str:
+def oracle_sql(rules: LineRules = CLEANING_RULES) -> str:
     """The same rows of ``documents`` in DuckDB's SQL."""
     space, quoted = SPACE, rules.boilerplate.replace("'", "''")
     symbols = "[" + SYMBOLS + "]"
