@@ -11,12 +11,15 @@ text share postings and rows need no identity of their own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.names import quoted
-from postlens.llm.common import ascii_lower, filter_computed, stored, whole_row
+from postlens.llm.common import ascii_lower, filter_computed, finished, stored, whole_row
 
+Keep = Callable[[DataFrame, str], DataFrame]  # stores a table, for good or until it is read
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 PROBES = 3
@@ -56,7 +59,7 @@ def _join_by_term(places: DataFrame, side: DataFrame, broadcast_rows: int) -> Da
 
 
 def build_index(
-    docs: DataFrame, terms: DataFrame, text: str = "text", broadcast_rows: int = BROADCAST_ROWS
+    docs: DataFrame, terms: DataFrame, text: str = "text", broadcast_rows: int = BROADCAST_ROWS, keep: Keep = stored
 ) -> DataFrame:
     """Postings (``k1``, ``k2``, ``term``, ``pos``) of the given terms, stored in the shared folder.
 
@@ -65,7 +68,7 @@ def build_index(
     body = F.col(quoted(text))
     words = docs.select(body.alias("text")).select(*_keys(F.col("text")), F.posexplode(words_of("text")).alias("pos", "term"))
     found = _join_by_term(words, terms, broadcast_rows)
-    return stored(found.select(*KEY, "term", "pos").distinct(), "postings")
+    return keep(found.select(*KEY, "term", "pos").distinct(), "postings")
 
 
 def term_counts(
@@ -81,7 +84,7 @@ def term_counts(
     return terms.join(counts, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
+def _items(benchmark: DataFrame, item: str, text: str, keep: Keep = stored) -> DataFrame:
     """Distinct items that have words, stored: ``ref`` (their number), ``item`` (string),
     ``words``, ``size`` (of a window)."""
     rows = benchmark.select(
@@ -89,7 +92,7 @@ def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     )
     rows = rows.filter(F.size("words") > 0).distinct()
     size = F.least(F.size("words"), F.lit(WINDOW)).alias("size")
-    return stored(rows.select(F.monotonically_increasing_id().alias("ref"), "item", "words", size), "items")
+    return keep(rows.select(F.monotonically_increasing_id().alias("ref"), "item", "words", size), "items")
 
 
 def _with_probes(items: DataFrame, counts: DataFrame) -> DataFrame:
@@ -106,14 +109,16 @@ def _with_probes(items: DataFrame, counts: DataFrame) -> DataFrame:
     return items.join(ranked, "ref").withColumn("probes", F.transform(begins, rarest))
 
 
-def candidate_windows(postings: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def candidate_windows(
+    postings: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS, keep: Keep = stored
+) -> DataFrame:
     """Windows whose probes all occur in a text at their offsets from one beginning.
 
     One row for each text, item and alignment: the keys, ``ref`` (the item's number), ``shift`` (position of the
     item's first word) and ``windows`` (their offsets in the item). ``items`` is a stored table with probes.
     """
     asked = items.select("ref", "words", F.explode(F.array_distinct(F.flatten("probes"))).alias("at"))
-    asked = stored(asked.select("ref", "at", F.get("words", F.col("at")).alias("term")), "asked")
+    asked = keep(asked.select("ref", "at", F.get("words", F.col("at")).alias("term")), "asked")
     matches = _join_by_term(postings, asked, broadcast_rows)
     aligned = matches.groupBy(*KEY, "ref", (F.col("pos") - F.col("at")).alias("shift")).agg(
         F.collect_set("at").alias("found")
@@ -126,13 +131,15 @@ def candidate_windows(postings: DataFrame, items: DataFrame, broadcast_rows: int
     return joined.filter(F.size("windows") > 0)
 
 
-def near_items(postings: DataFrame, items: DataFrame, width: int = NEAR, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def near_items(
+    postings: DataFrame, items: DataFrame, width: int = NEAR, broadcast_rows: int = BROADCAST_ROWS, keep: Keep = stored
+) -> DataFrame:
     """The proximity search: (``k1``, ``k2``, ``item``) where all different probe terms of one of the item's
     windows occur within ``width`` words of the text, in any order."""
     terms = F.transform("probes", lambda w: F.sort_array(F.array_distinct(F.transform(w, lambda at: F.get("words", at)))))
     groups = items.select("ref", F.explode(F.array_distinct(terms)).alias("terms"))
     groups = groups.select("ref", F.xxhash64("terms").alias("group"), F.size("terms").alias("n"), F.explode("terms").alias("term"))
-    matches = _join_by_term(postings, stored(groups, "near"), broadcast_rows)
+    matches = _join_by_term(postings, keep(groups, "near"), broadcast_rows)
     span = Window.partitionBy(*KEY, "ref", "group").orderBy("pos").rangeBetween(0, width - 1)
     seen = matches.withColumn("seen", F.size(F.collect_set("term").over(span)))
     names = _sized(items.select("ref", "item"), broadcast_rows)
@@ -158,26 +165,27 @@ def decontaminate(
     and items have no words and no hits; a NULL item id counts as the empty string,
     and items of equal id as one. Repeated rows come back as often as they occur.
     """
-    tests = _items(benchmark, item, item_text)
-    terms = stored(tests.select(F.explode("words").alias("term")).distinct(), "terms")
-    counts = term_counts(docs, terms, text, broadcast_rows)
-    tests = stored(_with_probes(tests, counts), "probes")
-    rare = F.explode(F.array_distinct(F.flatten(F.transform("probes", lambda w: F.transform(w, lambda at: F.get("words", at))))))
-    postings = build_index(docs, stored(tests.select(rare.alias("term")).distinct(), "terms"), text, broadcast_rows)
-    windows = candidate_windows(postings, tests, broadcast_rows)
-    # The words of an item are joined once for each text that has a candidate of it, not for each alignment.
-    found = windows.groupBy(*KEY, "ref").agg(F.collect_list(F.struct("shift", "windows")).alias("places"))
-    found = found.join(_sized(tests.select("ref", "item", "words", "size"), broadcast_rows), "ref")
-    found = found.groupBy(*KEY).agg(F.collect_list(F.struct("item", "words", "size", "places")).alias("found"))
-    none = F.array().cast("array<string>")
-    if near:
-        close = near_items(postings, tests, near, broadcast_rows)
-        close = close.groupBy(*KEY).agg(F.sort_array(F.collect_list("item")).alias("near_items"))
-        found = found.join(close, KEY, "full")
-    # A candidate holds an item's words, so fewer of them make up the same bytes.
-    by_text = _sized(stored(found, "candidates"), broadcast_rows // 20)
+    with finished(docs.sparkSession) as keep:
+        tests = _items(benchmark, item, item_text, keep)
+        terms = keep(tests.select(F.explode("words").alias("term")).distinct(), "terms")
+        tests = keep(_with_probes(tests, term_counts(docs, terms, text, broadcast_rows)), "probes")
+        rare = F.explode(F.array_distinct(F.flatten(F.transform("probes", lambda w: F.transform(w, lambda at: F.get("words", at))))))
+        rare = keep(tests.select(rare.alias("term")).distinct(), "terms")
+        postings = build_index(docs, rare, text, broadcast_rows, keep)
+        windows = candidate_windows(postings, tests, broadcast_rows, keep)
+        # The words of an item are joined once for each text that has a candidate of it, not for each alignment.
+        found = windows.groupBy(*KEY, "ref").agg(F.collect_list(F.struct("shift", "windows")).alias("places"))
+        found = found.join(_sized(tests.select("ref", "item", "words", "size"), broadcast_rows), "ref")
+        found = found.groupBy(*KEY).agg(F.collect_list(F.struct("item", "words", "size", "places")).alias("found"))
+        if near:
+            close = near_items(postings, tests, near, broadcast_rows, keep)
+            close = close.groupBy(*KEY).agg(F.sort_array(F.collect_list("item")).alias("near_items"))
+            found = found.join(close, KEY, "full")
+        # A candidate holds an item's words, so fewer of them make up the same bytes.
+        by_text = _sized(stored(found, "candidates"), broadcast_rows // 20)
 
     # Words are split after the join: an array of them takes several times the text's bytes.
+    none = F.array().cast("array<string>")
     extra = [F.coalesce("near_items", none).alias("near_items")] if near else []
     rows = docs.select(whole_row(docs), *_keys(F.col(quoted(text))))
     rows = rows.join(by_text, KEY, "left").select("row", F.col("row")[text].alias("text"), "found", *extra)

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.names import quoted
-from postlens.llm.common import map_texts, slices, stored
+from postlens.llm.common import map_texts, shared_folder, slices, stored
+from postlens.sources.scratch import delete_folder
 
 GRAM = 4
 SLOTS = 1 << 20
@@ -137,7 +138,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
             yield pa.RecordBatch.from_arrays(arrays, ["language", "gram", "n"])
 
     counts = sample.mapInArrow(count, "language bigint, gram bigint, n bigint")
-    counts = stored(counts.groupBy("language", "gram").agg(F.sum("n").alias("n")), "grams")
+    folder = shared_folder(spark, "grams")
+    counts = stored(counts.groupBy("language", "gram").agg(F.sum("n").alias("n")), path=folder)
     totals = counts.groupBy("language").agg(F.sum("n").alias("total"))
     rated = counts.join(F.broadcast(totals), "language").withColumn("rate", F.col("n") / F.col("total"))
     top = F.max("rate").over(Window.partitionBy("gram"))
@@ -153,6 +155,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs
 
     filled = members.select("language", "gram").mapInArrow(place, "slot bigint, mask bigint")
     table = filled.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    delete_folder(spark, folder)
     masks.reshape(-1)[table["slot"].to_numpy()] = table["mask"].to_numpy().view(np.uint64)
     return LanguageFilter(languages, masks)
 

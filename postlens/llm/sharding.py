@@ -80,8 +80,8 @@ def write_shards(
             "bucket", F.when(F.col("parts").isNull(), F.col("bucket")).otherwise(moved)
         )
     counts = np.zeros(buckets, np.int64)
-    for bucket, n in rows.groupBy("bucket").count().collect():
-        counts[bucket] = n
+    found = rows.groupBy("bucket").count().toArrow()
+    counts[found["bucket"].to_numpy()] = found["count"].to_numpy()
     ends = np.cumsum(counts)
     starts = np.arange(shards + 1) * int(ends[-1]) // shards
     plan = spark.sparkContext.broadcast((ends, counts, starts))

@@ -9,6 +9,7 @@ distance d have a common grid point within d / 2 of both.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import accumulate
 
 import numpy as np
@@ -18,8 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.names import quoted
-from postlens.llm.common import map_texts, stored, whole_row
+from postlens.llm.common import finished, map_texts, stored, whole_row
 
+Keep = Callable[[DataFrame, str], DataFrame]  # stores a table, for good or until it is read
 SEED = 42
 SEGMENT = 4
 SEGMENTS = 64 // SEGMENT
@@ -98,7 +100,7 @@ def _flips(value: Column) -> Column:
 
 
 def near_links(
-    prints: DataFrame, max_distance: int = 2, dense_cell: int = DENSE_CELL
+    prints: DataFrame, max_distance: int = 2, dense_cell: int = DENSE_CELL, keep: Keep = stored
 ) -> DataFrame:
     """Links (``a`` < ``b``) that connect all fingerprints at ``max_distance`` bits or fewer.
 
@@ -116,7 +118,7 @@ def near_links(
         cells = cells.select("fingerprint", near)
         cells = cells.distinct() if step else cells
     sizes = cells.groupBy("cell").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = stored(cells.join(sizes, "cell"), "cells")
+    shared = keep(cells.join(sizes, "cell"), "cells")
     sparse = shared.filter(F.col("size") <= dense_cell)
     left = sparse.select("cell", F.col("fingerprint").alias("a"))
     right = sparse.select("cell", F.col("fingerprint").alias("b"))
@@ -136,13 +138,13 @@ def near_links(
     return pairs.select("a", "b").union(stars.filter("a < b")).distinct()
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, keep: Keep = stored) -> DataFrame:
     """(``node``, ``root``) for every node of the links, the root being its smallest node.
 
     Alternating large-star and small-star rounds; each round is written to the
     shared folder, and only a count of changes reaches the driver.
     """
-    edges = stored(links.select("a", "b").filter("a <> b"), "links")
+    edges = keep(links.select("a", "b").filter("a <> b"), "links")
     before = None
     while True:
         both = edges.union(edges.select("b", "a"))
@@ -152,9 +154,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = large.filter("a <> b").distinct()
         small = large.groupBy("a").agg(F.min("b").alias("low"))
         moved = large.join(small, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        edges = stored(
-            moved.filter("a <> b").union(small.select("a", "low")).distinct(), "links"
-        )
+        edges = keep(moved.filter("a <> b").union(small.select("a", "low")).distinct(), "links")
         state = edges.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()
@@ -174,19 +174,18 @@ def near_duplicates(
     smallest id, NULL only if all its ids are NULL. Rows with equal fingerprints,
     repeated rows among them, are one node.
     """
-    reps = stored(keys.groupBy("fingerprint").agg(F.min(quoted(id)).alias("rep")), "prints")
-    links = near_links(reps.select("fingerprint"), max_distance, dense_cell)
-    roots = connected_components(links)
-    linked = roots.join(reps, roots["node"] == reps["fingerprint"])
-    names = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = roots.join(names, "root").select(
-        F.col("node").alias("fingerprint"), "root", "component_id"
-    )
-    return reps.join(named, "fingerprint", "left").select(
-        "fingerprint",
-        F.coalesce("root", "fingerprint").alias("root"),
-        F.coalesce("component_id", "rep").alias("component_id"),
-    )
+    with finished(keys.sparkSession) as keep:
+        reps = keep(keys.groupBy("fingerprint").agg(F.min(quoted(id)).alias("rep")), "prints")
+        roots = connected_components(near_links(reps.select("fingerprint"), max_distance, dense_cell, keep), keep)
+        linked = roots.join(reps, roots["node"] == reps["fingerprint"])
+        names = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
+        named = roots.join(names, "root").select(F.col("node").alias("fingerprint"), "root", "component_id")
+        found = reps.join(named, "fingerprint", "left").select(
+            "fingerprint",
+            F.coalesce("root", "fingerprint").alias("root"),
+            F.coalesce("component_id", "rep").alias("component_id"),
+        )
+        return stored(found, "components")
 
 
 def hot_fingerprints(keys: DataFrame, hot_rows: int = HOT_ROWS) -> list[int]:

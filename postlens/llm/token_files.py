@@ -28,7 +28,8 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from tokenizers import Encoding, Tokenizer
 
 from postlens.functions.names import quoted
-from postlens.llm.common import caches, input_tasks, release_caches, shared_folder, slices
+from postlens.llm.common import caches, input_tasks, release_caches, shared_folder, slices, stored
+from postlens.sources.scratch import delete_folder
 
 LOW = np.uint64(1 << 31)  # states stay in [LOW, LOW << 32)
 LANES = 4096
@@ -337,7 +338,8 @@ def write_token_files(
 
     order = [F.col("id").asc_nulls_first(), F.col("tie").asc()]
     placed = encoded.repartitionByRange(input_tasks(spark), *order).sortWithinPartitions(*order)
-    placed.select("id", "ids").mapInArrow(blocks, block_schema).write.parquet(f"{path}/blocks")
+    stored(placed.select("id", "ids").mapInArrow(blocks, block_schema), path=f"{path}/blocks")
+    delete_folder(spark, folder)
 
 
 def _arrow_schema(id_type: pa.DataType) -> pa.Schema:

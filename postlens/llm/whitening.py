@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from postlens.functions.names import quoted
-from postlens.llm.common import stored
+from postlens.llm.common import finished
 
 SCALE, OFFSET = 64, 1_000_000
 COMPONENTS = 32
@@ -259,18 +259,19 @@ def combined(rows: DataFrame, start: Callable[[Iterator[pa.RecordBatch]], object
         yield _row(part // FAN_IN, result)
 
     schema = "part bigint, blob binary"
-    level = stored(rows.mapInArrow(first, schema), "parts")
-    while True:
-        size = level.agg(F.count("*").alias("n"), F.max("part").alias("last")).first()
-        if size["n"] <= 1:
-            break
-        # Each group is one partition, its rows in order, so sums come out alike in every run.
-        groups = size["last"] // FAN_IN + 1
-        by_group = level.withColumn("group", F.floor(F.col("part") / FAN_IN)).repartitionByRange(groups, "group")
-        ordered = by_group.sortWithinPartitions("part").drop("group")
-        level = stored(ordered.mapInArrow(_each_group(fold), schema), "parts")
-    blob = level.select("blob").first()
-    return pickle.loads(blob["blob"]) if blob else None
+    with finished(rows.sparkSession) as keep:
+        level = keep(rows.mapInArrow(first, schema), "parts")
+        while True:
+            size = level.agg(F.count("*").alias("n"), F.max("part").alias("last")).first()
+            if size["n"] <= 1:
+                break
+            # Each group is one partition, its rows in order, so sums come out alike in every run.
+            groups = size["last"] // FAN_IN + 1
+            by_group = level.withColumn("group", F.floor(F.col("part") / FAN_IN)).repartitionByRange(groups, "group")
+            ordered = by_group.sortWithinPartitions("part").drop("group")
+            level = keep(ordered.mapInArrow(_each_group(fold), schema), "parts")
+        blob = level.select("blob").first()
+        return pickle.loads(blob["blob"]) if blob else None
 
 
 def _each_group(fold):
