@@ -138,12 +138,16 @@ def near_items(
     windows occur within ``width`` words of the text, in any order."""
     terms = F.transform("probes", lambda w: F.sort_array(F.array_distinct(F.transform(w, lambda at: F.get("words", at)))))
     groups = items.select("ref", F.explode(F.array_distinct(terms)).alias("terms"))
-    groups = groups.select("ref", F.xxhash64("terms").alias("group"), F.size("terms").alias("n"), F.explode("terms").alias("term"))
-    matches = _join_by_term(postings, keep(groups, "near"), broadcast_rows)
-    span = Window.partitionBy(*KEY, "ref", "group").orderBy("pos").rangeBetween(0, width - 1)
-    seen = matches.withColumn("seen", F.size(F.collect_set("term").over(span)))
+    groups = groups.select("ref", F.xxhash64("terms").alias("group"), F.size("terms").alias("n"), F.posexplode("terms").alias("nth", "term"))
+    matches = _join_by_term(postings, keep(groups, "near"), broadcast_rows).select(*KEY, "ref", "group", "n", "nth", "pos")
+    # Where each term was last seen, kept up from row to row: nothing is collected.
+    before = Window.partitionBy(*KEY, "ref", "group").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = [F.coalesce(F.max(F.when(F.col("nth") == k, F.col("pos"))).over(before), F.lit(-width)) for k in range(PROBES)]
+    seen = matches.select(*KEY, "ref", "pos", "n", *(place.alias(f"last{k}") for k, place in enumerate(last)))
+    earliest = F.least("pos", *(F.when(F.col("n") > k, F.col(f"last{k}")).otherwise(F.col("pos")) for k in range(PROBES)))
+    found = seen.filter(F.col("pos") - earliest < width).select(*KEY, "ref").distinct()
     names = _sized(items.select("ref", "item"), broadcast_rows)
-    return seen.filter("seen = n").select(*KEY, "ref").distinct().join(names, "ref").select(*KEY, "item").distinct()
+    return found.join(names, "ref").select(*KEY, "item").distinct()
 
 
 def decontaminate(
