@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -38,17 +39,10 @@ from postlens.sources.scratch import delete_folder
 END = b" "  # stands for the end of a text; no word holds a blank
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 16 << 20  # of training text for each part
+SCORING_TURNS = 4
 FULL = 255  # marks an n-gram whose values stand in the list of large ones
 
 
-class _Numbers(dict):
-    """Words numbered as they come."""
-
-    def __missing__(self, word):
-        number = self[word] = len(self)
-        return number
-
-
 @dataclass
 class Block:
     """Tokens of whole texts: numbers of their words within the block, text by text."""
@@ -62,30 +56,44 @@ class Block:
 
 def blocks(batches: Iterator[pa.RecordBatch], limit: int | None = None) -> Iterator[Block]:
     """Blocks of about ``limit`` (``BLOCK_BYTES``) bytes of text, from columns id, held_out, text."""
-
-    def made():
-        tokens = np.concatenate(parts)
-        lengths = np.array([len(p) for p in parts])
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
-        training = np.repeat(np.array([not held for _, held in rows]), lengths)
-        return Block(rows, lengths, tokens, hashes, training)
-
     release_caches(__name__)
     limit = limit or BLOCK_BYTES
-    rows, parts, numbers, size = [], [], _Numbers(), 0
+    rows, texts, size = [], [], 0
     for batch in slices(batches):
-        for name, held, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            body = (text or "").encode().lower()
-            words = body.split()
-            words.append(END)
-            rows.append((name, held))
-            parts.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
-            size += len(body) + 64
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False) + 64)
+        begin = 0
+        while begin < batch.num_rows:
+            done = int(ends[begin - 1]) if begin else 0
+            end = min(batch.num_rows, int(np.searchsorted(ends, done + limit - size)) + 1)
+            part = batch.slice(begin, end - begin)
+            rows += zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+            texts.append(part.column(2))
+            size += int(ends[end - 1]) - done
+            begin = end
             if size >= limit:
-                yield made()
-                rows, parts, numbers, size = [], [], _Numbers(), 0
+                yield _block(rows, pa.concat_arrays(texts))
+                rows, texts, size = [], [], 0
     if rows:
-        yield made()
+        yield _block(rows, pa.concat_arrays(texts))
+
+
+def _block(rows: list[tuple], texts: pa.Array) -> Block:
+    """Arrow splits the texts and finds their different words; each text gets its end."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = words.flatten()
+    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)  # white space at either end leaves an empty word
+    before = np.concatenate([[0], np.cumsum(real)])
+    offsets = words.offsets.to_numpy()
+    lengths = np.diff(before[offsets - offsets[0]]) + 1
+    coded = flat.filter(pa.array(real)).dictionary_encode()
+    tokens = np.full(int(lengths.sum()), len(coded.dictionary), np.int64)
+    inside = np.ones(len(tokens), bool)
+    inside[np.cumsum(lengths) - 1] = False
+    tokens[inside] = coded.indices.to_numpy()
+    names = [*coded.dictionary.cast(pa.binary()).to_pylist(), END]
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
+    training = np.repeat(np.array([not held for _, held in rows]), lengths)
+    return Block(rows, lengths, tokens, hashes, training)
 
 
 def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -375,16 +383,14 @@ def _gram_rows(kind: int, grams: np.ndarray, values: np.ndarray, parts: int) ->
             yield pa.RecordBatch.from_pylist([row], schema=GRAM_SCHEMA)
 
 
-def _different(grams: np.ndarray, values: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """Different n-grams in order, and the sums of their values. Words are less than ``base``."""
+def _keys(grams: np.ndarray, base: int) -> np.ndarray:
+    """One number for each n-gram, equal for equal ones and in their order. Words are less than ``base``."""
     keys, room = grams[0], base
     for column in grams[1:]:
         if room * base >= 1 << 64:
-            keys = _distinct(keys)[2].astype(np.uint64)
-            room = 1 << 32
+            keys, room = _distinct(keys)[2].astype(np.uint64), 1 << 32
         keys, room = keys * np.uint64(base) + column, room * base
-    order, first, _ = _distinct(keys)
-    return grams[:, order[first]], np.stack([np.add.reduceat(v[order], first) for v in values])
+    return keys
 
 
 def block_grams(rows: DataFrame, vocabulary: Vocabulary, order: int) -> DataFrame:
@@ -406,9 +412,10 @@ def block_grams(rows: DataFrame, vocabulary: Vocabulary, order: int) -> DataFram
             for k in range(order - 1, -1, -1):
                 at = place - k
                 columns.append(rank[np.where(at >= begins, block.tokens[np.maximum(at, 0)], -1)])
-            one = np.ones((1, len(place)), np.uint64)
-            grams, counts = _different(np.stack(columns), one, len(numbers))
-            yield from _gram_rows(COUNT, numbers[grams.astype(np.int64)], counts, vocabulary.parts)
+            grams = np.stack(columns)
+            in_order, first, _ = _distinct(_keys(grams, len(numbers)))
+            counts = np.diff(np.append(first, len(place))).astype(np.uint64)[None]
+            yield from _gram_rows(COUNT, numbers[grams[:, in_order[first]].astype(np.int64)], counts, vocabulary.parts)
 
     return rows.filter("NOT held_out").mapInArrow(send, GRAM_FIELDS)
 
@@ -456,10 +463,15 @@ def count_grams(sent: DataFrame, vocabulary: Vocabulary, level: int, order: int)
         numbers = [[int((counts == k).sum()) for k in range(1, 5)]]
         row = [pa.array([NUMBERS], pa.int32()), pa.array([part], pa.int32()), *([pa.array([None], pa.list_(pa.binary()))] * 2)]
         yield pa.RecordBatch.from_arrays([*row, pa.array(numbers, pa.list_(pa.int64()))], schema=GRAM_SCHEMA)
-        following = np.stack([counts, counts == 1, counts == 2, counts > 2]).astype(np.uint64)
-        one = np.ones((1, len(counts)), np.uint64)
-        for kind, shorter, given in ((AFTER, grams[:-1], following), (BEFORE, grams[1:], one)):
-            yield from _gram_rows(kind, *_different(shorter, given, vocabulary.size + 2), vocabulary.parts)
+        for kind, shorter in ((AFTER, grams[:-1]), (BEFORE, grams[1:])):
+            order_of, first, _ = _distinct(_keys(shorter, vocabulary.size + 2))
+            if kind == BEFORE:
+                given = [np.diff(np.append(first, len(counts)))]
+            else:
+                following = counts[order_of]
+                rows = (following, following == 1, following == 2, following > 2)
+                given = [np.add.reduceat(row.astype(np.uint64), first) for row in rows]
+            yield from _gram_rows(kind, shorter[:, order_of[first]], np.stack(given).astype(np.uint64), vocabulary.parts)
 
     dealt = sent.filter(F.col("kind") != NUMBERS).repartitionById(vocabulary.parts, F.col("part"))
     return dealt.select("kind", "part", "grams", "values").mapInArrow(count, GRAM_FIELDS if level > 2 else MARGIN_FIELDS)
@@ -602,46 +614,48 @@ def _asked(row: dict, vocabulary: Vocabulary, order: int):
     return lengths, before, levels, asked
 
 
-def answers(encoded: DataFrame, model: Model, level: int) -> DataFrame:
-    """The values of the n-grams of one order of all blocks, from the stored arrays: a row for each block and part."""
+def answers(encoded: DataFrame, model: Model) -> DataFrame:
+    """The values of the n-grams of all blocks, from the stored arrays: a row for each block, order and part."""
     shared = encoded.sparkSession.sparkContext.broadcast(model)
-    rows_of_values = 1 if level == model.order else 5
 
     def ask(batches):
         vocabulary = shared.value.vocabulary
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                hashes, _ = _asked(row, vocabulary, level)[3][level]
-                for part, places in _in_parts(hashes, vocabulary.parts):
-                    columns = [pa.array([part], pa.int32()), pa.array([row["block"]]), pa.array([pack(hashes[places], True)])]
-                    yield pa.RecordBatch.from_arrays(columns, ["part", "block", "hashes"])
+                for level, (hashes, _) in _asked(row, vocabulary, model.order)[3].items():
+                    for part, places in _in_parts(hashes, vocabulary.parts):
+                        numbers = (pa.array([x], kind) for x, kind in ((level, pa.int32()), (part, pa.int32()), (row["block"], pa.int64())))
+                        yield pa.RecordBatch.from_arrays([*numbers, pa.array([pack(hashes[places], True)])], names)
 
     def answer(batches):
         folder = shared.value.vocabulary.folder
         for batch in batches:
-            for part, block, hashes in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                values = load_values(folder, level, part, unpack(hashes), rows_of_values)
+            for level, part, block, hashes in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                values = load_values(folder, level, part, unpack(hashes), 1 if level == model.order else 5)
                 row = [[level], [part], [block], [[pack(v) for v in values]]]
                 kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.binary())]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], ["level", "part", "block", "values"])
 
-    asked = encoded.select("block", "words", "tokens", "lengths").mapInArrow(ask, "part int, block bigint, hashes binary")
+    names = ["level", "part", "block", "hashes"]
+    asked = encoded.select("block", "words", "tokens", "lengths").mapInArrow(ask, "level int, part int, block bigint, hashes binary")
     dealt = asked.repartitionById(model.vocabulary.parts, F.col("part"))
     return dealt.mapInArrow(answer, "level int, part int, block bigint, values array<binary>")
 
 
-def score(rows: DataFrame, model: Model) -> DataFrame:
+def score(rows: DataFrame, model: Model, turns: int = SCORING_TURNS) -> DataFrame:
     """Per row of (id, held_out, text): ``id``, ``held_out``, ``n_tokens``, ``n_known``, ``base_score`` and ``score``.
 
-    The texts need not be those that the model was learned from. The result is stored in the shared folder.
+    The texts need not be those that the model was learned from. Their blocks are answered in ``turns``, each of
+    which leaves its answers and deletes what was asked. The result is stored in the shared folder.
     """
     spark, order = rows.sparkSession, model.order
     with finished(spark) as keep:
         encoded = keep(encode_blocks(rows, model.vocabulary), "blocks")
         joined = encoded
-        for level in range(order, 1, -1):
-            joined = joined.unionByName(keep(answers(encoded, model, level), f"answers-{level}"), allowMissingColumns=True)
+        for turn in range(turns):
+            own = encoded.filter(F.pmod(F.xxhash64("block"), F.lit(turns)) == turn)
+            joined = joined.unionByName(keep(answers(own, model), "answers"), allowMissingColumns=True)
         tasks = max(input_tasks(spark), -(-encoded.count() // 4))
         joined = joined.repartition(tasks, "block").sortWithinPartitions("block", F.col("level").asc_nulls_first(), "part")
         schema = StructType([

@@ -6,7 +6,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -131,3 +133,16 @@ def test_query_is_better_than_the_base_on_held_out_texts(spark):
     held = [r for r in got if r["held_out"]]
     assert len(held) > 100
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_blocks_split_texts_as_plain_python_does():
+    texts = [t for _, t in fixture()] + ["\x1c a\x1fb \x85 c\xa0d", " lead", "trail ", "\t\x0b\x0c\r\n", "É É é İ ẞ", "A" * 5000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([False] * len(texts)), pa.array(texts)], ["id", "held_out", "text"])
+    for limit in (1, 700, 1 << 20):
+        got = []
+        for block in kneser_ney.blocks(iter([batch.slice(0, 40), batch.slice(40)]), limit):
+            ends = np.cumsum(block.lengths)
+            got += [block.hashes[block.tokens[e - n : e]].tolist() for e, n in zip(ends, block.lengths)]
+            assert len(set(block.hashes.tolist())) == len(block.hashes)
+        expected = [[xxhash.xxh64_intdigest(b" " if w is None else w.encode()) for w in naive_words(t)] for t in texts]
+        assert got == expected
