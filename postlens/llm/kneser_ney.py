@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from postlens.sources.scratch import delete_folder
 END = b" "  # stands for the end of a text; no word holds a blank
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 16 << 20  # of training text for each part
-SCORING_TURNS = 4
+TURNS = 4
 FULL = 255  # marks an n-gram whose values stand in the list of large ones
 
 
@@ -488,20 +489,21 @@ def fit(rows: DataFrame, order: int, folder: str, part_bytes: int | None = None)
         raise ValueError("order must be 2 or more")
     vocabulary = count_words(rows, folder, part_number(rows, part_bytes))
     model = Model(vocabulary, order)
-    sent, used = block_grams(rows, vocabulary, order), None
-    for level in range(order, 2, -1):
-        counted = count_grams(sent, vocabulary, level, order)
-        path = shared_folder(rows.sparkSession, f"order-{level}")
-        sent = stored(counted, path=path)
-        if used:
-            delete_folder(rows.sparkSession, used)
-        used = path
-        model.discounts[level] = _discounts(_sums(sent, "numbers", 4))
-    with finished(rows.sparkSession) as keep:
-        margins = keep(count_grams(sent, vocabulary, 2, order), "margins")
-        if used:
-            delete_folder(rows.sparkSession, used)
-        _merge_margins(margins, model)
+    sent, used = block_grams(rows, vocabulary, order), []
+    for level in range(order, 1, -1):
+        # The n-grams of the texts come in one go, and those that are stored in turns, so that little of them lies in shuffles.
+        turns = TURNS if used else 1
+        own = [sent.filter(F.col("part") % turns == turn) if used else sent for turn in range(turns)]
+        paths = [shared_folder(rows.sparkSession, f"order-{level}") for _ in own]
+        tables = [stored(count_grams(x, vocabulary, level, order), path=path) for x, path in zip(own, paths)]
+        for path in used:
+            delete_folder(rows.sparkSession, path)
+        sent, used = reduce(DataFrame.union, tables), paths
+        if level > 2:
+            model.discounts[level] = _discounts(_sums(sent, "numbers", 4))
+    _merge_margins(sent, model)
+    for path in used:
+        delete_folder(rows.sparkSession, path)
     return model
 
 
@@ -643,26 +645,27 @@ def answers(encoded: DataFrame, model: Model) -> DataFrame:
     return dealt.mapInArrow(answer, "level int, part int, block bigint, values array<binary>")
 
 
-def score(rows: DataFrame, model: Model, turns: int = SCORING_TURNS) -> DataFrame:
+def score(rows: DataFrame, model: Model, turns: int | None = None) -> DataFrame:
     """Per row of (id, held_out, text): ``id``, ``held_out``, ``n_tokens``, ``n_known``, ``base_score`` and ``score``.
 
-    The texts need not be those that the model was learned from. Their blocks are answered in ``turns``, each of
-    which leaves its answers and deletes what was asked. The result is stored in the shared folder.
+    The texts need not be those that the model was learned from. Their blocks are answered and scored in ``turns`` (``TURNS``),
+    each of which deletes what was asked and answered. The results are stored in the shared folder.
     """
-    spark, order = rows.sparkSession, model.order
+    spark, scores, turns = rows.sparkSession, [], turns or TURNS
     with finished(spark) as keep:
         encoded = keep(encode_blocks(rows, model.vocabulary), "blocks")
-        joined = encoded
-        for turn in range(turns):
-            own = encoded.filter(F.pmod(F.xxhash64("block"), F.lit(turns)) == turn)
-            joined = joined.unionByName(keep(answers(own, model), "answers"), allowMissingColumns=True)
-        tasks = max(input_tasks(spark), -(-encoded.count() // 4))
-        joined = joined.repartition(tasks, "block").sortWithinPartitions("block", F.col("level").asc_nulls_first(), "part")
+        tasks = max(input_tasks(spark), -(-encoded.count() // (4 * turns)))
         schema = StructType([
             StructField("id", encoded.schema["ids"].dataType.elementType),
             *StructType.fromDDL("held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"),
         ])
-        return stored(joined.mapInArrow(_block_scorer(model, schema.names), schema), "scores")
+        for turn in range(turns):
+            own = encoded.filter(F.pmod(F.xxhash64("block"), F.lit(turns)) == turn)
+            with finished(spark) as keep_answers:
+                joined = own.unionByName(keep_answers(answers(own, model), "answers"), allowMissingColumns=True)
+                joined = joined.repartition(tasks, "block").sortWithinPartitions("block", F.col("level").asc_nulls_first(), "part")
+                scores.append(stored(joined.mapInArrow(_block_scorer(model, schema.names), schema), "scores"))
+    return reduce(DataFrame.union, scores)
 
 
 def _block_scorer(model: Model, names: list[str]):

@@ -19,6 +19,12 @@ from tests.conftest import TESTDATA
 SCHEMA = "doc_id bigint, text string, held_out string, score int"
 
 
+@pytest.fixture(autouse=True)
+def few_turns(monkeypatch):
+    """More jobs than these small tables need would only take time; one test has several turns."""
+    monkeypatch.setattr(kneser_ney, "TURNS", 1)
+
+
 def naive_words(text):
     lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     for space in "\t\n\v\f\r":

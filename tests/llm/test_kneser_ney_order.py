@@ -14,6 +14,12 @@ from tests.conftest import TESTDATA
 from tests.llm.test_kneser_ney import fixture, naive_discounts, naive_words, rounded, table
 
 
+@pytest.fixture(autouse=True)
+def few_turns(monkeypatch):
+    """More jobs than these small tables need would only take time; one test has several turns."""
+    monkeypatch.setattr(kneser_ney, "TURNS", 1)
+
+
 def naive_scores(rows, order, asked=None):
     """The recursive formulas, with as many begin marks before each text as the context is long."""
     is_held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
@@ -80,6 +86,7 @@ def test_a_stored_model_scores_texts_that_were_not_counted(spark, order):
 def test_small_parts_change_no_score(spark, order, monkeypatch):
     rows = fixture()
     monkeypatch.setattr(kneser_ney, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(kneser_ney, "TURNS", 3)
     whole = kneser_ney.language_model_scores(table(spark, rows), order=order)
     parts = kneser_ney.language_model_scores(table(spark, rows).repartition(4), order=order, part_bytes=300)
     assert rounded(map(tuple, whole.collect())) == rounded(map(tuple, parts.collect()))
@@ -96,7 +103,7 @@ def test_intermediate_tables_and_the_model_are_deleted(spark):
     folder = Path(spark.conf.get("spark.checkpoint.dir"))
     before = set(folder.iterdir())
     scores = kneser_ney.language_model_scores(table(spark, fixture()), order=3)
-    assert [p.name.split("-")[1] for p in set(folder.iterdir()) - before] == ["scores"]
+    assert {p.name.split("-")[1] for p in set(folder.iterdir()) - before} == {"scores"}
     assert scores.count() == len(fixture())
 
 
