@@ -18,6 +18,7 @@ part is mapped more than once for each order.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
@@ -40,6 +41,8 @@ from postlens.sources.scratch import delete_folder
 END = b" "  # stands for the end of a text; no word holds a blank
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 16 << 20  # of training text for each part
+BATCH_BYTES = 2 << 20
+MAX_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 TURNS = 4
 FULL = 255  # marks an n-gram whose values stand in the list of large ones
 
@@ -162,6 +165,17 @@ class Vocabulary:
         return numbers, counts
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows go to Python and back in batches of about ``BATCH_BYTES``, which the JVM and the worker hold at once."""
+    before = spark.conf.get(MAX_BATCH)
+    spark.conf.set(MAX_BATCH, f"{BATCH_BYTES}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(MAX_BATCH, before)
+
+
 def part_number(rows: DataFrame, part_bytes: int | None = None) -> int:
     """Parts for the training texts among rows (id, held_out, text), by their measured size."""
     size = F.sum(F.octet_length("text").cast("bigint") + 1)
@@ -278,8 +292,16 @@ def _discounts(n: list[int]) -> list[float]:
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order of the keys, where in it each different key begins, and for each key its place among those."""
-    order = np.argsort(keys)
-    ordered = keys[order]
+    bits = np.uint64(len(keys).bit_length())
+    if len(keys) and int(keys.max()) >> (64 - int(bits)) == 0:  # key and place in one number sort faster
+        ordered = keys << bits
+        ordered |= np.arange(len(keys), dtype=np.uint64)
+        ordered.sort()
+        order = (ordered & (np.uint64(1) << bits) - np.uint64(1)).view(np.int64)
+        ordered >>= bits
+    else:
+        order = np.argsort(keys)
+        ordered = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = ordered[1:] != ordered[:-1]
     del ordered
@@ -487,6 +509,11 @@ def fit(rows: DataFrame, order: int, folder: str, part_bytes: int | None = None)
     """Learn from the rows (id, held_out, text) that are not held out. The model's arrays go to ``folder``."""
     if order < 2:
         raise ValueError("order must be 2 or more")
+    with _small_batches(rows.sparkSession):
+        return _fitted(rows, order, folder, part_bytes)
+
+
+def _fitted(rows: DataFrame, order: int, folder: str, part_bytes: int | None) -> Model:
     vocabulary = count_words(rows, folder, part_number(rows, part_bytes))
     model = Model(vocabulary, order)
     sent, used = block_grams(rows, vocabulary, order), []
@@ -652,7 +679,7 @@ def score(rows: DataFrame, model: Model, turns: int | None = None) -> DataFrame:
     each of which deletes what was asked and answered. The results are stored in the shared folder.
     """
     spark, scores, turns = rows.sparkSession, [], turns or TURNS
-    with finished(spark) as keep:
+    with _small_batches(spark), finished(spark) as keep:
         encoded = keep(encode_blocks(rows, model.vocabulary), "blocks")
         tasks = max(input_tasks(spark), -(-encoded.count() // (4 * turns)))
         schema = StructType([
