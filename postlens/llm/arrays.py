@@ -54,19 +54,18 @@ def load(folder: str, name: str) -> np.ndarray:
 
 def pack(values: np.ndarray, ascending: bool = False) -> bytes:
     """Unsigned numbers as bytes: differences if ascending, then byte by byte, compressed."""
-    values = values.astype(np.uint64)
+    values = np.asarray(values, "<u8")
     if ascending and len(values):
         values = np.diff(values, prepend=np.uint64(0))
-    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
-    used = 8 - int(np.argmax(planes.any(axis=1)[::-1])) if planes.any() else 0
-    body = planes[:used].tobytes()
+    used = -(-int(values.max(initial=0)).bit_length() // 8)
+    body = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :used].T)
     return len(values).to_bytes(8, "little") + bytes([used, ascending]) + bytes(CODEC.compress(body, asbytes=True))
 
 
 def unpack(data: bytes) -> np.ndarray:
     n, used, ascending = int.from_bytes(data[:8], "little"), data[8], data[9]
-    planes = np.zeros((8, n), np.uint8)
+    planes = np.zeros((n, 8), np.uint8)
     if n and used:
-        planes[:used] = np.frombuffer(CODEC.decompress(data[10:], n * used, asbytes=True), np.uint8).reshape(used, n)
-    values = np.ascontiguousarray(planes.T).reshape(-1).view("<u8").astype(np.uint64)
+        planes[:, :used] = np.frombuffer(CODEC.decompress(memoryview(data)[10:], n * used), np.uint8).reshape(used, n).T
+    values = planes.reshape(-1).view("<u8")
     return np.cumsum(values, dtype=np.uint64) if ascending else values

@@ -84,32 +84,68 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int | None = None) -> Itera
 def _block(rows: list[tuple], texts: pa.Array) -> Block:
     """Arrow splits the texts and finds their different words; each text gets its end."""
     words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-    flat = words.flatten()
-    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)  # white space at either end leaves an empty word
-    before = np.concatenate([[0], np.cumsum(real)])
+    flat = words.flatten().cast(pa.binary())
+    real = pc.not_equal(flat, b"")  # white space at either end leaves an empty word
     offsets = words.offsets.to_numpy()
-    lengths = np.diff(before[offsets - offsets[0]]) + 1
-    coded = flat.filter(pa.array(real)).dictionary_encode()
+    lengths = np.diff(offsets) + 1
+    if not pc.all(real).as_py():
+        lengths = np.diff(np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[offsets - offsets[0]]) + 1
+        flat = flat.filter(real)
+    coded = flat.dictionary_encode()
     tokens = np.full(int(lengths.sum()), len(coded.dictionary), np.int64)
     inside = np.ones(len(tokens), bool)
     inside[np.cumsum(lengths) - 1] = False
     tokens[inside] = coded.indices.to_numpy()
-    names = [*coded.dictionary.cast(pa.binary()).to_pylist(), END]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, _names(coded.dictionary)), np.uint64, len(coded.dictionary) + 1)
     training = np.repeat(np.array([not held for _, held in rows]), lengths)
     return Block(rows, lengths, tokens, hashes, training)
 
 
+def _names(dictionary: pa.Array) -> list[bytes]:
+    """The words of the dictionary, and the end, without an Arrow scalar for each."""
+    if not len(dictionary):
+        return [END]
+    _, places, data = dictionary.buffers()
+    cuts = np.frombuffer(places, np.int32)[dictionary.offset : dictionary.offset + len(dictionary) + 1].tolist()
+    data = data.to_pybytes() if data else b""
+    return [*(data[begin:end] for begin, end in zip(cuts, cuts[1:])), END]
+
+
 def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return (hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
 
 
+def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stable order of the keys, and the keys in it. Keys and places in one number sort faster than keys apart."""
+    bits, room = len(keys).bit_length(), 64 - int(keys.max(initial=0)).bit_length()
+    places = np.uint64((1 << bits) - 1)
+    ordered = keys << np.uint64(min(bits, room))
+    if bits > room:  # the last bits of the keys make room; equal first bits are then put in order
+        ordered &= ~places
+    ordered |= np.arange(len(keys), dtype=np.uint64)
+    ordered.sort()
+    order = (ordered & places).view(np.int64)
+    if bits <= room:
+        ordered >>= np.uint64(bits)
+        return order, ordered
+    ordered = keys[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        again = np.argsort(ordered, kind="stable")
+        order, ordered = order[again], ordered[again]
+    return order, ordered
+
+
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where each different one of the ordered keys begins."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return np.flatnonzero(new)
+
+
 def _summed(keys: list[np.ndarray], *values: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     """Different keys in order, and the sums of their values."""
-    key = np.concatenate([np.empty(0, np.uint64), *keys])
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+    order, key = _sorted(np.concatenate([np.empty(0, np.uint64), *keys]))
+    first = _firsts(key)
     sums = []
     for value in values:
         value = np.concatenate([np.empty(0, np.uint64), *value])[order]
@@ -206,7 +242,7 @@ def count_words(rows: DataFrame, folder: str, parts: int) -> Vocabulary:
             return
         known, sums = _summed(words, counts)
         arrays.save(folder, f"words-{part}", known)
-        arrays.save(folder, f"counts-{part}", sums)
+        arrays.save(folder, f"counts-{part}", sums.astype(np.uint32) if sums.max(initial=0) < 1 << 32 else sums)
         row = [[part], [len(known)], [int(sums.sum())]]
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in row], ["part", "size", "tokens"])
 
@@ -260,9 +296,14 @@ class Model:
         cuts = _word_cuts(vocabulary.size + 2, vocabulary.parts)
         ends = np.searchsorted(numbers[order], cuts[1:].astype(np.int64))
         for part, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
-            if begin < end and self.bigrams and arrays.exists(vocabulary.folder, f"margins-{part}"):
-                stored_values = arrays.load(vocabulary.folder, f"margins-{part}")
-                values[:, order[begin:end]] = stored_values[:, numbers[order[begin:end]] - int(cuts[part])]
+            if begin < end and self.bigrams and arrays.exists(vocabulary.folder, f"small-margins-{part}"):
+                at = numbers[order[begin:end]] - int(cuts[part])
+                found = arrays.load(vocabulary.folder, f"small-margins-{part}")[:, at].astype(np.uint64)
+                full = np.flatnonzero(found[0] == FULL)
+                if len(full):
+                    large = arrays.load(vocabulary.folder, f"large-margins-{part}")
+                    found[:, full] = large[1:, np.searchsorted(large[0], at[full].astype(np.uint64))]
+                values[:, order[begin:end]] = found
         contexts, after, ones, twos, more = values
         probability = self.word_mass / (vocabulary.size + 1) + np.zeros(len(numbers))
         if self.bigrams:
@@ -292,60 +333,58 @@ def _discounts(n: list[int]) -> list[float]:
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order of the keys, where in it each different key begins, and for each key its place among those."""
-    bits = np.uint64(len(keys).bit_length())
-    if len(keys) and int(keys.max()) >> (64 - int(bits)) == 0:  # key and place in one number sort faster
-        ordered = keys << bits
-        ordered |= np.arange(len(keys), dtype=np.uint64)
-        ordered.sort()
-        order = (ordered & (np.uint64(1) << bits) - np.uint64(1)).view(np.int64)
-        ordered >>= bits
-    else:
-        order = np.argsort(keys)
-        ordered = keys[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = ordered[1:] != ordered[:-1]
-    del ordered
+    order, ordered = _sorted(keys)
+    first = _firsts(ordered)
     place = np.empty(len(keys), np.uint32)
-    place[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
-    return order, np.flatnonzero(new), place
+    place[order] = np.repeat(np.arange(len(first), dtype=np.uint32), np.diff(first, append=len(keys)))
+    return order, first, place
 
 
 def _grams_of(words: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary, order: int):
-    """For each token, and last for a context of begins: the place of what stands before, and for
-    each order the different n-grams, sorted, and the number of the token's own among them."""
-    base, n = np.uint64(vocabulary.size + 2), len(words)
+    """For each token, and last for a context of begins: the place of what stands before, and for each order from 2
+    the sorted hashes of the different n-grams, whether all their words are known, and the number of the token's own."""
+    n = len(words)
     before = np.arange(-1, n)
     before[np.cumsum(lengths) - lengths] = n
     before[n] = n
     words = np.append(words, vocabulary.begin).astype(np.uint64)
-    by_word, first, ids = _distinct(words)
-    levels = [(words[by_word[first]][None], ids)]
-    for _ in range(order - 1):
-        grams, ids = levels[-1]
-        by_gram, first, own = _distinct(ids[before].astype(np.uint64) * base + words)
-        one = by_gram[first]  # a token of each n-gram
-        levels.append((np.concatenate([grams[:, ids[before[one]]], words[one][None]]), own))
-    return before, levels
-
-
-def _known(grams: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """Places of the n-grams without an unknown word; no other is in training."""
-    return np.flatnonzero((grams != np.uint64(vocabulary.unknown)).all(axis=0))
+    known_words = words != np.uint64(vocabulary.unknown)
+    hashes, known, levels = gram_hashes(words[None]), known_words, {}
+    for level in range(2, order + 1):
+        hashes, known = _longer(hashes[before], words), known[before] & known_words
+        by_hash, ordered = _sorted(hashes)
+        first = _firsts(ordered)
+        own = np.empty(len(hashes), np.uint32)
+        own[by_hash] = np.repeat(np.arange(len(first), dtype=np.uint32), np.diff(first, append=len(hashes)))
+        levels[level] = ordered[first], known[by_hash[first]], own
+    return words, before, levels
+
+
+def _longer(state: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams from those of all words but the last, and the last."""
+    state = (state ^ words) * np.uint64(0xBF58476D1CE4E5B9)
+    state ^= state >> np.uint64(31)
+    state *= np.uint64(0x94D049BB133111EB)
+    state ^= state >> np.uint64(29)
+    return state
 
 
 def gram_hashes(grams: np.ndarray) -> np.ndarray:
     """One 64-bit hash for each column of word numbers."""
-    state = np.full(grams.shape[1], len(grams), np.uint64)
-    for column in grams:
-        state = (state ^ column) * np.uint64(0xBF58476D1CE4E5B9)
-        state = (state ^ state >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
-        state ^= state >> np.uint64(29)
-    return state
+    return reduce(_longer, grams, np.ones(grams.shape[1], np.uint64))
+
+
+def _save_values(folder: str, name: str, small: np.ndarray, fit: np.ndarray, values: np.ndarray) -> None:
+    """A byte for each small value, and a list of the columns that do not fit."""
+    large = np.flatnonzero(~fit)
+    arrays.save(folder, f"small-{name}", np.where(fit, small, FULL).astype(np.uint8))
+    arrays.save(folder, f"large-{name}", np.stack([large.astype(np.uint64), *values[:, large]]))
 
 
 def save_grams(folder: str, level: int, part: int, hashes: np.ndarray, values: np.ndarray) -> None:
     """The sorted hashes and the values of a part's n-grams.
 
+    Hashes are stored as three arrays of 16 bits; the first 16 bits change seldom and are listed with their numbers.
     Values are one row (counts) or five: counts, and as a context what follows: in all, once, twice, more
     often. They take a byte each, the last three together one; those that do not fit are listed apart.
     """
@@ -356,19 +395,31 @@ def save_grams(folder: str, level: int, part: int, hashes: np.ndarray, values: n
         shape = ones + (twos << np.uint64(4)) + (more << np.uint64(6))
         fit &= (ones < 16) & (twos < 4) & (more < 4)
         small = np.stack([*small, shape])
-    small = np.where(fit, small, FULL).astype(np.uint8)
-    large = np.flatnonzero(~fit)
-    arrays.save(folder, f"grams-{level}-{part}", hashes)
-    arrays.save(folder, f"small-{level}-{part}", small)
-    arrays.save(folder, f"large-{level}-{part}", np.stack([large.astype(np.uint64), *values[:, large]]))
+    rests = np.ascontiguousarray(hashes.astype("<u8").view("<u2").reshape(-1, 4)[:, :3].T)
+    tops = hashes >> np.uint64(48)
+    first = _firsts(tops)
+    arrays.save(folder, f"grams-{level}-{part}", rests)
+    arrays.save(folder, f"tops-{level}-{part}", np.stack([tops[first], np.diff(first, append=len(tops)).astype(np.uint64)]))
+    _save_values(folder, f"{level}-{part}", small, fit, values)
 
 
-def load_values(folder: str, level: int, part: int, asked: np.ndarray, rows: int) -> np.ndarray:
-    """The values of sorted hashes, from the mapped arrays of their part; zero for those it does not have."""
-    result = np.zeros((rows, len(asked)), np.uint64)
+def load_grams(folder: str, level: int, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """The sorted hashes of a part, and its mapped values, small and large; None if it has no n-grams."""
     if not arrays.exists(folder, f"grams-{level}-{part}"):
+        return None
+    rests, tops, small, large = (arrays.load(folder, f"{name}-{level}-{part}") for name in ("grams", "tops", "small", "large"))
+    known = np.empty((rests.shape[1], 4), "<u2")
+    known[:, :3] = rests.T
+    known[:, 3] = np.repeat(tops[0].astype("<u2"), tops[1].astype(np.int64))
+    return known.reshape(-1).view("<u8"), small, large
+
+
+def values_of(grams: tuple[np.ndarray, np.ndarray, np.ndarray] | None, asked: np.ndarray, rows: int) -> np.ndarray:
+    """The values of sorted hashes, from what ``load_grams`` gave; zero for those it does not have."""
+    result = np.zeros((rows, len(asked)), np.uint64)
+    if grams is None:
         return result
-    known, small, large = (arrays.load(folder, f"{name}-{level}-{part}") for name in ("grams", "small", "large"))
+    known, small, large = grams
     at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
     found = np.flatnonzero(known[at] == asked)
     at = at[found]
@@ -383,6 +434,11 @@ def load_values(folder: str, level: int, part: int, asked: np.ndarray, rows: int
     return result
 
 
+def load_values(folder: str, level: int, part: int, asked: np.ndarray, rows: int) -> np.ndarray:
+    """The values of sorted hashes in a part; zero for those it does not have."""
+    return values_of(load_grams(folder, level, part), asked, rows)
+
+
 COUNT, BEFORE, AFTER, NUMBERS = range(4)  # kinds of rows
 GRAM_FIELDS = "kind int, part int, grams array<binary>, values array<binary>, numbers array<bigint>"
 GRAM_SCHEMA = pa.schema([
@@ -393,9 +449,9 @@ GRAM_SCHEMA = pa.schema([
 
 def _gram_rows(kind: int, grams: np.ndarray, values: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     """A row for each part that gets any of the n-grams, which stay in their order."""
-    part = _part_of(gram_hashes(grams), parts).astype(np.int64)
+    part = _part_of(gram_hashes(grams), parts).astype(np.uint16 if parts <= 1 << 16 else np.uint32)  # numbers of 16 bits sort faster
     order = np.argsort(part, kind="stable")
-    ends = np.searchsorted(part[order], np.arange(parts), side="right").tolist()
+    ends = np.cumsum(np.bincount(part, minlength=parts)).tolist()
     for k, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
         if begin < end:
             places = order[begin:end]
@@ -436,7 +492,8 @@ def block_grams(rows: DataFrame, vocabulary: Vocabulary, order: int) -> DataFram
                 at = place - k
                 columns.append(rank[np.where(at >= begins, block.tokens[np.maximum(at, 0)], -1)])
             grams = np.stack(columns)
-            in_order, first, _ = _distinct(_keys(grams, len(numbers)))
+            in_order, ordered = _sorted(_keys(grams, len(numbers)))
+            first = _firsts(ordered)
             counts = np.diff(np.append(first, len(place))).astype(np.uint64)[None]
             yield from _gram_rows(COUNT, numbers[grams[:, in_order[first]].astype(np.int64)], counts, vocabulary.parts)
 
@@ -467,11 +524,11 @@ def count_grams(sent: DataFrame, vocabulary: Vocabulary, level: int, order: int)
         grams, values = np.concatenate(columns, axis=1), np.concatenate(values, axis=1)
         columns.clear()
         hashes = gram_hashes(grams)
-        by_hash, first, _ = _distinct(hashes)
+        by_hash, hashes = _sorted(hashes)
+        first = _firsts(hashes)
         values = np.stack([np.add.reduceat(v[by_hash], first) for v in values])
-        one = by_hash[first]  # one of each
-        hashes, grams = hashes[one], grams[:, one]
-        del by_hash, one
+        hashes, grams = hashes[first], grams[:, by_hash[first]]  # one of each
+        del by_hash, first
         save_grams(vocabulary.folder, level, part, hashes, values)
         del hashes
         counts = values[0]
@@ -479,7 +536,9 @@ def count_grams(sent: DataFrame, vocabulary: Vocabulary, level: int, order: int)
         seen = np.flatnonzero(counts)
         if not len(seen):
             return
-        grams, counts = grams[:, seen], counts[seen]
+        if len(seen) < len(counts):
+            grams, counts = grams[:, seen], counts[seen]
+        del seen
         if level == 2:  # each word is one number: the margins take it from here
             yield from _margin_rows(grams[0], grams[1], counts, _word_cuts(vocabulary.size + 2, vocabulary.parts))
             return
@@ -487,13 +546,10 @@ def count_grams(sent: DataFrame, vocabulary: Vocabulary, level: int, order: int)
         row = [pa.array([NUMBERS], pa.int32()), pa.array([part], pa.int32()), *([pa.array([None], pa.list_(pa.binary()))] * 2)]
         yield pa.RecordBatch.from_arrays([*row, pa.array(numbers, pa.list_(pa.int64()))], schema=GRAM_SCHEMA)
         for kind, shorter in ((AFTER, grams[:-1]), (BEFORE, grams[1:])):
-            order_of, first, _ = _distinct(_keys(shorter, vocabulary.size + 2))
-            if kind == BEFORE:
-                given = [np.diff(np.append(first, len(counts)))]
-            else:
-                following = counts[order_of]
-                rows = (following, following == 1, following == 2, following > 2)
-                given = [np.add.reduceat(row.astype(np.uint64), first) for row in rows]
+            order_of, ordered = _sorted(_keys(shorter, vocabulary.size + 2))
+            first = _firsts(ordered)
+            del ordered
+            given = [np.diff(first, append=len(counts))] if kind == BEFORE else _following(counts[order_of], first)
             yield from _gram_rows(kind, shorter[:, order_of[first]], np.stack(given).astype(np.uint64), vocabulary.parts)
 
     dealt = sent.filter(F.col("kind") != NUMBERS).repartitionById(vocabulary.parts, F.col("part"))
@@ -541,11 +597,21 @@ MARGIN_SCHEMA = pa.schema([
 ])
 
 
+def _following(counts: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """What follows each context, whose n-grams stand together: in all, once, twice, more often."""
+    if not len(counts):
+        return [np.empty(0, np.uint64)] * 4
+    rows = counts, counts == 1, counts == 2, counts > 2
+    return [np.add.reduceat(row, first, dtype=np.uint64) for row in rows]
+
+
 def _margin_rows(contexts: np.ndarray, words: np.ndarray, sums: np.ndarray, word_cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """From different bigrams and their counts, what each part of the words gets."""
-    one = np.ones(len(sums), np.uint64)
-    after = _summed([contexts], [sums], [(sums == 1).astype(np.uint64)], [(sums == 2).astype(np.uint64)], [(sums > 2).astype(np.uint64)])
-    before = _summed([words], [one])
+    by_context, ordered = _sorted(contexts)
+    after = [ordered[(first := _firsts(ordered))], *_following(sums[by_context], first)]
+    ordered = np.sort(words)
+    first = _firsts(ordered)
+    before = ordered[first], np.diff(first, append=len(words))
     numbers_of = [int((sums == k).sum()) for k in range(1, 5)]
     for part in range(len(word_cuts) - 1):
         low, high = word_cuts[part], word_cuts[part + 1]
@@ -580,8 +646,7 @@ def _merge_margins(sent: DataFrame, model: Model) -> None:
                 numbers_of += row["numbers_of"]
         if part is None:
             return
-        small = margins.max(initial=0) < 1 << 32
-        arrays.save(folder, f"margins-{part}", margins.astype(np.uint32) if small else margins)
+        _save_values(folder, f"margins-{part}", margins, (margins < FULL).all(axis=0), margins)
         contexts = margins[0]
         words_with = [int((contexts == k).sum()) for k in range(1, 5)] + [int((contexts > 2).sum())]
         yield pa.RecordBatch.from_pylist([{
@@ -628,19 +693,16 @@ def encode_blocks(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def _asked(row: dict, vocabulary: Vocabulary, order: int):
-    """Of a block: text lengths, what stands before each token, the n-grams by order, and for each order from 2 the
-    sorted hashes of those without an unknown word and their places."""
+    """Of a block: text lengths, the words, what stands before each token, the n-grams by order, and for each order from 2
+    the sorted hashes of those without an unknown word, as no other is in training, and their places."""
     lengths = np.array(row["lengths"])
-    words = unpack(row["words"]).astype(np.int64)[unpack(row["tokens"]).astype(np.int64)]
-    before, levels = _grams_of(words, lengths, vocabulary, order)
+    words = unpack(row["words"]).astype(np.int64)[unpack(row["tokens"]).view(np.int64)]
+    words, before, levels = _grams_of(words, lengths, vocabulary, order)
     asked = {}
-    for level in range(2, order + 1):
-        grams = levels[level - 1][0]
-        known = _known(grams, vocabulary)
-        hashes = gram_hashes(grams[:, known])
-        by_hash = np.argsort(hashes)
-        asked[level] = hashes[by_hash], known[by_hash]
-    return lengths, before, levels, asked
+    for level, (hashes, known, _) in levels.items():
+        places = np.flatnonzero(known)
+        asked[level] = hashes[places], places
+    return lengths, words, before, levels, asked
 
 
 def answers(encoded: DataFrame, model: Model) -> DataFrame:
@@ -652,16 +714,18 @@ def answers(encoded: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                for level, (hashes, _) in _asked(row, vocabulary, model.order)[3].items():
+                for level, (hashes, _) in _asked(row, vocabulary, model.order)[4].items():
                     for part, places in _in_parts(hashes, vocabulary.parts):
                         numbers = (pa.array([x], kind) for x, kind in ((level, pa.int32()), (part, pa.int32()), (row["block"], pa.int64())))
                         yield pa.RecordBatch.from_arrays([*numbers, pa.array([pack(hashes[places], True)])], names)
 
     def answer(batches):
-        folder = shared.value.vocabulary.folder
+        folder, grams = shared.value.vocabulary.folder, {}
         for batch in batches:
             for level, part, block, hashes in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                values = load_values(folder, level, part, unpack(hashes), 1 if level == model.order else 5)
+                if (level, part) not in grams:
+                    grams[level, part] = load_grams(folder, level, part)
+                values = values_of(grams[level, part], unpack(hashes), 1 if level == model.order else 5)
                 row = [[level], [part], [block], [[pack(v) for v in values]]]
                 kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.binary())]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], ["level", "part", "block", "values"])
@@ -699,21 +763,21 @@ def _block_scorer(model: Model, names: list[str]):
     order = model.order
 
     def scored(row, answers):
-        lengths, before, levels, asked = _asked(row, model.vocabulary, order)
-        (different,), ids = levels[0]
-        probability, after, left = model.words(different.astype(np.int64))
+        lengths, words, before, levels, asked = _asked(row, model.vocabulary, order)
+        by_word, first, ids = _distinct(words)
+        probability, after, left = model.words(words[by_word[first]].astype(np.int64))
         likely = probability[ids]
         for level in range(2, order + 1):
-            grams, own = levels[level - 1]
-            values = np.zeros((1 if level == order else 5, grams.shape[1]))
+            own = levels[level][2]
+            values = np.zeros((1 if level == order else 5, len(levels[level][0])))
             hashes, places = asked[level]
             parts = list(_in_parts(hashes, model.vocabulary.parts))
             if len(parts) != len(answers.get(level, [])):
                 raise RuntimeError("a block lacks the answer of a part")
             for (_, at), answer in zip(parts, answers.get(level, [])):
                 values[:, places[at]] = [unpack(x) for x in answer]
-            context = levels[level - 2][1][before]
-            likely = (_discounted(values[0], model.discounts[level])[own] / np.maximum(after[context], 1)) + left[context] * likely
+            context, ids = ids[before], own
+            likely = _discounted(values[0], model.discounts[level])[own] / np.maximum(after, 1)[context] + left[context] * likely
             if level < order:
                 _, after, ones, twos, more = values
                 d = model.discounts[level + 1]
